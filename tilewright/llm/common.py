@@ -105,6 +105,14 @@ def with_group(rows: DataFrame, key: str, salt_by: str, aggs: dict[str, tuple[Co
     return rows.join(spread, [key, "_salt"], "left").drop("_salt")
 
 
+def attach(rows: DataFrame, table: DataFrame, key: str, salt_by: str, salts: int = 64) -> DataFrame:
+    """rows left-joined to a table of unique keys of which any may be hot: a key's rows are dealt to `salts` tasks, and
+    the table's row is copied to those of them that have some."""
+    rows = rows.withColumn("_salt", salt_of(salt_by, salts))
+    spread = rows.select(key, "_salt").distinct().join(table, key)
+    return rows.join(spread, [key, "_salt"], "left").drop("_salt")
+
+
 def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, salt_by: str, most: int = 100_000, salts: int = 64, how: str = "inner") -> DataFrame:
     """Joins rows to a checked dimension: broadcast up to `most` rows, else a salted shuffle join (the dimension is copied `salts` times)."""
     if dimension.limit(most + 1).count() <= most:
