@@ -1,20 +1,49 @@
-"""Stages of the corpus pipeline."""
+"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns the documents that go on."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
+
+from .common import shared
 from .exact_dedup import drop_copies
 from .mixing import apply_mix
+from .near_dup import drop_near_duplicates
+from .packing import pack
+from .quality import keep_good
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return apply_mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
 
-STAGES = [
-    ("exact dedup", lambda spark, docs, sf_dir: drop_copies(docs)),
-    ("mixing", lambda spark, docs, sf_dir: apply_mix(docs)),
-]
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("n-gram Jaccard join", near), ("mixing", mixing), ("packing", packing)]
 
 
-def run(spark, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. Each stage's result is written to the shared checkpoint folder and read again, so a
+    stage starts from files, and a lost executor repeats at most its own stage's tasks."""
+    shared(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
     return docs

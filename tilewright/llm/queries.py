@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality_rules, url_filter
+from . import exact_dedup, lm_score, mixing, near_dup, packing, pii, quality, quality_rules, toxicity, url_filter
 
 
 def queries() -> dict:
-    return {
-        "op1_exact_dedup": exact_dedup.op1_exact_dedup,
-        "op2_url_filter": url_filter.op2_url_filter,
-        "op3_quality_rules": quality_rules.op3_quality_rules,
-        "op4_mixing": mixing.op4_mixing,
-    }
+    found = (
+        exact_dedup.op1_exact_dedup, url_filter.op2_url_filter, quality_rules.op3_quality_rules, mixing.op4_mixing, near_dup.op5_near_duplicates,
+        lm_score.op6_lm_score, quality.op7_quality, packing.op8_packing, pii.op9_pii, toxicity.op10_toxicity,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
