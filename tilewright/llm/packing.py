@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-CACHE = 1_000_000
+CACHE = 700_000
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -22,32 +24,85 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: str.split() parts at these too, which the tokenizer keeps as marks
+SEPARATORS = re.compile("[\x1c-\x1f]")
+WORD_MARKS = re.compile(r"([^\W\d_]+)([.,!*#%&$|]*)")
+
+
 class ChunkEncoder:
-    """Token ids of whole texts. The tokenizer never joins characters over a blank, so a text's ids are those of its
-    parts between blanks; parts are encoded once and remembered."""
+    """Token ids of whole texts. The tokenizer never joins characters over a blank, nor letters and marks, and lower-cases
+    first. So a text's ids are those of its parts between blanks, and those of a part are its word's and its marks'.
+    Words and other parts are encoded once and remembered; new words are encoded many at a time, as the ids that end a
+    word tell them apart."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.number = np.uint32 if self.wide else np.uint16
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _one_by_one(self, parts: list[str], into: dict[str, bytes]) -> None:
+        for p, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+            into[p] = np.array(e.ids, self.number).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        size = self.number().itemsize
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.number)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * size
+            if len(stops) != len(some):
+                self._one_by_one(some, self.words)
+                continue
+            blob, begin = ids.tobytes(), 0
+            for w, end in zip(some, stops.tolist(), strict=True):
+                self.words[w] = blob[begin:end]
+                begin = end
+
+    def _learn(self, parts: set[str]) -> None:
+        split, odd, words = [], [], set()
+        for p in parts:
+            m = WORD_MARKS.fullmatch(p) if self.ends.any() else None
+            if m is None or not (p.isascii() or unicodedata.is_normalized("NFC", p) and "\u03a3" not in p and "\u0130" not in p):
+                odd.append(p)
+            else:
+                word, marks = m.group(1).lower(), m.group(2)
+                split.append((p, word, marks))
+                words.add(word)
+                if marks:
+                    words.add(marks)
+        self._learn_words(list(words - self.words.keys()))
+        for p, word, marks in split:
+            self.known[p] = self.words[word] + self.words[marks] if marks else self.words[word]
+        self._one_by_one(odd, self.known)
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text and the end id, as little-endian unsigned numbers of two bytes, or four for large vocabularies."""
-        kind = np.uint32 if self.wide else np.uint16
-        parts = [t.split() if t.isascii() else [p for line in t.translate(TO_SPACE).split(" ") if (p := line)] for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({p for ps in parts for p in ps} - self.known.keys())
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, kind).tobytes()
-        last = np.array([end], kind).tobytes()
+        parts = [re.split("[ \t\n\x0b\x0c\r]+", t.strip(BLANK)) if SEPARATORS.search(t) else t.split() for t in texts]
+        for known in (self.known, self.words):
+            if len(known) > CACHE:
+                known.clear()
+        self._learn({p for ps in parts for p in ps} - self.known.keys())
+        last = np.array([end], self.number).tobytes()
         return [b"".join([*map(self.known.__getitem__, ps), last]) for ps in parts]
 
 
+#: of this process, by path: a worker that runs one task after the other keeps what it has learnt
+ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder_for(path: str) -> ChunkEncoder:
+    if path not in ENCODERS:
+        ENCODERS[path] = ChunkEncoder(path)
+    return ENCODERS[path]
+
+
 TO_SPACE = str.maketrans(dict.fromkeys(BLANK, " "))
 
 
@@ -136,16 +191,13 @@ def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1
     shard = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit(11)), F.lit(shards)).cast("long")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        encoder = encoder_for(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(encoder.encode(part.column(2).to_pylist(), end), pa.binary())], ["shard", "id", "ids"])
 
-    from tokenizers import Tokenizer
-
-    wide = Tokenizer.from_file(path).get_vocab_size() > 1 << 16
-    number = np.uint32 if wide else np.uint16
+    number = encoder_for(path).number
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def lay(key: tuple, table: pa.Table) -> pa.Table:
