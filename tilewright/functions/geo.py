@@ -16,6 +16,11 @@ from .tilemath import Value, col
 EARTH_KM = 6371  # fixed value of the distance formula
 
 
+def let(value: Column, then) -> Column:
+    """then(value), with value as a variable, so that an expression which uses it often does not grow."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def haversine(lng1: Value, lat1: Value, lng2: Value, lat2: Value) -> Column:
     """Metres between two points on a sphere."""
     a1, a2 = F.radians(col(lat1)), F.radians(col(lat2))
@@ -147,15 +152,17 @@ def tile_raster_window(z: Value, x: Value, y: Value, gt: Column, x_size: Value,
     raster, the offsets where that begins in the tile, in raster pixels."""
 
     def corner(tx: Column, ty: Column) -> Column:
-        p = tm.tile_to_pixel(tx, ty)
-        at = tm.pixel_to_lat_lng(p["x"], p["y"], z)
-        m = tm.lat_lng_to_meters(at["lat"], at["lng"])
-        return map_to_pixel(gt, m["x"], m["y"])
+        at = let(tm.tile_to_pixel(tx, ty), lambda p: tm.pixel_to_lat_lng(p["x"], p["y"], z))
+        return let(let(at, lambda q: tm.lat_lng_to_meters(q["lat"], q["lng"])), lambda m: map_to_pixel(gt, m["x"], m["y"]))
+
+    corners = F.struct(corner(col(x), col(y)).alias("first"), corner(col(x) + 1, col(y) + 1).alias("last"))
+    return let(corners, lambda c: _window(c["first"], c["last"], col(x_size).cast("long"), col(y_size).cast("long")))
+
 
-    first, last = corner(col(x), col(y)), corner(col(x) + 1, col(y) + 1)
+def _window(first: Column, last: Column, x_size: Column, y_size: Column) -> Column:
     x0, y0, x1, y1 = first["x"], first["y"], last["x"], last["y"]
     left, top = F.greatest(x0, F.lit(0)), F.greatest(y0, F.lit(0))
-    width, height = F.least(x1, col(x_size).cast("long")) - left, F.least(y1, col(y_size).cast("long")) - top
+    width, height = F.least(x1, x_size) - left, F.least(y1, y_size) - top
     window = F.struct(
         x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), width.alias("width"), height.alias("height"), (left - x0).alias("x_off"), (top - y0).alias("y_off"),
         ((x1 - x0 < tm.TILE) | (y1 - y0 < tm.TILE)).alias("scaling_up"),

@@ -180,14 +180,14 @@ LNG11, LAT11 = "(({x} * 256) / 524288.0 - 0.5) * 360.0", "(90.0 - 360.0 * atan(e
 CX, CY = f"CAST(trunc((({LNG11}) * (pi() * 6378137.0 / 180) - gt0) / gt1) AS BIGINT)", f"CAST(trunc(({MY.format(lat=LAT11)} - gt3) / gt5) AS BIGINT)"
 
 
-def _window() -> Column:
-    tile = tm.meters_to_tile(c("gt0"), c("gt3"), 11)
-    return geo.tile_raster_window(11, tile["x"], tile["y"], gt(), c("xsize"), c("ysize"))
+def with_window(d: DataFrame) -> DataFrame:
+    d = d.withColumn("tile", tm.meters_to_tile(c("gt0"), c("gt3"), 11))
+    return d.withColumn("w", geo.tile_raster_window(11, c("tile.x"), c("tile.y"), gt(), c("xsize"), c("ysize")))
 
 
-add("c14_tile_raster_window", R, RID, lambda: {p: _window()[p] for p in WINDOW},
+add("c14_tile_raster_window", R, RID, lambda: {p: c(f"w.{p}") for p in WINDOW},
     {p: f"CASE WHEN width > 0 AND height > 0 THEN {p} END" for p in WINDOW[:6]} | {"x_off": "CASE WHEN width > 0 AND height > 0 THEN greatest(x0, 0) - x0 END", "y_off": "CASE WHEN width > 0 AND height > 0 THEN greatest(y0, 0) - y0 END",
-     "scaling_up": "CASE WHEN width > 0 AND height > 0 THEN x1 - x0 < 256 OR y1 - y0 < 256 END"},
+     "scaling_up": "CASE WHEN width > 0 AND height > 0 THEN x1 - x0 < 256 OR y1 - y0 < 256 END"}, before=with_window,
     source_sql=f"(SELECT *, least(x1, xsize) - greatest(x0, 0) AS width, least(y1, ysize) - greatest(y0, 0) AS height FROM (SELECT *, {CX.format(x=TX)} AS x0, {CY.format(y=TY)} AS y0, {CX.format(x=f'({TX} + 1)')} AS x1, {CY.format(y=f'({TY} + 1)')} AS y1 FROM raster_meta))")
 
 line = lambda x: f"regexp_extract(header, '{x}', 1)"
