@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tiles as tl
 
@@ -66,12 +67,12 @@ def enlarge(img: np.ndarray, x: int, y: int, size: int) -> np.ndarray:
     return img[y : y + size, x : x + size][at][:, at]
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def transparency_class(content: pd.Series) -> pd.Series:
     return content.map(lambda c: None if c is None else class_of(image(c)))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def has_any_byte(content: pd.Series) -> pd.Series:
     """A byte that is not zero, in any band."""
     return content.map(lambda c: None if c is None else bool(np.frombuffer(c, np.uint8).any()))

@@ -85,3 +85,16 @@ def k11(spark, sf_dir: str) -> DataFrame:
 
 QUERIES["k11_compile_region"] = k11
 ORACLE["k11_compile_region"] = TP + MERGED.replace("ORDER BY chart_id", "ORDER BY chart_id DESC") + f" SELECT CAST(z AS INT) AS zoom_level, CAST(x AS BIGINT) AS tile_column, CAST(4095 - y AS BIGINT) AS tile_row, {HEXED.format(px='px')} AS pixels FROM m"
+
+
+def k6(d: DataFrame) -> DataFrame:
+    """Each tile as a raster of one block, cut one pixel up and left of its corner."""
+    numbers = {"x0": -1, "y0": -1, "x1": 3, "y1": 3, "width": 3, "height": 3, "x_off": 1, "y_off": 1}
+    w = F.struct(*(F.lit(v).cast("long").alias(k) for k, v in numbers.items()))
+    t = layers(d)
+    blocks = t.select("chart_id", F.lit(0).cast("long").alias("bx"), F.lit(0).cast("long").alias("by"), "content")
+    return ra.cut_tiles(blocks, t.select("chart_id", "z", "x", "y", w.alias("w")), 4, 4).select("chart_id", F.hex("content").alias("pixels"))
+
+
+MOVED = "list_transform(range(1, 65), lambda i: CASE WHEN (i - 1) // 16 >= 1 AND (i - 1) // 4 % 4 >= 1 THEN px[i - 20] ELSE 0 END)"
+add("k6_cut_tiles", k6, f", m AS (SELECT chart_id, {MOVED} AS px FROM tile_pixels) SELECT chart_id, {HEXED.format(px='px')} AS pixels FROM m WHERE list_max(px) > 0")

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 from ..functions import tilemath as tm
@@ -24,7 +25,7 @@ def scan_files(spark: SparkSession, folder: str, exts: tuple[str, ...] = ("kap",
     return found if include_only is None else found.join(include_only.select("name").distinct(), "name", "left_semi")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def header_of(content: pd.Series) -> pd.Series:
     """The lines before the first one with the byte 0x1A; bytes that are not ASCII are dropped."""
 
