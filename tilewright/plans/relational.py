@@ -299,3 +299,22 @@ def _lowered(t: DataFrame) -> DataFrame:
 # ---- A, on rows
 add("a1_scan_files", "chart_files", lambda d: d.filter(F.upper(F.regexp_extract(text.base_name(c("path")), r"^.+\.([^.]*)$", 1)).isin("KAP", "TIF")).select("file_id"), " SELECT file_id FROM chart_files WHERE regexp_matches(upper(path), '[^/]\\.(KAP|TIF)$')")
 add("a7_mbtiles", "tile_layers", lambda t: tables.mbtiles_rows(t.select("z", "x", "y").distinct()), " SELECT DISTINCT z AS zoom_level, x AS tile_column, (CAST(1 AS BIGINT) << z) - 1 - y AS tile_row FROM tile_layers")
+PATHS = "concat('/set', chart_id, '/', z, '/', x, '/', y, CASE WHEN n_bytes % 300 = 0 THEN '.jpg' ELSE '.png' END)"
+add("a5_tile_key", "tile_layers", lambda t: t.select(tables.tile_key(F.expr(PATHS)).alias("k")).filter("k.z is not null").select("k.*"), " SELECT 'set' || chart_id AS tileset, z, x, y FROM tile_layers WHERE n_bytes % 300 <> 0")
+
+
+def a9(d: DataFrame) -> DataFrame:
+    rows = cat.catalog_order(cat.valid_charts(d)).withColumns({"date": F.lit("1/1/2020"), "outline": F.lit(""), "depths": F.lit("FEET"), "max_zoom": F.lit(9)})
+    return tables.region_script(rows, "REGION_02", 7, "--DBVERSION:3")
+
+
+A9_HEAD = "'UPDATE regions SET installeddate=''7'' WHERE name=''REGION_02'';' || chr(10) || 'DELETE from charts where region=''REGION_02'';' || chr(10)"
+A9_ROW = (
+    "'INSERT INTO [charts] ([region], [file], [name], [updated], [scale], [outline], [depths], [zoom]) VALUES (''REGION_02'', ''' || regexp_extract(path, '([^/]*)$', 1) || ''', ''' || replace(name, chr(39), chr(39) || chr(39))"
+    " || ''', ''1/1/2020'', ' || scale || ', '''', ''FEET'', ''9'');' || chr(10)"
+)
+add("a9_region_script", "chart_boxes", a9,
+    f""", v AS (SELECT *, row_number() OVER (ORDER BY scale DESC, path) AS rank FROM chart_boxes WHERE scale IS NOT NULL AND name NOT LIKE '%Cover for Chart%')
+    SELECT CAST(-2 AS BIGINT) AS line_no, '--DBVERSION:3' || chr(10) AS line UNION ALL SELECT -1, {A9_HEAD} UNION ALL SELECT rank, {A9_ROW} FROM v""")
+add("a12_region_files", "chart_boxes", lambda d: tables.region_files_map(f3(d).select("region", "path")).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("region", "paths")).select("region", F.size("paths").cast("long").alias("n"), F.get("paths", F.lit(0)).alias("first_path")),
+    f"{F3} SELECT region, count(*) AS n, min(path) AS first_path FROM got GROUP BY region")

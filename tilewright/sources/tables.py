@@ -54,7 +54,7 @@ def write_catalog(df: DataFrame, path: str) -> None:
 
 def read_product_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Names of the chart files that a product catalog's extents list."""
-    extents = spark.read.option("wholetext", True).text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<EX_Extent.*?</EX_Extent>"), 0)).alias("xml"))
+    extents = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<EX_Extent.*?</EX_Extent>"), 0)).alias("xml"))
     return extents.select(F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)file name: ([^<]*?\.KAP)"), 1)).alias("name"))
 
 
@@ -73,7 +73,7 @@ def read_tile_tree(spark: SparkSession, folder: str) -> DataFrame:
 def read_overrides(spark: SparkSession, folder: str, layout: str) -> DataFrame:
     """key and closed ring of each override file. Layouts: ply (PLY/n,lat,lng), dmm (DD MM.mmm,DDD MM.mmm), plain (lat,lng,
     closed already; the key is the name without .txt)."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", "true").text(folder).select(F.col("_metadata.file_name").alias("key"), F.split("value", r"\r?\n").alias("lines"))
+    files = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("key"), F.split("value", r"\r?\n").alias("lines"))
     field = lambda x, i: F.trim(F.get(F.split(x, ","), F.lit(i)))
     if layout == "ply":
         ring = text.header_ring(F.col("lines"))
