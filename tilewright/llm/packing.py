@@ -66,9 +66,13 @@ class ChunkEncoder:
                 begin = end
 
     def _learn(self, parts: set[str]) -> None:
-        split, odd, words = [], [], set()
+        split, odd, words, any_end = [], [], set(), bool(self.ends.any())
         for p in parts:
-            m = WORD_MARKS.fullmatch(p) if self.ends.any() else None
+            if p.isascii() and p.isalpha() and any_end:
+                split.append((p, w := p.lower(), ""))
+                words.add(w)
+                continue
+            m = WORD_MARKS.fullmatch(p) if any_end else None
             if m is None or not (p.isascii() or unicodedata.is_normalized("NFC", p) and "\u03a3" not in p and "\u0130" not in p):
                 odd.append(p)
             else:
@@ -88,7 +92,7 @@ class ChunkEncoder:
         for known in (self.known, self.words):
             if len(known) > CACHE:
                 known.clear()
-        self._learn({p for ps in parts for p in ps} - self.known.keys())
+        self._learn(set().union(*parts) - self.known.keys())
         last = np.array([end], self.number).tobytes()
         return [b"".join([*map(self.known.__getitem__, ps), last]) for ps in parts]
 
