@@ -158,7 +158,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges, maps = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct()), []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")))
+        ranked = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
+        low = both.groupBy(F.col("a").alias("node")).agg(F.min(ranked("b")).alias("low"))
+        least = cut(low.select("node", F.least(ranked("node"), "low")["n"].alias("root")))
         maps.append(least)
         x, y = least.toDF("a", "ra"), least.toDF("b", "rb")
         edges = cut(edges.join(x, "a").join(y, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
