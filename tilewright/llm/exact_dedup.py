@@ -46,9 +46,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the copies that exact_dedup drops; all columns stay as they are."""
-    out = exact_dedup(docs, id_col, text_col, **options).filter("not kept").select(F.col(id_col).alias("_drop"), "digest").distinct()
+    out = exact_dedup(docs, id_col, text_col, **options).filter("not kept").select(F.col(id_col).alias("_drop"), F.col("digest").alias("_gone")).distinct()
     keyed = docs.withColumn("_digest", F.unhex(F.sha2(text_of(text_col).cast("binary"), 256)))
-    return keyed.join(out, F.col(id_col).eqNullSafe(F.col("_drop")) & (F.col("_digest") == F.col("digest")), "left_anti").drop("_digest")
+    return keyed.join(out, F.col(id_col).eqNullSafe(F.col("_drop")) & (F.col("_digest") == F.col("_gone")), "left_anti").drop("_digest")
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

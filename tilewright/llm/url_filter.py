@@ -45,7 +45,7 @@ def judge_urls(pages: DataFrame, rules=RULES, rounds: int = 8, damping: float =
 
     Seeds: a host's share of pages that rules allow is its trust, the share that rules block its distrust. Trust runs
     along links (personalised PageRank, each link a share of its host's links); distrust runs against them, from a
-    blocked host to those that link to it. A page without a rule is blocked if its host's distrust exceeds its trust by
+    blocked host to those that link to it; a host without links in a direction keeps its own. A page without a rule is blocked if its host's distrust exceeds its trust by
     more than threshold, else allowed; hosts that nothing reaches are allowed. Only the host graph is iterated over; it
     is aggregated before it is shuffled, and the number of rounds is fixed.
     Null or schemeless urls have empty host and path; null html has no links; an empty table gives an empty result."""
@@ -56,8 +56,10 @@ def judge_urls(pages: DataFrame, rules=RULES, rounds: int = 8, damping: float =
     linked = edges.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
     out_n = edges.groupBy("src").agg(F.sum("n").alias("all"))
     in_n = linked.groupBy("dst").agg(F.sum("n").alias("all"))
-    ahead = cut(linked.join(out_n, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
-    back = cut(linked.join(in_n, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("all")).alias("share")))
+    ahead = (linked.join(out_n, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
+    back = (linked.join(in_n, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("all")).alias("share")))
+    keep = lambda e: cut(e.unionByName(hosts.select(F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1.0).alias("share")).join(e.select("src"), "src", "left_anti")))
+    ahead, back = keep(ahead), keep(back)  # a host without links in a direction keeps its mass
     trust = spread(ahead, hosts.select("host", F.col("trusted").alias("seed")), rounds, damping)
     distrust = spread(back, hosts.select("host", F.col("blocked").alias("seed")), rounds, damping)
     verdicts = cut(trust.join(distrust.withColumnRenamed("mass", "distrust"), "host").select("host", F.round("mass", 9).alias("trust"), F.round("distrust", 9).alias("distrust")))
@@ -103,8 +105,10 @@ hosts AS MATERIALIZED (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE
 l AS (SELECT host AS src, CASE WHEN starts_with(h, '//') THEN 'http:' || h ELSE h END AS h FROM (SELECT host, unnest(regexp_extract_all(html, '{href}', 1)) AS h FROM j)),
 edges AS MATERIALIZED (SELECT src, CASE WHEN contains(h, '://') THEN {host("h")} ELSE src END AS dst, count(*) AS n FROM l GROUP BY ALL),
 linked AS MATERIALIZED (SELECT * FROM edges WHERE dst IN (SELECT host FROM hosts)),
-ahead AS MATERIALIZED (SELECT l.src, l.dst, l.n / o.a AS share FROM linked l JOIN (SELECT src, sum(n) AS a FROM edges GROUP BY src) o USING (src)),
-back AS MATERIALIZED (SELECT l.dst AS src, l.src AS dst, l.n / i.a AS share FROM linked l JOIN (SELECT dst, sum(n) AS a FROM linked GROUP BY dst) i USING (dst)),
+ahead1 AS (SELECT l.src, l.dst, l.n / o.a AS share FROM linked l JOIN (SELECT src, sum(n) AS a FROM edges GROUP BY src) o USING (src)),
+back1 AS (SELECT l.dst AS src, l.src AS dst, l.n / i.a AS share FROM linked l JOIN (SELECT dst, sum(n) AS a FROM linked GROUP BY dst) i USING (dst)),
+ahead AS MATERIALIZED (SELECT * FROM ahead1 UNION ALL SELECT host, host, 1.0 FROM hosts WHERE host NOT IN (SELECT src FROM ahead1)),
+back AS MATERIALIZED (SELECT * FROM back1 UNION ALL SELECT host, host, 1.0 FROM hosts WHERE host NOT IN (SELECT src FROM back1)),
 {", ".join(steps)}
 SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN round(round(b.mass, 9) - round(t.mass, 9), 9) > {threshold} THEN 'block' ELSE 'allow' END) AS verdict
 FROM j JOIN t{rounds} t ON t.host = j.host JOIN b{rounds} b ON b.host = j.host
