@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-CACHE = 700_000
+CACHE, WORD_CACHE = 700_000, 1_500_000  # parts and words that a worker remembers
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -89,8 +89,8 @@ class ChunkEncoder:
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text and the end id, as little-endian unsigned numbers of two bytes, or four for large vocabularies."""
         parts = [re.split("[ \t\n\x0b\x0c\r]+", t.strip(BLANK)) if SEPARATORS.search(t) else t.split() for t in texts]
-        for known in (self.known, self.words):
-            if len(known) > CACHE:
+        for known, most in ((self.known, CACHE), (self.words, WORD_CACHE)):
+            if len(known) > most:
                 known.clear()
         self._learn(set().union(*parts) - self.known.keys())
         last = np.array([end], self.number).tobytes()
