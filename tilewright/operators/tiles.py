@@ -5,7 +5,7 @@ pixels need not be read or shuffled for any of this."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tilemath as tm

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..fixtures import fixture, with_fixtures
 from ..operators import raster as ra
-from ..operators import tiles as tl
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixtures import SQL, fixture, with_fixtures
+from ..fixtures import fixture, with_fixtures
 from ..functions import geo, text
 from ..operators import catalog as cat
 from ..operators import regions as reg
 from ..operators import tiles as tl
 from ..sources import tables
-from .scalars import BASE, DEG, LATS, LNGS, PLY, ZOOM, px, py
+from .scalars import BASE, DEG, LATS, LNGS, ZOOM, px, py
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
