@@ -40,20 +40,22 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     return level.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 0, bits: int = 10, id_col: str = "doc_id", size: Column | None = None, source_col: str = "source") -> DataFrame:
-    """One row for each row of docs: the id, source, size, source_size, target, copies and taken = size * copies.
+def source_key(source: Column) -> Column:
+    """A source as a join key that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("null"))
 
-    A source's target is whole passes over it plus a part of one. The part is the documents whose hash lies below the
-    source's threshold. To find it, sizes are summed by source and the next `bits` bits of the hash; the bucket in which
-    the running sum passes the budget is split again by the next bits, other buckets are done with. Nothing is sorted
-    but the bucket sums (1024 a source). The document at the boundary is taken if that brings the sum nearer.
 
-    Sizes are computed once and checkpointed; each level reads three numbers a row. The hash hangs on the id alone, so
-    reruns agree, and rows with one id share their fate. Null text has size 0; a null source is a source, the last;
-    null ids share one hash. Sources and their buckets are broadcast only while they are few, else joined with salt."""
+def sized(docs: DataFrame, seed: int, id_col: str, size: Column | None, source_col: str) -> DataFrame:
+    """id, source, size, hash and source key of each row, written once: all that the thresholds are found from."""
     size = count_words(text_of("text")) if size is None else size
-    rows = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.cast("long").alias("size"), unit_hash(id_col, seed).alias("h")).withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))))
-    plan = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.cast("long").alias("size"), unit_hash(id_col, seed).alias("h"))
+    return cut(rows.withColumn("skey", source_key(F.col("source"))))
+
+
+def thresholds(rows: DataFrame, weights: tuple[int, ...], most: int, bits: int) -> DataFrame:
+    """(skey, source_size, target, passes, limit), a row a source, from what sized() gives: each document is taken
+    passes times, and once more if its hash is below limit."""
+    plan = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most).withColumn("skey", source_key(F.col("source"))))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     plan = plan.withColumn("passes", passes).withColumn("budget", F.col("target") - F.col("passes") * F.col("source_size"))
     # edge: the first hash of the boundary bucket, width: its hashes, below: what lies before it
@@ -82,18 +84,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
     # all hashes below the limit are taken once more; the boundary bucket, one document or one hash, too if that is nearer
     nearer = F.col("below") + F.col("n") - F.col("budget") < F.col("budget") - F.col("below")
     limits = found.select("skey", F.when(nearer, F.col("edge") + F.col("width")).otherwise(F.col("edge")).alias("limit"))
-    whole = cut(plan.join(limits, "skey", "left").select("skey", "source_size", "target", "passes", F.coalesce("limit", F.lit(0)).alias("limit")))
+    return cut(plan.join(limits, "skey", "left").select("skey", "source_size", "target", "passes", F.coalesce("limit", F.lit(0)).alias("limit")))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 0, bits: int = 10, id_col: str = "doc_id", size: Column | None = None, source_col: str = "source") -> DataFrame:
+    """One row for each row of docs: the id, source, size, source_size, target, copies and taken = size * copies.
+
+    A source's target is whole passes over it plus a part of one. The part is the documents whose hash lies below the
+    source's threshold. To find it, sizes are summed by source and the next `bits` bits of the hash; the bucket in which
+    the running sum passes the budget is split again by the next bits, other buckets are done with. Nothing is sorted
+    but the bucket sums (1024 a source). The document at the boundary is taken if that brings the sum nearer.
+
+    Sizes are computed once and checkpointed; each level reads three numbers a row. The hash hangs on the id alone, so
+    reruns agree, and rows with one id share their fate. Null text has size 0; a null source is a source, the last;
+    null ids share one hash. Sources and their buckets are broadcast only while they are few, else joined with salt."""
+    rows = sized(docs, seed, id_col, size, source_col)
     copies = F.col("passes") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
-    return join_dimension(rows, whole, "skey", "id").select(
+    return join_dimension(rows, thresholds(rows, weights, most, bits), "skey", "id").select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken")
     )
 
 
-def apply_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs as mixed: each row as often as the mix takes it, none at all included; the columns stay as they are."""
-    counts = mix(docs, id_col=id_col, **options).groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    joined = docs.join(counts, F.col(id_col).eqNullSafe(F.col("_id")))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_n", "_copies", "_id")
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 0, bits: int = 10, id_col: str = "doc_id", size: Column | None = None, source_col: str = "source") -> DataFrame:
+    """docs as mixed: each row as often as mix takes it, none at all included; the columns stay as they are.
+
+    A row's own id and source tell how often it is taken, so texts are only filtered and repeated where they are read;
+    they meet no more than a row a source. Nulls and repeated ids fare as in mix; an empty table stays empty."""
+    limits = thresholds(sized(docs, seed, id_col, size, source_col), weights, most, bits).select(F.col("skey").alias("_skey"), F.col("passes").alias("_passes"), F.col("limit").alias("_limit"))
+    keyed = docs.withColumn("_skey", source_key(F.col(source_col))).withColumn("_h", unit_hash(id_col, seed))
+    copies = F.col("_passes") + F.when(F.col("_h") < F.col("_limit"), 1).otherwise(0)
+    taken = join_dimension(keyed, limits, "_skey", id_col).withColumn("_copies", copies.cast("int")).filter("_copies > 0")
+    return taken.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
