@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-CACHE, WORD_CACHE = 700_000, 1_500_000  # parts and words that a worker remembers
+CACHE, WORD_CACHE = 150_000, 500_000  # parts and words that a worker remembers
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -26,7 +26,7 @@ def tokenizer_path() -> str:
 
 #: str.split() parts at these too, which the tokenizer keeps as marks
 SEPARATORS = re.compile("[\x1c-\x1f]")
-WORD_MARKS = re.compile(r"([^\W\d_]+)([.,!*#%&$|]*)")
+WORD_MARKS = ".,!*#%&$|"  # may end a part, after its word
 
 
 class ChunkEncoder:
@@ -55,7 +55,7 @@ class ChunkEncoder:
         size = self.number().itemsize
         for at in range(0, len(words), 5000):
             some = words[at : at + 5000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.number)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.number)
             stops = (np.flatnonzero(self.ends[ids]) + 1) * size
             if len(stops) != len(some):
                 self._one_by_one(some, self.words)
@@ -66,24 +66,23 @@ class ChunkEncoder:
                 begin = end
 
     def _learn(self, parts: set[str]) -> None:
-        split, odd, words, any_end = [], [], set(), bool(self.ends.any())
-        for p in parts:
-            if p.isascii() and p.isalpha() and any_end:
-                split.append((p, w := p.lower(), ""))
-                words.add(w)
-                continue
-            m = WORD_MARKS.fullmatch(p) if any_end else None
-            if m is None or not (p.isascii() or unicodedata.is_normalized("NFC", p) and "\u03a3" not in p and "\u0130" not in p):
-                odd.append(p)
+        if not self.ends.any():
+            return self._one_by_one(list(parts), self.known)
+        plain = [p for p in parts if p.isascii() and p.isalpha()]
+        lower, marked, words, marks, odd = [p.lower() for p in plain], [], [], [], []
+        for p in parts.difference(plain):
+            bare = p.rstrip(WORD_MARKS)
+            if bare.isalpha() and (bare.isascii() or unicodedata.is_normalized("NFC", bare) and "\u03a3" not in bare and "\u0130" not in bare):
+                marked.append(p)
+                words.append(bare.lower())
+                marks.append(p[len(bare) :])
             else:
-                word, marks = m.group(1).lower(), m.group(2)
-                split.append((p, word, marks))
-                words.add(word)
-                if marks:
-                    words.add(marks)
-        self._learn_words(list(words - self.words.keys()))
-        for p, word, marks in split:
-            self.known[p] = self.words[word] + self.words[marks] if marks else self.words[word]
+                odd.append(p)
+        self._learn_words(list(set(lower).union(words, filter(None, marks)).difference(self.words)))
+        ids = self.words.__getitem__
+        self.known.update(zip(plain, map(ids, lower), strict=True))
+        for p, word, mark in zip(marked, words, marks, strict=True):
+            self.known[p] = ids(word) + ids(mark) if mark else ids(word)
         self._one_by_one(odd, self.known)
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
@@ -92,7 +91,7 @@ class ChunkEncoder:
         for known, most in ((self.known, CACHE), (self.words, WORD_CACHE)):
             if len(known) > most:
                 known.clear()
-        self._learn(set().union(*parts) - self.known.keys())
+        self._learn(set().union(*parts).difference(self.known))
         last = np.array([end], self.number).tobytes()
         return [b"".join([*map(self.known.__getitem__, ps), last]) for ps in parts]
 
