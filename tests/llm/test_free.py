@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import KeyFilter, attach
 from tilewright.llm.lm_score import LogBloom, build_filter, mixed, score
 from tilewright.llm.near_dup import choose_bands, components, drop_near_duplicates, near_duplicates
-from tilewright.llm.packing import ChunkEncoder, cuts, pack, tokenizer_path
+from tilewright.llm.packing import Bm25, ChunkEncoder, Corpus, ShardTree, cuts, pack, tokenizer_path
 from tilewright.llm.pii import BASE_KINDS, automaton, find, find_pii, luhn, redact
 from tilewright.llm.quality import keep_good, score_quality
 from tilewright.llm.toxicity import KneserNey, score_toxicity
@@ -216,3 +216,28 @@ def test_packing(spark, odd, none):
                 assert (i, tuple(ids.tolist())) in want and all(r.doc_tokens == len(ids) for r in rows)
         assert sum(r.length for r in pieces) == sum(len(ids) * n for (_, ids), n in want.items())
     assert pack(none).isEmpty()
+
+
+def test_packing_brings_neighbours_of_the_whole_corpus_together(spark):
+    rng, encoder = random.Random(12), ChunkEncoder(tokenizer_path())
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    topics = [["".join(rng.choice(letters) for _ in range(6)) for _ in range(30)] for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(topics[i % 40]) if rng.random() < 0.4 else f"w{rng.randrange(300)}" for _ in range(120))) for i in range(2000)]
+    shard = {r.doc_id: r.sequence_id >> 32 for r in pack(documents(spark, rows), per_shard=100).select("doc_id", "sequence_id").collect()}
+    docs = [np.frombuffer(b, np.uint16) for b in encoder.encode([t for _, t in rows], 1)]
+    whole = Bm25(docs, Corpus.of(docs, len(encoder.ends)))  # brute force: one index over all documents
+    met = 0
+    for i in range(0, 2000, 20):
+        score = whole.scores(i)
+        score[i] = -1
+        met += sum(shard[int(d)] == shard[i] for d in np.argsort(-score, kind="stable")[:10])
+    assert len(set(shard.values())) > 10 and met > 500  # of 1000; about 50 if dealt by a hash
+
+
+def test_shard_tree_deals_copies_evenly():
+    x = np.zeros((200, 64), np.float16)
+    x[:150, 0], x[150:, 1] = 1, 1
+    tree = ShardTree(x, 8)
+    sizes = np.bincount(tree.shard(x.astype(np.float32), np.arange(200)), minlength=8)
+    assert len(sizes) == 8 and sizes.max() <= 30
+    assert ShardTree(x[:0], 4).shard(x.astype(np.float32), np.arange(200)).max() == 3

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import cut, text_of
 
 CACHE, WORD_CACHE = 150_000, 500_000  # parts and words that a worker remembers
 BLANK = " \t\n\x0b\x0c\r"
@@ -109,24 +109,37 @@ def encoder_for(path: str) -> ChunkEncoder:
 TO_SPACE = str.maketrans(dict.fromkeys(BLANK, " "))
 
 
+class Corpus:
+    """What BM25 needs to know of all documents: in how many each term is, how many there are and their mean length."""
+
+    def __init__(self, df: np.ndarray, n: int, tokens: int):
+        self.df, self.n, self.mean = df, n, tokens / max(n, 1)
+        self.idf = np.log((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray], size: int) -> Corpus:
+        return cls(np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=size), len(docs), sum(map(len, docs)))
+
+    def weight(self, tf: np.ndarray, size: np.ndarray, k1: float = 1.2, b: float = 0.75) -> np.ndarray:
+        return tf * (k1 + 1) / (tf + k1 * (1 - b + b * (size / self.mean)))
+
+
 class Bm25:
-    """An inverted index over the token ids of one shard's documents. Terms in half of them or more tell nothing (their
-    inverse frequency is not positive) and are left out."""
+    """An inverted index over the token ids of one shard's documents, weighted by the whole corpus. Terms in half of all
+    documents or more tell nothing (their inverse frequency is not positive) and are left out."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         n = len(docs)
         each = [np.unique(d, return_counts=True) for d in docs]
         self.terms = [t for t, _ in each]
         owner = np.repeat(np.arange(n), [len(t) for t in self.terms])
         term = np.concatenate(self.terms).astype(np.int64)
         tf = np.concatenate([c for _, c in each]).astype(np.float32)
-        size = np.array([len(d) for d in docs], np.float32)
-        weight = tf * (k1 + 1) / (tf + k1 * (1 - b + b * (size / size.mean())[owner]))
+        weight = corpus.weight(tf, np.array([len(d) for d in docs], np.float32)[owner])
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
-        df = np.bincount(term, minlength=int(term.max()) + 1)
-        self.start = np.r_[0, np.cumsum(df)]
-        self.idf = np.log((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        self.start = np.r_[0, np.cumsum(np.bincount(term, minlength=int(term.max()) + 1))]
+        self.idf = corpus.idf
         self.n = n
 
     def scores(self, doc: int) -> np.ndarray:
@@ -138,10 +151,79 @@ class Bm25:
         return np.bincount(self.owner[at], self.weight[at] * np.repeat(self.idf[t], sizes), self.n)
 
 
-def fill_order(docs: list[np.ndarray], window: int) -> list[int]:
+DIMENSIONS = 64
+SAMPLE = 32  # one in so many documents is drawn to lay out the shards
+
+
+def sketches(docs: list[np.ndarray], corpus: Corpus) -> np.ndarray:
+    """Random projections of the documents' BM25 vectors, of length one: documents that share rare terms lie close."""
+    signs = projection(len(corpus.idf))
+    out = np.zeros((len(docs), DIMENSIONS), np.float32)
+    for i, d in enumerate(docs):
+        term, tf = np.unique(d, return_counts=True)
+        idf = corpus.idf[term]
+        told = idf > 0
+        out[i] = (corpus.weight(tf[told].astype(np.float32), np.float32(len(d))) * idf[told] ** 2) @ signs[term[told]]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+PROJECTIONS: dict[int, np.ndarray] = {}
+
+
+def projection(size: int) -> np.ndarray:
+    if size not in PROJECTIONS:
+        PROJECTIONS[size] = np.random.default_rng(0).standard_normal((size, DIMENSIONS), np.float32)
+    return PROJECTIONS[size]
+
+
+class ShardTree:
+    """Splits the space of sketches into shards of about as many documents each, close ones together.
+
+    Each node cuts its part of a sample at the direction in which it spreads most, its shards in proportion. A part that
+    doesn't spread (copies, or fewer than two samples) is dealt to its shards by salt, so none of them grows."""
+
+    def __init__(self, sample: np.ndarray, shards: int):
+        self.vectors, self.limits, self.kids, self.spans = [], [], [], []
+        self._grow(sample.astype(np.float32), 0, shards)
+        self.vectors, self.limits = np.array(self.vectors, np.float32), np.array(self.limits, np.float32)
+        self.kids, self.spans = np.array(self.kids, np.int64), np.array(self.spans, np.int64)
+
+    def _grow(self, x: np.ndarray, low: int, shards: int) -> int:
+        node = len(self.limits)
+        self.vectors.append(np.zeros(DIMENSIONS))
+        self.limits.append(0.0)
+        self.kids.append((-1, -1))
+        self.spans.append((low, shards))
+        if shards == 1 or len(x) < 2:
+            return node
+        away = x - x.mean(0)
+        vector = np.linalg.eigh(away.T @ away)[1][:, -1].astype(np.float32)
+        at = (x * vector).sum(1)
+        some = np.sort(at)
+        if some[-1] - some[0] < 1e-4:
+            return node
+        limit = some[max(1, len(x) * (shards // 2) // shards)]
+        if limit - some[0] < 1e-4:  # many alike at the lower end stay together
+            limit = some[np.searchsorted(some, limit + 1e-4)]
+        left = at < limit
+        n = min(max(round(shards * left.mean()), 1), shards - 1)
+        self.vectors[node], self.limits[node] = vector, limit - 1e-6
+        self.kids[node] = (self._grow(x[left], low, n), self._grow(x[~left], low + n, shards - n))
+        return node
+
+    def shard(self, x: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), np.int64)
+        while (inner := np.flatnonzero(self.kids[node, 0] >= 0)).size:
+            here = node[inner]
+            node[inner] = self.kids[here, ((x[inner] * self.vectors[here]).sum(1) >= self.limits[here]).astype(np.int64)]
+        low, many = self.spans[node].T
+        return low + salt % many
+
+
+def fill_order(docs: list[np.ndarray], window: int, corpus: Corpus) -> list[int]:
     """The order in which a shard's documents are laid: a seed (the first unused), then its unused neighbours by falling
     score until its window is full. The document that overflows is cut there, and seeds the window that it begins."""
-    index = Bm25(docs)
+    index = Bm25(docs, corpus)
     free = np.ones(len(docs), bool)
     order: list[int] = []
     used, seed, at = 0, -1, 0
@@ -180,27 +262,53 @@ def cuts(total: int, window: int) -> list[int]:
 def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: id, start, length, ids (bytes of unsigned 32-bit little-endian), doc_tokens, sequence_id, offset.
 
-    Texts are encoded where they are read; ids travel as numbers of two bytes. Documents are dealt to shards by a hash of
-    the id, about per_shard to a shard, so a shard's size does not grow with the table and no source or language makes
-    a large one. Each shard has an inverted index of its own, in one task; see fill_order and cuts. Every id lies in one
-    piece; only the last sequences of a shard are shorter than the window, and each of those is a power of two long.
+    Texts are encoded once, where they are read, and their ids kept in the checkpoint folder as numbers of two bytes.
+    Document frequencies and the mean length are those of all documents (two numbers a task and one a term, at most the
+    vocabulary). A tree over the sketches of one in SAMPLE documents (128 bytes each, collected) cuts the space of BM25
+    vectors into shards of about per_shard documents, so that documents that share rare terms meet, and copies are
+    dealt to several; see ShardTree. Each shard has an inverted index of its own, in one task, with the weights of the
+    whole corpus; see fill_order and cuts. Neighbours on the other side of a cut are not found; README gives the share.
+    Every id lies in one piece; only the last sequences of a shard are shorter than the window, and each of those is a
+    power of two long.
 
-    sequence_id is shard * 2**32 + place. Null text is empty: one id, the end. Null ids are dealt by a hash of the text;
+    sequence_id is shard * 2**32 + place. Null text is empty: one id, the end. A null id's salt is a hash of the text;
     repeated rows are packed each. An empty table gives an empty result. Other columns are not read. window must be a
     power of two. tokenizer: a file for the tokenizers library, there on each worker."""
     path = tokenizer or tokenizer_path()
     kind = dict(docs.dtypes)[id_col]
-    shards = max(1, -(-docs.count() // per_shard))
-    shard = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit(11)), F.lit(shards)).cast("long")
+    spark = docs.sparkSession
+    salt = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit(11)), F.lit(1 << 40)).cast("long")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(encoder.encode(part.column(2).to_pylist(), end), pa.binary())], ["shard", "id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(encoder.encode(part.column(2).to_pylist(), end), pa.binary())], ["salt", "id", "ids"])
+
+    number, size = encoder_for(path).number, len(encoder_for(path).ends)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                ids = np.frombuffer(blob, number)
+                df[np.unique(ids)] += 1
+                n, tokens = n + 1, tokens + len(ids)
+        if n:
+            term = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[-2, -1, term]), pa.array(np.r_[n, tokens, df[term]])], ["term", "n"])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = sketches([np.frombuffer(b, number) for b in batch.column(1).to_pylist()], corpus.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["salt", "x"])
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = sketches([np.frombuffer(b, number) for b in batch.column(2).to_pylist()], corpus.value)
+            yield pa.RecordBatch.from_arrays([pa.array(tree.value.shard(x, batch.column(0).to_numpy())), batch.column(1), batch.column(2)], ["shard", "id", "ids"])
 
-    number = encoder_for(path).number
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def lay(key: tuple, table: pa.Table) -> pa.Table:
@@ -212,7 +320,7 @@ def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1
         lengths = cuts(sum(map(len, tokens)), window)
         seq, at = 0, 0
         source = []
-        for d in fill_order(tokens, window):
+        for d in fill_order(tokens, window, corpus.value):
             begun = 0
             while begun < len(tokens[d]):
                 n = min(len(tokens[d]) - begun, lengths[seq] - at)
@@ -227,7 +335,17 @@ def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1
         return pa.table([ids.cast(ids_type), *(pa.array(rows[n], pa.binary() if n == "ids" else pa.int64()) for n in names[1:])], names)
 
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    sent = docs.select(shard.alias("shard"), F.col(id_col).alias("id"), text_of(text_col)).mapInArrow(encode, f"shard long, id {kind}, ids binary")
+    encoded = cut(docs.select(salt.alias("salt"), F.col(id_col).alias("id"), text_of(text_col)).mapInArrow(encode, f"salt long, id {kind}, ids binary"))
+    found = dict(encoded.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n")).collect())
+    n, total = found.pop(-2, 0), found.pop(-1, 0)
+    df = np.zeros(size, np.int64)
+    df[list(found)] = list(found.values())
+    corpus = spark.sparkContext.broadcast(Corpus(df, n, total))
+    drawn = encoded.filter(F.pmod(F.xxhash64("salt"), F.lit(SAMPLE)) == 0).select("salt", "ids").mapInArrow(draw, "salt long, x binary").toArrow()
+    sample = sorted(zip(drawn.column("salt").to_pylist(), drawn.column("x").to_pylist(), strict=True))
+    points = np.frombuffer(b"".join(x for _, x in sample), np.float16).reshape(-1, DIMENSIONS)
+    tree = spark.sparkContext.broadcast(ShardTree(points, max(1, -(-n // per_shard))))
+    sent = encoded.mapInArrow(route, f"shard long, id {kind}, ids binary")
     return sent.groupBy("shard").applyInArrow(lay, schema).withColumnRenamed("id", id_col)
 
 
