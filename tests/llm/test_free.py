@@ -136,6 +136,16 @@ def test_pii(spark, odd, none):
     assert find_pii(none).isEmpty() and find_pii(odd).count() == 12 and all(not r.spans for r in find_pii(odd).collect())
 
 
+def test_pii_cues_in_any_case(spark):
+    values = ("9233A8EC01B7", "deadbeef00112233")
+    text = f'\u0130 TOKEN = "{values[0]}" PASSWORD={values[1]} Api_Key: {values[1]} iban DE89 3704 0044 0532 0130 00 Secret: {values[1]}'
+    spans = find(text, automaton())
+    assert [text[a:b] for a, b in spans["secret"]] == [values[0], values[1], values[1], values[1]]
+    assert [text[a:b] for a, b in spans["iban"]] == ["DE89 3704 0044 0532 0130 00"]
+    clean = redact(documents(spark, [(1, text)])).first().text
+    assert not any(v in clean for v in values) and "DE89" not in clean
+
+
 def test_toxicity(spark, odd, none, labels):
     rng = random.Random(8)
     bad = ["grumbix", "grumbel", "vilquan"]

@@ -26,13 +26,17 @@ LOGIN = re.compile(r"[^\s/@:\"'<>]+:[^\s/@\"'<>]+@(?=[A-Za-z0-9])")
 KEY = re.compile(r"A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])")
 SECRET = re.compile(r"\s*[=:]\s*(?:\"([^\s\"]{12,})\"|'([^\s']{12,})'|([A-Za-z0-9+/_.-]{12,}))")
 
-#: anchor -> the parsers it calls
+#: anchor -> the parsers it calls; anchors with letters stand in lower case, as the automaton reads a lower-cased text
 ANCHORS = {
-    "@": ("email",), "+": ("phone",), **{d: ("number",) for d in "0123456789"}, "://": ("login",), "AKIA": ("key",), "ASIA": ("key",), "IBAN": ("iban",),
+    "@": ("email",), "+": ("phone",), **{d: ("number",) for d in "0123456789"}, "://": ("login",), "akia": ("key",), "asia": ("key",), "iban": ("iban",),
     **{cue: ("secret",) for cue in ("password", "passwd", "secret", "token", "api_key", "apikey", "access_key")},
 }
 
 
+#: A-Z alone: one code point for one, so that places are those of the text
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def automaton() -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for anchor, parsers in ANCHORS.items():
@@ -68,10 +72,11 @@ def find(text: str, machine: ahocorasick.Automaton) -> dict[str, list[tuple[int,
     """Spans (start, end) by kind, in code points.
 
     Each anchor is expanded to the maximal run of characters of its kind; the kind's grammar then cuts the run from the
-    left. No match can leave its run, so this finds what a scan of the whole text would, in time linear in the text."""
+    left. No match can leave its run, so this finds what a scan of the whole text would, in time linear in the text. Cues
+    of words are found in upper and lower case; the parsers read the text as it is."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys(("email", "ip", "card", "phone", "login", "key", "secret", "iban"), 0)
-    for end, (anchor, parser) in machine.iter(text):
+    for end, (anchor, parser) in machine.iter(text.lower() if text.isascii() else text.translate(LOWER)):
         at = end - len(anchor) + 1
         if parser == "number":
             if at >= done["ip"]:
