@@ -118,6 +118,18 @@ def test_rules_reject_within_the_bound(spark):
     assert cutoffs(features(docs).limit(0)).isEmpty()
 
 
+def test_rules_pool_small_strata(spark):
+    rng = random.Random(5)
+    langs = ("de", "fr", "es")
+    good = [(i, prose(rng, 60, 4000)) for i in range(2400)]
+    bad = [(10_000 + i, " ".join(w + "###" for w in prose(rng, 60, 4000).split())) for i in range(80)]
+    lang = F.element_at(F.array(*map(F.lit, (*langs, "it"))), F.when(F.col("doc_id") >= 10_000, F.col("doc_id") % 4 + 1).otherwise(F.col("doc_id") % 3 + 1).cast("int"))
+    docs = documents(spark, good + bad).withColumn("lang", lang)
+    got = {r.doc_id: r for r in apply_rules(docs, spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")).collect()}
+    assert sum(not got[i].kept for i, _ in good) <= 0.02 * len(good)
+    assert all(got[i].kept == (i % 4 == 3) for i, _ in bad)  # no label tells about the fourth language
+
+
 def test_rules_on_odd_rows(spark, odd, none, labels):
     assert apply_rules(odd, labels).count() == 12 and apply_rules(none, labels).isEmpty()
 

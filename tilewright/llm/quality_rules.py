@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, crc_mod, cut, join_dimension, text_of, words_of
+from .common import BLANKS, cut, join_dimension, text_of, words_of
 
 #: feature -> cutoffs from the boldest on; a document is rejected if its feature is above the cutoff
 GRID = {
@@ -86,28 +86,37 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def cutoffs(labelled: DataFrame, grid: dict = GRID, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """(stratum, rule, cutoff): the boldest cutoff of each rule and stratum whose false rejection is provably small.
 
-    labelled: features of the holdout's good documents (label 1). A cutoff passes if the number k of n good documents it
-    rejects has P(Binomial(n, alpha / rules) <= k) <= delta / tests, that is, if the exact (Clopper-Pearson) upper bound
-    on its false rejection is alpha / rules at that level. tests is the number of strata, rules and cutoffs together
-    (Bonferroni), so with probability 1 - delta every stratum loses at most alpha of its good documents to all rules.
-    Counts are aggregated map-side: one row a stratum, rule and cutoff. A stratum without enough labels gets no cutoff."""
-    values = ratios()
+    labelled: features of the good documents (label 1). A cutoff passes if the number k of n good documents it rejects
+    has P(Binomial(n, alpha / rules) <= k) <= delta / (groups * rules), that is, if the exact (Clopper-Pearson) upper
+    bound on its false rejection is alpha / rules at that level. The cutoffs of a rule are tested in a fixed sequence,
+    the mildest first, and the first that fails ends it, so all of them share one level; as a bolder cutoff never rejects
+    fewer, the last one to pass is simply the least that does.
+    A group is a stratum, or all strata together whose labels are too few to pass a cutoff even without any false
+    rejection; the number of labels alone decides which. So with probability 1 - delta every group loses at most alpha of
+    its good documents to all rules; within the pooled group that holds for its labelled strata as a whole, not for each.
+    Counts are aggregated map-side: one row a stratum, rule and cutoff. Strata without labels get no cutoff, and none do
+    where even the pool is too small."""
+    values, bound = ratios(), alpha / len(grid)
     each = [F.struct(F.lit(name).alias("rule"), F.lit(c).alias("cutoff"), (values[name] > c).alias("hit")) for name, cs in grid.items() for c in cs]
-    counts = labelled.select("stratum", F.explode(F.array(*each)).alias("e")).groupBy("stratum", "e.rule", "e.cutoff").agg(F.count("*").alias("n"), F.sum(F.col("e.hit").cast("long")).alias("k"))
-    tests = counts.agg(F.count("*").alias("tests"))
-    tail = binomial_tail(F.col("k"), F.col("n"), alpha / len(grid))
-    passed = counts.crossJoin(F.broadcast(tests)).filter(tail <= F.lit(delta) / F.col("tests"))  # tests has one row
+    counts = cut(labelled.select("stratum", F.explode(F.array(*each)).alias("e")).groupBy("stratum", "e.rule", "e.cutoff").agg(F.count("*").alias("n"), F.sum(F.col("e.hit").cast("long")).alias("k")))
+    level = lambda groups: F.lit(delta / len(grid)) / F.col(groups)
+    strata = counts.groupBy("stratum").agg(F.max("n").alias("labels"))
+    few = F.col("labels") * math.log1p(-bound) > F.log(level("strata"))
+    grouped = cut(strata.crossJoin(F.broadcast(strata.agg(F.count("*").alias("strata")))).select("stratum", F.when(few, F.lit("few")).otherwise(F.concat(F.lit("s"), F.coalesce("stratum", F.lit("")))).alias("group")))  # one row is broadcast
+    groups = grouped.agg(F.count_distinct("group").alias("groups"))
+    pooled = counts.join(grouped, "stratum").groupBy("group", "rule", "cutoff").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    passed = pooled.crossJoin(F.broadcast(groups)).filter(binomial_tail(F.col("k"), F.col("n"), bound) <= level("groups")).join(grouped, "group")
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, grid: dict = GRID, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """One row a document: id, counts, base_failed, kept and the first rule that rejected it (null: none).
 
-    The holdout is the labelled rows whose crc32(id) mod 2 is 0; good ones that fail the base rules are left out, as no
-    cutoff decides on them. Strata: stratum_col, null being one. Null text has no words and fails the base rules. A
+    The holdout is all labelled rows, as nothing is fitted to them but the tested cutoffs; good ones that fail the base
+    rules are left out, as no cutoff decides on them. Strata: stratum_col, null being one. Null text has no words and fails the base rules. A
     label that repeats counts once; ids that repeat are judged each by their text. Other columns are not read."""
     f = cut(features(docs, id_col, text_col, stratum_col).withColumn("skey", F.coalesce(F.concat(F.lit("s"), "stratum"), F.lit("null"))))
-    good = labels.filter((F.col(label_col) == 1) & (crc_mod(id_col, 2) == 0)).select(F.col(id_col).alias("id")).distinct()
+    good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
     held = f.filter(~F.col("base_failed")).join(good, "id", "left_semi").withColumn("stratum", F.col("skey"))
     chosen = cut(cutoffs(held, grid, alpha, delta))
     wide = cut(chosen.groupBy(F.col("stratum").alias("skey")).agg(*(F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"max_{r}") for r in grid)))
