@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,12 +194,28 @@ def test_cuts():
     assert cuts(5000, 2048) == [2048, 2048, 512, 256, 128, 8] and cuts(0, 2048) == [] and sum(cuts(4097, 2048)) == 4097
 
 
+def encoded(encoder, texts):
+    return [np.frombuffer(b, encoder.number) for b in encoder.encode(pa.array(texts, pa.string()), 1).to_pylist()]
+
+
 def test_encoder_is_exact():
     rng, encoder = random.Random(10), ChunkEncoder(tokenizer_path())
-    parts = ["abc", "It's", "a.b", "x\x1cy", "é", "ÉTÉ", "éa", "123", "ΣΑΣ", "İx", "!!", "don't...", "<|endoftext|>", "a,", " ", "\n", "Ünï,", "日本", "a_b", "\U0001f600"]
+    parts = ["abc", "It's", "a.b", "x\x1cy", "é", "ÉTÉ", "éa", "e\u0301", "123", "ΣΑΣ", "İx", "!!", "don't...", "<|endoftext|>", "a,", " ", "\n", "Ünï,", "日本", "a_b", "\U0001f600", "\u00a0", "\0", "Straße", "пример", "internationalization"]
     texts = [rng.choice(["", " "]).join(rng.choice(parts) for _ in range(rng.randrange(0, 12))) for _ in range(3000)]
-    for t, ids in zip(texts, encoder.encode(texts, 1), strict=True):
-        assert np.frombuffer(ids, np.uint16).tolist() == [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1], repr(t)
+    letters = [chr(i) for i in range(1, 0x3100)] + [chr(i) for i in range(0x3100, 0x20000, 37) if not 0xD800 <= i < 0xE000]
+    texts += ["".join(letters[i : i + 7]) for i in range(0, len(letters), 7)] + [f"ab{x}cd {x}" for x in letters] + ["x" * 5000 + " y" * 9, ""]
+    texts += ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 24))) for _ in range(5000)]
+    for t, ids in zip(texts, encoded(encoder, texts), strict=True):
+        assert ids.tolist() == [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1], repr(t)
+    assert encoded(encoder, []) == []
+
+
+def test_encoder_takes_other_files_whole():
+    import public_tokenizers
+
+    encoder, texts = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json")), ["It is a  test.\n", "", "éa b"]
+    assert encoder.merger is None
+    assert [x.tolist() for x in encoded(encoder, texts)] == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
 def test_packing(spark, odd, none):
@@ -206,8 +223,8 @@ def test_packing(spark, odd, none):
     docs = documents(spark, [(i, prose(rng, rng.randrange(0, 900), 300)) for i in range(120)] + [(900, None)])
     encoder = ChunkEncoder(tokenizer_path())
     for df in (docs, odd):
-        pieces = pack(df, per_shard=50).collect()
-        want = Counter((r.doc_id, tuple(np.frombuffer(encoder.encode([r.text or ""], 1)[0], np.uint16).tolist())) for r in df.collect())
+        pieces = pack(df, shard_tokens=20_000).collect()
+        want = Counter((r.doc_id, tuple(encoded(encoder, [r.text or ""])[0].tolist())) for r in df.collect())
         sequences, whole = defaultdict(list), defaultdict(list)
         for r in pieces:
             assert len(r.ids) == 4 * r.length
@@ -233,9 +250,9 @@ def test_packing_brings_neighbours_of_the_whole_corpus_together(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     topics = [["".join(rng.choice(letters) for _ in range(6)) for _ in range(30)] for _ in range(40)]
     rows = [(i, " ".join(rng.choice(topics[i % 40]) if rng.random() < 0.4 else f"w{rng.randrange(300)}" for _ in range(120))) for i in range(2000)]
-    shard = {r.doc_id: r.sequence_id >> 32 for r in pack(documents(spark, rows), per_shard=100).select("doc_id", "sequence_id").collect()}
-    docs = [np.frombuffer(b, np.uint16) for b in encoder.encode([t for _, t in rows], 1)]
-    whole = Bm25(docs, Corpus.of(docs, len(encoder.ends)))  # brute force: one index over all documents
+    shard = {r.doc_id: r.sequence_id >> 32 for r in pack(documents(spark, rows), shard_tokens=25_000).select("doc_id", "sequence_id").collect()}
+    docs = encoded(encoder, [t for _, t in rows])
+    whole = Bm25(docs, Corpus.of(docs, encoder.size))  # brute force: one index over all documents
     met = 0
     for i in range(0, 2000, 20):
         score = whole.scores(i)
@@ -244,10 +261,25 @@ def test_packing_brings_neighbours_of_the_whole_corpus_together(spark):
     assert len(set(shard.values())) > 10 and met > 500  # of 1000; about 50 if dealt by a hash
 
 
+def test_packing_spreads_rows_of_one_id(spark):
+    docs = documents(spark, [(7, "the same words over and over again " * 40)] * 900 + [(None, None)] * 100)
+    sizes = Counter(r.sequence_id >> 32 for r in pack(docs, shard_tokens=20_000).select("sequence_id").collect())
+    assert len(sizes) > 5 and max(sizes.values()) < 500
+
+
 def test_shard_tree_deals_copies_evenly():
-    x = np.zeros((200, 64), np.float16)
+    x, one = np.zeros((200, 64), np.float16), np.ones(200)
     x[:150, 0], x[150:, 1] = 1, 1
-    tree = ShardTree(x, 8)
+    tree = ShardTree(x, one, 8)
     sizes = np.bincount(tree.shard(x.astype(np.float32), np.arange(200)), minlength=8)
     assert len(sizes) == 8 and sizes.max() <= 30
-    assert ShardTree(x[:0], 4).shard(x.astype(np.float32), np.arange(200)).max() == 3
+    assert ShardTree(x[:0], one[:0], 4).shard(x.astype(np.float32), np.arange(200)).max() == 3
+
+
+def test_shard_tree_lays_out_more_shards_than_samples():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((20_000, 64)).astype(np.float32)
+    x[:5000] = x[0]  # copies
+    tree = ShardTree(x[rng.integers(0, len(x), 200)], np.ones(200), 1000)
+    sizes = np.bincount(tree.shard(x, rng.integers(0, 1 << 40, len(x))), minlength=1000)
+    assert sizes.max() < 250 and (sizes > 0).sum() > 800

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import re
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_of
 
-CACHE, WORD_CACHE = 150_000, 500_000  # parts and words that a worker remembers
-BLANK = " \t\n\x0b\x0c\r"
+ENCODE_CHARS = 4_000_000  # characters encoded at a time
 
 
 def tokenizer_path() -> str:
@@ -24,79 +24,182 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: str.split() parts at these too, which the tokenizer keeps as marks
-SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD_MARKS = ".,!*#%&$|"  # may end a part, after its word
+NEVER = np.int32(1 << 30)  # the rank of a pair that doesn't merge
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+class WordMerger:
+    """Token ids of many words at once by byte-pair merges in numpy: words lie side by side as rows of symbols, and each
+    step merges the first of the lowest-ranked pairs of every row. A pair that a merge makes never ranks below the merge,
+    so this is the order in which a single word's merges are done."""
+
+    def __init__(self, model: dict, number: type):
+        vocab, self.number = model["vocab"], number
+        letters = byte_letters()
+        self.inner = np.array([vocab[letters[b]] for b in range(256)], np.int32)
+        self.last = np.array([vocab[letters[b] + model["end_of_word_suffix"]] for b in range(256)], np.int32)
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.ranks = np.r_[keys[order], np.int64(1 << 62)], np.r_[order, NEVER].astype(np.int32)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        asked = (a.astype(np.int64) << 32) | b
+        at = np.searchsorted(self.keys, asked)
+        return np.where(self.keys[at] == asked, self.ranks[at], NEVER)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (an array of strings, none of them empty) in one row, and how many each word has."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4).astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        sizes = np.diff(offsets)
+        widths = -(-sizes // 4) * 4
+        found = []
+        for width in np.unique(widths).tolist():
+            rows = np.flatnonzero(widths == width)
+            end = sizes[rows] - 1
+            x = data[np.minimum(offsets[rows, None] + np.arange(width), len(data) - 1)]
+            symbols = np.where(np.arange(width) <= end[:, None], self.inner[x], -1)  # -1 is no symbol
+            at = np.arange(len(rows))
+            symbols[at, end] = self.last[x[at, end]]
+            found += [(rows[done], final) for done, final in self._merge(symbols)]
+        count = np.zeros(len(words), np.int64)
+        for rows, final in found:
+            count[rows] = (final >= 0).sum(1)
+        starts = np.cumsum(count) - count
+        flat = np.empty(int(count.sum()), self.number)
+        for rows, final in found:
+            flat[spans(starts[rows], count[rows])] = final[final >= 0]
+        return flat, count
+
+    def _merge(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, their symbols) of those that have no pair left to merge, from the least merges to the most."""
+        rows, width = np.arange(len(symbols)), symbols.shape[1]
+        ranks = np.full(symbols.shape, NEVER, np.int32)
+        ranks[:, :-1] = self.rank(symbols[:, :-1], symbols[:, 1:])
+        while True:
+            best = ranks.argmin(1)
+            low = ranks[np.arange(len(rows)), best]
+            done = low == NEVER
+            if done.any():
+                yield rows[done], symbols[done]
+                symbols, ranks, rows, best, low = symbols[~done], ranks[~done], rows[~done], best[~done], low[~done]
+                if not len(rows):
+                    return
+            width -= 1
+            moved = np.arange(width) > best[:, None]
+            symbols = np.where(moved, symbols[:, 1:], symbols[:, :-1])
+            ranks = np.where(moved, ranks[:, 1:], ranks[:, :-1])
+            at = np.arange(len(rows))
+            symbols[at, best] = self.made[low]
+            before = np.flatnonzero(best > 0)
+            i, j = at[before], best[before]
+            ranks[i, j - 1] = self.rank(symbols[i, j - 1], symbols[i, j])
+            ranks[at, best] = NEVER
+            after = np.flatnonzero(best < width - 1)
+            i, j = at[after], best[after]
+            ranks[i, j] = self.rank(symbols[i, j], symbols[i, j + 1])
+
+
+def slices(texts: pa.Array, chars: int) -> list[tuple[int, int]]:
+    """(start, end) of runs of texts with about so many bytes, or a longer text each."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes) - 1) // chars
+    edges = np.r_[np.flatnonzero(np.diff(run)) + 1, len(sizes)] if len(sizes) else np.empty(0, np.int64)
+    return list(zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True)) if len(edges) else []
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one span after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
+#: fixed value: how a tokenizer file parts a text into words that end in a mark of their own
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class ChunkEncoder:
-    """Token ids of whole texts. The tokenizer never joins characters over a blank, nor letters and marks, and lower-cases
-    first. So a text's ids are those of its parts between blanks, and those of a part are its word's and its marks'.
-    Words and other parts are encoded once and remembered; new words are encoded many at a time, as the ids that end a
-    word tell them apart."""
+    """Token ids of whole texts. A tokenizer of word ends never joins characters over a blank, nor letters and marks, and
+    lower-cases first. So a text's ids are those of its parts between blanks, and those of a part are its word's and its
+    marks'. Different parts are encoded once a call, words all at once (see WordMerger); parts of another make go to the
+    tokenizer, and so do whole texts if the file parts them in any other way. Nothing is remembered between calls."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.number = np.uint32 if self.wide else np.uint16
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def _one_by_one(self, parts: list[str], into: dict[str, bytes]) -> None:
-        for p, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            into[p] = np.array(e.ids, self.number).tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        size = self.number().itemsize
-        for at in range(0, len(words), 5000):
-            some = words[at : at + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.number)
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * size
-            if len(stops) != len(some):
-                self._one_by_one(some, self.words)
-                continue
-            blob, begin = ids.tobytes(), 0
-            for w, end in zip(some, stops.tolist(), strict=True):
-                self.words[w] = blob[begin:end]
-                begin = end
-
-    def _learn(self, parts: set[str]) -> None:
-        if not self.ends.any():
-            return self._one_by_one(list(parts), self.known)
-        plain = [p for p in parts if p.isascii() and p.isalpha()]
-        lower, marked, words, marks, odd = [p.lower() for p in plain], [], [], [], []
-        for p in parts.difference(plain):
-            bare = p.rstrip(WORD_MARKS)
-            if bare.isalpha() and (bare.isascii() or unicodedata.is_normalized("NFC", bare) and "\u03a3" not in bare and "\u0130" not in bare):
-                marked.append(p)
-                words.append(bare.lower())
-                marks.append(p[len(bare) :])
-            else:
-                odd.append(p)
-        self._learn_words(list(set(lower).union(words, filter(None, marks)).difference(self.words)))
-        ids = self.words.__getitem__
-        self.known.update(zip(plain, map(ids, lower), strict=True))
-        for p, word, mark in zip(marked, words, marks, strict=True):
-            self.known[p] = ids(word) + ids(mark) if mark else ids(word)
-        self._one_by_one(odd, self.known)
-
-    def encode(self, texts: list[str], end: int) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian unsigned numbers of two bytes, or four for large vocabularies."""
-        parts = [re.split("[ \t\n\x0b\x0c\r]+", t.strip(BLANK)) if SEPARATORS.search(t) else t.split() for t in texts]
-        for known, most in ((self.known, CACHE), (self.words, WORD_CACHE)):
-            if len(known) > most:
-                known.clear()
-        self._learn(set().union(*parts).difference(self.known))
-        last = np.array([end], self.number).tobytes()
-        return [b"".join([*map(self.known.__getitem__, ps), last]) for ps in parts]
-
-
-#: of this process, by path: a worker that runs one task after the other keeps what it has learnt
+        self.size = self.tokenizer.get_vocab_size()
+        self.number = np.uint32 if self.size > 1 << 16 else np.uint16
+        with open(path, encoding="utf-8") as file:
+            layout = json.load(file)
+        steps = (layout.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        parted = steps[0].get("pattern") == {"Regex": WORD_SPLIT} and [x.get("type") for x in steps[1:]] == ["ByteLevel"]
+        folded = [x.get("type") for x in (layout.get("normalizer") or {}).get("normalizers") or []] == ["NFC", "Replace", "Lowercase"]
+        self.merger = WordMerger(layout["model"], self.number) if parted and folded and layout["model"].get("end_of_word_suffix") else None
+
+    def _by_tokenizer(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(parts.to_pylist(), add_special_tokens=False)]
+        count = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter((i for ids in each for i in ids), self.number, int(count.sum())), count
+
+    def _ids_of(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row of ids, and for each part where its own begin there and how many they are."""
+        bare = pc.ascii_rtrim(parts, characters=WORD_MARKS)
+        is_word = pc.utf8_is_alpha(bare).to_numpy(zero_copy_only=False).copy()
+        foreign = np.flatnonzero(is_word & ~pc.string_is_ascii(bare).to_numpy(zero_copy_only=False))
+        is_word[foreign] = [unicodedata.is_normalized("NFC", w) and "\u03a3" not in w and "\u0130" not in w for w in bare.take(pa.array(foreign)).to_pylist()]
+        some = np.flatnonzero(is_word)
+        words = pc.utf8_lower(bare.take(pa.array(some))).dictionary_encode()
+        cut_off = pc.binary_length(bare).to_numpy()[some]
+        offsets = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1, parts.offset * 4).astype(np.int64)
+        data = memoryview(parts.buffers()[2] or b"")
+        marked = some[offsets[some + 1] - offsets[some] > cut_off]
+        marks = pa.array([data[a:b].tobytes().decode() for a, b in zip((offsets[marked] + pc.binary_length(bare).to_numpy()[marked]).tolist(), offsets[marked + 1].tolist(), strict=True)], pa.string()).dictionary_encode()
+        word_ids, word_count = self.merger(words.dictionary)
+        mark_ids, mark_count = self._by_tokenizer(marks.dictionary)
+        odd = np.flatnonzero(~is_word)
+        odd_ids, odd_count = self._by_tokenizer(parts.take(pa.array(odd)))
+        # each part has two spans: its word's (or, of another make, the tokenizer's) and its marks'
+        start, count = np.zeros((2, 2 * len(parts)), np.int64)
+        at = words.indices.to_numpy()
+        start[2 * some], count[2 * some] = (np.cumsum(word_count) - word_count)[at], word_count[at]
+        at = marks.indices.to_numpy()
+        start[2 * marked + 1], count[2 * marked + 1] = (np.cumsum(mark_count) - mark_count)[at] + len(word_ids), mark_count[at]
+        start[2 * odd], count[2 * odd] = np.cumsum(odd_count) - odd_count + len(word_ids) + len(mark_ids), odd_count
+        both = count[0::2] + count[1::2]
+        return np.concatenate([word_ids, mark_ids, odd_ids])[spans(start, count)], np.cumsum(both) - both, both
+
+    def encode(self, texts: pa.Array, end: int) -> pa.Array:
+        """The ids of each text (an array of strings without nulls) and the end id, as little-endian unsigned numbers of two
+        bytes, or four for large vocabularies."""
+        if self.merger is None:
+            ids, count = self._by_tokenizer(texts)
+            code, rows, start = np.arange(len(texts)), np.arange(len(texts) + 1), np.cumsum(count) - count
+        else:
+            parts = pc.ascii_split_whitespace(texts)
+            each = parts.flatten().dictionary_encode()
+            ids, start, count = self._ids_of(each.dictionary)
+            code, rows = each.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        sizes = count[code]
+        ends = np.r_[0, np.cumsum(sizes)][rows[1:]] + np.arange(1, len(texts) + 1)  # ids up to and with each text's end
+        flat = np.full(int(sizes.sum()) + len(texts), end, self.number)
+        body = np.ones(len(flat), bool)
+        body[ends - 1] = False
+        flat[body] = ids[spans(start[code], sizes)]
+        offsets = (np.r_[0, ends] * self.number().itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+#: of this process, by path: a worker that runs one task after the other reads the file once
 ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -106,9 +209,6 @@ def encoder_for(path: str) -> ChunkEncoder:
     return ENCODERS[path]
 
 
-TO_SPACE = str.maketrans(dict.fromkeys(BLANK, " "))
-
-
 class Corpus:
     """What BM25 needs to know of all documents: in how many each term is, how many there are and their mean length."""
 
@@ -152,7 +252,8 @@ class Bm25:
 
 
 DIMENSIONS = 64
-SAMPLE = 32  # one in so many documents is drawn to lay out the shards
+SAMPLE = 32_768  # about so many documents at most are drawn to lay out the shards
+LEAF = 8  # of them stand for a leaf of the tree at least
 
 
 def sketches(docs: list[np.ndarray], corpus: Corpus) -> np.ndarray:
@@ -177,38 +278,47 @@ def projection(size: int) -> np.ndarray:
 
 
 class ShardTree:
-    """Splits the space of sketches into shards of about as many documents each, close ones together.
+    """Splits the space of sketches into shards of about as many tokens each, close documents together.
 
-    Each node cuts its part of a sample at the direction in which it spreads most, its shards in proportion. A part that
-    doesn't spread (copies, or fewer than two samples) is dealt to its shards by salt, so none of them grows."""
+    sample: sketches of some documents, weight: their tokens. Each node cuts its part at the direction in which it spreads
+    most, its shards in proportion to the tokens. A part of few samples is a leaf; if it stands for more than one shard,
+    these are stretches along its widest direction, as the samples lie there. A part that doesn't
+    spread (copies, or one sample) is dealt to its shards by salt, so that none of them grows."""
 
-    def __init__(self, sample: np.ndarray, shards: int):
-        self.vectors, self.limits, self.kids, self.spans = [], [], [], []
-        self._grow(sample.astype(np.float32), 0, shards)
+    def __init__(self, sample: np.ndarray, weight: np.ndarray, shards: int, leaf: int = LEAF):
+        self.leaf = leaf
+        self.vectors, self.limits, self.kids, self.spans, self.marks = [], [], [], [], []
+        self._grow(sample.astype(np.float32), weight.astype(np.float64), 0, shards)
         self.vectors, self.limits = np.array(self.vectors, np.float32), np.array(self.limits, np.float32)
-        self.kids, self.spans = np.array(self.kids, np.int64), np.array(self.spans, np.int64)
+        self.kids, self.spans, self.marks = np.array(self.kids, np.int64), np.array(self.spans, np.int64), np.array(self.marks, np.float32)
 
-    def _grow(self, x: np.ndarray, low: int, shards: int) -> int:
+    def _grow(self, x: np.ndarray, weight: np.ndarray, low: int, shards: int) -> int:
         node = len(self.limits)
         self.vectors.append(np.zeros(DIMENSIONS))
         self.limits.append(0.0)
         self.kids.append((-1, -1))
         self.spans.append((low, shards))
+        self.marks.append(np.full(self.leaf, np.inf))
         if shards == 1 or len(x) < 2:
             return node
         away = x - x.mean(0)
         vector = np.linalg.eigh(away.T @ away)[1][:, -1].astype(np.float32)
         at = (x * vector).sum(1)
-        some = np.sort(at)
+        order = np.argsort(at, kind="stable")
+        some = at[order]
         if some[-1] - some[0] < 1e-4:
             return node
-        limit = some[max(1, len(x) * (shards // 2) // shards)]
+        upto = np.cumsum(weight[order]) / weight.sum()
+        if len(x) < 2 * self.leaf:
+            self.vectors[node], self.marks[node] = vector, np.interp((np.arange(self.leaf) + 0.5) / self.leaf, upto, some)
+            return node
+        limit = some[max(1, min(np.searchsorted(upto, (shards // 2) / shards), len(x) - 1))]
         if limit - some[0] < 1e-4:  # many alike at the lower end stay together
             limit = some[np.searchsorted(some, limit + 1e-4)]
         left = at < limit
-        n = min(max(round(shards * left.mean()), 1), shards - 1)
+        n = min(max(round(shards * weight[left].sum() / weight.sum()), 1), shards - 1)
         self.vectors[node], self.limits[node] = vector, limit - 1e-6
-        self.kids[node] = (self._grow(x[left], low, n), self._grow(x[~left], low + n, shards - n))
+        self.kids[node] = (self._grow(x[left], weight[left], low, n), self._grow(x[~left], weight[~left], low + n, shards - n))
         return node
 
     def shard(self, x: np.ndarray, salt: np.ndarray) -> np.ndarray:
@@ -217,7 +327,14 @@ class ShardTree:
             here = node[inner]
             node[inner] = self.kids[here, ((x[inner] * self.vectors[here]).sum(1) >= self.limits[here]).astype(np.int64)]
         low, many = self.spans[node].T
-        return low + salt % many
+        leaves = np.flatnonzero((many > 1) & np.isfinite(self.marks[node, 0]))
+        place = salt % many
+        marks, value = self.marks[node[leaves]], (x[leaves] * self.vectors[node[leaves]]).sum(1)[:, None]
+        below, upto = (marks < value - 1e-4).sum(1), (marks <= value + 1e-4).sum(1)  # alike ones are dealt between the two
+        low_end, high_end = np.maximum(below - 0.5, 0), np.minimum(upto + 0.5, self.leaf)
+        share = (low_end + (salt[leaves] >> 8 & 0xFFFFF) / (1 << 20) * (high_end - low_end)) / self.leaf
+        place[leaves] = (share * many[leaves]).astype(np.int64)
+        return low + place
 
 
 def fill_order(docs: list[np.ndarray], window: int, corpus: Corpus) -> list[int]:
@@ -259,34 +376,35 @@ def cuts(total: int, window: int) -> list[int]:
     return [window] * (total // window) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 19, end: int = 1, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: id, start, length, ids (bytes of unsigned 32-bit little-endian), doc_tokens, sequence_id, offset.
 
     Texts are encoded once, where they are read, and their ids kept in the checkpoint folder as numbers of two bytes.
     Document frequencies and the mean length are those of all documents (two numbers a task and one a term, at most the
-    vocabulary). A tree over the sketches of one in SAMPLE documents (128 bytes each, collected) cuts the space of BM25
-    vectors into shards of about per_shard documents, so that documents that share rare terms meet, and copies are
-    dealt to several; see ShardTree. Each shard has an inverted index of its own, in one task, with the weights of the
-    whole corpus; see fill_order and cuts. Neighbours on the other side of a cut are not found; README gives the share.
-    Every id lies in one piece; only the last sequences of a shard are shorter than the window, and each of those is a
-    power of two long.
-
-    sequence_id is shard * 2**32 + place. Null text is empty: one id, the end. A null id's salt is a hash of the text;
-    repeated rows are packed each. An empty table gives an empty result. Other columns are not read. window must be a
-    power of two. tokenizer: a file for the tokenizers library, there on each worker."""
+    vocabulary). A tree over the sketches of about SAMPLE documents at most (those of the least hashes, collected: 136
+    bytes each) cuts the space of BM25 vectors into shards of about shard_tokens tokens, so that documents that share rare
+    terms meet, and copies are dealt to several; see ShardTree. Each shard has an inverted index of its own, in one task,
+    with the weights of the whole corpus; see fill_order and cuts. Neighbours on the other side of a cut are not found;
+    README gives the share. Every id lies in one piece; only the last sequences of a shard are shorter than the window,
+    and each of those is a power of two long.
+
+    sequence_id is shard * 2**32 + place. Null text is empty: one id, the end. Repeated rows are packed each, and their
+    salts differ; null ids are passed through. Texts are encoded whole, however long, and a long one is cut into as many
+    pieces as it needs. An empty table gives an empty result. Other columns are not read. window must be a power of two.
+    tokenizer: a file for the tokenizers library, there on each worker."""
     path = tokenizer or tokenizer_path()
     kind = dict(docs.dtypes)[id_col]
     spark = docs.sparkSession
-    salt = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col)), F.lit(11)), F.lit(1 << 40)).cast("long")
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.col(id_col)), F.lit(1 << 40))  # stays as it is once written
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(encoder.encode(part.column(2).to_pylist(), end), pa.binary())], ["salt", "id", "ids"])
+            for a, b in slices(batch.column(2), ENCODE_CHARS):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), encoder.encode(part.column(2), end)], ["salt", "id", "ids"])
 
-    number, size = encoder_for(path).number, len(encoder_for(path).ends)
+    number, size = encoder_for(path).number, encoder_for(path).size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, tokens = np.zeros(size, np.int64), 0, 0
@@ -301,8 +419,9 @@ def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = sketches([np.frombuffer(b, number) for b in batch.column(1).to_pylist()], corpus.value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["salt", "x"])
+            docs = [np.frombuffer(b, number) for b in batch.column(1).to_pylist()]
+            x = sketches(docs, corpus.value).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([len(d) for d in docs], pa.int64())], ["salt", "x", "n"])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,10 +460,10 @@ def pack(docs: DataFrame, window: int = 2048, per_shard: int = 512, end: int = 1
     df = np.zeros(size, np.int64)
     df[list(found)] = list(found.values())
     corpus = spark.sparkContext.broadcast(Corpus(df, n, total))
-    drawn = encoded.filter(F.pmod(F.xxhash64("salt"), F.lit(SAMPLE)) == 0).select("salt", "ids").mapInArrow(draw, "salt long, x binary").toArrow()
-    sample = sorted(zip(drawn.column("salt").to_pylist(), drawn.column("x").to_pylist(), strict=True))
-    points = np.frombuffer(b"".join(x for _, x in sample), np.float16).reshape(-1, DIMENSIONS)
-    tree = spark.sparkContext.broadcast(ShardTree(points, max(1, -(-n // per_shard))))
+    drawn = encoded.filter(F.pmod(F.xxhash64("salt"), F.lit(1 << 40)) < (1 << 40) * min(1.0, SAMPLE / max(n, 1))).select("salt", "ids").mapInArrow(draw, "salt long, x binary, n long").toArrow()
+    sample = sorted(zip(*(drawn.column(c).to_pylist() for c in ("salt", "x", "n")), strict=True))
+    points = np.frombuffer(b"".join(x for _, x, _ in sample), np.float16).reshape(-1, DIMENSIONS)
+    tree = spark.sparkContext.broadcast(ShardTree(points, np.array([k for _, _, k in sample]), max(1, -(-total // shard_tokens))))
     sent = encoded.mapInArrow(route, f"shard long, id {kind}, ids binary")
     return sent.groupBy("shard").applyInArrow(lay, schema).withColumnRenamed("id", id_col)
 
