@@ -15,7 +15,7 @@ from tilewright.llm.near_dup import choose_bands, components, drop_near_duplicat
 from tilewright.llm.packing import Bm25, ChunkEncoder, Corpus, ShardTree, cuts, pack, tokenizer_path
 from tilewright.llm.pii import BASE_KINDS, automaton, find, find_pii, luhn, redact
 from tilewright.llm.quality import keep_good, score_quality
-from tilewright.llm.toxicity import KneserNey, score_toxicity
+from tilewright.llm.toxicity import ALPHABET, KneserNey, grams_of, score_toxicity
 
 from .conftest import documents, prose
 
@@ -166,15 +166,71 @@ def test_toxicity(spark, odd, none, labels):
     assert {r.score for r in score_toxicity(odd, labels.limit(0)).collect()} == {0.0}
 
 
+ODD_LETTERS = "\u8003\u9003\u5003\u3003\u0003\u5002\u9002\u0002\U0001f600\U0010ffff"
+
+
+def brute_kneser_ney(words, counts, alphabet, order=5, d=0.75):
+    """P(letter | letters before) by dictionaries, for each class of counts; letters are strings, so none can be another."""
+    grams = {}
+    for w, n in zip(words, counts, strict=True):
+        x = ["<s>"] * (order - 1) + list(w) + ["</s>"]
+        for i in range(order - 1, len(x)):
+            g = tuple(x[i - order + 1 : i + 1])
+            grams[g] = [a + b for a, b in zip(grams.get(g, [0, 0]), n, strict=True)]
+    tables, below = [], {g for g, n in grams.items() if sum(n)}
+    for k in range(order - 1, 0, -1):
+        c = Counter(g[1:] for g in below)
+        tables.append(c)
+        below = set(c)
+    tables.reverse()
+
+    def step(c, g, lower):
+        same = [n for h, n in c.items() if h[:-1] == g[:-1] and n]
+        return max(c.get(g, 0) - d, 0) / sum(same) + d * len(same) / sum(same) * lower if same else lower
+
+    def p(g, side):
+        out = 1 / alphabet
+        for k, c in enumerate(tables, 1):
+            out = step(c, g[-k:], out)
+        return step({h: n[side] for h, n in grams.items()}, g, out)
+
+    return p
+
+
+def kneser_ney(words, counts):
+    hashes, contexts, owner = grams_of(words)
+    _, first, code = np.unique(hashes[-1], return_index=True, return_inverse=True)
+    n = [np.bincount(code, np.array(counts, float)[owner, side], len(first)) for side in (0, 1)]
+    return KneserNey([h[first] for h in hashes], [c[first] for c in contexts], *n)
+
+
+def test_kneser_ney_is_the_brute_force_one():
+    rng = random.Random(13)
+    words = sorted({"".join(rng.choice("abc" + ODD_LETTERS[:6]) for _ in range(rng.randrange(1, 7))) for _ in range(60)})
+    counts = [(rng.randrange(0, 4), rng.randrange(0, 4)) for _ in words]
+    model, p = kneser_ney(words, counts), brute_kneser_ney(words, counts, ALPHABET)
+    asked = [*words[:20], "zzz", "abd\u8003", ODD_LETTERS, "a"]
+    for w, got in zip(asked, model.word_scores(asked), strict=True):
+        x = ["<s>"] * 4 + list(w) + ["</s>"]
+        grams = [tuple(x[i - 4 : i + 1]) for i in range(4, len(x))]
+        assert got == pytest.approx(sum(math.log(p(g, 0)) - math.log(p(g, 1)) for g in grams), abs=1e-9)
+
+
 def test_kneser_ney_sums_to_one():
-    words = ["abc", "abd", "bcd", "xyz"]
-    model = KneserNey(words, np.array([3.0, 1, 0, 2]), np.array([1.0, 1, 4, 0]))
-    context = (2 << 48 | 2 << 36 | 2 << 24 | ord("a") << 12 | 0) >> 12 << 12
-    letters = np.arange(4096, dtype=np.uint64) | np.uint64(context)
-    p = np.full(4096, 1 / 4096)
-    for k, table in zip(range(1, 5), reversed(model.lower), strict=True):
-        p = model._step(table, letters & np.uint64((1 << 12 * k) - 1), p)
-    assert model._step(model.top[0], letters, p).sum() == pytest.approx(1)
+    model = kneser_ney(["abc", "abd", "bcd", "xyz"], [(3, 1), (1, 1), (0, 4), (2, 0)])
+    hashes, contexts, _ = grams_of([f"ab{x}" for x in "qabcdxyz"] + ["ab"])
+    at = [i for i, c in enumerate(contexts[-1].tolist()) if c == contexts[-1][2]]  # what may follow "ab", the stop included
+    assert len(at) == 9
+    for p in model.probabilities([h[at] for h in hashes], [c[at] for c in contexts]):
+        assert p[1:].sum() + p[0] * (ALPHABET - 8) == pytest.approx(1)  # q stands for all letters never seen
+
+
+def test_toxicity_with_letters_that_share_low_bits(spark):
+    rng = random.Random(14)
+    rows = [(i, prose(rng, 20, 100) + (f" {ODD_LETTERS}bad {ODD_LETTERS[i % 9]}" if i % 3 == 0 else f" {ODD_LETTERS[::-1]}")) for i in range(200)]
+    docs, marks = documents(spark, rows), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    got = score_toxicity(docs, marks).collect()
+    assert len(got) == 200 and sum((r.score >= 0.7) == (r.doc_id % 3 == 0) for r in got if r.held_out) >= 50
 
 
 def test_quality(spark, odd, none, labels):

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import slices, spans
 from .common import cut, text_of
 
 ENCODE_CHARS = 4_000_000  # characters encoded at a time
@@ -109,20 +110,6 @@ class WordMerger:
             ranks[i, j] = self.rank(symbols[i, j], symbols[i, j + 1])
 
 
-def slices(texts: pa.Array, chars: int) -> list[tuple[int, int]]:
-    """(start, end) of runs of texts with about so many bytes, or a longer text each."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    run = (np.cumsum(sizes) - 1) // chars
-    edges = np.r_[np.flatnonzero(np.diff(run)) + 1, len(sizes)] if len(sizes) else np.empty(0, np.int64)
-    return list(zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True)) if len(edges) else []
-
-
-def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places start, start + 1, ... of each span, one span after the other."""
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
-
-
 #: fixed value: how a tokenizer file parts a text into words that end in a mark of their own
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
