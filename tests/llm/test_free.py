@@ -9,8 +9,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tilewright.llm import lm_score
 from tilewright.llm.common import KeyFilter, attach
-from tilewright.llm.lm_score import LogBloom, build_filter, mixed, score
+from tilewright.llm.lm_score import LogBloom, count_of, level_of, score
 from tilewright.llm.near_dup import choose_bands, components, drop_near_duplicates, near_duplicates
 from tilewright.llm.packing import Bm25, ChunkEncoder, Corpus, ShardTree, cuts, pack, tokenizer_path
 from tilewright.llm.pii import BASE_KINDS, automaton, find, find_pii, luhn, redact
@@ -94,28 +95,81 @@ def test_key_filter_and_attach(spark):
     assert attach(rows, spark.createDataFrame([(1, "x")], "k long, v string"), "k", "id", 8).filter("v = 'x'").count() == 900
 
 
-def test_language_model(spark, odd, none):
+def model_rows():
     rng = random.Random(6)
-    rows = [(i, prose(rng, rng.randrange(0, 80), 200)) for i in range(200)] + [(900, None), (None, "W1 w1"), (3, "w1 Zz")]
-    got = score(documents(spark, rows), hot_share=50).collect()
-    tokens = lambda t: [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in WORD.findall(t or "")] + [None]
+    return [(i, prose(rng, rng.randrange(0, 80), 200)) for i in range(200)] + [(900, None), (None, "W1 w1"), (3, "w1 Zz"), (901, " w1  w2 w3\n"), (902, "w1 w2 w3 " * 30)]
+
+
+def brute_model(rows, pair_prior=40.0, triple_prior=10.0):
+    """(id, held out, tokens, known tokens, all training tokens, base score, score) of each row, by dictionaries."""
+    tokens = lambda t: [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in WORD.findall(t or "")] + ["</s>"]
     out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    c = Counter(w for i, t in rows if not out(i) for w in tokens(t))
-    n, v = sum(c.values()), len(c)
-    want = sorted((-1 if i is None else i, out(i), len(tokens(t)), sum(c[w] > 0 for w in tokens(t)), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t)), 6)) for i, t in rows)
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    assert all(r.score < 0 for r in got) and score(none).isEmpty() and score(odd).count() == 12
-    train = [(i, "the cat sat on the mat " * 20) for i in range(50)]
-    s = {r.doc_id: r.score / r.n_tokens for r in score(documents(spark, [*train, (1000, "the cat sat on the mat"), (1001, "mat the on sat cat the")])).collect()}
-    assert s[1000] > s[1001]
-
-
-def test_log_bloom(spark):
-    texts = spark.createDataFrame([("a b " * 50 + "c",), ("a b",), ("d",)], "text string")
-    bloom = build_filter(texts, 107, 1 << 20, 4)
-    ask = lambda w: bloom.counts(mixed(np.array([__import__("xxhash").xxh64_intdigest(w)], np.uint64)))[0]
-    assert ask(b"c") == 1 and ask(b"nothing") == 0 and 51 / 2 <= ask(b"a") <= 51 * 2
-    assert isinstance(bloom, LogBloom)
+    c1, c2, c3 = Counter(), Counter(), Counter()
+    for i, t in rows:
+        if not out(i):
+            w = tokens(t)
+            c1.update(w)
+            c2.update(zip(["</s>", *w], w))
+            c3.update(zip(["</s>", *w], w, w[1:]))
+    n, v = sum(c1.values()), len(c1)
+    q = lambda c: 0 if not c else 1 if c == 1 else 1.5 * 2 ** (c.bit_length() - 1) - 0.5
+    found = []
+    for i, t in rows:
+        w = tokens(t)
+        base, score, q_before = 0.0, 0.0, 0.0
+        for k, x in enumerate(w):
+            before = w[k - 1] if k else "</s>"
+            p = (c1[x] + 0.1) / (n + 0.1 * (v + 1))
+            base += math.log10(p)
+            q_pair = min(q(c2[before, x]), c1[before], c1[x])
+            p = (q_pair + pair_prior * p) / (c1[before] + pair_prior)
+            if k:
+                q_triple = min(q(c3[w[k - 2] if k > 1 else "</s>", before, x]), q_before, q_pair)
+                p = (q_triple + triple_prior * p) / (q_before + triple_prior)
+            score, q_before = score + math.log10(p), q_pair
+        found.append((-1 if i is None else i, out(i), len(w), sum(c1[x] > 0 for x in w), n, base, score))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_tokens": 500}, {"max_bits": 1 << 20, "shard_tokens": 900}, {"max_bits": 1 << 17, "shard_tokens": 500}])
+def test_language_model(spark, monkeypatch, options):
+    monkeypatch.setattr(lm_score, "BITS_A_TOKEN", 2000)  # no false hit
+    rows = model_rows()
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in score(documents(spark, rows), **options).collect())
+    for mine, want in zip(got, brute_model(rows), strict=True):
+        assert mine[:5] == want[:5] and mine[5:] == pytest.approx(want[5:], rel=1e-9)
+
+
+def test_language_model_loses_no_ngram_when_the_filter_is_small(spark):
+    rows = model_rows()
+    want = {(i, n): s for i, _, n, _, _, _, s in brute_model(rows)}
+    for bits in (1 << 30, 1 << 14, 1 << 10):  # from all n-grams in the broadcast filter to those that occur 64 times
+        got = score(documents(spark, rows), max_bits=bits, shard_tokens=2000).collect()
+        off = [abs(r.score - want[-1 if r.doc_id is None else r.doc_id, r.n_tokens]) / r.n_tokens for r in got]
+        assert sum(off) / len(off) < 0.05 and len(got) == len(rows)
+
+
+def test_language_model_tells_order_and_repeats_apart(spark, odd, none):
+    rng = random.Random(16)
+    train = [(i, prose(rng, 60, 3000)) for i in range(300)]
+    twice, held = train[7][1], next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    s = {r.doc_id: r.score / r.n_tokens for r in score(documents(spark, [*train, (1001, twice), (held, " ".join(twice.split()[::-1]))])).collect()}
+    once = sorted(s[i] for i, _ in train if i != 7 and zlib.crc32(str(i).encode()) % 10)
+    assert s[7] == s[1001] > once[-1] and s[held] < once[0]
+    assert score(none).isEmpty() and score(odd).count() == 12
+
+
+def test_log_bloom():
+    rng = np.random.default_rng(3)
+    h, c = rng.integers(0, 1 << 40, 5000, dtype=np.uint64), rng.integers(1, 3000, 5000)
+    level = level_of(c)
+    bits = [np.frombuffer(LogBloom.piece_of(h, x, 1 << 20, 3, *y), np.uint8) for x, y in ((level, ()), (level, (5,)), (np.minimum(level, 4), ()))]
+    none = np.zeros(5000, np.int64)
+    whole, often, rest = LogBloom(bits[0], 1 << 20, 3).levels(h, none), LogBloom(bits[1], 1 << 20, 3, 5).levels(h, none), LogBloom(bits[2], 1 << 20, 3).levels(h, none)
+    assert (whole >= level).all() and (whole == level).mean() > 0.7 and (often[level >= 5] >= level[level >= 5]).all()
+    both = np.where(often > 0, often, rest)
+    assert (both >= level).all() and (both == level).mean() > 0.7
+    assert (count_of(np.array([0, 1, 2, 3])) == [0, 1, 2.5, 5.5]).all() and level_of(np.array([0, 1, 2, 3, 4])).tolist() == [0, 1, 2, 2, 3]
 
 
 def test_pii_matches_a_whole_scan():

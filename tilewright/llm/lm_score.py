@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import slices
 from .common import crc_mod, cut, text_of
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word has a line end in it
-MAX_LEVEL = 40
-EMIT_CHARS, SCORE_CHARS = 16_000_000, 4_000_000  # characters worked on at a time
+MAX_LEVEL = 50
+SLICE = 4_000_000  # bytes of text worked on at a time
+LOCAL = np.uint64(40)  # bits of an n-gram's hash within its shard
+SHARD_TOKENS = 1 << 20
+BITS_A_TOKEN = 10  # for a pair and a triple
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -25,220 +30,304 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def tokens(text: str) -> np.ndarray:
-    """The hashes of a text's words, A-Z lower-cased, then one end."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    out[-1] = END
-    return out
+def tokenized(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the different words, which of them each token is, tokens a text): A-Z lower-cased words, then one end."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    each = parts.flatten().dictionary_encode()
+    words = each.dictionary.to_pylist()
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    code = each.indices.to_numpy(zero_copy_only=False)
+    real = np.array([w != "" for w in words], bool)[code] if len(code) else np.empty(0, bool)  # blanks at a text's ends part off empty words
+    rows = np.r_[0, np.cumsum(real)][parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()]
+    sizes = np.diff(rows) + 1
+    out = np.full(int(sizes.sum()), len(words), np.int32)
+    body = np.ones(len(out), bool)
+    body[np.cumsum(sizes) - 1] = False
+    out[body] = code[real]
+    return np.r_[hashes, END], out, sizes
+
+
+def ngrams(words: np.ndarray, code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the hash of (token before, token), and that of the two before and it; before a text stand ends. A
+    text's first token has no triple: 0 stands for none."""
+    flat = words[code]
+    before = np.r_[END, flat[:-1]]
+    before[starts] = END
+    pairs = mixed(before * np.uint64(3) + np.uint64(1)) ^ mixed(flat + ODD)
+    triples = mixed(np.r_[np.uint64(0), pairs[:-1]] * np.uint64(5) + np.uint64(7)) ^ mixed(flat * np.uint64(3) + ODD)
+    triples[starts] = 0
+    return pairs, triples
 
 
-def pairs(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each token the hash of (token before, token); before a text's first stands an end."""
-    before = np.empty_like(flat)
-    before[1:] = flat[:-1]
-    before[starts] = END
-    return mixed(before * np.uint64(3) + np.uint64(1)) ^ mixed(flat + ODD)
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    return ((h >> LOCAL) % np.uint64(shards)).astype(np.int64)
+
+
+def by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings shards together, where each shard begins in it, with an end)."""
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1)) if shards < len(shard) else np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
+
+
+def packed(h: np.ndarray) -> np.ndarray:
+    """The low LOCAL bits of hashes as rows of five bytes."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
 
 
-def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    each = [tokens(t) for t in texts]
-    sizes = np.array([len(x) for x in each], np.int64)
-    return np.concatenate(each), sizes, np.cumsum(sizes) - sizes
+def level_of(counts: np.ndarray) -> np.ndarray:
+    """The quantised count: 0 for none, else 1 + floor(log2(count))."""
+    return np.frexp(counts.astype(np.float64))[1] * (counts > 0)
 
 
-def slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """(start, end) of runs of texts with about so many characters, so that a batch of long texts takes no more memory."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= chars:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def count_of(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that a level stands for."""
+    return np.where(level > 1, 1.5 * 2.0 ** (level - 1) - 0.5, level)
 
 
 class LogBloom:
-    """A Bloom filter in shards. An n-gram of count c >= least is in at levels 1 to 1 + floor(log2(c / least)); its count
-    is read back by asking for level after level, as the middle of the range that the last level found stands for."""
+    """A Bloom filter in pieces of equal size, a piece a shard. An n-gram is in at each level from `lowest` to its own; its
+    count is read back by asking for level after level, the last one found tells it."""
 
-    def __init__(self, bits: np.ndarray, shards: int, probes: int, least: int):
-        self.bits, self.shards, self.probes, self.least = bits, shards, probes, least
-        self.shard_bits = np.uint64(len(bits) * 8 // shards)
+    def __init__(self, bits: np.ndarray, piece: int, probes: int, lowest: int = 1):
+        self.bits, self.piece, self.probes, self.lowest = bits, np.uint64(piece), probes, lowest
 
     @staticmethod
-    def places(h: np.ndarray, level: int, probes: int, shard_bits: np.uint64) -> Iterator[np.ndarray]:
+    def seeds(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each n-gram at a level the first place (before it is taken modulo the piece) and the step to the next ones."""
         x = mixed(h + np.uint64(level * 0xD6E8FEB86659FD93 % (1 << 64)))
-        step = mixed(x) | np.uint64(1)
-        for _ in range(probes):
-            yield x % shard_bits
-            x = x + step
-
-    @staticmethod
-    def shard(h: np.ndarray, shards: int) -> np.ndarray:
-        return (h >> np.uint64(32)) % np.uint64(shards)
-
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        level = np.zeros(len(h), np.int64)
-        base = self.shard(h, self.shards) * self.shard_bits
-        left = np.arange(len(h))
-        for k in range(1, MAX_LEVEL + 1):
-            asked, alive = left, np.ones(len(left), bool)
-            for at in self.places(h[asked], k, self.probes, self.shard_bits):
-                at = at + base[asked]
-                alive &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            left = asked[alive]
-            level[left] = k
+        return x, mixed(x) | np.uint64(1)
+
+    @classmethod
+    def piece_of(cls, h: np.ndarray, level: np.ndarray, piece: int, probes: int, lowest: int = 1, highest: int = MAX_LEVEL) -> bytes:
+        """A piece that holds n-grams (their local hashes) at their levels from lowest on, highest at most."""
+        bits = np.zeros(piece, np.uint8)
+        for k in range(lowest, min(int(level.max(initial=0)), highest) + 1):
+            x, step = cls.seeds(h[level >= k], k)
+            for _ in range(probes):
+                bits[x % np.uint64(piece)] = 1
+                x = x + step
+        return np.packbits(bits, bitorder="little").tobytes()
+
+    def levels(self, h: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """The last level found from lowest on; 0 if not even that one is."""
+        out, base, left = np.zeros(len(h), np.uint8), shard.astype(np.uint64) * self.piece, np.arange(len(h))
+        for k in range(self.lowest, MAX_LEVEL + 1):
+            x, step = self.seeds(h[left], k)
+            for _ in range(self.probes):
+                at = x % self.piece + base[left]
+                hit = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                left, x, step = left[hit], x[hit] + step[hit], step[hit]
+            out[left] = k
             if not len(left):
                 break
-        low = self.least * 2.0 ** (level - 1)
-        return np.where(level > 0, np.where((level == 1) & (self.least == 1), 1.0, low * 1.5 - 0.5), 0.0)
+        return out
+
+
+def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """values cut at bounds, as an array of bytes."""
+    offsets = (bounds * values.itemsize * (values.shape[1] if values.ndim > 1 else 1)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def numbers(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, kind)
+
 
+class Slice:
+    """What scoring keeps of a slice of documents: ids, who is held out, tokens a text, words and tokens."""
+
+    COLUMNS = ("key", "ids", "held", "sizes", "words", "code", "trained")
+
+    def __init__(self, row: dict):
+        self.held, self.sizes = numbers(row["held"], np.bool_), numbers(row["sizes"], np.int64)
+        self.words, self.code = numbers(row["words"], np.uint64), numbers(row["code"], np.int32)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pairs, self.triples = ngrams(self.words, self.code, self.starts)
+
+    def asked(self, shards: int) -> tuple[tuple, tuple]:
+        """Words and n-grams that replies are wanted for, each as (hashes by shard, where shards begin)."""
+        grams = np.unique(np.concatenate([self.pairs, self.triples[self.triples > 0]]))
+        out = []
+        for h in (self.words, grams):
+            order, bounds = by_shard(shard_of(h, shards), shards)
+            out.append((h[order], bounds))
+        return tuple(out)
+
+
+def slices_of(rows: DataFrame, kind: str) -> DataFrame:
+    """rows (id, text, held_out) as slices, written once: a row for each few megabytes of text, under a random key."""
 
-def _emit(unigrams: bool, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (texts[a:b] for batch in batches for texts in [batch.column(0).to_pylist()] for a, b in slices(texts, EMIT_CHARS)):
-            flat, _, starts = joined(part)
-            if unigrams:
-                h, c = np.unique(flat, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
-                continue
-            # one-word and two-word counts alike; a shard's hashes travel as one array
-            h, c = np.unique(np.concatenate([mixed(flat), pairs(flat, starts)]), return_counts=True)
-            shard = LogBloom.shard(h, shards)
-            order = np.argsort(shard, kind="stable")
-            h, c, shard = h[order], np.minimum(c[order], 1 << 31).astype(np.uint32), shard[order]
-            big = c > 255
-            used, at = np.unique(shard, return_index=True)
-            ends = [*at[1:], len(h)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used.astype(np.int32)),
-                    pa.array([h[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-                    pa.array([np.where(big[a:b], 0, c[a:b]).astype(np.uint8).tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-                    pa.array([c[a:b][big[a:b]].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-                ],
-                ["shard", "h", "c", "big"],
-            )
-
-    return run
-
-
-def build_filter(train: DataFrame, total: int, max_bits: int, probes: int) -> LogBloom:
-    """train: one column, the texts. Bits: five for each training token, so that even all-different n-grams leave a
-    usable filter, up to max_bits; beyond, n-grams rarer than `least` stay out, of which least is the smallest count
-    that at most max_bits / 5 n-grams can reach (there are at most total / least such n-grams)."""
-    least = max(1, -(-5 * total // max_bits))
-    shards = max(1, -(-total // (1 << 20)))
-    shard_bits = -(-min(max_bits, max(5 * total, 1 << 12)) // shards // 8) * 8 + 8
-    sent = train.mapInArrow(_emit(False, shards), "shard int, h binary, c binary, big binary")
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = np.frombuffer(b"".join(pdf["h"]), np.uint64)
-        c = np.frombuffer(b"".join(pdf["c"]), np.uint8).astype(np.int64)
-        c[c == 0] = np.frombuffer(b"".join(pdf["big"]), np.uint32)
-        order = np.argsort(h, kind="stable")
-        h, c = h[order], c[order]
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
-        h, c = h[first], np.add.reduceat(c, first) if len(first) else c
-        level = np.where(c >= least, 1 + np.floor(np.log2(np.maximum(c / least, 1))), 0).astype(np.int64)
-        bits = np.zeros(shard_bits, np.uint8)
-        for k in range(1, int(level.max(initial=0)) + 1):
-            for at in LogBloom.places(h[level >= k], k, probes, np.uint64(shard_bits)):
-                bits[at] = 1
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    out = np.zeros(shards * shard_bits // 8, np.uint8)
-    for row in sent.groupBy("shard").applyInPandas(build, "shard int, bits binary").toLocalIterator():
-        at = row["shard"] * shard_bits // 8
-        out[at : at + shard_bits // 8] = np.frombuffer(row["bits"], np.uint8)
-    return LogBloom(out, shards, probes, least)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 0, folds: int = 10, max_bits: int = 1 << 30, probes: int = 3, prior: float = 40.0, hot_share: int = 1 << 20) -> DataFrame:
+        for batch in batches:
+            for a, b in slices(batch.column(1), SLICE):
+                part = batch.slice(a, b - a)
+                words, code, sizes = tokenized(part.column(1))
+                held = part.column(2).to_numpy(zero_copy_only=False)
+                key = int.from_bytes(os.urandom(8), "little", signed=True)
+                ids = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0))
+                blobs = [pa.array([x.tobytes()], pa.binary()) for x in (held, sizes, words, code)]
+                yield pa.RecordBatch.from_arrays([pa.array([key]), ids, *blobs, pa.array([int(sizes[~held].sum())])], list(Slice.COLUMNS))
+
+    return cut(rows.mapInArrow(run, f"key long, ids array<{kind}>, held binary, sizes binary, words binary, code binary, trained long"))
+
+
+def counts_by_shard(state: DataFrame, shards: int) -> DataFrame:
+    """Training counts of each slice, a row a shard that it touches: words with theirs, n-grams by local hash with theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            part = Slice(row)
+            learnt = np.repeat(~part.held, part.sizes)
+            n = np.bincount(part.code[learnt], minlength=len(part.words))
+            words, n = part.words[n > 0], n[n > 0]
+            order, at = by_shard(shard_of(words, shards), shards)
+            grams, c = np.unique(np.concatenate([part.pairs[learnt], part.triples[learnt & (part.triples > 0)]]), return_counts=True)
+            gram_order, gram_at = by_shard(shard_of(grams, shards), shards)
+            grams, c = grams[gram_order], np.minimum(c[gram_order], (1 << 32) - 1).astype(np.uint32)
+            often = c > 255
+            big_at = np.r_[0, np.cumsum(often)][gram_at]
+            whole = [lists(words[order], at), lists(n[order].astype(np.int64), at), lists(packed(grams), gram_at), lists(np.where(often, 0, c).astype(np.uint8), gram_at), lists(c[often], big_at)]
+            touched = pa.array(np.flatnonzero((np.diff(at) > 0) | (np.diff(gram_at) > 0)))
+            yield pa.RecordBatch.from_arrays([touched.cast(pa.int32()), *(x.take(touched) for x in whole)], ["shard", "w", "wn", "g", "c", "big"])
+
+    return state.select("held", "sizes", "words", "code").mapInArrow(run, "shard int, w binary, wn binary, g binary, c binary, big binary")
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def build_shards(counts: DataFrame, often_bits: int, rest_bits: int, probes: int, lowest: int) -> DataFrame:
+    """A row a shard: words with their exact counts, and two pieces of filter: n-grams of level `lowest` or more, and those
+    below."""
+
+    def build(table: pa.Table) -> pa.Table:
+        whole = {c: b"".join(table.column(c).to_pylist()) for c in ("w", "wn", "g", "c", "big")}
+        words, n = summed(numbers(whole["w"], np.uint64), numbers(whole["wn"], np.int64))
+        c = numbers(whole["c"], np.uint8).astype(np.int64)
+        c[c == 0] = numbers(whole["big"], np.uint32)
+        grams, c = summed(unpacked(whole["g"]), c)
+        level = level_of(c)
+        row = [table.column("shard")[0].as_py(), words.tobytes(), n.tobytes(), LogBloom.piece_of(grams, level, often_bits, probes, lowest), LogBloom.piece_of(grams, np.minimum(level, lowest - 1), rest_bits, probes) if lowest > 1 else b"", len(words)]
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+        return pa.table([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], ["shard", "w", "wn", "often", "rest", "kinds"])
+
+    return cut(counts.groupBy("shard").applyInArrow(build, "shard int, w binary, wn binary, often binary, rest binary, kinds long"))
+
+
+def replies_to(state: DataFrame, built: DataFrame, shards: int, rest_bits: int, probes: int, often) -> DataFrame:
+    """What the shards answer each slice, a row a slice and shard: exact counts of its words, and levels of those n-grams
+    that the broadcast filter doesn't hold, both in the order of Slice.asked."""
+    all_in_one = often.value.lowest == 1
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            (words, at), (grams, gram_at) = Slice(row).asked(shards)
+            if all_in_one:
+                grams, gram_at = grams[:0], np.zeros(shards + 1, np.int64)
+            else:
+                left = often.value.levels(grams & np.uint64((1 << 40) - 1), np.repeat(np.arange(shards), np.diff(gram_at))) == 0
+                grams, gram_at = grams[left], np.r_[0, np.cumsum(left)][gram_at]
+            touched = pa.array(np.flatnonzero((np.diff(at) > 0) | (np.diff(gram_at) > 0)))
+            yield pa.RecordBatch.from_arrays([touched.cast(pa.int32()), pa.array([row["key"]] * len(touched), pa.int64()), lists(words, at).take(touched), lists(packed(grams), gram_at).take(touched)], ["shard", "key", "w", "g"])
+
+    def answer(own: pa.Table, asked: pa.Table) -> pa.Table:
+        blank = {"w": b"", "wn": b"", "rest": b""}  # a shard that no training text touches knows nothing
+        known = own.select(list(blank)).to_pylist()[0] if len(own) else blank
+        words, n = numbers(known["w"], np.uint64), numbers(known["wn"], np.int64)
+        rest = LogBloom(numbers(known["rest"], np.uint8), rest_bits, probes) if known["rest"] else None
+        out = []
+        for w, g in zip(asked.column("w").to_pylist(), asked.column("g").to_pylist(), strict=True):
+            h = numbers(w, np.uint64)
+            at = np.minimum(np.searchsorted(words, h), max(len(words) - 1, 0))
+            found = np.where(words[at] == h, n[at], 0) if len(words) else np.zeros(len(h), np.int64)
+            grams = unpacked(g)
+            out.append((found.astype(np.int64).tobytes(), (rest.levels(grams, np.zeros(len(grams), np.int64)) if rest else np.zeros(len(grams), np.uint8)).tobytes()))
+        return pa.table([asked.column("key"), asked.column("shard"), pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())], ["key", "shard", "wn", "levels"])
+
+    asked = state.select("key", "held", "sizes", "words", "code").mapInArrow(ask, "shard int, key long, w binary, g binary")
+    return built.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "key long, shard int, wn binary, levels binary")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 0, folds: int = 10, max_bits: int = 1 << 30, probes: int = 3, pair_prior: float = 40.0, triple_prior: float = 10.0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row a document: id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    The model learns from rows with crc32(id as text) mod folds other than held_out. P(w | v) = (c(v w) + prior * P(w)) /
-    (c(v) + prior) and P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)), counts read from the filter, c(v w) at most c(v). The
-    filter has max_bits bits at most (128 MiB by default), which bounds its broadcast; see build_filter.
+    The model learns from rows with crc32(id as text) mod folds other than held_out. With q for a quantised count,
+    P(w | u v) = (q(u v w) + triple_prior * P(w | v)) / (q(u v) + triple_prior), P(w | v) = (q(v w) + pair_prior * P(w)) /
+    (c(v) + pair_prior), P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)); c is exact. No q is above the count of its context.
+
+    Texts are read once: slices of a few megabytes keep their words and tokens. Counts are summed by shards of n-gram
+    hashes, about shard_tokens training tokens each. N-grams of the least power of two on for which the filter fits into
+    max_bits (10 bits a token, 128 MiB at most by default) go into the filter that is broadcast; rarer ones into a filter
+    of their shard. Slices ask the shards for what the broadcast filter doesn't hold, and for exact counts of their words,
+    a row a slice and shard, so work and memory grow with the tokens, no n-gram is left out, and no key is hot: a slice
+    sends each n-gram once. Words are told apart by 64-bit hashes, n-grams of a shard by 40 bits.
 
-    base_score takes exact counts. Words of at least 1 / hot_share of all training tokens, at most hot_share of them, are
-    broadcast with their counts; the rest meet their counts in a shuffle join, so no key of that join is hot.
-    Words are told apart by 64-bit hashes. Null text is empty, its one token is the end; rows with a null id are trained
-    on; repeated rows are scored each. An empty table gives an empty result. Other columns are not read."""
-    spark = docs.sparkSession
+    Null text is empty, its one token is the end; long texts are a slice each; rows with a null id are trained on; repeated
+    rows are scored each. An empty table gives an empty result. Other columns are not read."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.coalesce(crc_mod(id_col, folds) == held_out, F.lit(False)).alias("held_out"))
-    train = rows.filter("not held_out").select("text")
-    uni = cut(train.mapInArrow(_emit(True, 1), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
-    total, kinds = uni.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    hot = uni.filter(F.col("c") * hot_share >= total).toPandas() if total else pd.DataFrame({"h": [], "c": []}, dtype=np.int64)
-    hot = hot.sort_values("h")
-    model = spark.sparkContext.broadcast((build_filter(train, total, max_bits, probes), hot["h"].to_numpy(np.int64), hot["c"].to_numpy(np.int64)))
+    state = slices_of(rows, kind)
+    total = state.agg(F.coalesce(F.sum("trained"), F.lit(0))).first()[0]
+    lowest = 1
+    while BITS_A_TOKEN * total > max_bits << (lowest - 1):
+        lowest += 1
+    shards = max(1, -(-total // shard_tokens))
+    rest_bits = -(-BITS_A_TOKEN * total // shards // 8) * 8 + 512
+    often_bits = -(-rest_bits >> (lowest - 1) + 3) * 8 + 64
+    built = build_shards(counts_by_shard(state, shards), often_bits, rest_bits, probes, lowest)
+    kinds = built.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    bits = np.zeros(shards * often_bits // 8, np.uint8)
+    for row in built.select("shard", "often").toLocalIterator():
+        at = row["shard"] * often_bits // 8
+        bits[at : at + often_bits // 8] = numbers(row["often"], np.uint8)
+    often = docs.sparkSession.sparkContext.broadcast(LogBloom(bits, often_bits, probes, lowest))
     size = total + 0.1 * (kinds + 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, hot_h, hot_c = model.value
-        for batch in (x.slice(a, b - a) for x in batches for a, b in slices(x.column(1).to_pylist(), SCORE_CHARS)):
-            texts = batch.column(1).to_pylist()
-            flat, sizes, starts = joined(texts)
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            words, code = np.unique(flat, return_inverse=True)
-            c_word = bloom.counts(mixed(words))
-            p_word = (c_word + 0.1) / size
-            both, place = np.unique(pairs(flat, starts), return_inverse=True)
-            before = np.empty(len(flat), np.int64)
-            before[1:] = code[:-1]
-            before[starts] = np.searchsorted(words, END)
-            c_before = c_word[before]
-            p = (np.minimum(bloom.counts(both)[place], c_before) + prior * p_word[code]) / (c_before + prior)
-            scores = np.bincount(owner, np.log10(p), len(texts))
-            if len(hot_h):
-                at = np.minimum(np.searchsorted(hot_h, words.view(np.int64)), len(hot_h) - 1)
-                c_hot = np.where(hot_h[at] == words.view(np.int64), hot_c[at], 0)
-            else:
-                c_hot = np.zeros(len(words), np.int64)
-            is_hot = (c_hot > 0)[code]
-            base = np.bincount(owner[is_hot], np.log10((c_hot[code[is_hot]] + 0.1) / size), len(texts))
-            known = np.bincount(owner[is_hot], minlength=len(texts))
-            keys = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed=7) for t in texts], np.uint64)
-            keys = mixed(keys ^ np.array([xxhash.xxh64_intdigest(str(i).encode()) for i in batch.column(0).to_pylist()], np.uint64))
-            # rare words: a row for each word of a document; a document's own row has no word (n 0)
-            rare = np.stack([owner[~is_hot], code[~is_hot]])
-            rare, n = np.unique(rare, axis=1, return_counts=True) if rare.size else (rare, np.empty(0, np.int64))
-            none = pa.nulls(len(n), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[keys, keys[rare[0]]].view(np.int64)),
-                    pa.array(np.r_[keys, words[rare[1]]].view(np.int64)),
-                    pa.array(np.r_[np.zeros(len(texts), np.int64), n].astype(np.int32)),
-                    pa.concat_arrays([batch.column(0), pa.nulls(len(n), batch.column(0).type)]),
-                    pa.concat_arrays([batch.column(2), pa.nulls(len(n), pa.bool_())]),
-                    pa.array(np.r_[sizes, np.zeros(len(n), np.int64)]),
-                    pa.array(np.r_[known, np.zeros(len(n), np.int64)]),
-                    pa.concat_arrays([pa.array(base), none]),
-                    pa.concat_arrays([pa.array(scores), none]),
-                ],
-                ["key", "h", "n", "id", "held_out", "n_tokens", "known", "base", "score"],
-            )
-
-    sent = rows.mapInArrow(run, f"key long, h long, n int, id {kind}, held_out boolean, n_tokens long, known long, base double, score double")
-    met = sent.join(uni.filter(F.col("c") * hot_share < total), "h", "left")
-    term = F.when(F.col("n") > 0, F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(float(size))))
-    own = F.col("n") == 0
-    whole = met.groupBy("key").agg(
-        F.first("id", True).alias("id"), F.first("held_out", True).alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.max(F.when(own, F.col("known"))).alias("known"), F.max("base").alias("base"), F.max("score").alias("score"),
-        F.sum(F.when(own, 1)).alias("times"), F.coalesce(F.sum(term), F.lit(0.0)).alias("rare"), F.coalesce(F.sum(F.when(F.col("c").isNotNull(), F.col("n"))), F.lit(0)).alias("more"),
-    )
-    each = whole.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return each.select(
-        F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.col("more") / F.col("times")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rare") / F.col("times")).alias("base_score"), "score",
-    )
+    def finish(own: pa.Table, replies: pa.Table) -> pa.Table:
+        row = own.select(["held", "sizes", "words", "code"]).to_pylist()[0]
+        part = Slice(row)
+        (words, _), (grams, gram_at) = part.asked(shards)
+        got = replies.sort_by("shard")
+        levels = often.value.levels(grams & np.uint64((1 << 40) - 1), np.repeat(np.arange(shards), np.diff(gram_at)))
+        if often.value.lowest > 1:
+            levels[levels == 0] = numbers(b"".join(got.column("levels").to_pylist()), np.uint8)
+        c = np.zeros(len(part.words), np.int64)
+        c[np.argsort(shard_of(part.words, shards), kind="stable")] = numbers(b"".join(got.column("wn").to_pylist()), np.int64)
+        by_hash = np.argsort(grams)
+        sought = grams[by_hash]
+        q_of = lambda h: count_of(levels[by_hash[np.searchsorted(sought, h)]].astype(np.float64))
+        code, starts = part.code, part.starts
+        c_word = c[code].astype(np.float64)
+        c_before = np.r_[c_word[:1], c_word[:-1]]
+        c_before[starts] = c[-1]  # the end is the last word
+        p = (c_word + 0.1) / size
+        base = np.log10(p)
+        q_pair = np.minimum(q_of(part.pairs), np.minimum(c_before, c_word))
+        p = (q_pair + pair_prior * p) / (c_before + pair_prior)
+        deep = np.flatnonzero(part.triples)
+        q_context = np.r_[0.0, q_pair[:-1]][deep]
+        q = np.minimum(q_of(part.triples[deep]), np.minimum(q_context, q_pair[deep]))
+        p[deep] = (q + triple_prior * p[deep]) / (q_context + triple_prior)
+        owner = np.repeat(np.arange(len(part.sizes)), part.sizes)
+        n = len(part.sizes)
+        sums = lambda x: pa.array(np.bincount(owner, x, n))
+        ids = own.column("ids").combine_chunks().flatten()
+        return pa.table([ids, pa.array(part.held), pa.array(part.sizes), pa.array(np.bincount(owner, c_word > 0, n).astype(np.int64)), sums(base), sums(np.log10(p))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    replies = replies_to(state, built, shards, rest_bits, probes, often)
+    found = state.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return found.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:
     return score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
