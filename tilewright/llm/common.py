@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +11,13 @@ BLANKS = "\t\n\x0b\x0c\r"
 
 
 def shared(spark: SparkSession) -> None:
-    """Makes sure that checkpoint() has a folder: the cluster's, or a local one where none is set (tests)."""
+    """Makes sure that checkpoint() has a folder that all machines share; without one it is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -56,24 +57,23 @@ def crc_mod(doc_id: str | Column, n: int) -> Column:
 
 
 class KeyFilter:
-    """A one-hash Bloom filter of fixed size over keys, in native bitmaps.
+    """A one-hash Bloom filter over keys, in native bitmaps: 16 bits a key, at most `most` bits.
 
-    It has at most `bits` bits, so its broadcast never exceeds bits / 8 bytes whatever the number of keys.
-    It lets no key of the set through as absent; a full filter only costs time, as more rows pass."""
+    So its broadcast never exceeds most / 8 bytes, 32 MiB by default, whatever the number of keys. It lets no key of the
+    set through as absent; a full filter only costs time, as more rows pass."""
 
     WIDTH = 32768  # bits in one of Spark's bitmaps
 
-    def __init__(self, keys: DataFrame, key: Column, bits: int = 1 << 23):
-        if bits % self.WIDTH:
-            raise ValueError("bits must be a multiple of 32768")
-        self.bits = bits
-        at = keys.select(self._slot(key).alias("slot"))
+    def __init__(self, keys: DataFrame, key: Column, most: int = 1 << 28):
+        hashes = cut(keys.select(F.xxhash64(key).alias("h")))
+        self.bits = self.WIDTH * min(1 + hashes.count() // (self.WIDTH // 16), max(1, most // self.WIDTH))
+        at = hashes.select((F.pmod("h", F.lit(self.bits)) + F.lit(1)).alias("slot"))  # bucket numbers start at slot 1
         self.maps = cut(
             at.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bitmap"))
         )
 
     def _slot(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.bits)) + F.lit(1)  # bucket numbers start at slot 1
+        return F.pmod(F.xxhash64(key), F.lit(self.bits)) + F.lit(1)
 
     def mark(self, df: DataFrame, key: Column, flag: str) -> DataFrame:
         """df with a boolean column flag: the key may be in the set. No shuffle of df."""
@@ -120,3 +120,16 @@ def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, salt_by: str
     spread = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt_of(salt_by, salts)).join(spread, [key, "_salt"], how).drop("_salt")
 
+
+def one_of_each(docs: DataFrame, key: Column, found: DataFrame) -> DataFrame:
+    """docs without rows whose key is to go, and with one row of each key that repeats; columns stay as they are.
+
+    found (key, kept, n): keys of the rows that go (kept false) and of those that stay but occur n > 1 times; other keys need
+    not be listed. Only rows that a bitmap of the listed keys lets through are shuffled, and these are collapsed by key where
+    they are read, so no key is hot. Of rows with one key the one with the least hash of its columns stays."""
+    listed = cut(found.filter("not kept or n > 1").select("key", "kept").distinct())
+    marked = KeyFilter(listed, F.col("key")).mark(docs.withColumn("_key", key), F.col("_key"), "_may")
+    hashed = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    some = marked.filter("_may").groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("_row"))
+    stay = some.join(listed.filter("not kept").select(F.col("key").alias("_key")), "_key", "left_anti").select("_row.*")
+    return marked.filter("not _may").select(*docs.columns).unionByName(stay)

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, text_of, with_group
+from .common import KeyFilter, one_of_each, text_of, with_group
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 256, filter_bits: int = 1 << 23, salts: int = 64, digest_all: bool = False) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 256, filter_bits: int = 1 << 28, salts: int = 64, digest_all: bool = False) -> DataFrame:
     """One row for each row of docs: the id, keep_id, group_size, kept and digest (SHA-256, binary).
 
     First pass: rows are counted by (length, hash of the first prefix_chars characters), one aggregate with map-side
-    combine over two numbers a row. Groups of two or more survive; their keys go into a bitmap of fixed size
-    (filter_bits), which is broadcast. Second pass: only rows that the bitmap lets through are hashed in full, and
+    combine over two numbers a row. Groups of two or more survive; their keys go into a bitmap (16 bits each, filter_bits
+    at most), which is broadcast. Second pass: only rows that the bitmap lets through are hashed in full, and
     grouped by that hash; text is never shuffled. A false positive of the bitmap costs one hash and changes no result.
     A group's rows are dealt over `salts` tasks, so a group with a third of all rows is no hot spot.
 
     digest_all also fills the digest of rows whose group did not survive (else null), for callers that report it.
-    Null text counts as empty; equal means equal code points. The row with the largest id stays. A null id is below
+    Null text counts as empty; equal means equal code points; long texts are hashed whole, where they are read. The row with the largest id stays. A null id is below
     every other; a group with null ids alone keeps all its rows, and so does one in which the same id and text repeat
     (these rows are one document). An empty table gives an empty result. Other columns are not read."""
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
@@ -45,10 +45,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without the copies that exact_dedup drops; all columns stay as they are."""
-    out = exact_dedup(docs, id_col, text_col, **options).filter("not kept").select(F.col(id_col).alias("_drop"), F.col("digest").alias("_gone")).distinct()
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(text_of(text_col).cast("binary"), 256)))
-    return keyed.join(out, F.col(id_col).eqNullSafe(F.col("_drop")) & (F.col("_digest") == F.col("_gone")), "left_anti").drop("_digest")
+    """docs with one row of each text, one with the largest id; all columns stay as they are.
+
+    Rows with the same id and text are copies too: of these, and of rows with null ids alone, one stays, chosen by a hash of
+    its columns (see one_of_each). Null text counts as empty, as in exact_dedup. Texts are read where they lie, however long;
+    only rows that may go are shuffled. An empty table stays empty."""
+    key = lambda i, digest: F.struct(F.col(i).alias("id"), digest.alias("digest"))
+    out = exact_dedup(docs, id_col, text_col, **options).filter("group_size > 1")
+    found = out.groupBy(key(id_col, F.col("digest")).alias("key"), "kept").agg(F.count("*").alias("n"))
+    return one_of_each(docs, key(id_col, F.unhex(F.sha2(text_of(text_col).cast("binary"), 256))), found)
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

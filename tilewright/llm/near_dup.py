@@ -11,9 +11,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, attach, cut, text_of
+from .common import KeyFilter, attach, cut, one_of_each, text_of
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
+GRAMS = 2048  # n-grams that a node has on average at most, where blocks are sized
 
 
 def choose_bands(threshold: float, recall: float, stray: float = 0.4, most_stray: float = 0.1) -> tuple[int, int]:
@@ -51,14 +52,16 @@ def signature(grams: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """id, digest of the n-gram set, and a hash for each band (both null for a text without words)."""
+    """id, hash of the text, digest of the n-gram set and a hash for each band (both null for a text without words), and how
+    many n-grams there are."""
     factors = np.random.default_rng(7).integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, hashes = [], []
-            for text in batch.column(1).to_pylist():
+            digests, hashes, sizes = [], [], []
+            for text in batch.column(2).to_pylist():
                 grams = ngrams(text, n)
+                sizes.append(len(grams))
                 if len(grams):
                     s = signature(grams, factors).reshape(bands, rows)
                     digests.append(xxhash.xxh128_digest(grams.tobytes()))
@@ -66,10 +69,10 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows
                 else:
                     digests.append(None)
                     hashes.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], ["id", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["id", "text_hash", "digest", "bands", "grams"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col)).mapInArrow(run, f"id {kind}, digest binary, bands array<bigint>")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)), text_of(text_col)).mapInArrow(run, f"id {kind}, text_hash long, digest binary, bands array<bigint>, grams long")
 
 
 def gram_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -172,38 +175,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return cut(out)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.999, block: int = 1024, filter_bits: int = 1 << 23, salts: int = 64) -> DataFrame:
-    """One row a document: the id, class_id (least id of its class) and n_links (other documents with similarity >= threshold).
-
-    Similarity is Jaccard's on sets of n-word shingles. Documents with equal sets are copies: one node, however many.
-    Each node has `bands` band hashes, bands and rows being chosen for recall at the threshold (higher above it). Nodes
-    meet in a bucket by band hash; buckets with the same members are compared once (found by sums of member hashes, so no
-    bucket is listed). Only nodes that share a bucket have their n-gram sets made; they are dealt, in blocks of at most
-    `block` nodes, to bins, in which numpy verifies each pair that meets there for the first time. What leaves a bin is
-    a row for each node with links: how many, and the root of its tree of links. Pairs are never rows, and a bucket with
-    a third of all rows is spread over many bins; every pair in it is still compared, since links are counted.
-    Classes are the connected components of links.
-
-    Null text counts as empty. A text without words has no link and is its own class; one with fewer than n words is one
-    shingle. Null ids stay null, their class is that of their text. Repeated rows are copies. Other columns are not read."""
+def classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float, block: int, filter_bits: int, salts: int) -> DataFrame:
+    """What near_duplicates tells of each row, with its text_hash and `kept`: is it the first of its class by id and hash?
+    n_links is null for a row that is alone."""
     bands, rows = choose_bands(threshold, recall)
     base = cut(sketch(docs, id_col, text_col, n, bands, rows))
-    nodes = cut(base.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")))
-    met = nodes.select("digest", F.posexplode("bands").alias("band", "h")).select("digest", "band", F.xxhash64("band", "h").alias("key"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    nodes = cut(base.filter("digest is not null").groupBy("digest").agg(F.min(first).alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("grams").alias("grams")))
+    met = nodes.select("digest", "grams", F.posexplode("bands").alias("band", "h")).select("digest", "grams", "band", F.xxhash64("band", "h").alias("key"))
     size = F.xxhash64("digest").cast("decimal(38,0)")
-    buckets = met.groupBy("key").agg(F.min("band").alias("band"), F.count("*").alias("m"), F.sum(size).alias("members")).filter("m > 1")
-    buckets = cut(buckets.groupBy("members", "m").agg(F.min(F.struct("band", "key")).alias("first")).select("first.key", "m"))
-    near = KeyFilter(buckets, F.col("key"), filter_bits).mark(met, F.col("key"), "_may").filter("_may").drop("_may")
+    buckets = met.groupBy("key").agg(F.min("band").alias("band"), F.count("*").alias("m"), F.sum("grams").alias("all_grams"), F.sum(size).alias("members")).filter("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("all_grams") / (block * GRAMS))).cast("int").alias("blocks")
+    buckets = cut(buckets.groupBy("members", "m", "all_grams").agg(F.min(F.struct("band", "key")).alias("first")).select("first.key", "m", "all_grams", blocks))
+    near = KeyFilter(buckets, F.col("key"), filter_bits).mark(met.drop("grams"), F.col("key"), "_may").filter("_may").drop("_may")
     shared = cut(near.join(buckets, "key"))
     used = cut(nodes.join(shared.select("digest").distinct(), "digest", "left_semi"))
-    marked = KeyFilter(used, F.col("rep"), filter_bits).mark(docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")), F.col("rep"), "_may").filter("_may")
-    sets = gram_sets(marked, "rep", "text", n).join(used, "digest")
-
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    mine = F.pmod(F.xxhash64("digest", F.lit(3)), blocks).cast("int")
-    dealt = shared.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    key = F.struct("id", "text_hash")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    marked = KeyFilter(used, F.struct("rep.id", "rep.text_hash"), filter_bits).mark(texts, key, "_may").filter("_may").drop("_may")
+    repeated = base.groupBy(key.alias("key")).agg(F.lit(True).alias("kept"), F.count("*").alias("n"))
+    sets = gram_sets(one_of_each(marked, key, repeated), "id", "text", n).join(used.drop("grams"), "digest")
+
+    mine = F.pmod(F.xxhash64("digest", F.lit(3)), "blocks").cast("int")
+    dealt = shared.withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("digest", "band", "key", "block", F.least("block", "other").alias("pi"), F.greatest("block", "other").alias("pj"))
-    bins = max(1, -(-shared.count() // 1000))
+    amount = buckets.agg(F.coalesce(F.sum(F.col("m") * F.col("blocks")), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("all_grams") * F.col("blocks")), F.lit(0)).alias("grams")).first()
+    bins = max(1, -(-amount["rows"] // block), -(-amount["grams"] // (block * GRAMS)))
     dealt = dealt.withColumn("bin", F.pmod(F.xxhash64("key", "pi", "pj"), F.lit(bins)))
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -214,18 +211,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = verified.groupBy(F.col("node").alias("digest")).agg(F.sum("links").alias("links"))
     roots = components(verified, "node", "root").withColumnRenamed("node", "digest")
     known = nodes.select("digest", "rep", "copies")
-    class_ids = roots.join(known, "digest").groupBy("root").agg(F.min("rep").alias("class_id"))
-    linked = cut(roots.join(class_ids, "root").join(links, "digest", "left").select("digest", "class_id", "links"))
-    own = cut(known.join(linked, "digest", "left").filter("copies > 1 or class_id is not null").select("digest", F.coalesce("class_id", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    rows = base.select("id", F.coalesce("digest", F.concat(F.lit("id:"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")).alias("digest"))
-    return attach(rows, own, "digest", "id", salts).select(F.col("id").alias(id_col), F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    firsts = roots.join(known, "digest").groupBy("root").agg(F.min("rep").alias("first"))
+    linked = cut(roots.join(firsts, "root").join(links, "digest", "left").select("digest", "first", "links"))
+    own = cut(known.join(linked, "digest", "left").filter("copies > 1 or first is not null").select("digest", F.coalesce("first", "rep").alias("first"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    alone = F.concat(F.lit("id:"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")  # no group has this key
+    told = attach(base.select("id", "text_hash", F.coalesce("digest", alone).alias("digest")), own, "digest", "id", salts)
+    is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return told.select("id", "text_hash", F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("class_id"), "n_links", (F.col("n_links").isNull() | is_first).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.999, block: int = 1024, filter_bits: int = 1 << 28, salts: int = 64) -> DataFrame:
+    """One row a document: the id, class_id (least id of its class) and n_links (other documents with similarity >= threshold).
+
+    Similarity is Jaccard's on sets of n-word shingles. Documents with equal sets are copies: one node, however many.
+    Each node has `bands` band hashes, bands and rows being chosen for recall at the threshold (higher above it). Nodes
+    meet in a bucket by band hash; buckets with the same members are compared once (found by sums of member hashes, so no
+    bucket is listed). Only nodes that share a bucket have their n-gram sets made; they are dealt, in blocks of about
+    `block` nodes and block * GRAMS n-grams at most, to bins of that size, in which numpy verifies each pair that meets
+    there for the first time. What leaves a bin is a row for each node with links: how many, and the root of its tree of
+    links. Pairs are never rows, and a bucket with a third of all rows is spread over many bins; every pair in it is still
+    compared, since links are counted. Classes are the connected components of links.
+
+    Null text counts as empty. A text without words has no link and is its own class; one with fewer than n words is one
+    shingle; a long text is one set, whole. Null ids stay null, their class is that of their text. Repeated rows are
+    copies. An empty table gives an empty result. Other columns are not read."""
+    found = classes(docs, id_col, text_col, n, threshold, recall, block, filter_bits, salts)
+    return found.select(F.col("id").alias(id_col), "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op5_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with one document of each class, that of the least id; all columns stay as they are."""
-    gone = near_duplicates(docs, id_col, **options).filter(F.col("class_id") < F.col(id_col)).select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_drop"), "left_anti")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.999, block: int = 1024, filter_bits: int = 1 << 28, salts: int = 64) -> DataFrame:
+    """docs with one document of each class, that of the least id; all columns stay as they are.
+
+    Of several rows with that id (or of a class with null ids alone) the one with the least hash of its text stays, and of
+    equal rows one (see one_of_each). Texts without words all stay, null ones too. Only rows that may go are shuffled. An
+    empty table stays empty."""
+    told = cut(classes(docs, id_col, text_col, n, threshold, recall, block, filter_bits, salts).filter("n_links is not null"))
+    found = told.groupBy(F.struct("id", "text_hash").alias("key"), "kept").agg(F.count("*").alias("n"))
+    return one_of_each(docs, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash")), found)
