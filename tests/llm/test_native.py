@@ -47,7 +47,18 @@ def test_exact_dedup(spark, odd, none):
         ids = [i for i in by[text] if i is not None]
         assert r.group_size == len(by[text]) and r.keep_id == max(ids) and r.kept == (r.doc_id == max(ids))
     kept = drop_copies(odd)
-    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 7, 7, 8, 9]
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 7, 8, 9]
+
+
+def test_drop_copies_leaves_one_of_each_text(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c"), (None, "b"), (2, None), (2, ""), (3, "d")]
+    assert sorted((r.doc_id or 0, r.text) for r in drop_copies(documents(spark, rows)).collect() if r.text) == [(0, "c"), (1, "a"), (1, "b"), (3, "d")]
+    assert drop_copies(documents(spark, rows)).count() == 5
+
+
+def test_a_group_with_most_rows_is_no_hot_spot(spark):
+    docs = documents(spark, [(i % 3, "same") for i in range(3000)] + [(i, f"text {i}") for i in range(100)])
+    assert drop_copies(docs).count() == 101 and {r.group_size for r in exact_dedup(docs).collect()} == {1, 3000}
 
 
 def test_exact_dedup_with_a_tiny_filter(spark):
@@ -60,14 +71,47 @@ def test_exact_dedup_with_a_tiny_filter(spark):
     assert got == {i: best[t] for i, t in rows}
 
 
+PAGES = "page_id long, url string, html string, verdict string"
+
+
 def test_urls(spark):
     rows = [(1, "http://A.Org", ""), (2, "http://a.org/", None), (3, None, None), (4, "nothing", ""), (5, "http://x.example.org/es/1?q", ""), (6, "http://notexample.org/es/1", ""), (7, "http://b.com/de/", '<a href="/x">'), (8, "http://b.com/zz", ""), (9, "http://c.com/q", '<a href="http://b.com/de/1">x</a>')]
-    pages = spark.createDataFrame([(*r, "block") for r in rows], "page_id long, url string, html string, verdict string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, threshold=0.03).collect()}
+    pages = spark.createDataFrame([(*r, "block") for r in rows], PAGES)
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages).collect()}
     assert got[1] == ("a.org", "", None, "allow") and got[2] == ("a.org", "/", "org/", "allow") and got[3] == got[4] == ("", "", None, "allow")
     assert got[5][2:] == ("example.org/es/", "block") and got[6][2:] == ("org/", "allow") and got[7][2:] == ("com/de/", "block") and got[8][3] == "block"
     assert got[9][3] == "block"  # it links to the blocked host: distrust runs back along the link
-    assert judge_urls(pages.limit(0)).isEmpty() and keep_allowed(pages, threshold=0.3).columns == pages.columns
+    assert judge_urls(pages.limit(0)).isEmpty() and keep_allowed(pages.limit(0)).isEmpty()
+    kept = keep_allowed(pages.unionByName(pages))
+    assert kept.columns == pages.columns and sorted(r.page_id for r in kept.collect()) == [1, 1, 2, 2, 3, 3, 4, 4, 6, 6]
+
+
+LINKED = [
+    (1, "http://bad.com/de/", ""), (2, "http://bad.com/zz", ""),
+    (3, "http://one.net/", "<a href=http://bad.com/x>"), (4, "http://two.net/", "<A class=a\nHREF = 'HTTP://BAD.com'>"),
+    (5, "http://far.net/", '<a href="//one.net/">'),  # two links away
+    (6, "http://go.net/", '<a href="/go?u=http://bad.com/q"> <a data-href="http://bad.com/">'),  # redirects and other attributes are no links
+    (7, "http://mixed.com/fr/", '<a href="http://bad.com/">'), (8, "http://mixed.com/zz", ""),  # trusted by a rule
+    (9, "http://self.net/", '<a href="http://self.net/a"> <a href="http://nowhere.net/">'),
+]
+
+
+def test_distrust_runs_over_links_between_hosts(spark):
+    pages = spark.createDataFrame([(*r, "x") for r in LINKED], PAGES)
+    got = {r.page_id: r for r in judge_urls(pages).collect()}
+    assert {i for i, r in got.items() if r.verdict == "block"} == {1, 2, 3, 4, 5}
+    # bad.com is half blocked; three hosts link to it, each gets a third of what it passes on
+    assert got[4].distrust == pytest.approx(0.85 * 0.5 / 3, abs=1e-6) and got[5].distrust == pytest.approx(0.85**2 * 0.5 / 3, abs=1e-6)
+    con = duckdb.connect()
+    con.sql("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", LINKED)
+    assert sorted(con.sql(queries.oracle_sql()["op2_url_filter"]).fetchall()) == sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got.values())
+
+
+def test_distrust_of_a_popular_host_is_shared(spark):
+    rows = [(0, "http://bad.com/de/", "")] + [(i, f"http://h{i}.net/", '<a href="http://bad.com/">') for i in range(1, 40)]
+    got = {r.page_id: r for r in judge_urls(spark.createDataFrame([(*r, "x") for r in rows], PAGES)).collect()}
+    assert got[0].verdict == "block" and got[1].distrust == pytest.approx(0.85 / 39, abs=1e-6) and got[1].verdict == "allow"
 
 
 def brute_features(text):
