@@ -177,7 +177,7 @@ def test_language_model_tells_order_and_repeats_apart(spark, odd, none):
 
 def test_log_bloom():
     rng = np.random.default_rng(3)
-    h, c = rng.integers(0, 1 << 40, 5000, dtype=np.uint64), rng.integers(1, 3000, 5000)
+    h, c = rng.integers(0, 1 << 32, 5000, dtype=np.uint64), rng.integers(1, 3000, 5000)
     level = level_of(c)
     bits = [np.frombuffer(LogBloom.piece_of(h, x, 1 << 20, 3, *y), np.uint8) for x, y in ((level, ()), (level, (5,)), (np.minimum(level, 4), ()))]
     none = np.zeros(5000, np.int64)

@@ -18,8 +18,9 @@ from .common import crc_mod, cut, text_of
 ODD = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word has a line end in it
 MAX_LEVEL = 50
-SLICE = 4_000_000  # bytes of text worked on at a time
-LOCAL = np.uint64(40)  # bits of an n-gram's hash within its shard
+SLICE = 12_000_000  # bytes of text worked on at a time: the more, the fewer n-grams are sent twice
+LOCAL, LOW = np.uint64(32), np.uint64((1 << 32) - 1)  # bits of an n-gram's hash within its shard
+WORD_BYTES, CODE_BYTES = 6, 3  # of a word's hash, and of its number in a slice
 SHARD_TOKENS = 1 << 20
 BITS_A_TOKEN = 10  # for a pair and a triple
 
@@ -63,20 +64,21 @@ def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> LOCAL) % np.uint64(shards)).astype(np.int64)
 
 
-def by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order that brings shards together, where each shard begins in it, with an end)."""
+def by_shard(keys: np.ndarray, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys with those of a shard together, the order that brings them there, where each shard begins and the last ends)."""
+    shard = shard_of(hashes, shards)
     order = np.argsort(shard, kind="stable")
-    return order, np.searchsorted(shard[order], np.arange(shards + 1)) if shards < len(shard) else np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
+    return keys[order], order, np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
 
 
-def packed(h: np.ndarray) -> np.ndarray:
-    """The low LOCAL bits of hashes as rows of five bytes."""
-    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :5]
+def packed(x: np.ndarray, size: int) -> np.ndarray:
+    """The low bytes of numbers of eight, a row each."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :size]
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8).reshape(-1, size)
     return out.view(np.uint64).ravel()
 
 
@@ -139,25 +141,69 @@ def numbers(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(data, kind)
 
 
+def shrunk(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + (pa.compress(data, "zstd", asbytes=True) if data else b"")
+
+
+def shrunk_back(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def grams_packed(grams: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Local hashes, in order between bounds: their low 16 bits as they are, and the steps between the high ones, which are
+    small, compressed."""
+    low, high = (grams & np.uint64(0xFFFF)).astype(np.uint16), (grams >> np.uint64(16)).astype(np.int64)
+    steps = np.diff(high, prepend=0)
+    first = bounds[:-1][np.diff(bounds) > 0]
+    steps[first] = high[first]
+    steps = steps.astype(np.uint16)
+    return pa.array([low[a:b].tobytes() + shrunk(steps[a:b].tobytes()) if b > a else b"" for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
+
+
+def grams_unpacked(data: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, np.uint64)
+    steps = np.frombuffer(shrunk_back(data[2 * n :]), np.uint16).astype(np.uint64)
+    return (np.cumsum(steps, dtype=np.uint64) << np.uint64(16)) | np.frombuffer(data[: 2 * n], np.uint16)
+
+
+def counts_packed(n: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Counts cut at bounds: a byte each, and eight for those of 255 or more."""
+    often = n >= 255
+    return lists(np.minimum(n, 255).astype(np.uint8), bounds), lists(n[often].astype(np.uint64), np.r_[0, np.cumsum(often)][bounds])
+
+
+def counts_unpacked(small: bytes, big: bytes) -> np.ndarray:
+    n = np.frombuffer(small, np.uint8).astype(np.int64)
+    n[n == 255] = np.frombuffer(big, np.uint64)
+    return n
+
+
 class Slice:
-    """What scoring keeps of a slice of documents: ids, who is held out, tokens a text, words and tokens."""
+    """What scoring keeps of a slice of documents: who is held out, tokens a text, the words' hashes and the tokens."""
 
     COLUMNS = ("key", "ids", "held", "sizes", "words", "code", "trained")
 
-    def __init__(self, row: dict):
-        self.held, self.sizes = numbers(row["held"], np.bool_), numbers(row["sizes"], np.int64)
-        self.words, self.code = numbers(row["words"], np.uint64), numbers(row["code"], np.int32)
+    def __init__(self, row: dict, shards: int):
+        self.held, self.sizes = np.frombuffer(row["held"], np.bool_), np.frombuffer(row["sizes"], np.int32).astype(np.int64)
+        words = unpacked(row["words"], WORD_BYTES)
+        planes = np.frombuffer(shrunk_back(row["code"]), np.uint8).reshape(CODE_BYTES, -1)
+        self.code = sum(p.astype(np.int64) << 8 * i for i, p in enumerate(planes))
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.pairs, self.triples = ngrams(self.words, self.code, self.starts)
+        self.pairs, self.triples = ngrams(mixed(words), self.code, self.starts)
+        self.words, self.word_order, self.word_at = by_shard(words, mixed(words), shards)
+        # different n-grams (shard, then local hash), and which of them each token's pair and triple are
+        self.deep = np.flatnonzero(self.triples)
+        h = np.concatenate([self.pairs, self.triples[self.deep]])
+        grams, self.place = np.unique((shard_of(h, shards).astype(np.uint64) << LOCAL) | (h & LOW), return_inverse=True)
+        self.grams, self.gram_at = grams & LOW, np.searchsorted(grams, np.arange(shards + 1, dtype=np.uint64) << LOCAL)
 
-    def asked(self, shards: int) -> tuple[tuple, tuple]:
-        """Words and n-grams that replies are wanted for, each as (hashes by shard, where shards begin)."""
-        grams = np.unique(np.concatenate([self.pairs, self.triples[self.triples > 0]]))
-        out = []
-        for h in (self.words, grams):
-            order, bounds = by_shard(shard_of(h, shards), shards)
-            out.append((h[order], bounds))
-        return tuple(out)
+    def learnt(self) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of the words and of the n-grams, in their order."""
+        tokens = np.repeat(~self.held, self.sizes)
+        words = np.bincount(self.code[tokens], minlength=len(self.words))[self.word_order]
+        return words, np.bincount(self.place[np.r_[tokens, tokens[self.deep]]], minlength=len(self.grams))
 
 
 def slices_of(rows: DataFrame, kind: str) -> DataFrame:
@@ -171,91 +217,61 @@ def slices_of(rows: DataFrame, kind: str) -> DataFrame:
                 held = part.column(2).to_numpy(zero_copy_only=False)
                 key = int.from_bytes(os.urandom(8), "little", signed=True)
                 ids = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0))
-                blobs = [pa.array([x.tobytes()], pa.binary()) for x in (held, sizes, words, code)]
+                tokens = shrunk(packed(code.astype(np.uint64), CODE_BYTES).T.tobytes())  # byte by byte: the high ones repeat
+                blobs = [pa.array([x], pa.binary()) for x in (held.tobytes(), sizes.astype(np.int32).tobytes(), packed(words, WORD_BYTES).tobytes(), tokens)]
                 yield pa.RecordBatch.from_arrays([pa.array([key]), ids, *blobs, pa.array([int(sizes[~held].sum())])], list(Slice.COLUMNS))
 
     return cut(rows.mapInArrow(run, f"key long, ids array<{kind}>, held binary, sizes binary, words binary, code binary, trained long"))
 
 
-def counts_by_shard(state: DataFrame, shards: int) -> DataFrame:
-    """Training counts of each slice, a row a shard that it touches: words with theirs, n-grams by local hash with theirs."""
+def messages(state: DataFrame, shards: int) -> DataFrame:
+    """What each slice sends to the shards, a row for each that it touches: its words and n-grams with their training counts
+    (0 where only held-out texts have them), of which it wants to know the counts in all slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for batch in batches for r in batch.to_pylist()):
-            part = Slice(row)
-            learnt = np.repeat(~part.held, part.sizes)
-            n = np.bincount(part.code[learnt], minlength=len(part.words))
-            words, n = part.words[n > 0], n[n > 0]
-            order, at = by_shard(shard_of(words, shards), shards)
-            grams, c = np.unique(np.concatenate([part.pairs[learnt], part.triples[learnt & (part.triples > 0)]]), return_counts=True)
-            gram_order, gram_at = by_shard(shard_of(grams, shards), shards)
-            grams, c = grams[gram_order], np.minimum(c[gram_order], (1 << 32) - 1).astype(np.uint32)
-            often = c > 255
-            big_at = np.r_[0, np.cumsum(often)][gram_at]
-            whole = [lists(words[order], at), lists(n[order].astype(np.int64), at), lists(packed(grams), gram_at), lists(np.where(often, 0, c).astype(np.uint8), gram_at), lists(c[often], big_at)]
-            touched = pa.array(np.flatnonzero((np.diff(at) > 0) | (np.diff(gram_at) > 0)))
-            yield pa.RecordBatch.from_arrays([touched.cast(pa.int32()), *(x.take(touched) for x in whole)], ["shard", "w", "wn", "g", "c", "big"])
-
-    return state.select("held", "sizes", "words", "code").mapInArrow(run, "shard int, w binary, wn binary, g binary, c binary, big binary")
+            part = Slice(row, shards)
+            n_words, n_grams = part.learnt()
+            touched = np.flatnonzero((np.diff(part.word_at) > 0) | (np.diff(part.gram_at) > 0))
+            whole = [lists(packed(part.words, WORD_BYTES), part.word_at), *counts_packed(n_words, part.word_at), grams_packed(part.grams, part.gram_at), *counts_packed(n_grams, part.gram_at)]
+            yield pa.RecordBatch.from_arrays([pa.array(touched.astype(np.int32)), pa.array(np.full(len(touched), row["key"])), *(x.take(pa.array(touched)) for x in whole)], ["shard", "key", "w", "wn", "w_big", "g", "gn", "g_big"])
+
+    return state.select("key", "held", "sizes", "words", "code").mapInArrow(run, "shard int, key long, w binary, wn binary, w_big binary, g binary, gn binary, g_big binary")
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sums of their counts, without those that sum to nothing."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[counts > 0], counts[counts > 0]
 
 
-def build_shards(counts: DataFrame, often_bits: int, rest_bits: int, probes: int, lowest: int) -> DataFrame:
-    """A row a shard: words with their exact counts, and two pieces of filter: n-grams of level `lowest` or more, and those
-    below."""
+def answers(sent: DataFrame, often_bits: int, rest_bits: int, probes: int, lowest: int) -> DataFrame:
+    """A row a message: key, shard, exact counts of its words (wn, w_big) and, where lowest is above 1, the levels of its
+    n-grams by the shard's own filter, that of n-grams below level `lowest`; all in the message's order. And a row a shard,
+    with a null key: `often`, its piece of the filter of n-grams of that level or more, and how many words it has (kinds)."""
 
     def build(table: pa.Table) -> pa.Table:
-        whole = {c: b"".join(table.column(c).to_pylist()) for c in ("w", "wn", "g", "c", "big")}
-        words, n = summed(numbers(whole["w"], np.uint64), numbers(whole["wn"], np.int64))
-        c = numbers(whole["c"], np.uint8).astype(np.int64)
-        c[c == 0] = numbers(whole["big"], np.uint32)
-        grams, c = summed(unpacked(whole["g"]), c)
+        rows = table.to_pylist()
+        words = [unpacked(r["w"], WORD_BYTES) for r in rows]
+        grams = [grams_unpacked(r["g"], len(r["gn"])) for r in rows]
+        known, n = summed(np.concatenate(words), np.concatenate([counts_unpacked(r["wn"], r["w_big"]) for r in rows]))
+        g, c = summed(np.concatenate(grams), np.concatenate([counts_unpacked(r["gn"], r["g_big"]) for r in rows]))
         level = level_of(c)
-        row = [table.column("shard")[0].as_py(), words.tobytes(), n.tobytes(), LogBloom.piece_of(grams, level, often_bits, probes, lowest), LogBloom.piece_of(grams, np.minimum(level, lowest - 1), rest_bits, probes) if lowest > 1 else b"", len(words)]
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-        return pa.table([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], ["shard", "w", "wn", "often", "rest", "kinds"])
+        own = LogBloom(np.frombuffer(LogBloom.piece_of(g, np.minimum(level, lowest - 1), rest_bits, probes), np.uint8), rest_bits, probes) if lowest > 1 else None
+        shard = table.column("shard")[0].as_py()
+        out = [(None, shard, b"", b"", b"", LogBloom.piece_of(g, level, often_bits, probes, lowest), len(known))]
+        for r, w, x in zip(rows, words, grams, strict=True):
+            at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
+            found = np.where(known[at] == w, n[at], 0) if len(known) else np.zeros(len(w), np.int64)
+            small, big = counts_packed(found, np.array([0, len(found)]))
+            out.append((r["key"], shard, small[0].as_py(), big[0].as_py(), shrunk(own.levels(x, np.zeros(len(x), np.int64)).tobytes()) if own else b"", b"", 0))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+        return pa.table([pa.array(column, k) for column, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "shard", "wn", "w_big", "levels", "often", "kinds"])
 
-    return cut(counts.groupBy("shard").applyInArrow(build, "shard int, w binary, wn binary, often binary, rest binary, kinds long"))
-
-
-def replies_to(state: DataFrame, built: DataFrame, shards: int, rest_bits: int, probes: int, often) -> DataFrame:
-    """What the shards answer each slice, a row a slice and shard: exact counts of its words, and levels of those n-grams
-    that the broadcast filter doesn't hold, both in the order of Slice.asked."""
-    all_in_one = often.value.lowest == 1
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            (words, at), (grams, gram_at) = Slice(row).asked(shards)
-            if all_in_one:
-                grams, gram_at = grams[:0], np.zeros(shards + 1, np.int64)
-            else:
-                left = often.value.levels(grams & np.uint64((1 << 40) - 1), np.repeat(np.arange(shards), np.diff(gram_at))) == 0
-                grams, gram_at = grams[left], np.r_[0, np.cumsum(left)][gram_at]
-            touched = pa.array(np.flatnonzero((np.diff(at) > 0) | (np.diff(gram_at) > 0)))
-            yield pa.RecordBatch.from_arrays([touched.cast(pa.int32()), pa.array([row["key"]] * len(touched), pa.int64()), lists(words, at).take(touched), lists(packed(grams), gram_at).take(touched)], ["shard", "key", "w", "g"])
-
-    def answer(own: pa.Table, asked: pa.Table) -> pa.Table:
-        blank = {"w": b"", "wn": b"", "rest": b""}  # a shard that no training text touches knows nothing
-        known = own.select(list(blank)).to_pylist()[0] if len(own) else blank
-        words, n = numbers(known["w"], np.uint64), numbers(known["wn"], np.int64)
-        rest = LogBloom(numbers(known["rest"], np.uint8), rest_bits, probes) if known["rest"] else None
-        out = []
-        for w, g in zip(asked.column("w").to_pylist(), asked.column("g").to_pylist(), strict=True):
-            h = numbers(w, np.uint64)
-            at = np.minimum(np.searchsorted(words, h), max(len(words) - 1, 0))
-            found = np.where(words[at] == h, n[at], 0) if len(words) else np.zeros(len(h), np.int64)
-            grams = unpacked(g)
-            out.append((found.astype(np.int64).tobytes(), (rest.levels(grams, np.zeros(len(grams), np.int64)) if rest else np.zeros(len(grams), np.uint8)).tobytes()))
-        return pa.table([asked.column("key"), asked.column("shard"), pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())], ["key", "shard", "wn", "levels"])
-
-    asked = state.select("key", "held", "sizes", "words", "code").mapInArrow(ask, "shard int, key long, w binary, g binary")
-    return built.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "key long, shard int, wn binary, levels binary")
+    return cut(sent.groupBy("shard").applyInArrow(build, "key long, shard int, wn binary, w_big binary, levels binary, often binary, kinds long"))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 0, folds: int = 10, max_bits: int = 1 << 30, probes: int = 3, pair_prior: float = 40.0, triple_prior: float = 10.0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -265,12 +281,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     P(w | u v) = (q(u v w) + triple_prior * P(w | v)) / (q(u v) + triple_prior), P(w | v) = (q(v w) + pair_prior * P(w)) /
     (c(v) + pair_prior), P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)); c is exact. No q is above the count of its context.
 
-    Texts are read once: slices of a few megabytes keep their words and tokens. Counts are summed by shards of n-gram
-    hashes, about shard_tokens training tokens each. N-grams of the least power of two on for which the filter fits into
-    max_bits (10 bits a token, 128 MiB at most by default) go into the filter that is broadcast; rarer ones into a filter
-    of their shard. Slices ask the shards for what the broadcast filter doesn't hold, and for exact counts of their words,
-    a row a slice and shard, so work and memory grow with the tokens, no n-gram is left out, and no key is hot: a slice
-    sends each n-gram once. Words are told apart by 64-bit hashes, n-grams of a shard by 40 bits.
+    Texts are read once: slices of a few megabytes keep their words and tokens. A slice sends its different words and
+    n-grams to shards by hash, of about shard_tokens training tokens each, so no key is hot; the shards sum the counts and
+    answer. N-grams of the least power of two on for which the filter fits into max_bits (10 bits a token, 128 MiB at most
+    by default) go into the filter that is broadcast; rarer ones into a filter of their shard, which it asks for the
+    slices. So work and memory grow with the tokens, and no n-gram is left out. Words are told apart by 48 bits of hash
+    and their shard, n-grams by 32 bits and their shard.
 
     Null text is empty, its one token is the end; long texts are a slice each; rows with a null id are trained on; repeated
     rows are scored each. An empty table gives an empty result. Other columns are not read."""
@@ -284,48 +300,43 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     shards = max(1, -(-total // shard_tokens))
     rest_bits = -(-BITS_A_TOKEN * total // shards // 8) * 8 + 512
     often_bits = -(-rest_bits >> (lowest - 1) + 3) * 8 + 64
-    built = build_shards(counts_by_shard(state, shards), often_bits, rest_bits, probes, lowest)
-    kinds = built.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    told = answers(messages(state, shards), often_bits, rest_bits, probes, lowest)
+    kinds = told.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
     bits = np.zeros(shards * often_bits // 8, np.uint8)
-    for row in built.select("shard", "often").toLocalIterator():
+    for row in told.filter("key is null").select("shard", "often").toLocalIterator():
         at = row["shard"] * often_bits // 8
-        bits[at : at + often_bits // 8] = numbers(row["often"], np.uint8)
+        bits[at : at + often_bits // 8] = np.frombuffer(row["often"], np.uint8)
     often = docs.sparkSession.sparkContext.broadcast(LogBloom(bits, often_bits, probes, lowest))
     size = total + 0.1 * (kinds + 1)
 
     def finish(own: pa.Table, replies: pa.Table) -> pa.Table:
-        row = own.select(["held", "sizes", "words", "code"]).to_pylist()[0]
-        part = Slice(row)
-        (words, _), (grams, gram_at) = part.asked(shards)
-        got = replies.sort_by("shard")
-        levels = often.value.levels(grams & np.uint64((1 << 40) - 1), np.repeat(np.arange(shards), np.diff(gram_at)))
-        if often.value.lowest > 1:
-            levels[levels == 0] = numbers(b"".join(got.column("levels").to_pylist()), np.uint8)
+        part = Slice(own.select(["held", "sizes", "words", "code"]).to_pylist()[0], shards)
+        got = replies.sort_by("shard").to_pylist()
+        levels = often.value.levels(part.grams, np.repeat(np.arange(shards), np.diff(part.gram_at)))
+        if lowest > 1:
+            rare = levels == 0
+            levels[rare] = np.frombuffer(b"".join(shrunk_back(r["levels"]) for r in got), np.uint8)[rare]
         c = np.zeros(len(part.words), np.int64)
-        c[np.argsort(shard_of(part.words, shards), kind="stable")] = numbers(b"".join(got.column("wn").to_pylist()), np.int64)
-        by_hash = np.argsort(grams)
-        sought = grams[by_hash]
-        q_of = lambda h: count_of(levels[by_hash[np.searchsorted(sought, h)]].astype(np.float64))
-        code, starts = part.code, part.starts
+        c[part.word_order] = np.concatenate([counts_unpacked(r["wn"], r["w_big"]) for r in got])
+        q_all = count_of(levels.astype(np.float64))[part.place]
+        n, code, deep = len(part.sizes), part.code, part.deep
         c_word = c[code].astype(np.float64)
-        c_before = np.r_[c_word[:1], c_word[:-1]]
-        c_before[starts] = c[-1]  # the end is the last word
+        c_before = np.r_[0.0, c_word[:-1]]
+        c_before[part.starts] = c[code[-1]]  # each text ends with the end
         p = (c_word + 0.1) / size
-        base = np.log10(p)
-        q_pair = np.minimum(q_of(part.pairs), np.minimum(c_before, c_word))
+        owner = np.repeat(np.arange(n), part.sizes)
+        base = np.bincount(owner, np.log10(p), n)
+        q_pair = np.minimum(q_all[: len(code)], np.minimum(c_before, c_word))
         p = (q_pair + pair_prior * p) / (c_before + pair_prior)
-        deep = np.flatnonzero(part.triples)
         q_context = np.r_[0.0, q_pair[:-1]][deep]
-        q = np.minimum(q_of(part.triples[deep]), np.minimum(q_context, q_pair[deep]))
+        q = np.minimum(q_all[len(code) :], np.minimum(q_context, q_pair[deep]))
         p[deep] = (q + triple_prior * p[deep]) / (q_context + triple_prior)
-        owner = np.repeat(np.arange(len(part.sizes)), part.sizes)
-        n = len(part.sizes)
-        sums = lambda x: pa.array(np.bincount(owner, x, n))
         ids = own.column("ids").combine_chunks().flatten()
-        return pa.table([ids, pa.array(part.held), pa.array(part.sizes), pa.array(np.bincount(owner, c_word > 0, n).astype(np.int64)), sums(base), sums(np.log10(p))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        known = np.bincount(owner, c_word > 0, n).astype(np.int64)
+        return pa.table([ids, *map(pa.array, (part.held, part.sizes, known, base, np.bincount(owner, np.log10(p), n)))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    replies = replies_to(state, built, shards, rest_bits, probes, often)
-    found = state.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    replies = told.filter("key is not null").select("key", "shard", "wn", "w_big", "levels")
+    found = state.drop("trained").groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
