@@ -26,7 +26,7 @@ SF = "/root/testdata/sf0.001"
 def test_sql(spark, name):
     got = queries.queries()[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name]).df()
     cols = sorted(got.columns)
@@ -153,13 +153,13 @@ def test_rules_reject_within_the_bound(spark):
     good = [(i, prose(rng, 60, 4000)) for i in range(4500)]
     bad = [(10_000 + i, " ".join(w + "###" for w in prose(rng, 60, 4000).split())) for i in range(100)]
     docs = documents(spark, good + bad)
-    labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad[:30]], "doc_id long, quality int")
     got = {r.doc_id: r for r in apply_rules(docs, labels).collect()}
     assert sum(not got[i].kept for i, _ in good) <= 0.02 * len(good) and not any(got[i].kept for i, _ in bad)
     assert {r.reason for i, r in got.items() if i >= 10_000} == {"symbols"}
     few = apply_rules(docs, labels.limit(5))
     assert few.filter("kept").count() == len(good) + len(bad)  # too few labels prove nothing
-    assert cutoffs(features(docs).limit(0)).isEmpty()
+    assert cutoffs(features(docs).limit(0), {"symbols": [1]}).isEmpty() and cutoffs(features(docs), {}).isEmpty()
 
 
 def test_rules_pool_small_strata(spark):
@@ -169,7 +169,7 @@ def test_rules_pool_small_strata(spark):
     bad = [(10_000 + i, " ".join(w + "###" for w in prose(rng, 60, 4000).split())) for i in range(80)]
     lang = F.element_at(F.array(*map(F.lit, (*langs, "it"))), F.when(F.col("doc_id") >= 10_000, F.col("doc_id") % 4 + 1).otherwise(F.col("doc_id") % 3 + 1).cast("int"))
     docs = documents(spark, good + bad).withColumn("lang", lang)
-    got = {r.doc_id: r for r in apply_rules(docs, spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")).collect()}
+    got = {r.doc_id: r for r in apply_rules(docs, spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad if i % 4 < 3], "doc_id long, quality int")).collect()}
     assert sum(not got[i].kept for i, _ in good) <= 0.02 * len(good)
     assert all(got[i].kept == (i % 4 == 3) for i, _ in bad)  # no label tells about the fourth language
 

@@ -14,4 +14,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_url_filter": url_filter.OP2_SQL, "op4_mixing": mixing.OP4_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_url_filter": url_filter.OP2_SQL, "op3_quality_rules": quality_rules.OP3_SQL, "op4_mixing": mixing.OP4_SQL}
