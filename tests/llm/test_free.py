@@ -159,7 +159,7 @@ def test_language_model(spark, monkeypatch, options):
 def test_language_model_loses_no_ngram_when_the_filter_is_small(spark):
     rows = model_rows()
     want = {(i, n): s for i, _, n, _, _, _, s in brute_model(rows)}
-    for bits in (1 << 30, 1 << 14, 1 << 10):  # from all n-grams in the broadcast filter to those that occur 64 times
+    for bits in (1 << 28, 1 << 14, 1 << 10):  # from all n-grams in the broadcast filter to those that occur 64 times
         got = score(documents(spark, rows), max_bits=bits, shard_tokens=2000).collect()
         off = [abs(r.score - want[-1 if r.doc_id is None else r.doc_id, r.n_tokens]) / r.n_tokens for r in got]
         assert sum(off) / len(off) < 0.05 and len(got) == len(rows)
@@ -177,7 +177,7 @@ def test_language_model_tells_order_and_repeats_apart(spark, odd, none):
 
 def test_log_bloom():
     rng = np.random.default_rng(3)
-    h, c = rng.integers(0, 1 << 32, 5000, dtype=np.uint64), rng.integers(1, 3000, 5000)
+    h, c = rng.integers(0, 1 << 28, 5000, dtype=np.uint64), rng.integers(1, 3000, 5000)
     level = level_of(c)
     bits = [np.frombuffer(LogBloom.piece_of(h, x, 1 << 20, 3, *y), np.uint8) for x, y in ((level, ()), (level, (5,)), (np.minimum(level, 4), ()))]
     none = np.zeros(5000, np.int64)

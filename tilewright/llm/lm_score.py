@@ -18,11 +18,11 @@ from .common import crc_mod, cut, text_of
 ODD = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word has a line end in it
 MAX_LEVEL = 50
-SLICE = 12_000_000  # bytes of text worked on at a time: the more, the fewer n-grams are sent twice
-LOCAL, LOW = np.uint64(32), np.uint64((1 << 32) - 1)  # bits of an n-gram's hash within its shard
+SLICE = 6_000_000  # bytes of text worked on at a time: the more, the fewer n-grams are sent twice
+LOCAL, LOW = np.uint64(28), np.uint64((1 << 28) - 1)  # bits of an n-gram's hash within its shard
 WORD_BYTES, CODE_BYTES = 6, 3  # of a word's hash, and of its number in a slice
 SHARD_TOKENS = 1 << 20
-BITS_A_TOKEN = 10  # for a pair and a triple
+BITS_A_TOKEN = 8  # for a pair and a triple
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -151,33 +151,32 @@ def shrunk_back(data: bytes) -> bytes:
 
 
 def grams_packed(grams: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Local hashes, in order between bounds: their low 16 bits as they are, and the steps between the high ones, which are
-    small, compressed."""
-    low, high = (grams & np.uint64(0xFFFF)).astype(np.uint16), (grams >> np.uint64(16)).astype(np.int64)
+    """Local hashes, in order between bounds: their low byte as it is, and the steps between what is above it, compressed."""
+    low, high = (grams & np.uint64(0xFF)).astype(np.uint8), (grams >> np.uint64(8)).astype(np.int64)
     steps = np.diff(high, prepend=0)
     first = bounds[:-1][np.diff(bounds) > 0]
     steps[first] = high[first]
-    steps = steps.astype(np.uint16)
-    return pa.array([low[a:b].tobytes() + shrunk(steps[a:b].tobytes()) if b > a else b"" for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
+    steps = steps.astype(np.uint32)
+    return pa.array([low[a:b].tobytes() + shrunk(steps[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
 
 
 def grams_unpacked(data: bytes, n: int) -> np.ndarray:
-    if not n:
-        return np.empty(0, np.uint64)
-    steps = np.frombuffer(shrunk_back(data[2 * n :]), np.uint16).astype(np.uint64)
-    return (np.cumsum(steps, dtype=np.uint64) << np.uint64(16)) | np.frombuffer(data[: 2 * n], np.uint16)
+    steps = np.frombuffer(shrunk_back(data[n:]), np.uint32).astype(np.uint64)
+    return (np.cumsum(steps, dtype=np.uint64) << np.uint64(8)) | np.frombuffer(data[:n], np.uint8)
 
 
-def counts_packed(n: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Counts cut at bounds: a byte each, and eight for those of 255 or more."""
-    often = n >= 255
-    return lists(np.minimum(n, 255).astype(np.uint8), bounds), lists(n[often].astype(np.uint64), np.r_[0, np.cumsum(often)][bounds])
+def counts_packed(n: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Counts cut at bounds: a byte each, then eight for those of 255 or more; compressed, as most are small."""
+    small, often = np.minimum(n, 255).astype(np.uint8), n >= 255
+    big, at = n[often].astype(np.uint64), np.r_[0, np.cumsum(often)][bounds]
+    return pa.array([shrunk(small[a:b].tobytes() + big[c:d].tobytes()) for a, b, c, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
 
 
-def counts_unpacked(small: bytes, big: bytes) -> np.ndarray:
-    n = np.frombuffer(small, np.uint8).astype(np.int64)
-    n[n == 255] = np.frombuffer(big, np.uint64)
-    return n
+def counts_unpacked(data: bytes, n: int) -> np.ndarray:
+    whole = shrunk_back(data)
+    out = np.frombuffer(whole[:n], np.uint8).astype(np.int64)
+    out[out == 255] = np.frombuffer(whole[n:], np.uint64)
+    return out
 
 
 class Slice:
@@ -233,10 +232,11 @@ def messages(state: DataFrame, shards: int) -> DataFrame:
             part = Slice(row, shards)
             n_words, n_grams = part.learnt()
             touched = np.flatnonzero((np.diff(part.word_at) > 0) | (np.diff(part.gram_at) > 0))
-            whole = [lists(packed(part.words, WORD_BYTES), part.word_at), *counts_packed(n_words, part.word_at), grams_packed(part.grams, part.gram_at), *counts_packed(n_grams, part.gram_at)]
-            yield pa.RecordBatch.from_arrays([pa.array(touched.astype(np.int32)), pa.array(np.full(len(touched), row["key"])), *(x.take(pa.array(touched)) for x in whole)], ["shard", "key", "w", "wn", "w_big", "g", "gn", "g_big"])
+            sizes = pa.array(np.diff(part.gram_at))
+            whole = [lists(packed(part.words, WORD_BYTES), part.word_at), counts_packed(n_words, part.word_at), grams_packed(part.grams, part.gram_at), counts_packed(n_grams, part.gram_at), sizes]
+            yield pa.RecordBatch.from_arrays([pa.array(touched.astype(np.int32)), pa.array(np.full(len(touched), row["key"])), *(x.take(pa.array(touched)) for x in whole)], ["shard", "key", "w", "wn", "g", "gn", "n"])
 
-    return state.select("key", "held", "sizes", "words", "code").mapInArrow(run, "shard int, key long, w binary, wn binary, w_big binary, g binary, gn binary, g_big binary")
+    return state.select("key", "held", "sizes", "words", "code").mapInArrow(run, "shard int, key long, w binary, wn binary, g binary, gn binary, n long")
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,32 +249,32 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def answers(sent: DataFrame, often_bits: int, rest_bits: int, probes: int, lowest: int) -> DataFrame:
-    """A row a message: key, shard, exact counts of its words (wn, w_big) and, where lowest is above 1, the levels of its
+    """A row a message: key, shard, exact counts of its words (wn), how many (n) and, where lowest is above 1, the levels of its
     n-grams by the shard's own filter, that of n-grams below level `lowest`; all in the message's order. And a row a shard,
     with a null key: `often`, its piece of the filter of n-grams of that level or more, and how many words it has (kinds)."""
 
     def build(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         words = [unpacked(r["w"], WORD_BYTES) for r in rows]
-        grams = [grams_unpacked(r["g"], len(r["gn"])) for r in rows]
-        known, n = summed(np.concatenate(words), np.concatenate([counts_unpacked(r["wn"], r["w_big"]) for r in rows]))
-        g, c = summed(np.concatenate(grams), np.concatenate([counts_unpacked(r["gn"], r["g_big"]) for r in rows]))
+        grams = [grams_unpacked(r["g"], r["n"]) for r in rows]
+        known, n = summed(np.concatenate(words), np.concatenate([counts_unpacked(r["wn"], len(w)) for r, w in zip(rows, words, strict=True)]))
+        g, c = summed(np.concatenate(grams), np.concatenate([counts_unpacked(r["gn"], r["n"]) for r in rows]))
         level = level_of(c)
         own = LogBloom(np.frombuffer(LogBloom.piece_of(g, np.minimum(level, lowest - 1), rest_bits, probes), np.uint8), rest_bits, probes) if lowest > 1 else None
         shard = table.column("shard")[0].as_py()
-        out = [(None, shard, b"", b"", b"", LogBloom.piece_of(g, level, often_bits, probes, lowest), len(known))]
+        out = [(None, shard, b"", 0, b"", LogBloom.piece_of(g, level, often_bits, probes, lowest), len(known))]
         for r, w, x in zip(rows, words, grams, strict=True):
             at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
             found = np.where(known[at] == w, n[at], 0) if len(known) else np.zeros(len(w), np.int64)
-            small, big = counts_packed(found, np.array([0, len(found)]))
-            out.append((r["key"], shard, small[0].as_py(), big[0].as_py(), shrunk(own.levels(x, np.zeros(len(x), np.int64)).tobytes()) if own else b"", b"", 0))
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-        return pa.table([pa.array(column, k) for column, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "shard", "wn", "w_big", "levels", "often", "kinds"])
+            levels = shrunk(own.levels(x, np.zeros(len(x), np.int64)).tobytes()) if own else b""
+            out.append((r["key"], shard, counts_packed(found, np.array([0, len(found)]))[0].as_py(), len(found), levels, b"", 0))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+        return pa.table([pa.array(column, k) for column, k in zip(zip(*out, strict=True), kinds, strict=True)], ["key", "shard", "wn", "n", "levels", "often", "kinds"])
 
-    return cut(sent.groupBy("shard").applyInArrow(build, "key long, shard int, wn binary, w_big binary, levels binary, often binary, kinds long"))
+    return cut(sent.groupBy("shard").applyInArrow(build, "key long, shard int, wn binary, n long, levels binary, often binary, kinds long"))
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 0, folds: int = 10, max_bits: int = 1 << 30, probes: int = 3, pair_prior: float = 40.0, triple_prior: float = 10.0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 0, folds: int = 10, max_bits: int = 1 << 28, probes: int = 3, pair_prior: float = 40.0, triple_prior: float = 10.0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row a document: id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
 
     The model learns from rows with crc32(id as text) mod folds other than held_out. With q for a quantised count,
@@ -283,10 +283,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
 
     Texts are read once: slices of a few megabytes keep their words and tokens. A slice sends its different words and
     n-grams to shards by hash, of about shard_tokens training tokens each, so no key is hot; the shards sum the counts and
-    answer. N-grams of the least power of two on for which the filter fits into max_bits (10 bits a token, 128 MiB at most
+    answer. N-grams of the least power of two on for which the filter fits into max_bits (8 bits a token, 32 MiB at most
     by default) go into the filter that is broadcast; rarer ones into a filter of their shard, which it asks for the
     slices. So work and memory grow with the tokens, and no n-gram is left out. Words are told apart by 48 bits of hash
-    and their shard, n-grams by 32 bits and their shard.
+    and their shard, n-grams by 28 bits and their shard.
 
     Null text is empty, its one token is the end; long texts are a slice each; rows with a null id are trained on; repeated
     rows are scored each. An empty table gives an empty result. Other columns are not read."""
@@ -317,7 +317,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
             rare = levels == 0
             levels[rare] = np.frombuffer(b"".join(shrunk_back(r["levels"]) for r in got), np.uint8)[rare]
         c = np.zeros(len(part.words), np.int64)
-        c[part.word_order] = np.concatenate([counts_unpacked(r["wn"], r["w_big"]) for r in got])
+        c[part.word_order] = np.concatenate([counts_unpacked(r["wn"], r["n"]) for r in got])
         q_all = count_of(levels.astype(np.float64))[part.place]
         n, code, deep = len(part.sizes), part.code, part.deep
         c_word = c[code].astype(np.float64)
@@ -335,7 +335,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         known = np.bincount(owner, c_word > 0, n).astype(np.int64)
         return pa.table([ids, *map(pa.array, (part.held, part.sizes, known, base, np.bincount(owner, np.log10(p), n)))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    replies = told.filter("key is not null").select("key", "shard", "wn", "w_big", "levels")
+    replies = told.filter("key is not null").select("key", "shard", "wn", "n", "levels")
     found = state.drop("trained").groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
