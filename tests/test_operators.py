@@ -1,4 +1,7 @@
+import struct
+
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from tilewright.operators import catalog as cat
 from tilewright.operators import raster as ra
 from tilewright.operators import regions as reg
 from tilewright.operators import tiles as tl
+from tilewright.operators.steps import in_order
 from tilewright.plans import jobs
 from tilewright.sources import tables
 
@@ -144,19 +148,112 @@ def test_sources(spark, tmp_path):
     assert tuple(tables.read_tile_tree(spark, str(tmp_path / "set1")).first())[:4] == ("set1", 3, 4, 5)
 
 
-def test_jobs(spark, tmp_path):
+def region_inputs(spark):
     charts = spark.createDataFrame([(1, 100, "A", "/c/1.KAP"), (2, 50, "B", "/c/2.KAP"), (3, 10, "Cover for Chart", "/c/3.KAP")], "chart_id long, scale int, name string, path string").withColumns({k: F.lit("") for k in ("date", "outline", "depths", "max_zoom")})
     empty = np.zeros((4, 4, 4), np.uint8)
     half = empty.copy()
     half[:2] = 255
     rows = [(1, 4, 0, 0, 1, tile(255)), (2, 4, 0, 0, -1, half.tobytes()), (2, 4, 1, 0, 1, tile(255)), (1, 3, 0, 0, 1, tile(255))]
-    t = spark.createDataFrame(rows, "chart_id long, z int, x long, y long, transp int, content binary")
+    return charts, spark.createDataFrame(rows, "chart_id long, z int, x long, y long, transp int, content binary")
+
+
+def test_jobs(spark, tmp_path):
+    charts, t = region_inputs(spark)
     done = jobs.compile_region("MX_REGION", charts, t, limit=200)
     assert {(r.z, r.x, r.y) for r in done.merged.collect()} == {(4, 0, 0), (4, 1, 0), (3, 0, 0)}
-    assert sum(len(r.bytes) for r in done.archive.collect()) == 3 * 64 and {r.volume for r in done.archive.collect()} == {0, 1}
     assert [r.line_no for r in done.script.orderBy("line_no").collect()] == [-2, -1, 1, 2]
-    head = spark.createDataFrame([(bytearray(b"H"),)], "bytes binary")
-    tables.write_archive(head, done.archive.withColumnRenamed("bytes", "content").withColumnRenamed("seq_no", "tile_no"), str(tmp_path / "a"))
-    back = spark.read.parquet(str(tmp_path / "a")).orderBy("volume", "seq_no").collect()
-    assert bytes(back[0].bytes) == b"H" and len(back) == 4
     assert {r.zoom_level for r in jobs.compile_region("MB_CHARTS", charts, t).mbtiles.collect()} == {4}
+    with pytest.raises(ValueError, match="no tiles"):
+        jobs.compile_region("MB_REGION", charts, t.filter("chart_id = 1"))
+    with pytest.raises(ValueError, match="without tiles"):
+        ra.merge_region(cat.catalog_order(charts), t)
+    with pytest.raises(ValueError, match="unknown profile"):
+        jobs.compile_region("X", charts, t)
+
+
+@pytest.mark.parametrize("limit", [200, 260, 10_000])
+def test_an_archive_can_be_read(spark, tmp_path, limit):
+    """Volumes as files, the header parsed as a reader would, and each tile found by its offset."""
+    charts, t = region_inputs(spark)
+    merged = jobs.compile_region("MX_REGION", charts, t, region="REG", limit=limit)
+    tables.write_archive(merged.archive, str(tmp_path / "a"))
+    volumes: dict[int, bytes] = {}
+    for r in tables.read_archive(spark, str(tmp_path / "a")).orderBy("volume", "part", "seq_no").collect():
+        volumes[r.volume] = volumes.get(r.volume, b"") + bytes(r.bytes)
+    head = volumes[0]
+    version, size, sources, index, length = struct.unpack_from(">5I", head)
+    assert (version, size, sources, index, head[20 : 20 + length]) == (4, 256, 1, 0, b"REG")
+    at = 20 + length
+    (n,) = struct.unpack_from(">I", head, at)
+    ranges = [struct.unpack_from(">6IQ", head, at + 4 + 32 * i) for i in range(n)]
+    stream, found = b"".join(volumes[v] for v in sorted(volumes)), {}
+    for z, x1, x2, y1, y2, _, place in ranges:
+        for x in range(x1, x2 + 1):
+            for y in range(y1, y2 + 1):
+                offset, n_bytes = struct.unpack_from(">QI", head, place)
+                found[z, x, y] = stream[offset : offset + n_bytes]
+                place += 12
+    assert found == {(r.z, r.x, r.y): bytes(r.content) for r in merged.merged.collect()}
+    tiles_of = [len(v) for k, v in volumes.items() if k]
+    assert all(x <= limit for x in tiles_of) and (limit < 10_000) == (len(volumes) > 1)
+
+
+def test_volume_cuts_are_the_greedy_ones(spark):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(0, 400, 400).tolist()
+    offsets = (1000 + np.r_[0, np.cumsum(sizes)[:-1]]).tolist()
+    df = spark.createDataFrame(list(zip(offsets, sizes, strict=True)), "offset long, n_bytes long")
+    for limit in (390, 5000, 20_000):
+        want, start = [], 0
+        for o, n in zip(offsets, sizes, strict=True):
+            if o + n - start > limit and o > (want[-1] if want else -1):
+                want.append(o)
+                start = o
+        assert tl.volume_cuts(df, limit, ahead=5) == want
+    assert tl.archive_volumes(df.limit(0), 10).isEmpty()
+
+
+def test_places_in_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 5).alias("v"))
+    rows = sorted((r.k, r.v, r.place, r.before) for r in in_order(df, F.col("k").desc(), sums={"before": "v"}).collect())[::-1]
+    total = 0
+    for i, (_, v, place, before) in enumerate(rows):
+        assert (place, before) == (i, total)
+        total += v
+    assert in_order(df.limit(0), "k").isEmpty()
+
+
+def test_a_job_goes_on_where_it_ended(spark, tmp_path):
+    charts, t = region_inputs(spark)
+    folder = str(tmp_path / "job")
+    assert jobs.run_region(folder, "MX_REGION", charts, t, limit=1000) == 5 and jobs.run_region(folder, "MX_REGION", charts, t) == 0
+    lines = [r.line for r in spark.read.json(f"{folder}/log").orderBy("line_no").collect()]
+    assert lines[0] == "REGION:::MX_REGION:::CHECKPOINT_CATALOG" and len(lines) == 5
+    assert spark.read.parquet(f"{folder}/merged").count() == 3 and tables.read_archive(spark, f"{folder}/archive").filter("part = 3").count() == 3
+    other = str(tmp_path / "other")
+    spark.createDataFrame([(1, lines[0]), (3, lines[1])], "line_no long, line string").write.json(f"{other}/log")
+    assert jobs.run_region(other, "MX_REGION", charts, t) == 3 and not (tmp_path / "other" / "merged").exists()
+
+
+def test_charts_are_cut_from_their_rasters(spark):
+    """A raster of 2 by 2 blocks that covers one tile of zoom 2 exactly, enlarged or shrunk to four pixels, with overviews."""
+    edge = 20037508.342789244
+    size = edge / 2 / 8  # metres a pixel: eight pixels make the tile
+    gt = [0.0, size, 0.0, edge / 2, 0.0, -size]
+    charts = spark.createDataFrame([(7, 1.0, 60.0, 80.0, 10.0)], "chart_id long, west double, north double, east double, south double")
+    rasters = spark.createDataFrame([(7, gt, 8, 8)], "chart_id long, gt array<double>, xsize int, ysize int")
+    blocks = spark.createDataFrame([(7, bx, by, tile(40 * (1 + bx + 2 * by))) for bx in (0, 1) for by in (0, 1)], "chart_id long, bx long, by long, content binary")
+    got = {(r.z, r.x, r.y): ra.image(bytes(r.content)) for r in jobs.cut_charts(charts, rasters, blocks, 1, 2, 4, 4).collect()}
+    assert set(got) == {(2, 2, 1), (1, 1, 0)}
+    assert [int(got[2, 2, 1][r, c, 3]) for r in (0, 3) for c in (0, 3)] == [40, 80, 120, 160]
+    assert got[1, 1, 0][2:, :2, 3].tolist() == [[40, 80], [120, 160]] and not got[1, 1, 0][:2].any()
+
+
+def test_catalog_and_product_files(spark, tmp_path):
+    rows = spark.createDataFrame([("/c/1.KAP", "A", 3, 3, 100, "1/1/2020", "FEET", "1.0,2.0:3.0,4.0", 1), ("/c/2.KAP", "B", 3, 3, 50, "1/1/2020", "FEET", "", 2)], tables.CATALOG_SCHEMA)
+    tables.write_catalog(rows, str(tmp_path / "c"))
+    assert [tuple(r)[:9] for r in tables.read_catalog(spark, str(tmp_path / "c")).drop("ring").orderBy("rank").collect()] == [tuple(r) for r in rows.collect()]
+    (tmp_path / "p.json").write_text('[\n {"path": "/c/1.KAP",\n  "rank": 1},\n {"path": "/c/2.KAP", "rank": 2}\n]')
+    assert tables.read_catalog(spark, str(tmp_path / "p.json"), pretty=True).count() == 2
+    (tmp_path / "x.xml").write_text("<a>file name: 9_9.KAP</a><gmd:EX_Extent id='1'>\n<s>title, file name: 1_1.KAP</s></gmd:EX_Extent><b/><EX_Extent><s>file name: 2_1.KAP</s></EX_Extent> file name: 8_8.KAP")
+    assert sorted(r.name for r in tables.read_product_catalog(spark, str(tmp_path / "x.xml")).collect()) == ["1_1.KAP", "2_1.KAP"]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from .steps import in_order
 
 # fixed values: providers and regions
 PROVIDERS = {"noaa": "noaa/bsb", "brazil": "brazil/bsb", "linz": "linz/bsb", "ukho": "ukho/geotiff", "wavey-lines": "wavey-lines/geotiff", "faa": "faa/geotiff"}
@@ -71,9 +72,8 @@ def apply_ring_overrides(charts: DataFrame, overrides: DataFrame, key: str = "ba
 
 
 def catalog_order(df: DataFrame) -> DataFrame:
-    """df with rank: 1 for the greatest scale; equal scales by path, nulls last. A catalog is one row a chart file, and its
-    order is global, so this sorts a small table; later stages join on the stored rank."""
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.col("scale").desc_nulls_last(), "path")))
+    """df with rank: 1 for the greatest scale; equal scales by path, nulls last. The order is global: see in_order."""
+    return in_order(df, F.col("scale").desc_nulls_last(), F.col("path"), place="_place").withColumn("rank", (F.col("_place") + 1).cast("int")).drop("_place")
 
 
 def build_catalog(headers: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def needs_encryption(provider: Column) -> Column:
 
 def region_chart_files(files: DataFrame, product: DataFrame, covers: DataFrame, problems: DataFrame, additions: DataFrame) -> DataFrame:
     """files (path, name) whose name the product catalog lists, less covers and problem charts, plus the additions, which
-    may bring one back. All but files have a column name. A row a file, with rank by path."""
+    may bring one back. All but files have a column name. A row a file."""
     wanted = product.select("name").join(covers, "name", "left_anti").join(problems, "name", "left_anti").unionByName(additions.select("name")).distinct()
     return files.join(wanted, "name", "left_semi")
 

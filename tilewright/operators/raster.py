@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tiles as tl
+from .steps import cut
 
 TILE_OUT = "z int, x long, y long, content binary, transp int"
 
@@ -102,41 +103,46 @@ def composite_tiles(layers: DataFrame) -> DataFrame:
     return layers.select("z", "x", "y", "rank", "content").groupBy("z", "x", "y").applyInPandas(run, TILE_OUT)
 
 
+def charts_without_tiles(catalog: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Charts that have no tile: an error of the cutting stage."""
+    return catalog.join(tiles.select("chart_id").distinct(), "chart_id", "left_anti")
+
+
 def merge_region(catalog: DataFrame, tiles: DataFrame) -> DataFrame:
     """All charts' tiles (chart_id, z, x, y, transp, content) as one tile set: layers are chosen on metadata, and only the
-    pixels of those that show are shuffled and blended."""
+    pixels of those that show are shuffled and blended. A chart of the catalog without tiles is an error."""
+    missing = [r["chart_id"] for r in charts_without_tiles(catalog.select("chart_id"), tiles).limit(5).collect()]
+    if missing:
+        raise ValueError(f"charts without tiles: {missing}")
     shown = tl.merge_layers(tiles.drop("content"), catalog).select("chart_id", "z", "x", "y", "rank")
     return composite_tiles(tiles.select("chart_id", "z", "x", "y", "content").join(shown, ["chart_id", "z", "x", "y"]))
 
 
-def charts_without_tiles(catalog: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Charts that merge_region would miss: an error of the cutting stage."""
-    return catalog.join(tiles.select("chart_id").distinct(), "chart_id", "left_anti")
-
-
-def overview_level(tiles: DataFrame) -> DataFrame:
-    """The tiles one zoom lower: each from up to four children. Groups have four rows at most."""
+def overview_level(tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The tiles one zoom lower, of each set that the columns `by` tell apart: each from up to four children. Groups have
+    four rows at most."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         kids = {int(x % 2) * 2 + int(y % 2): image(c) for x, y, c in zip(pdf["cx"], pdf["cy"], pdf["content"], strict=True)}
-        return _tile(key, mosaic(kids, next(iter(kids.values())).shape[0]))
+        made = _tile(key[len(by) :], mosaic(kids, next(iter(kids.values())).shape[0]))
+        return made.assign(**dict(zip(by, key, strict=False)))
 
-    up = tiles.select((F.col("z") - 1).alias("z"), F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y"), F.col("x").alias("cx"), F.col("y").alias("cy"), "content")
-    return up.groupBy("z", "x", "y").applyInPandas(run, TILE_OUT)
+    up = tiles.select(*by, (F.col("z") - 1).alias("z"), F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y"), F.col("x").alias("cx"), F.col("y").alias("cy"), "content")
+    kinds = dict(tiles.dtypes)
+    return up.groupBy(*by, "z", "x", "y").applyInPandas(run, ", ".join([*(f"{c} {kinds[c]}" for c in by), TILE_OUT]))
 
 
-def build_pyramid(tiles: DataFrame, zmin: int, zmax: int, checkpoint: bool = True) -> DataFrame:
-    """tiles of one set with the overviews of zmax - 1 down to zmin added; tiles that a level has already are kept. Each
-    level depends on the one above; levels shrink fourfold and are checkpointed, so that none is computed twice."""
-    columns = ["z", "x", "y", "content", "transp"]
+def build_pyramid(tiles: DataFrame, zmin: int, zmax: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """tiles of one set, or of each that the columns `by` tell apart, with the overviews of zmax - 1 down to zmin added; tiles
+    that a level has already are kept. Each level depends on the one above; levels shrink fourfold and are written to the
+    shared checkpoint folder, so that none is computed twice."""
+    keys = [*by, "z", "x", "y"]
+    columns = [*keys, "content", "transp"]
     level = tiles.filter(F.col("z") == zmax).select(columns)
     out = level
     for z in range(zmax - 1, zmin - 1, -1):
         own = tiles.filter(F.col("z") == z).select(columns)
-        made = overview_level(level).join(own.select("z", "x", "y"), ["z", "x", "y"], "left_anti")
-        level = own.unionByName(made)
-        if checkpoint and tiles.sparkSession.sparkContext.getCheckpointDir():
-            level = level.checkpoint()
+        level = cut(own.unionByName(overview_level(level, by).join(own.select(keys), keys, "left_anti")))
         out = out.unionByName(level)
     return out
 

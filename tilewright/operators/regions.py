@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .steps import in_order
 
 # fixed values: region polygons, vertices (lat, lng)
 POLYGONS = {
@@ -75,12 +76,12 @@ def box_meets_ring(west: Column, north: Column, east: Column, south: Column, rin
     return F.exists(edges(ring), lambda e: edge_meets_box(e, west, north, east, south)) | in_ring(north, west, ring)
 
 
-def assign_regions(charts: DataFrame, regions: DataFrame, excludes: DataFrame, most: int = 10_000) -> DataFrame:
+def assign_regions(charts: DataFrame, regions: DataFrame, excludes: DataFrame, most: int = 64) -> DataFrame:
     """charts (path, west, north, east, south) with each region whose polygon their box meets.
 
-    Charts whose name starts with 40 have none, nor those that the region excludes. Polygons are few: up to `most` they
-    are broadcast with their extents and compared with each chart's box before the exact test. Beyond, both sides are
-    dealt to cells of ten degrees and meet there, and pairs that meet in more than one cell count once."""
+    Charts whose name starts with 40 have none, nor those that the region excludes. A few dozen polygons, up to `most`, are
+    broadcast with their extents and compared with each chart's box before the exact test. Beyond, both sides are dealt to
+    cells of ten degrees and meet there, and pairs that meet in more than one cell count once."""
     lats, lngs = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lng"])
     r = regions.select("region", "ring", F.array_min(lats).alias("_s"), F.array_max(lats).alias("_n"), F.array_min(lngs).alias("_w"), F.array_max(lngs).alias("_e"))
     named = charts.withColumn("name_", text.chart_base_name(F.col("path"))).filter(~F.col("name_").startswith("40"))
@@ -160,7 +161,7 @@ def publish_charts(files: DataFrame, base_url: str = "") -> DataFrame:
 def update_script(archives: DataFrame) -> DataFrame:
     """archives (region, epoch, size_bytes) as numbered UPDATE lines, by region."""
     line = F.format_string("update regions set latestdate='%s', size='%s' where name='%s';", F.col("epoch").cast("string"), F.col("size_bytes").cast("string"), F.col("region"))
-    return archives.select(F.row_number().over(Window.orderBy("region", "epoch", "size_bytes")).alias("line_no"), line.alias("line"))  # a row a region
+    return in_order(archives, "region", "epoch", "size_bytes").select((F.col("place") + 1).cast("int").alias("line_no"), line.alias("line"))
 
 
 def burns_by_chart(names: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions import tilemath as tm
+from .steps import cut, in_order
 
 KEY = ("z", "x", "y")
 
@@ -17,27 +19,28 @@ def drop_transparent(tiles: DataFrame) -> DataFrame:
     return tiles.filter(F.col("transp") != 0)
 
 
-def tile_cover(boxes: DataFrame, overshoot: bool = False, salts: int | None = None) -> DataFrame:
+def tile_cover(boxes: DataFrame, overshoot: bool = False, salts: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """boxes (chart_id, west, north, east, south, zmin, zmax) as rows chart_id, z, x, y: all tiles that a box touches.
 
     A box with west beyond east has the columns from west to the edge and from the edge to east. Zooms and columns are
     exploded first and dealt anew, since a world chart has a million times a harbour's tiles; rows of tiles come last.
-    overshoot: one zoom more than zmax, for work that throws it away."""
+    overshoot: one zoom more than zmax, for work that throws it away. carry: other columns that each tile is to have."""
     top = F.col("zmax") + (1 if overshoot else 0)
     zoomed = boxes.filter(F.col("zmin") <= top).withColumn("z", F.explode(F.sequence(F.col("zmin"), top)))
     bounds = tm.bounds_to_tile_bounds(F.col("west"), F.col("north"), F.col("east"), F.col("south"), F.col("z"))
-    b = zoomed.select("chart_id", F.col("z").cast("int").alias("z"), bounds.alias("b")).select("chart_id", "z", "b.x_min", "b.x_max", "b.y_min", "b.y_max", "b.wraps")
+    b = zoomed.select("chart_id", *carry, F.col("z").cast("int").alias("z"), bounds.alias("b")).select("chart_id", *carry, "z", "b.x_min", "b.x_max", "b.y_min", "b.y_max", "b.wraps")
     edge = tm.map_size_tiles(F.col("z")) - 1
     right = F.sequence("x_min", F.when(F.col("wraps"), edge).otherwise(F.col("x_max")))
     xs = F.when(F.col("wraps"), F.concat(right, F.sequence(F.lit(0).cast("long"), "x_max"))).otherwise(right)
-    columns = b.select("chart_id", "z", "y_min", "y_max", F.explode(xs).alias("x"))
+    columns = b.select("chart_id", *carry, "z", "y_min", "y_max", F.explode(xs).alias("x"))
     if salts:
         columns = columns.repartition(salts, "chart_id", "z", "x")
-    return columns.select("chart_id", "z", "x", F.explode(F.sequence("y_min", "y_max")).alias("y"))
+    return columns.select("chart_id", *carry, "z", "x", F.explode(F.sequence("y_min", "y_max")).alias("y"))
 
 
 def with_rank(tiles: DataFrame, catalog: DataFrame) -> DataFrame:
-    return tiles.join(catalog.select("chart_id", "rank"), "chart_id")
+    """tiles with their chart's rank; those that carry it already stay as they are."""
+    return tiles if "rank" in tiles.columns else tiles.join(catalog.select("chart_id", "rank"), "chart_id")
 
 
 def merge_layers(tiles: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -153,14 +156,13 @@ def skip_zooms(tiles: DataFrame) -> DataFrame:
 
 
 def range_offsets(rects: DataFrame, source_list_size: int, uid: int = 0) -> DataFrame:
-    """rects with range_id (by zoom, x_min, y_min), n tiles, first_tile and offset: the address of the range's index
-    entries. Ranges are few, far fewer than tiles; they alone are in this one ordered window."""
-    order = Window.orderBy("z", "x_min", "y_min")
+    """rects with range_id (by zoom, x_min, y_min), n tiles, first_tile, offset (the address of the range's index entries)
+    and header_size. source_list_size: bytes that the archive's list of sources takes."""
     n = (F.col("x_max") - F.col("x_min") + 1) * (F.col("y_max") - F.col("y_min") + 1)
-    listed = rects.withColumn("n", n).withColumn("range_id", F.row_number().over(order) - 1)
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pre = F.lit(uid + 16 + source_list_size) + F.count("*").over(Window.partitionBy()) * 32
-    return listed.withColumn("first_tile", before).withColumn("offset", pre + before * 12).withColumn("header_size", pre + F.sum("n").over(Window.partitionBy()) * 12)
+    listed = in_order(rects.withColumn("n", n), "z", "x_min", "y_min", place="range_id", sums={"first_tile": "n"})
+    whole = listed.agg(F.count("*").alias("_ranges"), F.sum("n").alias("_tiles"))  # one row
+    pre = F.lit(uid + 16 + source_list_size) + F.col("_ranges") * 32
+    return listed.crossJoin(F.broadcast(whole)).withColumn("offset", pre + F.col("first_tile") * 12).withColumn("header_size", pre + F.col("_tiles") * 12).drop("_ranges", "_tiles")
 
 
 def tiles_in_ranges(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -171,33 +173,67 @@ def tiles_in_ranges(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def tile_offsets(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Each tile's offset in the archive: header, then all tiles by range, column and row.
-
-    Prefix sums at two levels: bytes are summed by range first, ranges are added up in one small window, and tiles within
-    their own range; no window holds all tiles."""
-    placed = tiles_in_ranges(ranges, sizes)
-    base = placed.groupBy("range_id").agg(F.sum("n_bytes").alias("bytes"))
-    order = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    base = base.select("range_id", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("range_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    own = F.coalesce(F.sum("n_bytes").over(inside), F.lit(0))
-    return placed.withColumn("own", own).join(base, "range_id").withColumn("offset", F.col("header_size") + F.col("base") + F.col("own")).drop("own", "base")
+    """Each tile's offset in the archive: header, then all tiles by range, column and row. A range of a million tiles is
+    spread over as many partitions as it needs; see in_order."""
+    placed = in_order(tiles_in_ranges(ranges, sizes), "range_id", "seq", sums={"_before": "n_bytes"})
+    return placed.withColumn("offset", F.col("header_size") + F.col("_before")).drop("_before", "place")
+
+
+def volume_cuts(offsets: DataFrame, limit: int, ahead: int = 64) -> list[int]:
+    """Offsets at which a new volume begins: at the first tile that would pass the limit, counted from the last cut.
+
+    No tile is larger than `largest`, so the k-th cut from the last one lies between k * (limit - largest) and k * limit. Only tiles
+    there are asked for, a few thousand narrow rows for `ahead` volumes at a time."""
+    largest, end = offsets.agg(F.max("n_bytes"), F.max(F.col("offset") + F.col("n_bytes"))).first()
+    cuts: list[int] = []
+    start = 0
+    ahead = max(1, min(ahead, limit // (8 * max(largest or 1, 1))))
+    while end is not None and end - start > limit:
+        last = cuts[-1] if cuts else -1
+        if largest > limit or not cuts:  # a tile may fill a volume alone; before the first one lies the header
+            at = offsets.filter((F.col("offset") + F.col("n_bytes") > start + limit) & (F.col("offset") > last)).agg(F.min("offset")).first()[0]
+            found = [] if at is None else [at]
+        else:
+            near = F.lit(False)
+            for k in range(1, ahead + 1):
+                near |= F.col("offset").between(start + k * (limit - largest), start + k * limit)
+            found = []
+            for at, n in sorted(tuple(r) for r in offsets.filter(near).select("offset", "n_bytes").collect()):
+                if at + n - (found[-1] if found else start) > limit and at > (found[-1] if found else last) and len(found) < ahead:
+                    found.append(at)
+        if not found:
+            break
+        cuts += found
+        start = cuts[-1]
+    return cuts
 
 
 def archive_volumes(offsets: DataFrame, limit: int) -> DataFrame:
     """offsets with volume: a tile opens a new one when it would pass the limit; the first volume holds the header too.
 
-    Greedy over running offsets: each volume's cut is one aggregate over the tiles, a row to the driver; volumes are few
-    (limit is two billion bytes). Tiles then get their volume by comparing their offset with the cuts."""
-    cuts, start = [], F.lit(0)
-    while True:
-        row = offsets.filter(F.col("offset") + F.col("n_bytes") - start > limit).filter(F.col("offset") > (cuts[-1] if cuts else -1)).agg(F.min("offset").alias("cut")).first()
-        if row["cut"] is None:
-            break
-        cuts.append(row["cut"])
-        start = F.lit(row["cut"])
-    volume = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col("offset")))
-    return offsets.withColumn("volume", volume)
+    Volumes are few (limit is two billion bytes), a row each: tiles meet theirs by the stretch of `limit` bytes in which
+    they lie, a broadcast join of three rows a volume at most."""
+    offsets = cut(offsets)
+    starts = [0, *volume_cuts(offsets, limit)]
+    rows = [(v, a, b) for v, (a, b) in enumerate(zip(starts, [*starts[1:], (1 << 62)], strict=True))]
+    last = F.greatest(F.col("from"), F.least(F.col("to") - 1, offsets.agg(F.coalesce(F.max("offset"), F.lit(0)).cast("long").alias("m")).first()["m"] + F.lit(0)))
+    volumes = offsets.sparkSession.createDataFrame(rows, "volume int, from long, to long")
+    spread = volumes.withColumn("_stretch", F.explode(F.sequence(F.expr(f"`from` div {limit}"), F.floor(last / limit)))).withColumnsRenamed({"from": "_from", "to": "_to"})
+    keyed = offsets.withColumn("_stretch", F.expr(f"offset div {limit}"))
+    return keyed.join(F.broadcast(spread), ["_stretch"]).filter("offset >= _from and offset < _to").drop("_stretch", "_from", "_to")
+
+
+def archive_head(ranges: DataFrame, offsets: DataFrame, source: str, tile_size: int = 256) -> DataFrame:
+    """The archive's header as rows part, seq_no, bytes: 0 what comes first (version 4, tile size, one source, how many ranges),
+    1 a range each, 2 the offset and length of a tile each, all big-endian."""
+    number = lambda v, size: text.uint_be(v.cast("long"), size)
+    name = source.encode()
+    count = ranges.agg(F.count("*").alias("n"))
+    first = F.concat(*(number(F.lit(v), 4) for v in (4, tile_size, 1, 0, len(name))), F.lit(name), number(F.col("n"), 4))
+    entry = F.concat(*(number(F.col(c), 4) for c in ("z", "x_min", "x_max", "y_min", "y_max", "source_index")), number(F.col("offset"), 8))
+    part = lambda d, i, no, data: d.select(F.lit(i).alias("part"), no.cast("long").alias("seq_no"), data.alias("bytes"))
+    index = F.concat(number(F.col("offset"), 8), number(F.col("n_bytes"), 4))
+    return part(count, 0, F.lit(0), first).unionByName(part(ranges, 1, F.col("range_id"), entry)).unionByName(part(offsets, 2, F.col("tile_no"), index))
 
 
 def archive_order(tiles: DataFrame, partitions: int = 8) -> DataFrame:

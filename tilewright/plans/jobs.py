@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from ..functions import geo
 from ..operators import catalog as cat
 from ..operators import raster
 from ..operators import tiles as tl
+from ..operators.steps import cut
 from ..sources import tables
 
 
@@ -35,19 +37,34 @@ def chart_tiles(charts: DataFrame, rasters: DataFrame, blocks: DataFrame, z: int
 
 
 def per_chart_pyramid(tiles: DataFrame, zmin: int, zmax: int) -> DataFrame:
-    """Overviews chart by chart: the chart is packed into the column key, so one pass does all charts."""
-    lift = tiles.withColumn("x", F.col("x") + F.shiftleft(F.col("chart_id"), 32))
-    made = raster.build_pyramid(lift, zmin, zmax)
-    low = F.pow(F.lit(2.0), F.lit(32) - (F.lit(zmax) - F.col("z"))).cast("long")  # the chart's bits move down with each level
-    return made.select(F.floor(F.col("x") / low).cast("long").alias("chart_id"), "z", F.pmod("x", low).alias("x"), "y", "content", "transp")
+    """Overviews chart by chart, all charts in one pass."""
+    return raster.build_pyramid(tiles, zmin, zmax, by=("chart_id",))
+
+
+def cut_charts(charts: DataFrame, rasters: DataFrame, blocks: DataFrame, zmin: int, zmax: int, block: int = 256, n: int = 256) -> DataFrame:
+    """The cutting stage: each chart's tiles of zoom zmax from its raster, and their overviews down to zmin."""
+    return per_chart_pyramid(cut(chart_tiles(charts, rasters, blocks, zmax, block, n)), zmin, zmax)
+
+
+def archive_of(merged: DataFrame, region: str, limit: int) -> DataFrame:
+    """The archive of a tile set (z, x, y, content) as rows volume, part, seq_no, bytes."""
+    sizes = merged.select("z", "x", "y", F.octet_length("content").cast("long").alias("n_bytes"))
+    ranges = cut(tl.range_offsets(tl.tile_rectangles(sizes), 8 + len(region.encode())))
+    placed = cut(tl.archive_volumes(tl.tile_offsets(ranges, sizes), limit))
+    return tables.archive_rows(tl.archive_head(ranges, placed, region), placed.join(merged.select("z", "x", "y", "content"), ["z", "x", "y"]))
 
 
 def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000) -> Compiled:
     """profile MX_REGION: merged tiles, archive rows and script; MB_REGION: merged tiles as mbtiles rows; MB_CHARTS: each
     chart's tiles as mbtiles rows, without every second zoom. charts: catalog fields with chart_id; tiles: chart_id, z, x,
-    y, transp, content. Holes are filled only if asked for."""
-    ordered = cat.catalog_order(cat.valid_charts(charts))
-    out = Compiled(ordered, tiles, tl.verify_catalog(ordered, tiles.drop("content")))
+    y, transp, content. Holes are filled only if asked for. Charts that don't pass verification are an error."""
+    if profile not in ("MX_REGION", "MB_REGION", "MB_CHARTS"):
+        raise ValueError(f"unknown profile {profile}")
+    ordered = cut(cat.catalog_order(cat.valid_charts(charts)))
+    out = Compiled(ordered, tiles, cut(tl.verify_catalog(ordered, tiles.drop("content"))))
+    failed = out.verdicts.filter("not ok").limit(5).collect()
+    if failed:
+        raise ValueError("charts that fail verification: " + ", ".join(f"{r['chart_id']} ({r['reason']})" for r in failed))
     if profile == "MB_CHARTS":
         out.mbtiles = tables.mbtiles_rows(tl.skip_zooms(tiles))
         return out
@@ -56,14 +73,39 @@ def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: st
         out.merged = raster.fill_holes(out.merged)
     if profile == "MB_REGION":
         out.mbtiles = tables.mbtiles_rows(out.merged)
-    elif profile == "MX_REGION":
-        if tiles.sparkSession.sparkContext.getCheckpointDir():
-            out.merged = out.merged.checkpoint()
-        sizes = out.merged.withColumn("n_bytes", F.octet_length("content").cast("long"))
-        ranges = tl.range_offsets(tl.tile_rectangles(sizes), 12 + len(region))
-        placed = tl.archive_volumes(tl.tile_offsets(ranges, sizes.select("z", "x", "y", "n_bytes")), limit)
-        out.archive = tables.archive_rows(placed.join(sizes.select("z", "x", "y", "content"), ["z", "x", "y"]))
-        out.script = tables.region_script(ordered, region, epoch, "--DBVERSION:3")
     else:
-        raise ValueError(f"unknown profile {profile}")
+        out.merged = cut(out.merged)
+        out.archive = archive_of(out.merged, region, limit)
+        out.script = tables.region_script(ordered, region, epoch, "--DBVERSION:3")
     return out
+
+
+def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, limit: int = 2_000_000_000) -> int:
+    """compile_region into tables under folder, stage by stage, with a log of what is done; a stage that the log has is left
+    alone, so a job that was stopped goes on where it ended. Returns how many stages ran."""
+    spark = charts.sparkSession
+    log, ran = f"{folder}/log", 0
+    done = spark.createDataFrame([], "line_no long, line string")
+    try:
+        done = cut(spark.read.json(log, schema="line_no long, line string"))
+    except AnalysisException:
+        pass  # no stage has run
+    jobs = spark.createDataFrame([(region, profile)], "region string, profile string")
+    reached = cat.pending_stage(jobs, done, len(cat.STAGES)).first()["stage"]
+    compiled = None
+    steps = {"CATALOG": ("catalog", lambda c: c.catalog.drop("ring")), "MERGE": ("merged", lambda c: c.merged), "ARCHIVE": ("archive", lambda c: c.archive), "METADATA": ("script", lambda c: c.script), "PUBLISHED": ("mbtiles", lambda c: c.mbtiles)}
+    for number, stage in enumerate(cat.STAGES, 1):
+        if number <= reached or stage not in steps:
+            continue
+        compiled = compiled or compile_region(profile, charts, tiles, region, epoch, limit=limit)
+        name, part = steps[stage]
+        table = part(compiled)
+        if table is not None:
+            if name == "archive":
+                tables.write_archive(table, f"{folder}/{name}")
+            else:
+                table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        line = f"{region}:::{profile}:::CHECKPOINT_{stage}"
+        spark.createDataFrame([(number, line)], "line_no long, line string").write.mode("append").json(log)
+        ran += 1
+    return ran

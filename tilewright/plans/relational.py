@@ -12,6 +12,7 @@ from ..functions import geo, text
 from ..operators import catalog as cat
 from ..operators import regions as reg
 from ..operators import tiles as tl
+from ..operators.steps import new_folder
 from ..sources import tables
 from .scalars import BASE, DEG, LATS, LNGS, ZOOM, px, py
 
@@ -154,10 +155,9 @@ def f7(files, a, b, d) -> DataFrame:
 SUF = f"CASE WHEN regexp_extract({BASE}, '^[0-9]*([^-]*)-', 1) = '' THEN '-' ELSE regexp_extract({BASE}, '^[0-9]*([^-]*)-', 1) END"
 STAMP = f"ltrim(regexp_extract({BASE}, '^([0-9]*)', 1), '0') || '_' || {SUF} || '_' || regexp_extract({BASE}, '-([^_-]*)', 1)"
 add("f7_metadata_for_files", f"chart_files {SHEETS}", f7, f"{F4}, fs AS (SELECT file_id, {STAMP} AS stamp FROM chart_files) SELECT file_id, stamp, name FROM fs LEFT JOIN m USING (stamp)")
-small = lambda d: d.select("chart_id").filter("chart_id <= 120")
-add("f8_verify_catalog", "chart_boxes tile_layers", lambda b, t: tl.verify_catalog(small(b), t),
+add("f8_verify_catalog", "chart_boxes tile_layers", lambda b, t: tl.verify_catalog(b.select("chart_id"), t),
     """, v AS (SELECT chart_id, z, x, bool_or(transp <> 0) AS visible FROM tile_layers GROUP BY ALL), s AS (SELECT chart_id, count(DISTINCT z) AS zooms, sum(CASE WHEN NOT visible THEN 1 ELSE 0 END)::BIGINT AS blank FROM v GROUP BY 1),
-    j AS (SELECT b.chart_id, zooms, blank FROM chart_boxes b LEFT JOIN s USING (chart_id) WHERE b.chart_id <= 120)
+    j AS (SELECT b.chart_id, zooms, blank FROM chart_boxes b LEFT JOIN s USING (chart_id))
     SELECT chart_id, zooms IS NOT NULL AND blank = 0 AS ok, CASE WHEN zooms IS NULL THEN 'no tiles' WHEN blank > 0 THEN 'empty column' ELSE '' END AS reason, coalesce(zooms, 0) AS zooms, coalesce(blank, 0) AS blank FROM j""")
 add("f9_verify_optimized", "tile_layers", lambda t: tl.verify_optimized(t.filter("transp <> 0"), t.filter("n_bytes > 500")),
     """, a AS (SELECT DISTINCT z, x, y, 1 AS a FROM tile_layers WHERE transp <> 0), b AS (SELECT DISTINCT z, x, y, 1 AS b FROM tile_layers WHERE n_bytes > 500),
@@ -186,8 +186,9 @@ add("f14_custom_region_files", "chart_files", lambda d: cat.custom_region_files(
 
 # ---- G
 add("g1_column_ysets", "tile_layers", lambda t: tl.column_ysets(t).select("z", "x", F.posexplode("ys").alias("i", "y")), " SELECT z, x, CAST(row_number() OVER (PARTITION BY z, x ORDER BY y) - 1 AS INT) AS i, y FROM (SELECT DISTINCT z, x, y FROM tile_layers)")
-block = lambda t: t.filter("(x + y) % 5 < 3 and (x < 340 or y % 4 <> 1)")
-BLOCK = "k AS (SELECT DISTINCT z, x, y FROM tile_layers WHERE (x + y) % 5 < 3 AND (x < 340 OR y % 4 <> 1)), s AS (SELECT z, x, list(y ORDER BY y) AS ys FROM k GROUP BY 1, 2)"
+# the archive's tiles: those of charts whose tile there is not empty
+block = tl.drop_transparent
+BLOCK = "k AS (SELECT DISTINCT z, x, y FROM tile_layers WHERE transp <> 0), s AS (SELECT z, x, list(y ORDER BY y) AS ys FROM k GROUP BY 1, 2)"
 add("g2_xs_by_yset", "tile_layers", lambda t: tl.xs_by_yset(block(t)).select("z", F.size("xs").cast("long").alias("n"), F.explode("xs").alias("x")), f", {BLOCK} SELECT z, count(*) OVER (PARTITION BY z, ys) AS n, x FROM s")
 add("g3_zoom_bounds", "tile_layers", tl.zoom_bounds, " SELECT z, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max FROM tile_layers GROUP BY z")
 add("g4_tile_counts", "tile_layers", tl.tile_counts, " SELECT z, count(*) AS n FROM (SELECT DISTINCT z, x, y FROM tile_layers) GROUP BY ROLLUP (z)")
@@ -204,10 +205,22 @@ def g8(spark, sf_dir: str) -> DataFrame:
     return cat.extract_links(spark.read.parquet(f"{sf_dir}/pages.parquet"), "e")
 
 
-QUERIES["g8_extract_links"] = QUERIES["d23_resolve_link"] = g8
+QUERIES["g8_extract_links"] = g8
 LINKS = r"""WITH l AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1) AS hs FROM pages), e AS (SELECT page_id, url, unnest(hs) AS href, CAST(unnest(range(len(hs))) AS INT) AS pos FROM l)
 SELECT page_id, pos, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([^/]*//[^/]*)', 1) || href WHEN starts_with(href, url) THEN href ELSE url || '/' || href END AS link FROM e WHERE href LIKE '%e'"""
-ORACLE["g8_extract_links"] = ORACLE["d23_resolve_link"] = LINKS
+ORACLE["g8_extract_links"] = LINKS
+
+
+def d23(spark, sf_dir: str) -> DataFrame:
+    """Addresses of each page's kinds: relative to the site, relative to the page, and below the page's own address."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    refs = F.array(F.lit("/a/b.zip"), F.concat("url", F.lit("/c.zip")), F.lit("d/e.zip"), F.lit("http://other.org/f.zip"))
+    return pages.select("page_id", "url", F.posexplode(refs).alias("kind", "href")).select("page_id", "kind", text.resolve_link(c("url"), c("href")).alias("link"))
+
+
+QUERIES["d23_resolve_link"] = d23
+ORACLE["d23_resolve_link"] = r"""WITH r AS (SELECT page_id, url, ['/a/b.zip', url || '/c.zip', 'd/e.zip', 'http://other.org/f.zip'] AS hs FROM pages), e AS (SELECT page_id, url, unnest(hs) AS href, CAST(unnest(range(4)) AS INT) AS kind FROM r)
+SELECT page_id, kind, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([^/]*//[^/]*)', 1) || href WHEN starts_with(href, url) THEN href ELSE url || '/' || href END AS link FROM e"""
 add("g9_burns_by_chart", "burn_names", lambda d: reg.burns_by_chart(d).select("chart", F.size("burns").cast("long").alias("n"), F.element_at("burns", -1)["score"].alias("top_score"), F.get("burns", F.lit(0))["x_off"].alias("first_x")),
     """, b AS (SELECT split_part(file, ':', 1) AS chart, split_part(file, ':', 2) AS crest, CAST(split_part(file, ':', 3) AS INT) AS score, CAST(split_part(file, ':', 4) AS INT) AS x_off, CAST(replace(split_part(file, ':', 5), '.png', '') AS INT) AS y_off FROM burn_names)
     SELECT chart, count(*) AS n, max(score) AS top_score, first(x_off ORDER BY score, x_off, y_off, crest) AS first_x FROM b GROUP BY chart""")
@@ -233,7 +246,7 @@ OFF = f"""{RECT}, o AS (SELECT *, (x_max - x_min + 1) * (y_max - y_min + 1) AS n
 ranges = lambda t: tl.range_offsets(tl.tile_rectangles(block(t)), 20)
 add("h5_range_offsets", "tile_layers", lambda t: ranges(t).select("z", "x_min", "y_min", "n", c("range_id").cast("long").alias("range_id"), "first_tile", "offset", "header_size"), f", {OFF} SELECT z, x_min, y_min, n, range_id, first_tile, pre + 12 * first_tile AS \"offset\", header_size FROM g")
 sizes = lambda t: block(t).groupBy("z", "x", "y").agg(F.max("n_bytes").alias("n_bytes"))
-TOFF = f"""{OFF}, sz AS (SELECT z, x, y, max(n_bytes) AS n_bytes FROM tile_layers WHERE (z, x, y) IN (SELECT (z, x, y) FROM k) GROUP BY 1, 2, 3),
+TOFF = f"""{OFF}, sz AS (SELECT z, x, y, max(n_bytes) AS n_bytes FROM tile_layers WHERE transp <> 0 GROUP BY 1, 2, 3),
     pl AS (SELECT sz.*, range_id, header_size, (sz.x - x_min) * (y_max - y_min + 1) + sz.y - y_min AS seq FROM sz JOIN g ON g.z = sz.z AND sz.x BETWEEN x_min AND x_max AND sz.y BETWEEN y_min AND y_max),
     tf AS (SELECT z, x, y, n_bytes, range_id, (header_size + coalesce(sum(n_bytes) OVER (ORDER BY range_id, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS off, seq FROM pl)"""
 add("h6_tile_offsets", "tile_layers", lambda t: tl.tile_offsets(ranges(t), sizes(t)).select("z", "x", "y", "n_bytes", c("range_id").cast("long").alias("range_id"), "offset"), f", {TOFF} SELECT z, x, y, n_bytes, range_id, off AS \"offset\" FROM tf")
@@ -242,8 +255,18 @@ add("h7_archive_volumes", "tile_layers", lambda t: tl.archive_volumes(tl.tile_of
 ORACLE["h7_archive_volumes"] = with_fixtures("tile_layers").replace("WITH ", "WITH RECURSIVE ", 1) + f""", {TOFF}, tm AS MATERIALIZED (SELECT * FROM tf),
     cuts(v, cut) AS (SELECT 0, CAST(0 AS BIGINT) UNION ALL SELECT v + 1, (SELECT min(off) FROM tm WHERE off + n_bytes - cut > {LIMIT} AND off > CASE WHEN v = 0 THEN -1 ELSE cut END) FROM cuts WHERE (SELECT min(off) FROM tm WHERE off + n_bytes - cut > {LIMIT} AND off > CASE WHEN v = 0 THEN -1 ELSE cut END) IS NOT NULL)
     SELECT z, x, y, CAST((SELECT count(*) FROM cuts WHERE v > 0 AND cut <= off) AS INT) AS volume FROM tm"""
-add("h8_archive_header", "tile_layers", lambda t: ranges(t).select("range_id", F.concat(*(F.hex(text.uint_be(c(x), 4)) for x in ("z", "x_min", "x_max", "y_min", "y_max", "source_index")), F.hex(text.uint_be(c("offset"), 8))).alias("bytes")).select(c("range_id").cast("long").alias("range_id"), "bytes"),
-    f", {OFF} SELECT range_id, printf('%08X%08X%08X%08X%08X%08X%016X', z, x_min, x_max, y_min, y_max, source_index, pre + 12 * first_tile) AS bytes FROM g")
+SOURCE = "REGION_TEST1"
+
+
+def h8(t: DataFrame) -> DataFrame:
+    found = ranges(t)
+    return tl.archive_head(found, tl.tile_offsets(found, sizes(t)), SOURCE).select("part", "seq_no", F.hex("bytes").alias("bytes"))
+
+
+add("h8_archive_header", "tile_layers", h8,
+    f""", {TOFF} SELECT 0 AS part, CAST(0 AS BIGINT) AS seq_no, printf('%08X%08X%08X%08X%08X', 4, 256, 1, 0, {len(SOURCE)}) || hex('{SOURCE}') || printf('%08X', (SELECT count(*) FROM g)) AS bytes
+    UNION ALL SELECT 1, range_id, printf('%08X%08X%08X%08X%08X%08X%016X', z, x_min, x_max, y_min, y_max, source_index, pre + 12 * first_tile) FROM g
+    UNION ALL SELECT 2, row_number() OVER (ORDER BY range_id, seq) - 1, printf('%016X%08X', off, n_bytes) FROM tf""")
 KIND = f"CASE WHEN NOT contains({BASE}, '_') THEN 0 WHEN contains({BASE}, '_W') THEN 1 WHEN contains({BASE}, '_UD') THEN 2 ELSE 3 END"
 add("h9_dedup_charts", "chart_files", lambda d: reg.dedup_charts(d).select("file_id", "stamp", "kept"), f" SELECT file_id, stamp, row_number() OVER (PARTITION BY stamp ORDER BY kind, path, file_id) = 1 AS kept FROM (SELECT *, {STAMP} AS stamp, {KIND} AS kind FROM chart_files)")
 LAYERS = f"r AS (SELECT t.*, rank FROM tile_layers t JOIN {CATALOG} USING (chart_id) WHERE transp <> 0)"
@@ -255,7 +278,7 @@ add("i3_top_layer", "chart_boxes tile_layers", lambda b, t: tl.top_layer(t, rank
 
 def flagship(b: DataFrame) -> DataFrame:
     rows = cat.catalog_order(cat.valid_charts(b).withColumn("zoom", F.greatest(F.lit(4), F.least(F.lit(9), geo.zoom_for_scale(c("scale") * 40, (c("south") + c("north")) / 2)))))
-    cover = tl.tile_cover(rows.withColumns({"zmin": F.lit(4), "zmax": c("zoom").cast("int")})).withColumn("transp", F.lit(1))
+    cover = tl.tile_cover(rows.withColumns({"zmin": F.lit(4), "zmax": c("zoom").cast("int")}), carry=("rank",)).withColumn("transp", F.lit(1))
     return tl.top_layer(cover, rows).groupBy("z", "chart_id").agg(F.count("*").alias("tiles"))
 
 
@@ -297,7 +320,7 @@ def _lowered(t: DataFrame) -> DataFrame:
 
 
 # ---- A, on rows
-add("a1_scan_files", "chart_files", lambda d: d.filter(F.upper(F.regexp_extract(text.base_name(c("path")), r"^.+\.([^.]*)$", 1)).isin("KAP", "TIF")).select("file_id"), " SELECT file_id FROM chart_files WHERE regexp_matches(upper(path), '[^/]\\.(KAP|TIF)$')")
+add("a1_scan_files", "chart_files", lambda d: tables.with_extension(d, ("kap", "tif")).select("file_id", "name", "ext"), " SELECT file_id, regexp_extract(path, '([^/]*)$', 1) AS name, regexp_extract(path, '\\.([^./]*)$', 1) AS ext FROM chart_files WHERE regexp_matches(upper(path), '[^/]\\.(KAP|TIF)$')")
 add("a7_mbtiles", "tile_layers", lambda t: tables.mbtiles_rows(t.select("z", "x", "y").distinct()), " SELECT DISTINCT z AS zoom_level, x AS tile_column, (CAST(1 AS BIGINT) << z) - 1 - y AS tile_row FROM tile_layers")
 PATHS = "concat('/set', chart_id, '/', z, '/', x, '/', y, CASE WHEN n_bytes % 300 = 0 THEN '.jpg' ELSE '.png' END)"
 add("a5_tile_key", "tile_layers", lambda t: t.select(tables.tile_key(F.expr(PATHS)).alias("k")).filter("k.z is not null").select("k.*"), " SELECT 'set' || chart_id AS tileset, z, x, y FROM tile_layers WHERE n_bytes % 300 <> 0")
@@ -318,3 +341,100 @@ add("a9_region_script", "chart_boxes", a9,
     SELECT CAST(-2 AS BIGINT) AS line_no, '--DBVERSION:3' || chr(10) AS line UNION ALL SELECT -1, {A9_HEAD} UNION ALL SELECT rank, {A9_ROW} FROM v""")
 add("a12_region_files", "chart_boxes", lambda d: tables.region_files_map(f3(d).select("region", "path")).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("region", "paths")).select("region", F.size("paths").cast("long").alias("n"), F.get("paths", F.lit(0)).alias("first_path")),
     f"{F3} SELECT region, count(*) AS n, min(path) AS first_path FROM got GROUP BY region")
+
+
+# ---- A, through files that the query writes to the shared folder
+def a2(d: DataFrame) -> DataFrame:
+    """Chart files with a raster behind their header, one for each chart."""
+    folder = new_folder(d.sparkSession, "headers")
+    d.select("chart_id", F.concat("header", F.lit("cut\x1a\u00e9 not a line\nnor this")).alias("value")).write.partitionBy("chart_id").text(folder)
+    read = tables.read_chart_headers(d.sparkSession, folder).withColumn("chart_id", F.regexp_extract("path", "chart_id=([0-9]+)", 1).cast("long"))
+    return cat.parse_headers(read).select("chart_id", F.size("lines").cast("long").alias("n_lines"), "scale", "projection", "datum")
+
+
+add("a2_chart_headers", "chart_headers", a2, f" SELECT chart_id, len(string_split(header, chr(10))) - 1 AS n_lines, CAST({line('KNP/SC=([0-9]+)')} AS INT) AS scale, 'MERCATOR' AS projection, 'WGS84' AS datum FROM chart_headers")
+
+
+def a3(d: DataFrame) -> DataFrame:
+    folder = new_folder(d.sparkSession, "catalog")
+    tables.write_catalog(cat.build_catalog(headers(d).withColumn("path", F.concat(F.lit("/c/"), c("chart_id"), F.lit(".KAP")))), folder)
+    back = tables.read_catalog(d.sparkSession, folder)
+    return back.select("path", "name", "scale", "depths", c("rank").cast("long").alias("rank"), F.size("ring").cast("long").alias("n"), F.round(F.get("ring", F.lit(0))["lat"], 6).alias("lat0"))
+
+
+add("a3_catalog", "chart_headers", a3,
+    f""", h AS (SELECT concat('/c/', chart_id, '.KAP') AS path, trim(replace({line('BSB/NA=([^,]*),')}, '''', '')) AS name, CAST({line('KNP/SC=([0-9]+)')} AS INT) AS scale, CASE WHEN contains(header, 'UN=') THEN {line('UN=([^,]*),')} ELSE 'Unknown' END AS depths, round({LATS[0]}, 6) AS lat0 FROM chart_headers)
+    SELECT path, name, scale, depths, row_number() OVER (ORDER BY scale DESC, path) AS rank, CAST(4 AS BIGINT) AS n, lat0 FROM h WHERE name NOT LIKE '%Cover for Chart%'""")
+
+
+def a4(d: DataFrame) -> DataFrame:
+    folder = new_folder(d.sparkSession, "product")
+    d.select(F.concat(F.lit("<x>file name: 1_1.KAP</x>"), F.when(c("node_id") % 2 == 0, F.replace("xml", F.lit("EX_Extent"), F.lit("gmd:EX_Extent"))).otherwise(c("xml")))).write.text(folder)
+    return tables.read_product_catalog(d.sparkSession, folder).groupBy("name").agg(F.count("*").alias("n"))
+
+
+add("a4_product_catalog", "product_texts", a4, " SELECT regexp_extract(xml, 'file name: ([^<]*?\\.KAP)', 1) AS name, count(*) AS n FROM product_texts GROUP BY 1")
+
+
+def a6(d: DataFrame) -> DataFrame:
+    """Outlines of all charts as override files, in the layout of headers."""
+    folder = new_folder(d.sparkSession, "overrides")
+    d.select("chart_id", c("header").alias("value")).write.partitionBy("chart_id").text(folder)
+    rings = tables.read_overrides(d.sparkSession, folder, "ply")
+    return rings.select(F.size("ring").cast("long").alias("n"), F.get("ring", F.lit(0))["lat"].alias("lat0"), F.get("ring", F.lit(1))["lng"].alias("lng1"), (F.get("ring", F.lit(0)) == F.element_at("ring", -1)).alias("closed"), c("key").endswith(".txt").alias("named"))
+
+
+add("a6_overrides", "chart_headers", a6, f" SELECT CAST(4 AS BIGINT) AS n, {LATS[0]} AS lat0, {LNGS[1]} AS lng1, true AS closed, true AS named FROM chart_headers")
+
+
+def a7(t: DataFrame) -> DataFrame:
+    """Both tables of a tile set's file: tiles by their number of bytes, and metadata."""
+    folder = new_folder(t.sparkSession, "mbtiles")
+    sets = t.select(F.concat(F.lit("set "), c("chart_id")).alias("tileset"), "z", "x", "y", F.encode(F.lpad(F.lit(""), 3, "x"), "UTF-8").alias("content"))
+    about = t.groupBy(F.concat(F.lit("set "), c("chart_id")).alias("tileset")).agg(F.min("z").alias("min_zoom"), F.max("z").alias("max_zoom")).withColumns({"name": F.lit("n"), "bounds": F.lit("b")})
+    tables.to_mbtiles_tables(sets, about, folder)
+    back = t.sparkSession.read.parquet(f"{folder}/tiles").groupBy("tileset").agg(F.count("*").alias("n"), F.max(F.octet_length("tile_data")).cast("long").alias("bytes"))
+    meta = t.sparkSession.read.parquet(f"{folder}/metadata").filter("name in ('minzoom', 'format', 'type')").groupBy("tileset").agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "name", "value"))), ",").alias("about"))
+    return back.join(meta, "tileset")
+
+
+add("a7_mbtiles_tables", "tile_layers", a7, f""", r AS (SELECT 'set ' || chart_id AS s, count(*) AS n, min(z) AS z FROM tile_layers GROUP BY 1) SELECT replace(s, ' ', '_') AS tileset, n, CAST(3 AS BIGINT) AS bytes, 'format=png,minzoom=' || z || ',type=overlay' AS about FROM r""")
+
+
+def a8(t: DataFrame) -> DataFrame:
+    """An archive's stream, written and read again: where each piece begins, and what it is."""
+    folder = new_folder(t.sparkSession, "archive")
+    found = ranges(t)
+    placed = tl.archive_volumes(tl.tile_offsets(found, sizes(t)), LIMIT)
+    content = F.unhex(F.rpad(F.hex(F.concat_ws(",", "z", "x", "y")), F.lit(2) * c("n_bytes").cast("int"), F.lit("00")))
+    tables.write_archive(tables.archive_rows(tl.archive_head(found, placed, SOURCE), placed.withColumn("content", content)), folder)
+    back = tables.read_archive(t.sparkSession, folder).filter("part = 3")
+    return back.select("volume", "seq_no", "at", F.octet_length("bytes").cast("long").alias("size"), F.sha1("bytes").alias("sum"))
+
+
+add("a8_archive", "tile_layers", a8, "")
+ORACLE["a8_archive"] = ORACLE["h7_archive_volumes"].rsplit("SELECT z, x, y, CAST", 1)[0] + """, v AS (SELECT *, (SELECT count(*) FROM cuts WHERE v > 0 AND cut <= off) AS volume, row_number() OVER (ORDER BY range_id, seq) - 1 AS seq_no FROM tm)
+    SELECT CAST(volume AS INT) AS volume, seq_no, off - CASE WHEN volume = 0 THEN 0 ELSE min(off) OVER (PARTITION BY volume) END AS "at", n_bytes AS size, sha1(concat(z, ',', x, ',', y)::BLOB || unhex(repeat('00', CAST(n_bytes - length(concat(z, ',', x, ',', y)) AS INT)))) AS sum FROM v"""
+
+
+def a10(new: DataFrame) -> DataFrame:
+    folder = new_folder(new.sparkSession, "manifest")
+    tables.write_manifest(new, folder)
+    back = new.sparkSession.read.text(folder).select(F.from_json("value", "manifest_version int, regions map<string, struct<size_bytes: long, epoch: long>>").alias("m"))
+    return back.select(c("m.manifest_version").alias("version"), F.explode("m.regions").alias("region", "r")).select("version", "region", "r.*")
+
+
+add("a10_manifest", "manifest_new", a10, " SELECT 1 AS version, region, size_bytes, epoch FROM manifest_new")
+
+
+def a11(d: DataFrame) -> DataFrame:
+    folder = new_folder(d.sparkSession, "regions")
+    tables.write_region_manifest(f3(d).select("region", "path"), folder)
+    png = shifted(d).filter("chart_id % 3 = 0").select(F.replace("path", F.lit(".tif"), F.lit(".png")).alias("path"))
+    tif = shifted(d).filter("chart_id % 3 < 2 and chart_id % 13 > 2").select("path")
+    return tables.read_region_manifest(d.sparkSession, folder, png.distinct(), tif.distinct())
+
+
+add("a11_region_manifest", "chart_boxes", a11,
+    f"""{F3}, png AS (SELECT DISTINCT nm, replace(path, '.tif', '.png') AS png FROM ch WHERE chart_id % 3 = 0), tif AS (SELECT DISTINCT nm, path AS tif FROM ch WHERE chart_id % 3 < 2 AND chart_id % 13 > 2)
+    SELECT region, ch.nm AS name, coalesce(png, tif) AS path FROM got JOIN ch USING (chart_id) LEFT JOIN png ON png.nm = ch.nm LEFT JOIN tif ON tif.nm = ch.nm""")

@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text
 from ..functions import tilemath as tm
@@ -16,35 +11,38 @@ from ..functions import tilemath as tm
 CATALOG_SCHEMA = "path string, name string, min_zoom int, max_zoom int, scale int, date string, depths string, outline string, rank int"
 
 
-def scan_files(spark: SparkSession, folder: str, exts: tuple[str, ...] = ("kap", "tif"), include_only: DataFrame | None = None) -> DataFrame:
-    """path, name, ext of the files under folder with one of the extensions (in any case; a name must stand before the dot),
-    and only those of include_only (name) if given. Contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+def with_extension(files: DataFrame, exts: tuple[str, ...] = ("kap", "tif")) -> DataFrame:
+    """files (path) with name and ext, those with one of the extensions in any case; a name must stand before the dot."""
     named = files.withColumn("name", text.base_name(F.col("path"))).withColumn("ext", F.regexp_extract("name", r"^.+\.([^.]*)$", 1))
-    found = named.filter(F.upper("ext").isin(*(e.upper() for e in exts)))
-    return found if include_only is None else found.join(include_only.select("name").distinct(), "name", "left_semi")
+    return named.filter(F.upper("ext").isin(*(e.upper() for e in exts)))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def header_of(content: pd.Series) -> pd.Series:
-    """The lines before the first one with the byte 0x1A; bytes that are not ASCII are dropped."""
+def scan_files(spark: SparkSession, folder: str, exts: tuple[str, ...] = ("kap", "tif"), include_only: DataFrame | None = None) -> DataFrame:
+    """path, name, ext of the files under folder with one of the extensions, and only those of include_only (name) if given.
+    Contents are not read."""
+    found = with_extension(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path"), exts)
+    return found if include_only is None else found.join(include_only.select("name").distinct(), "name", "left_semi")
 
-    def cut(data: bytes) -> list[str]:
-        end = data.find(b"\x1a")
-        head = data if end < 0 else data[: data.rfind(b"\n", 0, end) + 1]
-        return head.decode("ascii", "ignore").split("\n")[: head.count(b"\n") + (not head.endswith(b"\n") and bool(head))]
 
-    return content.map(lambda x: None if x is None else cut(bytes(x)))
+def header_lines_of(content: Column) -> Column:
+    """The lines before the first one with the byte 0x1A; bytes that are not ASCII are dropped. What follows that byte, the
+    raster, is cut off in the JVM."""
+    whole = F.decode(content, "ISO-8859-1")
+    head = F.regexp_replace(F.substring_index(whole, "\x1a", 1), r"[^\x00-\x7F]", "")
+    lines = F.split(head, "\n")
+    closed = F.contains(whole, F.lit("\x1a")) | (F.element_at(lines, -1) == "")  # the last piece is no whole line
+    return F.when(closed, F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
 
 
 def read_chart_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """path and lines, one row a chart file. Contents end in the task that reads them."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", header_of("content").alias("lines"))
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", header_lines_of(F.col("content")).alias("lines"))
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A catalog (JSON array or lines) with its rank, and the ring of its outline; a missing one is an error."""
-    return spark.read.schema(CATALOG_SCHEMA).option("multiLine", True).json(path).withColumn("ring", text.parse_outline(F.col("outline")))
+def read_catalog(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
+    """A catalog with its rank, and the ring of its outline; a missing one is an error. Its JSON has a row a line, as
+    write_catalog leaves it, or is an array; pretty: one that is laid out over many lines, which a single task reads."""
+    return spark.read.schema(CATALOG_SCHEMA).option("multiLine", pretty).json(path).withColumn("ring", text.parse_outline(F.col("outline")))
 
 
 def write_catalog(df: DataFrame, path: str) -> None:
@@ -53,9 +51,11 @@ def write_catalog(df: DataFrame, path: str) -> None:
 
 
 def read_product_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the chart files that a product catalog's extents list."""
-    extents = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<EX_Extent.*?</EX_Extent>"), 0)).alias("xml"))
-    return extents.select(F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)file name: ([^<]*?\.KAP)"), 1)).alias("name"))
+    """Names of the chart files that a product catalog's extents list. The file is cut at the ends of extents, so that a large
+    one is read by many tasks."""
+    extents = spark.read.option("lineSep", "EX_Extent>").text(path).filter(F.col("value").rlike(r"</([A-Za-z0-9]+:)?$"))
+    inside = F.regexp_replace("value", r"(?s)^.*<([A-Za-z0-9]+:)?EX_Extent\b", "")
+    return extents.select(F.explode(F.regexp_extract_all(inside, F.lit(r"(?s)file name: ([^<]*?\.KAP)"), 1)).alias("name"))
 
 
 def tile_key(path: Column) -> Column:
@@ -105,23 +105,24 @@ def to_mbtiles_tables(tiles: DataFrame, sets: DataFrame, path: str) -> None:
     metadata_rows(sets.withColumn("tileset", text.tileset_name(F.col("tileset")))).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
-def archive_head(ranges: list, tile_index: Iterator[tuple[int, int]], source: str, tile_size: int = 256) -> bytes:
-    """The archive's header: version 4, tile size, one source, the ranges, and offset and length of each tile, big-endian."""
-    name = source.encode()
-    head = struct.pack(">II", 4, tile_size) + struct.pack(">IIII", 1, 0, len(name), 0)[:12] + name
-    head += struct.pack(">I", len(ranges)) + b"".join(struct.pack(">6IQ", *r) for r in ranges)
-    return head + b"".join(struct.pack(">QI", *t) for t in tile_index)
+def archive_rows(head: DataFrame, tiles: DataFrame) -> DataFrame:
+    """An archive as rows volume, part, seq_no, bytes: head (part, seq_no, bytes; see archive_head) opens volume 0, tiles
+    (volume, tile_no, content) are part 3."""
+    body = tiles.select("volume", F.lit(3).alias("part"), F.col("tile_no").cast("long").alias("seq_no"), F.col("content").alias("bytes"))
+    return head.select(F.lit(0).alias("volume"), "part", "seq_no", "bytes").unionByName(body)
 
 
-def archive_rows(tiles: DataFrame) -> DataFrame:
-    """volume, seq_no and bytes of the tiles of an archive (tiles with volume, tile_no, content), sorted within volumes. A
-    volume is written by streaming its partition; none is held in memory."""
-    return tiles.select("volume", F.col("tile_no").alias("seq_no"), F.col("content").alias("bytes")).repartition("volume").sortWithinPartitions("volume", "seq_no")
+def write_archive(rows: DataFrame, path: str) -> None:
+    """Volumes as Parquet: column bytes, read by (volume, part, seq_no), is the archive's stream. A volume is one task, and no
+    larger than its limit."""
+    rows.repartition("volume").sortWithinPartitions("volume", "part", "seq_no").write.mode("overwrite").partitionBy("volume").parquet(path)
 
 
-def write_archive(head: DataFrame, tiles: DataFrame, path: str) -> None:
-    """Volumes as Parquet: column bytes, read by (volume, seq_no), is the archive's stream; head is volume 0, seq_no -1."""
-    head.select(F.lit(0).alias("volume"), F.lit(-1).cast("long").alias("seq_no"), "bytes").unionByName(archive_rows(tiles)).repartition("volume").sortWithinPartitions("volume", "seq_no").write.mode("overwrite").partitionBy("volume").parquet(path)
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of an archive, with the offset in its volume at which each begins."""
+    rows = spark.read.parquet(path)
+    w = Window.partitionBy("volume").orderBy("part", "seq_no").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("at", F.coalesce(F.sum(F.octet_length("bytes").cast("long")).over(w), F.lit(0)))
 
 
 def region_script(catalog: DataFrame, region: str, epoch: int, version_line: str, custom: tuple[str, int] | None = None) -> DataFrame:
