@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, cut, join_dimension, text_of
+from ..operators.steps import cut
+from .common import count_words, join_dimension, text_of
 
 HASH_BITS = 60
 

@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, attach, cut, one_of_each, text_of
+from ..operators.steps import cut
+from .common import KeyFilter, attach, one_of_each, text_of
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 GRAMS = 2048  # n-grams that a node has on average at most, where blocks are sized

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import shared
+from ..operators.steps import new_folder
 from .exact_dedup import drop_copies
 from .mixing import apply_mix
 from .near_dup import drop_near_duplicates
@@ -39,9 +37,11 @@ STAGES = [("quality classifier", quality), ("exact dedup", exact), ("n-gram Jacc
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents. Each stage's result is written to the shared checkpoint folder and read again, so a
-    stage starts from files, and a lost executor repeats at most its own stage's tasks."""
-    shared(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    stage starts from files, and a lost executor repeats at most its own stage's tasks.
+
+    Null and empty texts, long ones, ties, repeated rows and further columns fare as each stage's operator says; an empty
+    table of documents gives an empty result."""
+    folder = new_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")

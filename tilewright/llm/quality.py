@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from .common import crc_mod, text_of
 from .toxicity import sample_labelled
 
-#: classes of UTF-8 bytes: 0 lower case and others, 1 upper case, 2 digit, 3 blank, 4 line end, then marks
+#: classes of UTF-8 bytes: 0 lower case and others, 1 upper case, 2 digit, 3 blank, 4 line end, then marks, of which those
+#: from the 19th on are one class
 MARKS = ".,|!*#$%&<>{}[]()=/\\\"':;?-_@+~^`"
 KINDS = 24
+FORMS, LETTERS, FIGURES = KINDS**3, 1 << 12, 8  # columns: trigrams of classes, hashed letter 4-grams, figures of repetition
+COLUMNS = FORMS + LETTERS + FIGURES
+LETTER_WEIGHT = np.float32(0.5)  # of a letter 4-gram, beside a trigram of classes
 
 
 def byte_classes() -> np.ndarray:
@@ -33,13 +37,17 @@ CLASSES = byte_classes()
 
 
 def raw_features(text: str) -> np.ndarray:
-    """Counts of byte-class trigrams as shares of the text, then figures of repetition and form."""
+    """Counts of byte-class trigrams and of letter 4-grams as shares of the text, then figures of repetition and form."""
     data = text.encode("utf-8", "surrogatepass")
     codes = CLASSES[np.frombuffer(data, np.uint8)]
-    out = np.zeros(KINDS**3 + 8, np.float32)
+    out = np.zeros(COLUMNS, np.float32)
     if len(codes) > 2:
         tri = codes[:-2] * (KINDS * KINDS) + codes[1:-1] * KINDS + codes[2:]
-        out[: KINDS**3] = np.bincount(tri, minlength=KINDS**3) / len(tri)
+        out[:FORMS] = np.bincount(tri, minlength=FORMS) / len(tri)
+    if len(codes) > 3:
+        x = np.frombuffer(data.lower(), np.uint8).astype(np.uint32)
+        four = (x[:-3] | x[1:-2] << np.uint32(8) | x[2:-1] << np.uint32(16) | x[3:] << np.uint32(24)) * np.uint32(0x9E3779B1)
+        out[FORMS : FORMS + LETTERS] = np.bincount(four >> np.uint32(20), minlength=LETTERS) / len(four)
     words = data.split()
     n = len(words)
     if n:
@@ -47,27 +55,37 @@ def raw_features(text: str) -> np.ndarray:
         single = np.bincount(codes, minlength=KINDS) / max(1, len(codes))
         same = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
         triples = len(set(zip(words, words[1:], words[2:], strict=False))) / max(1, n - 2) if n > 2 else 1.0
-        out[KINDS**3 :] = (
+        out[-FIGURES:] = (
             same, 1 - min(1.0, triples), 1 - len(set(words)) / n, 1 - len(set(lines)) / len(lines), single[1], single[5:].sum(), min(2.0, (len(data) - n) / n / 10), np.log1p(n) / 10,
         )
     return out
 
 
+def main_axes(x: np.ndarray, size: int) -> np.ndarray:
+    """The first right singular vectors of x, as columns: by repeated products with a random sketch, always the same one."""
+    y = x @ np.random.default_rng(0).standard_normal((x.shape[1], min(size + 16, min(x.shape)))).astype(np.float32)
+    for _ in range(6):
+        y, _ = np.linalg.qr(x @ (x.T @ y))
+    _, _, v = np.linalg.svd(y.T @ x, full_matrices=False)
+    return np.ascontiguousarray(v[:size].T)
+
+
 class Latent:
-    """Latent semantic analysis: weighted trigram shares and scaled figures, reduced by singular vectors of the sample."""
+    """Latent semantic analysis: shares of n-grams by inverse frequency and scaled figures, reduced by singular vectors of the
+    sample."""
 
     def __init__(self, raw: np.ndarray, size: int = 48):
-        self.used = np.flatnonzero((raw[:, : KINDS**3] > 0).sum(axis=0) >= 2)
-        present = (raw[:, self.used] > 0).mean(axis=0)
-        self.idf = np.log(1 + 1 / np.maximum(present, 1e-6)).astype(np.float32)
+        grams = raw[:, :-FIGURES] > 0
+        self.used = np.flatnonzero(grams.sum(axis=0) >= 2)
+        self.idf = np.log(1 + 1 / np.maximum(grams[:, self.used].mean(axis=0), 1e-6)).astype(np.float32)
+        self.idf[self.used >= FORMS] *= LETTER_WEIGHT
         self.scale = np.float32(2.0)
         x = self.weighted(raw)
         self.mean = x.mean(axis=0)
-        _, _, v = np.linalg.svd(x - self.mean, full_matrices=False)
-        self.axes = np.ascontiguousarray(v[:size].T)
+        self.axes = main_axes(x - self.mean, size)
 
     def weighted(self, raw: np.ndarray) -> np.ndarray:
-        return np.c_[np.sqrt(raw[:, self.used]) * self.idf, raw[:, KINDS**3 :] * self.scale].astype(np.float32)
+        return np.c_[np.sqrt(raw[:, self.used]) * self.idf, raw[:, -FIGURES:] * self.scale].astype(np.float32)
 
     def __call__(self, raw: np.ndarray) -> np.ndarray:
         y = (self.weighted(raw) - self.mean) @ self.axes
@@ -100,11 +118,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                 places = [np.flatnonzero(v) for v in x]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(places, pa.list_(pa.int64())), pa.array([v[p] for v, p in zip(x, places, strict=True)], pa.list_(pa.float32()))], ["label", "at", "v"])
 
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id").select("text", "label")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id")
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")  # one document of an id that repeats
     sample = rows.mapInArrow(raw, "label int, at array<long>, v array<float>").toPandas()
     if len(sample) < 10:
         return None
-    dense = np.zeros((len(sample), KINDS**3 + 8), np.float32)
+    dense = np.zeros((len(sample), COLUMNS), np.float32)
     for i, (at, v) in enumerate(zip(sample["at"], sample["v"], strict=True)):
         dense[i, at] = v
     latent = Latent(dense)
@@ -126,10 +145,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     Labels are learnt from rows with crc32(id as text) mod folds other than fold: at most `most` of either label, those
     of the least hashes, which bounds the broadcast. If one label is capped, its votes weigh more, so that both labels
-    count as they occur. Vectors come from the whole text (byte-class trigrams and repetition figures, reduced by the
-    sample's singular vectors); each batch of documents is multiplied with all labelled vectors in blocks. No shuffle.
+    count as they occur. Vectors come from the whole text, however long (trigrams of byte classes, letter 4-grams and
+    repetition figures, reduced by the sample's singular vectors); each batch of documents is multiplied with all labelled vectors in blocks. No shuffle.
     Null or empty text has the vector of no trigram and is scored like any other. Without labels the score is 1. Ids
-    are passed through, null and repeated ones too (a null id is not held out); other columns are not read."""
+    are passed through, null and repeated ones too (a null id is not held out; of a labelled id that repeats, one text is
+    learnt); an empty table gives an empty result; other columns are not read."""
     model = fit(docs, labels, id_col, text_col, label_col, fold, folds, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +162,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fold: int = 2, folds: int = 4, most: int = 2000, k: int = 15, power: float = 8.0) -> DataFrame:
-    """docs without those that score below least; rows and columns of the others stay as they are."""
+    """docs without those that score below least; rows and columns of the others stay as they are.
+
+    What a filter drops is gone for good, so it drops a document only if bad neighbours outweigh the good ones (0.5); the
+    prediction of op7, 1 from 0.7 on, is stricter. Null and empty texts are scored like any other, long ones whole; rows
+    with null or repeated ids go by their own text. Without labels all rows stay; an empty table stays empty."""
     model = fit(docs, labels, id_col, text_col, label_col, fold, folds, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, cut, join_dimension, text_of
+from ..operators.steps import cut
+from .common import BLANKS, join_dimension, text_of
 
 #: feature -> (what is counted, what it is counted per); its value is the count a thousand, rounded down
 FEATURES = {
@@ -150,7 +151,9 @@ def oracle(alpha: float = 0.02, delta: float = 0.05) -> str:
     rejected = " OR ".join(f"v.{name} > m.{name}" for name in FEATURES)
     return rf"""
 WITH d AS (SELECT doc_id, coalesce('s' || lang, 'null') AS skey, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
-w AS MATERIALIZED (SELECT doc_id, skey, rid, t, regexp_extract_all(t, '[^ 	-]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
+w AS MATERIALIZED (SELECT doc_id, skey, rid, t, regexp_extract_all(t, '[^ 	-
+]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM d),
 win AS (SELECT rid, i, w[i : i + 7] AS x FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) > 7)),
 rep AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, x) > 1),
 hit AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS j FROM rep) GROUP BY rid),

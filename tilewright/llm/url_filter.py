@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, attach, cut, host_of, path_of, salt_of
+from ..operators.steps import cut
+from .common import KeyFilter, attach, host_of, path_of, salt_of
 
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
