@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.steps import cut
+from ..operators.steps import cut, in_order
 from .common import count_words, join_dimension, text_of
 
 HASH_BITS = 60
@@ -21,24 +21,18 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     """sources (source, source_size) with target: shares of the total by weight, cut at most times the source's size.
 
     Sources by code point, null last, get the weights in turn. What the cut leaves is shared again by weight: sources are
-    sorted by the level at which they fill up, and running sums tell which of them do. One row a source, not a document:
-    this is a table of sources, whose windows need no partition."""
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    at = (F.row_number().over(by_name) - 1) % len(weights)
-    listed = sources.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (at + 1).cast("int")).cast("long"))
-    everything = Window.partitionBy()
-    by_level = Window.orderBy((F.col("source_size") * most / F.col("w")), F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    level = (
-        listed.withColumn("t", F.sum("source_size").over(everything))
-        .withColumn("left", F.col("t") - most * F.coalesce(F.sum("source_size").over(by_level), F.lit(0)))
-        .withColumn("w_left", F.sum("w").over(everything) - F.coalesce(F.sum("w").over(by_level), F.lit(0)))
-        .withColumn("full", most * F.col("source_size") * F.col("w_left") <= F.col("left") * F.col("w"))
-    )
-    level = level.withColumn("t_rest", F.max(F.when(~F.col("full"), F.col("left"))).over(everything)).withColumn(
-        "w_rest", F.max(F.when(~F.col("full"), F.col("w_left"))).over(everything)
-    )
-    target = F.when(F.col("full"), (most * F.col("source_size")).cast("double")).otherwise((F.col("t_rest") * F.col("w")).cast("double") / F.col("w_rest").cast("double"))
-    return level.select("source", "source_size", target.alias("target"))
+    sorted by the level at which they fill up, and running sums tell which of them do. Both orders are kept by ranges of
+    sources (see in_order), so no task holds all of them; two rows of totals come to the driver."""
+    named = in_order(sources, F.col("source").isNull(), "source")
+    at = (F.col("place") % len(weights) + 1).cast("int")
+    listed = named.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), at).cast("long")).drop("place").withColumn("_fills", F.col("source_size") * most / F.col("w"))
+    run = in_order(listed, "_fills", F.col("source").isNull(), "source", sums={"_size": "source_size", "_w": "w"})
+    total, w_total = (x or 0 for x in listed.agg(F.sum("source_size"), F.sum("w")).first())
+    level = run.withColumn("left", F.lit(total).cast("long") - most * F.col("_size")).withColumn("w_left", F.lit(w_total).cast("long") - F.col("_w"))
+    level = cut(level.withColumn("full", most * F.col("source_size") * F.col("w_left") <= F.col("left") * F.col("w")))
+    left, w_left = level.filter("not full").agg(F.max("left"), F.max("w_left")).first()  # both nulls if all are full
+    share = (F.lit(left).cast("long") * F.col("w")).cast("double") / F.lit(w_left).cast("double")
+    return level.select("source", "source_size", F.when(F.col("full"), (most * F.col("source_size")).cast("double")).otherwise(share).alias("target"))
 
 
 def source_key(source: Column) -> Column:
@@ -98,7 +92,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
 
     Sizes are computed once and checkpointed; each level reads three numbers a row. The hash hangs on the id alone, so
     reruns agree, and rows with one id share their fate. Null text has size 0; a null source is a source, the last;
-    null ids share one hash. Sources and their buckets are broadcast only while they are few, else joined with salt."""
+    null ids share one hash; a long text is counted whole; an empty table gives an empty result. Sources and their buckets
+    are broadcast only while they are few, else joined with salt."""
     rows = sized(docs, seed, id_col, size, source_col)
     copies = F.col("passes") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
     return join_dimension(rows, thresholds(rows, weights, most, bits), "skey", "id").select(

@@ -108,13 +108,12 @@ def cutoffs(labelled: DataFrame, grid: dict[str, list[int]], alpha: float = 0.02
     if not each:
         return labelled.select("stratum", F.lit("").alias("rule"), F.lit(0).cast("long").alias("cutoff")).limit(0)
     counts = cut(labelled.select("stratum", F.explode(F.array(*each)).alias("e")).groupBy("stratum", "e.rule", "e.cutoff").agg(F.count("*").alias("n"), F.sum(F.col("e.hit").cast("long")).alias("k")))
-    level = lambda groups: F.lit(delta / len(FEATURES)) / F.col(groups)
+    level = lambda groups: delta / len(FEATURES) / max(groups, 1)
     strata = counts.groupBy("stratum").agg(F.max("n").alias("labels"))
-    few = F.col("labels") * math.log1p(-bound) > F.log(level("strata"))
-    grouped = cut(strata.crossJoin(F.broadcast(strata.agg(F.count("*").alias("strata")))).select("stratum", F.when(few, F.lit("few")).otherwise(F.concat(F.lit("s"), F.coalesce("stratum", F.lit("")))).alias("group")))  # one row is broadcast
-    groups = grouped.agg(F.count_distinct("group").alias("groups"))
+    few = F.col("labels") * math.log1p(-bound) > math.log(level(strata.count()))
+    grouped = cut(strata.select("stratum", F.when(few, F.lit("few")).otherwise(F.concat(F.lit("s"), F.coalesce("stratum", F.lit("")))).alias("group")))
     pooled = counts.join(grouped, "stratum").groupBy("group", "rule", "cutoff").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    passed = pooled.crossJoin(F.broadcast(groups)).filter(binomial_tail(F.col("k"), F.col("n"), bound) <= level("groups")).join(grouped, "group")
+    passed = pooled.filter(binomial_tail(F.col("k"), F.col("n"), bound) <= level(grouped.select("group").distinct().count())).join(grouped, "group")
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
