@@ -58,7 +58,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows
     factors = np.random.default_rng(7).integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             digests, hashes, sizes = [], [], []
             for text in batch.column(2).to_pylist():
                 grams = ngrams(text, n)

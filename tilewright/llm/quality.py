@@ -18,6 +18,7 @@ MARKS = ".,|!*#$%&<>{}[]()=/\\\"':;?-_@+~^`"
 KINDS = 24
 FORMS, LETTERS, FIGURES = KINDS**3, 1 << 12, 8  # columns: trigrams of classes, hashed letter 4-grams, figures of repetition
 COLUMNS = FORMS + LETTERS + FIGURES
+BATCH = 128  # documents whose vectors are made at a time
 LETTER_WEIGHT = np.float32(0.5)  # of a letter 4-gram, beside a trigram of classes
 
 
@@ -112,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
                 x = [raw_features(t) for t in part.column(0).to_pylist()]
                 places = [np.flatnonzero(v) for v in x]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(places, pa.list_(pa.int64())), pa.array([v[p] for v, p in zip(x, places, strict=True)], pa.list_(pa.float32()))], ["label", "at", "v"])
@@ -134,9 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
 def scores_of(texts: list[str | None], model, k: int, power: float) -> np.ndarray:
     out = np.ones(len(texts))
-    for at in range(0, len(texts) if model else 0, 500):
+    for at in range(0, len(texts) if model else 0, BATCH):
         latent, vectors, y, w = model.value
-        out[at : at + 500] = vote(latent(np.stack([raw_features(t or "") for t in texts[at : at + 500]])), vectors, y, w, k, power)
+        out[at : at + BATCH] = vote(latent(np.stack([raw_features(t or "") for t in texts[at : at + BATCH]])), vectors, y, w, k, power)
     return out
 
 
@@ -154,7 +155,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores_of(batch.column(2).to_pylist(), model, k, power))], ["id", "held_out", "score"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(scores_of(part.column(2).to_pylist(), model, k, power))], ["id", "held_out", "score"])
 
     kind = dict(docs.dtypes)[id_col]
     out = docs.select(F.col(id_col).alias("id"), F.coalesce(crc_mod(id_col, folds) == fold, F.lit(False)).alias("held_out"), F.col(text_col))
@@ -171,8 +174,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array(scores_of(texts, model, k, power) >= least))
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array(scores_of(texts, model, k, power) >= least))
 
     return docs.mapInArrow(run, docs.schema)
 
