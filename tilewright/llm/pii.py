@@ -136,7 +136,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Kinds: email, ip, card (Luhn), phone; and iban (checksum, after its cue), login (user:password in a url), key (cloud
     access key ids) and secret (a value with a digit after password=, token = and the like). Null text counts as empty,
-    ids are passed through, nulls and repeats too; other columns are not read. Each row stands alone: no shuffle."""
+    a long one is read whole, in time linear in it; ids are passed through, nulls and repeats too; other columns are not
+    read; an empty table gives an empty result. Each row stands alone: no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton()
@@ -151,7 +152,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with each span's text replaced by [kind]; where spans overlap, the one that begins first (then the longest) counts."""
+    """docs with each span's text replaced by [kind]; where spans overlap, the one that begins first (then the longest) counts.
+
+    Null texts stay null, empty ones empty, long ones are read whole; rows with null or repeated ids go by their own text;
+    other columns stay as they are, and an empty table stays empty."""
 
     def clean(text: str | None, machine: ahocorasick.Automaton) -> str | None:
         spans = sorted((a, -b, k) for k, xs in find(text or "", machine).items() for a, b in xs)

@@ -75,22 +75,37 @@ class Latent:
     """Latent semantic analysis: shares of n-grams by inverse frequency and scaled figures, reduced by singular vectors of the
     sample."""
 
-    def __init__(self, raw: np.ndarray, size: int = 48):
-        grams = raw[:, :-FIGURES] > 0
-        self.used = np.flatnonzero(grams.sum(axis=0) >= 2)
-        self.idf = np.log(1 + 1 / np.maximum(grams[:, self.used].mean(axis=0), 1e-6)).astype(np.float32)
+    def __init__(self, places: list[np.ndarray], shares: list[np.ndarray], size: int = 48):
+        """places, shares: of each sample the raw features that are not zero. Only columns that two samples have are laid out."""
+        present = np.bincount(np.concatenate(places), minlength=COLUMNS)[:-FIGURES]
+        self.used = np.flatnonzero(present >= 2)
+        self.idf = np.log(1 + len(places) / present[self.used]).astype(np.float32)
         self.idf[self.used >= FORMS] *= LETTER_WEIGHT
         self.scale = np.float32(2.0)
-        x = self.weighted(raw)
+        n = len(self.used)
+        column = np.full(COLUMNS, -1)
+        column[self.used], column[-FIGURES:] = np.arange(n), n + np.arange(FIGURES)
+        x = np.zeros((len(places), n + FIGURES), np.float32)
+        for row, at, share in zip(x, places, shares, strict=True):
+            at = column[at]
+            row[at[at >= 0]] = share[at >= 0]
+        np.sqrt(x[:, :n], out=x[:, :n])
+        x[:, :n] *= self.idf
+        x[:, n:] *= self.scale
         self.mean = x.mean(axis=0)
-        self.axes = main_axes(x - self.mean, size)
+        x -= self.mean
+        self.axes = main_axes(x, size)
+        self.sample = self._unit(x @ self.axes)
+
+    @staticmethod
+    def _unit(y: np.ndarray) -> np.ndarray:
+        return y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
 
     def weighted(self, raw: np.ndarray) -> np.ndarray:
         return np.c_[np.sqrt(raw[:, self.used]) * self.idf, raw[:, -FIGURES:] * self.scale].astype(np.float32)
 
     def __call__(self, raw: np.ndarray) -> np.ndarray:
-        y = (self.weighted(raw) - self.mean) @ self.axes
-        return y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+        return self._unit((self.weighted(raw) - self.mean) @ self.axes)
 
 
 def vote(x: np.ndarray, vectors: np.ndarray, labels: np.ndarray, weights: np.ndarray, k: int, power: float) -> np.ndarray:
@@ -117,20 +132,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                 part = batch.slice(at, BATCH)
                 x = [raw_features(t) for t in part.column(0).to_pylist()]
                 places = [np.flatnonzero(v) for v in x]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(places, pa.list_(pa.int64())), pa.array([v[p] for v, p in zip(x, places, strict=True)], pa.list_(pa.float32()))], ["label", "at", "v"])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([p.astype(np.int32) for p in places], pa.list_(pa.int32())), pa.array([v[p] for v, p in zip(x, places, strict=True)], pa.list_(pa.float32()))], ["label", "at", "v"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id")
     rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")  # one document of an id that repeats
-    sample = rows.mapInArrow(raw, "label int, at array<long>, v array<float>").toPandas()
+    sample = rows.mapInArrow(raw, "label int, at array<int>, v array<float>").toPandas()
     if len(sample) < 10:
         return None
-    dense = np.zeros((len(sample), COLUMNS), np.float32)
-    for i, (at, v) in enumerate(zip(sample["at"], sample["v"], strict=True)):
-        dense[i, at] = v
-    latent = Latent(dense)
+    latent = Latent(sample["at"].tolist(), sample["v"].tolist())
     y = sample["label"].to_numpy(float)
     each = np.array([share.get(0, 0) / max(1, (y == 0).sum()), share.get(1, 0) / max(1, (y == 1).sum())])
-    return docs.sparkSession.sparkContext.broadcast((latent, np.ascontiguousarray(latent(dense)), y, each[y.astype(int)]))
+    return docs.sparkSession.sparkContext.broadcast((latent, latent.sample, y, each[y.astype(int)]))
 
 
 def scores_of(texts: list[str | None], model, k: int, power: float) -> np.ndarray:
