@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     sample = rows.mapInArrow(raw, "label int, at array<int>, v array<float>").toPandas()
     if len(sample) < 10:
         return None
-    latent = Latent(sample["at"].tolist(), sample["v"].tolist())
+    latent = Latent([np.asarray(x, np.int64) for x in sample["at"]], [np.asarray(x, np.float32) for x in sample["v"]])
     y = sample["label"].to_numpy(float)
     each = np.array([share.get(0, 0) / max(1, (y == 0).sum()), share.get(1, 0) / max(1, (y == 1).sum())])
     return docs.sparkSession.sparkContext.broadcast((latent, latent.sample, y, each[y.astype(int)]))
