@@ -75,20 +75,20 @@ class Latent:
     """Latent semantic analysis: shares of n-grams by inverse frequency and scaled figures, reduced by singular vectors of the
     sample."""
 
-    def __init__(self, places: list[np.ndarray], shares: list[np.ndarray], size: int = 48):
-        """places, shares: of each sample the raw features that are not zero. Only columns that two samples have are laid out."""
-        present = np.bincount(np.concatenate(places), minlength=COLUMNS)[:-FIGURES]
+    def __init__(self, rows: int, row: np.ndarray, at: np.ndarray, share: np.ndarray, size: int = 48):
+        """row, at, share: the raw features that are not zero of a sample of so many rows, as of a sparse matrix. Only columns
+        that two rows have are laid out."""
+        present = np.bincount(at, minlength=COLUMNS)[:-FIGURES]
         self.used = np.flatnonzero(present >= 2)
-        self.idf = np.log(1 + len(places) / present[self.used]).astype(np.float32)
+        self.idf = np.log(1 + rows / present[self.used]).astype(np.float32)
         self.idf[self.used >= FORMS] *= LETTER_WEIGHT
         self.scale = np.float32(2.0)
         n = len(self.used)
         column = np.full(COLUMNS, -1)
         column[self.used], column[-FIGURES:] = np.arange(n), n + np.arange(FIGURES)
-        x = np.zeros((len(places), n + FIGURES), np.float32)
-        for row, at, share in zip(x, places, shares, strict=True):
-            at = column[at]
-            row[at[at >= 0]] = share[at >= 0]
+        at = column[at]
+        x = np.zeros((rows, n + FIGURES), np.float32)
+        x[row[at >= 0], at[at >= 0]] = share[at >= 0]
         np.sqrt(x[:, :n], out=x[:, :n])
         x[:, :n] *= self.idf
         x[:, n:] *= self.scale
@@ -136,11 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id")
     rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")  # one document of an id that repeats
-    sample = rows.mapInArrow(raw, "label int, at array<int>, v array<float>").toPandas()
+    sample = rows.mapInArrow(raw, "label int, at array<int>, v array<float>").toArrow()  # 2 * most rows
     if len(sample) < 10:
         return None
-    latent = Latent([np.asarray(x, np.int64) for x in sample["at"]], [np.asarray(x, np.float32) for x in sample["v"]])
-    y = sample["label"].to_numpy(float)
+    at, v = (sample.column(c).combine_chunks() for c in ("at", "v"))
+    row = np.repeat(np.arange(len(sample)), np.diff(at.offsets.to_numpy()))
+    latent = Latent(len(sample), row, at.flatten().to_numpy(), v.flatten().to_numpy())
+    y = sample.column("label").to_numpy().astype(float)
     each = np.array([share.get(0, 0) / max(1, (y == 0).sum()), share.get(1, 0) / max(1, (y == 1).sum())])
     return docs.sparkSession.sparkContext.broadcast((latent, latent.sample, y, each[y.astype(int)]))
 
