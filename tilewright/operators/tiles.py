@@ -216,7 +216,8 @@ def archive_volumes(offsets: DataFrame, limit: int) -> DataFrame:
     offsets = cut(offsets)
     starts = [0, *volume_cuts(offsets, limit)]
     rows = [(v, a, b) for v, (a, b) in enumerate(zip(starts, [*starts[1:], (1 << 62)], strict=True))]
-    last = F.greatest(F.col("from"), F.least(F.col("to") - 1, offsets.agg(F.coalesce(F.max("offset"), F.lit(0)).cast("long").alias("m")).first()["m"] + F.lit(0)))
+    top = offsets.agg(F.max("offset")).first()[0] or 0
+    last = F.greatest(F.col("from"), F.least(F.col("to") - 1, F.lit(top).cast("long")))
     volumes = offsets.sparkSession.createDataFrame(rows, "volume int, from long, to long")
     spread = volumes.withColumn("_stretch", F.explode(F.sequence(F.expr(f"`from` div {limit}"), F.floor(last / limit)))).withColumnsRenamed({"from": "_from", "to": "_to"})
     keyed = offsets.withColumn("_stretch", F.expr(f"offset div {limit}"))
