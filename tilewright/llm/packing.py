@@ -17,7 +17,7 @@ from ..operators.steps import cut
 from .arrays import slices, spans
 from .common import text_of
 
-ENCODE_CHARS = 1_500_000  # bytes of text encoded at a time
+ENCODE_CHARS = 3_000_000  # bytes of text encoded at a time
 
 
 def tokenizer_path() -> str:
