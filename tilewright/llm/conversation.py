@@ -333,3 +333,32 @@ def op13_conversations(spark, sf_dir: str) -> DataFrame:
     zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in counts}
     joined = ids.join(summaries(every), "key", "left").withColumns(zero | {"audit": F.coalesce("audit", F.lit("")), "repaired_sha256": F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))})
     return joined.select("conv_id", *counts, "audit", "repaired_sha256")
+
+
+#: crc32 of an ASCII text {s}, bit by bit
+CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, 8 * strlen({s})), lambda i: CAST(CASE WHEN i % 8 = 0 THEN ascii(substr({s}, i // 8 + 1, 1)) ELSE 0 END AS BIGINT))),
+      lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295)"""
+#: Costs before a row, from those after it (c, by state from 1 on); what a kept row leads to.
+ROW_COSTS = ", ".join(
+    f"least(2 + c[{s}], CASE WHEN must THEN 1000000 ELSE 1 + extra + c[{t}] END, CASE WHEN must THEN 1000000 {kept} ELSE 1000000 END) AS e{s}"
+    for s, t, kept in ((1, 3, "WHEN ini = 's' THEN extra + c[2] WHEN ini = 'u' THEN extra + c[3]"), (2, 3, "WHEN ini = 'u' THEN extra + c[3]"), (3, 4, "WHEN ini = 'a' THEN extra + c[4]"), (4, 3, "WHEN ini = 'u' THEN extra + c[3]"))
+)
+OP13_SQL = f"""WITH RECURSIVE raw AS (SELECT coalesce(':' || CAST(conv_id AS VARCHAR), '') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+    hit AS (SELECT *, {CRC.format(s='s')} % 20 AS kind FROM raw),
+    dmg AS (SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE kind <> 0),
+    num AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY k) AS n FROM dmg WINDOW w AS (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text))),
+    bare AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t, row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 AS again, lag(role[1:1]) OVER (PARTITION BY k ORDER BY i) AS before FROM num),
+    flt AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM bare),
+    r AS MATERIALIZED (SELECT k, i, n, role, text, turn, fault, role[1:1] AS ini, fault IN ('blank', 'duplicate') AS must, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra, before IS NOT NULL AND before || role[1:1] NOT IN ('su', 'ua', 'au') AS illegal FROM flt),
+    b AS (SELECT DISTINCT k, n + 1 AS i, [0, 10, 5, 0] AS c FROM r UNION ALL SELECT k, i, [least(e1, 5 + e3, 10 + e4), least(e2, 5 + e3, 10 + e4), least(e3, 5 + e4), least(e4, 5 + e3)] FROM (SELECT b.k, r.i, {ROW_COSTS} FROM b JOIN r ON r.k = b.k AND r.i = b.i - 1)),
+    p AS MATERIALIZED (SELECT b.k, b.i, b.c AS v, z.c AS z, r.role, r.text, ini, must, extra FROM b LEFT JOIN r ON r.k = b.k AND r.i = b.i LEFT JOIN b z ON z.k = b.k AND z.i = b.i + 1),
+    f(k, i, s, audit, lines) AS (SELECT k, CAST(1 AS BIGINT), 1, '', '' FROM b WHERE i = 1
+      UNION ALL SELECT k, CASE WHEN step = 'I' THEN i ELSE i + 1 END, CASE step WHEN 'D' THEN s WHEN 'K' THEN kept ELSE turn END, audit || step,
+        lines || CASE step WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || CASE turn WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE WHEN step = 'R' THEN text ELSE '' END END
+      FROM (SELECT *, CASE WHEN z IS NOT NULL AND v[s] = 2 + z[s] THEN 'D' WHEN v[s] = 5 + v[turn] THEN 'I' WHEN z IS NULL THEN NULL WHEN NOT must AND kept IS NOT NULL AND v[s] = extra + z[kept] THEN 'K' ELSE 'R' END AS step
+        FROM (SELECT f.*, v, z, role, text, must, extra, CASE s WHEN 3 THEN 4 ELSE 3 END AS turn, CASE WHEN s = 1 AND ini = 's' THEN 2 WHEN s <> 3 AND ini = 'u' THEN 3 WHEN s = 3 AND ini = 'a' THEN 4 END AS kept FROM f JOIN p ON p.k = f.k AND p.i = f.i)) WHERE step IS NOT NULL),
+    ended AS (SELECT k, audit, lines FROM f JOIN (SELECT DISTINCT k, n FROM r) USING (k) WHERE i = n + 1 AND s IN (1, 4)),
+    sums AS (SELECT k, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY k),
+    ids AS (SELECT DISTINCT conv_id, coalesce(':' || CAST(conv_id AS VARCHAR), '') AS k FROM conversations)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(c[1] AS BIGINT), 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines[2:], '')) AS repaired_sha256
+    FROM ids LEFT JOIN sums USING (k) LEFT JOIN ended USING (k) LEFT JOIN (SELECT k, c FROM b WHERE i = 1) USING (k)"""

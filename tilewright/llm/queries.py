@@ -15,4 +15,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_url_filter": url_filter.OP2_SQL, "op3_quality_rules": quality_rules.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op12_ranked_search": ranked_search.OP12_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_url_filter": url_filter.OP2_SQL, "op3_quality_rules": quality_rules.OP3_SQL, "op4_mixing": mixing.OP4_SQL, "op12_ranked_search": ranked_search.OP12_SQL, "op13_conversations": conversation.OP13_SQL}
