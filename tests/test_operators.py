@@ -12,7 +12,7 @@ from tilewright.operators import regions as reg
 from tilewright.operators import tiles as tl
 from tilewright.operators.steps import in_order
 from tilewright.plans import jobs
-from tilewright.sources import tables
+from tilewright.sources import tables, volumes
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -209,10 +209,78 @@ def test_volume_cuts_are_the_greedy_ones(spark):
             if o + n - start > limit and o > (want[-1] if want else -1):
                 want.append(o)
                 start = o
-        assert tl.volume_cuts(df, limit, ahead=5) == want
+        for fan in (2, 4, 16):
+            assert sorted(r.offset for r in tl.volume_cuts(df, limit, fan).collect()) == want
+        got = {r.offset: (r.volume, r.at) for r in tl.archive_volumes(df.filter("n_bytes > 0"), limit).collect()}
+        starts = [0, *want]
+        assert got == {o: (v := sum(c <= o for c in want), o - starts[v]) for o, n in zip(offsets, sizes, strict=True) if n}
     assert tl.archive_volumes(df.limit(0), 10).isEmpty()
 
 
+def test_the_uid_does_not_count_in_the_first_volume(spark):
+    df = spark.createDataFrame([(116, 50), (166, 50), (216, 50)], "offset long, n_bytes long")
+    assert [r.offset for r in tl.volume_cuts(df, 150, uid=16).collect()] == [166]
+    assert [r.offset for r in tl.volume_cuts(df, 150).collect()] == [116]
+
+
+def placed_archive(spark, n, limit, uid=b""):
+    """An archive of two sources with n by n tiles each, as rows, and what its tiles hold."""
+    rows = [(s, 5, x + s, y, f"{s}.{x}.{y}".encode() * (1 + (x * 7 + y) % 5)) for s in range(2) for x in range(n) for y in range(n) if (x + y) % 7]
+    t = spark.createDataFrame(rows, "source_index int, z int, x long, y long, content binary").withColumn("n_bytes", F.octet_length("content").cast("long"))
+    rects = tl.tile_rectangles(t.filter("source_index = 0"), 0).unionByName(tl.tile_rectangles(t.filter("source_index = 1"), 1))
+    ranges = tl.range_offsets(rects, tl.source_list_size(["A", "LONGER"]), len(uid))
+    placed = tl.archive_volumes(tl.tile_offsets(ranges, t.drop("content")), limit, len(uid))
+    head = tl.archive_head(ranges, placed, ["A", "LONGER"], uid=uid)
+    return tables.archive_rows(head, placed.join(t.select("source_index", "z", "x", "y", "content"), ["source_index", "z", "x", "y"])), {(("A", "LONGER")[s], z, x, y): c for s, z, x, y, c in rows}
+
+
+@pytest.mark.parametrize("uid", [b"", b"0123456789abcdef"])
+def test_volumes_are_files_that_a_header_leads_through(spark, tmp_path, uid):
+    rows, want = placed_archive(spark, 9, 4000, uid)
+    path = str(tmp_path / "REGION.gemf")
+    volumes.write_volumes(rows, path)
+    files = volumes.volumes_of(path)
+    assert sorted(f.name for f in tmp_path.iterdir()) == sorted(f.rsplit("/", 1)[1] for f in files)
+    assert files == [volumes.volume_path(path, i) for i in range(len(files))]
+    stream = b"".join(open(f, "rb").read() for f in files)
+    at, found, names = len(uid) + 12, {}, []
+    assert stream.startswith(uid) and struct.unpack_from(">3I", stream, len(uid)) == (4, 256, 2)
+    for i in range(2):
+        index, size = struct.unpack_from(">2I", stream, at)
+        names.append(stream[at + 8 : at + 8 + size].decode())
+        at += 8 + size
+    (n,) = struct.unpack_from(">I", stream, at)
+    for i in range(n):
+        z, x1, x2, y1, y2, source, place = struct.unpack_from(">6IQ", stream, at + 4 + 32 * i)
+        for x in range(x1, x2 + 1):
+            for y in range(y1, y2 + 1):
+                offset, size = struct.unpack_from(">QI", stream, place)
+                found[names[source], z, x, y] = stream[offset : offset + size]
+                place += 12
+    assert found == want
+    for tiles in (1, 7, 10_000):
+        assert {(r.source, r.z, r.x, r.y): bytes(r.content) for r in volumes.read_volumes(spark, path, tiles, len(uid)).collect()} == want
+    # a shorter archive of the same name leaves no volume of the longer one
+    rows, want = placed_archive(spark, 3, 10_000, uid)
+    volumes.write_volumes(rows, path)
+    assert volumes.volumes_of(path) == [path]
+    assert {(r.source, r.z, r.x, r.y): bytes(r.content) for r in volumes.read_volumes(spark, path, uid=len(uid)).collect()} == want
+
+
+def test_a_failed_write_leaves_the_old_archive(spark, tmp_path):
+    rows, want = placed_archive(spark, 4, 4000)
+    path = str(tmp_path / "R.gemf")
+    volumes.write_volumes(rows, path)
+    before = {f.name: f.read_bytes() for f in tmp_path.iterdir()}
+    broken = rows.withColumn("bytes", F.when(F.col("part") < 3, F.col("bytes")).otherwise(F.expr("case when seq_no = 5 then unhex(cast(raise_error('lost') as string)) else bytes end")))
+    for bad in (broken, rows.filter("part <> 2"), rows.filter("seq_no <> 3")):
+        with pytest.raises(Exception):  # noqa: B017
+            volumes.write_volumes(bad, path)
+        assert {f.name: f.read_bytes() for f in tmp_path.iterdir()} == before
+    with pytest.raises(ValueError, match="mounted"):
+        volumes.local_path("hdfs://host/a")
+
+
 def test_places_in_order(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 5).alias("v"))
     rows = sorted((r.k, r.v, r.place, r.before) for r in in_order(df, F.col("k").desc(), sums={"before": "v"}).collect())[::-1]

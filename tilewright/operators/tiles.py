@@ -5,6 +5,8 @@ pixels need not be read or shuffled for any of this."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,21 +157,29 @@ def skip_zooms(tiles: DataFrame) -> DataFrame:
     return tiles.join(kept.select("chart_id", "z"), ["chart_id", "z"], "left_semi")
 
 
+def source_list_size(sources: list[str]) -> int:
+    """Bytes that an archive's list of sources takes."""
+    return sum(8 + len(name.encode()) for name in sources)
+
+
 def range_offsets(rects: DataFrame, source_list_size: int, uid: int = 0) -> DataFrame:
-    """rects with range_id (by zoom, x_min, y_min), n tiles, first_tile, offset (the address of the range's index entries)
+    """rects with range_id (by source, zoom, x_min, y_min), n tiles, first_tile, offset (the address of the range's index entries)
     and header_size. source_list_size: bytes that the archive's list of sources takes."""
     n = (F.col("x_max") - F.col("x_min") + 1) * (F.col("y_max") - F.col("y_min") + 1)
-    listed = in_order(rects.withColumn("n", n), "z", "x_min", "y_min", place="range_id", sums={"first_tile": "n"})
+    by = ("source_index", "z", "x_min", "y_min") if "source_index" in rects.columns else ("z", "x_min", "y_min")
+    listed = in_order(rects.withColumn("n", n), *by, place="range_id", sums={"first_tile": "n"})
     whole = listed.agg(F.count("*").alias("_ranges"), F.sum("n").alias("_tiles"))  # one row
     pre = F.lit(uid + 16 + source_list_size) + F.col("_ranges") * 32
     return listed.crossJoin(F.broadcast(whole)).withColumn("offset", pre + F.col("first_tile") * 12).withColumn("header_size", pre + F.col("_tiles") * 12).drop("_ranges", "_tiles")
 
 
 def tiles_in_ranges(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
-    """sizes (z, x, y, n_bytes) with their range and place: ranges are spread to tiles, which meet by key."""
+    """sizes (z, x, y, n_bytes, and source_index where there are several) with their range and place: ranges are spread to tiles,
+    which meet by key."""
     spread = ranges.withColumn("x", F.explode(F.sequence("x_min", "x_max"))).withColumn("y", F.explode(F.sequence("y_min", "y_max")))
     seq = (F.col("x") - F.col("x_min")) * (F.col("y_max") - F.col("y_min") + 1) + F.col("y") - F.col("y_min")
-    return sizes.join(spread.select(*KEY, "range_id", seq.alias("seq"), (F.col("first_tile") + seq).alias("tile_no"), "header_size"), list(KEY))
+    by = [*KEY, "source_index"] if "source_index" in sizes.columns else list(KEY)
+    return sizes.join(spread.select(*by, "range_id", seq.alias("seq"), (F.col("first_tile") + seq).alias("tile_no"), "header_size"), by)
 
 
 def tile_offsets(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -179,67 +189,118 @@ def tile_offsets(ranges: DataFrame, sizes: DataFrame) -> DataFrame:
     return placed.withColumn("offset", F.col("header_size") + F.col("_before")).drop("_before", "place")
 
 
-def volume_cuts(offsets: DataFrame, limit: int, ahead: int = 64) -> list[int]:
-    """Offsets at which a new volume begins: at the first tile that would pass the limit, counted from the last cut.
-
-    No tile is larger than `largest`, so the k-th cut from the last one lies between k * (limit - largest) and k * limit. Only tiles
-    there are asked for, a few thousand narrow rows for `ahead` volumes at a time."""
-    largest, end = offsets.agg(F.max("n_bytes"), F.max(F.col("offset") + F.col("n_bytes"))).first()
-    cuts: list[int] = []
-    start = 0
-    ahead = max(1, min(ahead, limit // (8 * max(largest or 1, 1))))
-    while end is not None and end - start > limit:
-        last = cuts[-1] if cuts else -1
-        if largest > limit or not cuts:  # a tile may fill a volume alone; before the first one lies the header
-            at = offsets.filter((F.col("offset") + F.col("n_bytes") > start + limit) & (F.col("offset") > last)).agg(F.min("offset")).first()[0]
-            found = [] if at is None else [at]
-        else:
-            near = F.lit(False)
-            for k in range(1, ahead + 1):
-                near |= F.col("offset").between(start + k * (limit - largest), start + k * limit)
-            found = []
-            for at, n in sorted(tuple(r) for r in offsets.filter(near).select("offset", "n_bytes").collect()):
-                if at + n - (found[-1] if found else start) > limit and at > (found[-1] if found else last) and len(found) < ahead:
-                    found.append(at)
-        if not found:
-            break
-        cuts += found
-        start = cuts[-1]
-    return cuts
-
-
-def archive_volumes(offsets: DataFrame, limit: int) -> DataFrame:
-    """offsets with volume: a tile opens a new one when it would pass the limit; the first volume holds the header too.
-
-    Volumes are few (limit is two billion bytes), a row each: tiles meet theirs by the stretch of `limit` bytes in which
-    they lie, a broadcast join of three rows a volume at most."""
+LONGS = "offset long, end long, jump long"
+
+
+def _sorted(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    offset, end, jump = (table.column(c).to_numpy() for c in ("offset", "end", "jump"))
+    order = np.lexsort((end, offset))
+    return offset[order], end[order], jump[order]
+
+
+def volume_cuts(offsets: DataFrame, limit: int, fan: int = 4, uid: int = 0) -> DataFrame:
+    """offset: where a new volume begins, at the first tile that would pass the limit, counted from the last cut; the first volume's
+    uid, bytes that stand before the header, is not counted.
+
+    Each cut depends on the last one, so stretches of the archive tell where a volume leads that has its first cut at any of the
+    tiles at the stretch's begin: the last cut in the stretch. Tables of `fan` stretches make one of a longer stretch, level
+    by level up to the whole archive; from there the true cuts are handed down again. A task holds the narrow rows of the
+    tiles of `fan` volumes, and levels grow with the logarithm of the number of volumes."""
+    rows = cut(offsets.select("offset", (F.col("offset") + F.col("n_bytes")).alias("end"), F.col("offset").alias("jump")))
+    top = rows.agg(F.max("offset")).first()[0]
+    levels, width = [rows], limit * fan
+
+    def next_cut(offset: np.ndarray, end: np.ndarray, start: np.ndarray | int) -> np.ndarray:
+        """Which tile opens the volume after one that begins at start, which is -1 before the first cut."""
+        return np.maximum(np.searchsorted(end, np.maximum(start, uid) + limit, side="right"), np.searchsorted(offset, start, side="right"))
+
+    def lead_on(width: int):
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            offset, end, jump = _sorted(table)
+            entry = offset < key[0].as_py() * width + limit + uid
+            entry[0] = True
+            at = jump[entry]
+            while True:
+                i = next_cut(offset, end, at)
+                more = i < len(offset)
+                if not more.any():
+                    break
+                at[more] = jump[i[more]]
+            return pa.table({"offset": offset[entry], "end": end[entry], "jump": at})
+
+        return run
+
+    def hand_down(part: int | None):
+        """From what a stretch begins with: what its parts of that width begin with, or (for None) all cuts in it."""
+
+        def run(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+            offset, end, jump = _sorted(table)
+            at, found, last = told.column("start")[0].as_py(), [], -1
+            i = int(next_cut(offset, end, at))
+            for place, stretch in enumerate((offset // part).tolist()) if part else ():
+                if stretch != last:
+                    found.append((stretch, at))
+                    last = stretch
+                if place == i:
+                    at = int(jump[i])
+                    i = int(next_cut(offset, end, at))
+            while not part and i < len(offset):
+                at = int(offset[i])
+                found.append((at, at))
+                i = int(next_cut(offset, end, at))
+            return pa.table({"_stretch": pa.array([a for a, _ in found], pa.int64()), "start": pa.array([b for _, b in found], pa.int64())})
+
+        return run
+
+    by = lambda width: F.expr(f"offset div {width}")
+    while top is not None and top >= width:
+        levels.append(cut(levels[-1].withColumn("_stretch", by(width)).groupBy("_stretch").applyInArrow(lead_on(width), LONGS)))
+        width *= fan
+    told = rows.sparkSession.createDataFrame([(0, -1)], "_stretch long, start long")
+    for i in reversed(range(len(levels))):
+        stretches = levels[i].withColumn("_stretch", by(width)).groupBy("_stretch")
+        told = cut(stretches.cogroup(told.groupBy("_stretch")).applyInArrow(hand_down(width // fan if i else None), "_stretch long, start long"))
+        width //= fan
+    return told.select(F.col("start").alias("offset"))
+
+
+def archive_volumes(offsets: DataFrame, limit: int, uid: int = 0) -> DataFrame:
+    """offsets with volume and at, the place in it: a tile opens a new one when it would pass the limit; the first volume holds the
+    header too. Tiles meet their volume by the stretch of `limit` bytes in which they lie."""
     offsets = cut(offsets)
-    starts = [0, *volume_cuts(offsets, limit)]
-    rows = [(v, a, b) for v, (a, b) in enumerate(zip(starts, [*starts[1:], (1 << 62)], strict=True))]
-    top = offsets.agg(F.max("offset")).first()[0] or 0
-    last = F.greatest(F.col("from"), F.least(F.col("to") - 1, F.lit(top).cast("long")))
-    volumes = offsets.sparkSession.createDataFrame(rows, "volume int, from long, to long")
-    spread = volumes.withColumn("_stretch", F.explode(F.sequence(F.expr(f"`from` div {limit}"), F.floor(last / limit)))).withColumnsRenamed({"from": "_from", "to": "_to"})
-    keyed = offsets.withColumn("_stretch", F.expr(f"offset div {limit}"))
-    return keyed.join(F.broadcast(spread), ["_stretch"]).filter("offset >= _from and offset < _to").drop("_stretch", "_from", "_to")
-
-
-def archive_head(ranges: DataFrame, offsets: DataFrame, source: str, tile_size: int = 256) -> DataFrame:
-    """The archive's header as rows part, seq_no, bytes: 0 what comes first (version 4, tile size, one source, how many ranges),
-    1 a range each, 2 the offset and length of a tile each, all big-endian."""
+    numbered = in_order(volume_cuts(offsets, limit, uid=uid), "offset", place="volume").select((F.col("volume") + 1).cast("int").alias("volume"), F.col("offset").alias("_from"))
+    volumes = numbered.unionByName(offsets.sparkSession.createDataFrame([(0, 0)], "volume int, _from long"))
+    after = volumes.select((F.col("volume") - 1).alias("volume"), F.col("_from").alias("_to"))
+    top = offsets.agg((F.max("offset") + 1).alias("_top"))  # one row
+    spans = volumes.join(after, "volume", "left").crossJoin(F.broadcast(top)).withColumn("_to", F.coalesce("_to", "_top")).drop("_top").filter("_to > _from")
+    spread = spans.withColumn("_stretch", F.explode(F.sequence(F.expr(f"_from div {limit}"), F.expr(f"(_to - 1) div {limit}"))))
+    joined = offsets.withColumn("_stretch", F.expr(f"offset div {limit}")).join(spread, "_stretch").filter("offset >= _from and offset < _to")
+    return joined.withColumn("at", F.col("offset") - F.col("_from")).drop("_stretch", "_from", "_to")
+
+
+def archive_head(ranges: DataFrame, offsets: DataFrame, sources: str | list[str], tile_size: int = 256, uid: bytes = b"") -> DataFrame:
+    """The archive's header as rows part, seq_no, bytes, at: 0 what comes first (a uid if there is one, version 4, tile size,
+    sources, how many ranges), 1 a range each, 2 the offset and length of a tile each, all big-endian. sources: names, by
+    source_index."""
     number = lambda v, size: text.uint_be(v.cast("long"), size)
-    name = source.encode()
+    names = [sources] if isinstance(sources, str) else sources
     count = ranges.agg(F.count("*").alias("n"))
-    first = F.concat(*(number(F.lit(v), 4) for v in (4, tile_size, 1, 0, len(name))), F.lit(name), number(F.col("n"), 4))
+    listed = [x for i, name in enumerate(names) for x in (number(F.lit(i), 4), number(F.lit(len(name.encode())), 4), F.lit(name.encode()))]
+    first = F.concat(F.lit(uid), *(number(F.lit(v), 4) for v in (4, tile_size, len(names))), *listed, number(F.col("n"), 4))
     entry = F.concat(*(number(F.col(c), 4) for c in ("z", "x_min", "x_max", "y_min", "y_max", "source_index")), number(F.col("offset"), 8))
-    part = lambda d, i, no, data: d.select(F.lit(i).alias("part"), no.cast("long").alias("seq_no"), data.alias("bytes"))
+    part = lambda d, i, no, data, at: d.select(F.lit(i).alias("part"), no.cast("long").alias("seq_no"), data.alias("bytes"), at.cast("long").alias("at"))
     index = F.concat(number(F.col("offset"), 8), number(F.col("n_bytes"), 4))
-    return part(count, 0, F.lit(0), first).unionByName(part(ranges, 1, F.col("range_id"), entry)).unionByName(part(offsets, 2, F.col("tile_no"), index))
+    begin = F.lit(len(uid) + 16 + source_list_size(names))
+    pre = F.col("range_offset") - F.col("first_tile") * 12  # where the index begins
+    placed = offsets.crossJoin(F.broadcast(ranges.select(F.col("offset").alias("range_offset"), "first_tile").filter("first_tile = 0").limit(1)))
+    rows = part(count, 0, F.lit(0), first, F.lit(0)).unionByName(part(ranges, 1, F.col("range_id"), entry, begin + F.col("range_id") * 32))
+    return rows.unionByName(part(placed, 2, F.col("tile_no"), index, pre + F.col("tile_no") * 12))
 
 
-def archive_order(tiles: DataFrame, partitions: int = 8) -> DataFrame:
-    """tiles by range and place: range-partitioned, and sorted within partitions."""
-    return tiles.repartitionByRange(partitions, "range_id", "seq").sortWithinPartitions("range_id", "seq")
+def archive_order(tiles: DataFrame) -> DataFrame:
+    """tiles by range and place: range-partitioned, into as many partitions as the session and the size ask for, and sorted within
+    them."""
+    return tiles.repartitionByRange("range_id", "seq").sortWithinPartitions("range_id", "seq")
 
 
 def overview_keys(tiles: DataFrame, zmin: int, zmax: int) -> DataFrame:

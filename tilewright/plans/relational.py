@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import fixture, with_fixtures
@@ -13,7 +13,7 @@ from ..operators import catalog as cat
 from ..operators import regions as reg
 from ..operators import tiles as tl
 from ..operators.steps import new_folder
-from ..sources import tables
+from ..sources import tables, volumes
 from .scalars import BASE, DEG, LATS, LNGS, ZOOM, px, py
 
 QUERIES: dict[str, Callable] = {}
@@ -263,10 +263,34 @@ def h8(t: DataFrame) -> DataFrame:
     return tl.archive_head(found, tl.tile_offsets(found, sizes(t)), SOURCE).select("part", "seq_no", F.hex("bytes").alias("bytes"))
 
 
-add("h8_archive_header", "tile_layers", h8,
-    f""", {TOFF} SELECT 0 AS part, CAST(0 AS BIGINT) AS seq_no, printf('%08X%08X%08X%08X%08X', 4, 256, 1, 0, {len(SOURCE)}) || hex('{SOURCE}') || printf('%08X', (SELECT count(*) FROM g)) AS bytes
-    UNION ALL SELECT 1, range_id, printf('%08X%08X%08X%08X%08X%08X%016X', z, x_min, x_max, y_min, y_max, source_index, pre + 12 * first_tile) FROM g
-    UNION ALL SELECT 2, row_number() OVER (ORDER BY range_id, seq) - 1, printf('%016X%08X', off, n_bytes) FROM tf""")
+HEAD = f"""SELECT 0 AS part, CAST(0 AS BIGINT) AS seq_no, printf('%08X%08X%08X%08X%08X', 4, 256, 1, 0, {len(SOURCE)}) || hex('{SOURCE}') || printf('%08X', (SELECT count(*) FROM g)) AS bytes, CAST(0 AS BIGINT) AS "at"
+    UNION ALL SELECT 1, range_id, printf('%08X%08X%08X%08X%08X%08X%016X', z, x_min, x_max, y_min, y_max, source_index, pre + 12 * first_tile), 36 + 32 * range_id FROM g
+    UNION ALL SELECT 2, row_number() OVER (ORDER BY range_id, seq) - 1, printf('%016X%08X', off, n_bytes), (SELECT min(pre) FROM g) + 12 * (row_number() OVER (ORDER BY range_id, seq) - 1) FROM tf"""
+add("h8_archive_header", "tile_layers", h8, f", {TOFF}, head AS ({HEAD}) SELECT part, seq_no, bytes FROM head")
+TWO = ["EVEN", "ODD_ONE"]  # sources of one archive: charts by their last digit
+
+
+def two_sources(t: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ranges and offsets of the tiles of two sources."""
+    found = block(t).groupBy((c("chart_id") % 2).cast("int").alias("source_index"), "z", "x", "y").agg(F.max("n_bytes").alias("n_bytes"))
+    each = [tl.tile_rectangles(found.filter(c("source_index") == i), i) for i in range(2)]
+    ranged = tl.range_offsets(each[0].unionByName(each[1]), tl.source_list_size(TWO))
+    return ranged, tl.tile_offsets(ranged, found)
+
+
+def h8_sources(t: DataFrame) -> DataFrame:
+    found, placed = two_sources(t)
+    return tl.archive_head(found, placed, TWO).select("part", "seq_no", F.hex("bytes").alias("bytes"), "at")
+
+
+# in the SQL, a zoom of the second source counts as a hundred more, so the order by zoom is that by source and zoom
+TWO_BYTES = 16 + tl.source_list_size(TWO)
+TOFF2 = "two AS (SELECT * REPLACE (CAST(z + 100 * (chart_id % 2) AS INT) AS z) FROM tile_layers), " + TOFF.replace("tile_layers", "two").replace("(36 + 32", f"({TWO_BYTES} + 32")
+NAMES = " || ".join(f"printf('%08X%08X', {i}, {len(n)}) || hex('{n}')" for i, n in enumerate(TWO))
+add("h8_archive_sources", "tile_layers", h8_sources,
+    f""", {TOFF2} SELECT 0 AS part, CAST(0 AS BIGINT) AS seq_no, printf('%08X%08X%08X', 4, 256, 2) || {NAMES} || printf('%08X', (SELECT count(*) FROM g)) AS bytes, CAST(0 AS BIGINT) AS "at"
+    UNION ALL SELECT 1, range_id, printf('%08X%08X%08X%08X%08X%08X%016X', z % 100, x_min, x_max, y_min, y_max, z // 100, pre + 12 * first_tile), {TWO_BYTES} + 32 * range_id FROM g
+    UNION ALL SELECT 2, row_number() OVER (ORDER BY range_id, seq) - 1, printf('%016X%08X', off, n_bytes), (SELECT min(pre) FROM g) + 12 * (row_number() OVER (ORDER BY range_id, seq) - 1) FROM tf""")
 KIND = f"CASE WHEN NOT contains({BASE}, '_') THEN 0 WHEN contains({BASE}, '_W') THEN 1 WHEN contains({BASE}, '_UD') THEN 2 ELSE 3 END"
 add("h9_dedup_charts", "chart_files", lambda d: reg.dedup_charts(d).select("file_id", "stamp", "kept"), f" SELECT file_id, stamp, row_number() OVER (PARTITION BY stamp ORDER BY kind, path, file_id) = 1 AS kept FROM (SELECT *, {STAMP} AS stamp, {KIND} AS kind FROM chart_files)")
 LAYERS = f"r AS (SELECT t.*, rank FROM tile_layers t JOIN {CATALOG} USING (chart_id) WHERE transp <> 0)"
@@ -401,20 +425,41 @@ def a7(t: DataFrame) -> DataFrame:
 add("a7_mbtiles_tables", "tile_layers", a7, f""", r AS (SELECT 'set ' || chart_id AS s, count(*) AS n, min(z) AS z FROM tile_layers GROUP BY 1) SELECT replace(s, ' ', '_') AS tileset, n, CAST(3 AS BIGINT) AS bytes, 'format=png,minzoom=' || z || ',type=overlay' AS about FROM r""")
 
 
+def padded() -> Column:
+    """A tile's content of n_bytes, which tells what tile it is."""
+    return F.unhex(F.rpad(F.hex(F.concat_ws(",", "z", "x", "y")), F.lit(2) * c("n_bytes").cast("int"), F.lit("00")))
+
+
 def a8(t: DataFrame) -> DataFrame:
-    """An archive's stream, written and read again: where each piece begins, and what it is."""
+    """An archive's stream, written and read again: where each piece of header, index and tiles begins, and what it is."""
     folder = new_folder(t.sparkSession, "archive")
     found = ranges(t)
     placed = tl.archive_volumes(tl.tile_offsets(found, sizes(t)), LIMIT)
-    content = F.unhex(F.rpad(F.hex(F.concat_ws(",", "z", "x", "y")), F.lit(2) * c("n_bytes").cast("int"), F.lit("00")))
-    tables.write_archive(tables.archive_rows(tl.archive_head(found, placed, SOURCE), placed.withColumn("content", content)), folder)
-    back = tables.read_archive(t.sparkSession, folder).filter("part = 3")
-    return back.select("volume", "seq_no", "at", F.octet_length("bytes").cast("long").alias("size"), F.sha1("bytes").alias("sum"))
+    tables.write_archive(tables.archive_rows(tl.archive_head(found, placed, SOURCE), placed.withColumn("content", padded())), folder)
+    back = tables.read_archive(t.sparkSession, folder)
+    return back.select("volume", "part", "seq_no", "at", F.octet_length("bytes").cast("long").alias("size"), F.sha1("bytes").alias("sum"))
 
 
+PADDED = "(concat(z, ',', x, ',', y)::BLOB || unhex(repeat('00', CAST(n_bytes - length(concat(z, ',', x, ',', y)) AS INT))))"
 add("a8_archive", "tile_layers", a8, "")
-ORACLE["a8_archive"] = ORACLE["h7_archive_volumes"].rsplit("SELECT z, x, y, CAST", 1)[0] + """, v AS (SELECT *, (SELECT count(*) FROM cuts WHERE v > 0 AND cut <= off) AS volume, row_number() OVER (ORDER BY range_id, seq) - 1 AS seq_no FROM tm)
-    SELECT CAST(volume AS INT) AS volume, seq_no, off - CASE WHEN volume = 0 THEN 0 ELSE min(off) OVER (PARTITION BY volume) END AS "at", n_bytes AS size, sha1(concat(z, ',', x, ',', y)::BLOB || unhex(repeat('00', CAST(n_bytes - length(concat(z, ',', x, ',', y)) AS INT)))) AS sum FROM v"""
+ORACLE["a8_archive"] = ORACLE["h7_archive_volumes"].rsplit("SELECT z, x, y, CAST", 1)[0] + f""", head AS ({HEAD}), v AS (SELECT *, (SELECT count(*) FROM cuts WHERE v > 0 AND cut <= off) AS volume, row_number() OVER (ORDER BY range_id, seq) - 1 AS seq_no FROM tm)
+    SELECT CAST(volume AS INT) AS volume, 3 AS part, seq_no, off - CASE WHEN volume = 0 THEN 0 ELSE min(off) OVER (PARTITION BY volume) END AS "at", n_bytes AS size, sha1{PADDED} AS sum FROM v
+    UNION ALL SELECT 0, part, seq_no, "at", length(bytes) // 2, sha1(unhex(bytes)) FROM head"""
+
+
+def a8_volumes(t: DataFrame) -> DataFrame:
+    """An archive of two sources as byte files in volumes, and what a reader finds in them that follows the header alone."""
+    path = new_folder(t.sparkSession, "tiles") + ".gemf"
+    found, placed = two_sources(t)
+    placed = tl.archive_volumes(placed, LIMIT)
+    volumes.write_volumes(tables.archive_rows(tl.archive_head(found, placed, TWO), placed.withColumn("content", padded())), path)
+    back = volumes.read_volumes(t.sparkSession, path, tiles=5000)
+    return back.select("source", "z", "x", "y", F.octet_length("content").cast("long").alias("size"), F.sha1("content").alias("sum"))
+
+
+add("a8_archive_volumes", "tile_layers", a8_volumes,
+    f""", k AS (SELECT chart_id % 2 AS s, z, x, y, max(n_bytes) AS n_bytes FROM tile_layers WHERE transp <> 0 GROUP BY 1, 2, 3, 4)
+    SELECT CASE s WHEN 0 THEN '{TWO[0]}' ELSE '{TWO[1]}' END AS source, z, x, y, n_bytes AS size, sha1{PADDED} AS sum FROM k""")
 
 
 def a10(new: DataFrame) -> DataFrame:

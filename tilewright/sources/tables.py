@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -106,23 +106,20 @@ def to_mbtiles_tables(tiles: DataFrame, sets: DataFrame, path: str) -> None:
 
 
 def archive_rows(head: DataFrame, tiles: DataFrame) -> DataFrame:
-    """An archive as rows volume, part, seq_no, bytes: head (part, seq_no, bytes; see archive_head) opens volume 0, tiles
-    (volume, tile_no, content) are part 3."""
-    body = tiles.select("volume", F.lit(3).alias("part"), F.col("tile_no").cast("long").alias("seq_no"), F.col("content").alias("bytes"))
-    return head.select(F.lit(0).alias("volume"), "part", "seq_no", "bytes").unionByName(body)
+    """An archive as rows volume, part, seq_no, at, bytes: head (part, seq_no, bytes, at; see archive_head) opens volume 0, tiles
+    (volume, tile_no, at, content) are part 3. write_volumes makes files of them."""
+    body = tiles.select("volume", F.lit(3).alias("part"), F.col("tile_no").cast("long").alias("seq_no"), "at", F.col("content").alias("bytes"))
+    return head.select(F.lit(0).alias("volume"), "part", "seq_no", "at", "bytes").unionByName(body)
 
 
 def write_archive(rows: DataFrame, path: str) -> None:
-    """Volumes as Parquet: column bytes, read by (volume, part, seq_no), is the archive's stream. A volume is one task, and no
-    larger than its limit."""
-    rows.repartition("volume").sortWithinPartitions("volume", "part", "seq_no").write.mode("overwrite").partitionBy("volume").parquet(path)
+    """An archive as Parquet, a folder a volume: column bytes, in order of at, is the volume's stream."""
+    rows.repartitionByRange("volume", "at").sortWithinPartitions("volume", "at").write.mode("overwrite").partitionBy("volume").parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of an archive, with the offset in its volume at which each begins."""
-    rows = spark.read.parquet(path)
-    w = Window.partitionBy("volume").orderBy("part", "seq_no").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("at", F.coalesce(F.sum(F.octet_length("bytes").cast("long")).over(w), F.lit(0)))
+    """The rows of an archive, with the place in its volume at which each begins."""
+    return spark.read.parquet(path)
 
 
 def region_script(catalog: DataFrame, region: str, epoch: int, version_line: str, custom: tuple[str, int] | None = None) -> DataFrame:
