@@ -95,7 +95,7 @@ def test_helpers():
     top, low = rng.integers(0, 256, (2, 4, 4, 4), dtype=np.uint8)
     exact = np.round((top.astype(float) * top[..., 3:] + low.astype(float) * (255.0 - top[..., 3:])) / 255)
     assert np.abs(ra.blend(top, low).astype(int) - exact).max() <= 1
-    assert ra.fold([low]) is low and (ra.halve(np.full((4, 4, 4), 7, np.uint8)) == 7).all()
+    assert ra.layer_step(None, 1, low) is low and (ra.halve(np.full((4, 4, 4), 7, np.uint8)) == 7).all()
     assert (ra.resample(low, 4) == low).all() and ra.resample(low, 2).shape == (2, 2, 4)
     assert ra.class_of(np.zeros((2, 2, 4), np.uint8)) == 0
 
@@ -125,7 +125,7 @@ def test_burn_and_mask(spark):
 def test_hole_filling_takes_the_ancestor(spark):
     rows = [(7, 2, 2, -1, np.array([[[0, 0, 0, 0]] * 4] * 4, np.uint8).tobytes()), (6, 1, 1, 1, tile(255))]
     t = spark.createDataFrame(rows, "z int, x long, y long, transp int, content binary")
-    got = {r.z: bytes(r.content) for r in ra.fill_holes(t, 4).collect()}
+    got = {r.z: bytes(r.content) for r in ra.fill_holes(t).collect()}
     assert got[7] == tile(255)
 
 

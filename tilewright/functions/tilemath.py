@@ -157,3 +157,13 @@ def bounds_to_tile_bounds(west: Value, north: Value, east: Value, south: Value,
     tile = lambda p: F.floor(p / TILE).cast("long")
     x1, x2, y1, y2 = lng_to_pixel_x(west, z), lng_to_pixel_x(east, z), lat_to_pixel_y(north, z), lat_to_pixel_y(south, z)
     return _bounds(tile(x1), tile(x2), tile(y1), tile(y2), map_size_tiles(z))
+
+
+Z_ORDER_ZOOM = 30  # codes of this zoom fit into a long
+
+
+def z_order(x: Column, y: Column) -> Column:
+    """A tile's place on the Z curve of its zoom: its quadkey as a number, with a bit of y before each bit of x. Binary digits read
+    to the base of four are spread bits."""
+    spread = lambda v: F.conv(F.bin(v.cast("long")), 4, 10).cast("long")
+    return spread(x) + 2 * spread(y)

@@ -21,23 +21,40 @@ def drop_transparent(tiles: DataFrame) -> DataFrame:
     return tiles.filter(F.col("transp") != 0)
 
 
-def tile_cover(boxes: DataFrame, overshoot: bool = False, salts: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """boxes (chart_id, west, north, east, south, zmin, zmax) as rows chart_id, z, x, y: all tiles that a box touches.
+BLOCK_SIDE = 64  # rows and columns of tiles that one row of blocks stands for
+TASK_TILES = 1 << 20
+
 
-    A box with west beyond east has the columns from west to the edge and from the edge to east. Zooms and columns are
-    exploded first and dealt anew, since a world chart has a million times a harbour's tiles; rows of tiles come last.
-    overshoot: one zoom more than zmax, for work that throws it away. carry: other columns that each tile is to have."""
+def cover_blocks(boxes: DataFrame, overshoot: bool = False, carry: tuple[str, ...] = (), side: int = BLOCK_SIDE) -> DataFrame:
+    """boxes by zoom and block of side x side tiles: chart_id, z, xa, xb, ya, yb. A box with west beyond east has the columns from west
+    to the edge and from the edge to east."""
     top = F.col("zmax") + (1 if overshoot else 0)
     zoomed = boxes.filter(F.col("zmin") <= top).withColumn("z", F.explode(F.sequence(F.col("zmin"), top)))
     bounds = tm.bounds_to_tile_bounds(F.col("west"), F.col("north"), F.col("east"), F.col("south"), F.col("z"))
     b = zoomed.select("chart_id", *carry, F.col("z").cast("int").alias("z"), bounds.alias("b")).select("chart_id", *carry, "z", "b.x_min", "b.x_max", "b.y_min", "b.y_max", "b.wraps")
     edge = tm.map_size_tiles(F.col("z")) - 1
-    right = F.sequence("x_min", F.when(F.col("wraps"), edge).otherwise(F.col("x_max")))
-    xs = F.when(F.col("wraps"), F.concat(right, F.sequence(F.lit(0).cast("long"), "x_max"))).otherwise(right)
-    columns = b.select("chart_id", *carry, "z", "y_min", "y_max", F.explode(xs).alias("x"))
-    if salts:
-        columns = columns.repartition(salts, "chart_id", "z", "x")
-    return columns.select("chart_id", *carry, "z", "x", F.explode(F.sequence("y_min", "y_max")).alias("y"))
+    run = lambda a, o: F.struct(a.cast("long").alias("x1"), o.cast("long").alias("x2"))
+    runs = F.when(F.col("wraps"), F.array(run(F.col("x_min"), edge), run(F.lit(0), F.col("x_max")))).otherwise(F.array(run(F.col("x_min"), F.col("x_max"))))
+    ranged = b.select("chart_id", *carry, "z", "y_min", "y_max", F.explode(runs).alias("r")).select("chart_id", *carry, "z", "y_min", "y_max", "r.*").filter("x1 <= x2 and y_min <= y_max")
+    starts = lambda a, o: F.explode(F.sequence(F.col(a), F.col(o), F.lit(side)))
+    cells = ranged.withColumn("xa", starts("x1", "x2")).withColumn("ya", starts("y_min", "y_max"))
+    end = lambda a, o: F.least(F.col(a) + side - 1, F.col(o))
+    return cells.select("chart_id", *carry, "z", "xa", end("xa", "x2").alias("xb"), "ya", end("ya", "y_max").alias("yb"))
+
+
+def tile_cover(boxes: DataFrame, overshoot: bool = False, carry: tuple[str, ...] = (), side: int = BLOCK_SIDE, task_tiles: int = TASK_TILES) -> DataFrame:
+    """boxes (chart_id, west, north, east, south, zmin, zmax) as rows chart_id, z, x, y: all tiles that a box touches.
+
+    A world chart has a million times a harbour's tiles. So boxes become blocks of tiles first (see cover_blocks), and where
+    these stand for more than task_tiles tiles together, which is counted before, blocks are dealt out evenly: as many
+    partitions as have task_tiles each. overshoot: one zoom more than zmax, for work that throws it away. carry: other
+    columns that each tile is to have."""
+    blocks = cover_blocks(boxes, overshoot, carry, side)
+    tiles = blocks.agg(F.sum((F.col("xb") - F.col("xa") + 1) * (F.col("yb") - F.col("ya") + 1))).first()[0] or 0
+    if tiles > task_tiles:
+        blocks = blocks.repartition(-(-tiles // task_tiles))
+    columns = blocks.withColumn("x", F.explode(F.sequence("xa", "xb")))
+    return columns.select("chart_id", *carry, "z", "x", F.explode(F.sequence("ya", "yb")).alias("y"))
 
 
 def with_rank(tiles: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -85,12 +102,38 @@ def resume_missing(wanted: DataFrame, existing: DataFrame, key: tuple[str, ...]
 
 def ancestor_lookup(tiles: DataFrame, pool: DataFrame, most: int = 7, least_zoom: int = 6) -> DataFrame:
     """tiles with the nearest ancestor in pool: k levels up, and its key. Levels are asked for one after the other up to
-    `most`; going past a missing one needs its zoom to be least_zoom or more. Tiles without any have nulls."""
-    up = tiles.select(*KEY, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("k")).filter((F.col("z") - F.col("k") >= 0) & ((F.col("k") == 1) | (F.col("z") - F.col("k") + 1 >= least_zoom)))
-    shift = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("k"))).cast("long")
-    keyed = up.withColumns({"az": F.col("z") - F.col("k"), "ax": shift("x"), "ay": shift("y")})
-    found = keyed.join(pool.select(F.col("z").alias("az"), F.col("x").alias("ax"), F.col("y").alias("ay")).distinct(), ["az", "ax", "ay"])
-    best = found.groupBy(*KEY).agg(F.min_by(F.struct("k", "az", "ax", "ay"), "k").alias("b")).select(*KEY, "b.*")
+    `most`; going past a missing one needs its zoom to be least_zoom or more. Tiles without any have nulls.
+
+    Along a Z curve a tile's ancestors come before it, and of each zoom the last one seen is the only one that can be an
+    ancestor. So tiles and pool are sorted together once, by ranges of the curve, and one pass keeps the last place of each
+    zoom; what is open where a partition begins comes from a table of a row a partition. A tile is one row throughout, and
+    an ancestor above millions of tiles is one, too."""
+    zooms = tm.Z_ORDER_ZOOM
+    keyed = lambda d, asks: d.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).distinct().withColumn("asks", F.lit(asks))
+    shift = F.pow(F.lit(4.0), F.lit(zooms) - F.col("z")).cast("long")
+    both = keyed(tiles, True).unionByName(keyed(pool, False)).withColumn("code", tm.z_order(F.col("x"), F.col("y")) * shift)
+    dealt = cut(both.repartitionByRange("code", "z", "asks").withColumn("_part", F.spark_partition_id()))
+    levels = [r[0] for r in dealt.filter("not asks").select("z").distinct().orderBy("z").collect()]  # at most 31
+    if not levels:
+        return tiles.select("*", *(F.lit(None).cast(t).alias(n) for n, t in (("k", "int"), ("az", "int"), ("ax", "long"), ("ay", "long"))))
+    of = lambda z: F.when(~F.col("asks") & (F.col("z") == z), F.col("code"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    ends = dealt.groupBy("_part").agg(*(F.max(of(z)).alias(f"_e{z}") for z in levels))
+    opened = ends.select("_part", *(F.max(f"_e{z}").over(upto).alias(f"_o{z}") for z in levels))
+    here = Window.partitionBy("_part").orderBy("code", "z", "asks")
+    seen = dealt.select("*", *(F.max(of(z)).over(here).alias(f"_s{z}") for z in levels)).filter("asks").join(F.broadcast(opened), "_part", "left")
+    last = F.create_map(*(x for z in levels for x in (F.lit(z), F.greatest(f"_s{z}", f"_o{z}"))))
+
+    def at(k: int):
+        """Is the ancestor k levels up in the pool?"""
+        bits = f"(2 * ({zooms} - z + {k}))"
+        may = (F.col("z") >= k) & (F.lit(k == 1) | (F.col("z") - k + 1 >= least_zoom))
+        return may & (F.expr(f"shiftleft(shiftright(code, {bits}), {bits})") == F.element_at("_last", F.col("z") - k))
+
+    nearest = F.coalesce(*(F.when(at(k), k) for k in range(1, most + 1)))
+    found = seen.withColumn("_last", last).select(*KEY, nearest.alias("k")).filter("k is not null")
+    half = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("k"))).cast("long")
+    best = found.select(*KEY, "k", (F.col("z") - F.col("k")).cast("int").alias("az"), half("x").alias("ax"), half("y").alias("ay"))
     return tiles.join(best, list(KEY), "left")
 
 

@@ -86,7 +86,7 @@ add("k8_mask_cutline", k8, f" SELECT chart_id, array_to_string(list_transform(px
 def k9(d: DataFrame) -> DataFrame:
     """Merged tiles and their overviews: the former are filled from above, the latter from below."""
     merged = cut(ra.merge_region(rank(d), layers(d)))
-    return hexed(ra.fill_holes(merged.unionByName(ra.overview_level(merged)), 4))
+    return hexed(ra.fill_holes(merged.unionByName(ra.overview_level(merged))))
 
 
 LEAST = "list_min(list_filter({px}, lambda v, j: j % 4 = 0))"
