@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .steps import in_order
+from .steps import cut, in_order
 
 # fixed values: region polygons, vertices (lat, lng)
 POLYGONS = {
@@ -76,25 +76,106 @@ def box_meets_ring(west: Column, north: Column, east: Column, south: Column, rin
     return F.exists(edges(ring), lambda e: edge_meets_box(e, west, north, east, south)) | in_ring(north, west, ring)
 
 
-def assign_regions(charts: DataFrame, regions: DataFrame, excludes: DataFrame, most: int = 64) -> DataFrame:
-    """charts (path, west, north, east, south) with each region whose polygon their box meets.
-
-    Charts whose name starts with 40 have none, nor those that the region excludes. A few dozen polygons, up to `most`, are
-    broadcast with their extents and compared with each chart's box before the exact test. Beyond, both sides are dealt to
-    cells of ten degrees and meet there, and pairs that meet in more than one cell count once."""
-    lats, lngs = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lng"])
-    r = regions.select("region", "ring", F.array_min(lats).alias("_s"), F.array_max(lats).alias("_n"), F.array_min(lngs).alias("_w"), F.array_max(lngs).alias("_e"))
-    named = charts.withColumn("name_", text.chart_base_name(F.col("path"))).filter(~F.col("name_").startswith("40"))
-    near = (F.col("_w") <= F.col("east")) & (F.col("_e") >= F.col("west")) & (F.col("_s") <= F.col("north")) & (F.col("_n") >= F.col("south"))
-    if regions.limit(most + 1).count() <= most:
-        pairs = named.join(F.broadcast(r), near)
+LOW_LEVEL, HIGH_LEVEL = 3, 9  # cells of 45 down to 0.7 degrees
+CELL_EDGES = 8  # a cell with more edges is cut in four, down to HIGH_LEVEL
+
+
+def cell_size(level: Column) -> Column:
+    return F.lit(360.0) / F.pow(F.lit(2.0), level)
+
+
+def cell_box(level: Column, cx: Column, cy: Column) -> tuple[Column, Column, Column, Column]:
+    """west, north, east, south of a cell."""
+    size = cell_size(level)
+    return cx * size - 180, (cy + 1) * size - 180, (cx + 1) * size - 180, cy * size - 180
+
+
+def in_cells(rows: DataFrame, level: Column, west: Column, north: Column, east: Column, south: Column) -> DataFrame:
+    """rows with each cell (level, cx, cy) that a box touches."""
+    at = lambda v: F.floor((v + 180) / cell_size(F.col("level"))).cast("long")
+    levelled = rows.withColumn("level", level.cast("int"))
+    return levelled.withColumn("cx", F.explode(F.sequence(at(west), at(east)))).withColumn("cy", F.explode(F.sequence(at(south), at(north))))
+
+
+def polygon_cells(regions: DataFrame) -> DataFrame:
+    """A cover of each region's polygon (region, ring) by cells of several sizes: region, level, cx, cy and edges, those of the ring that
+    meet the cell. Cells without any lie inside: a box that touches one meets the polygon. Cells with many edges are cut in
+    four, so a ring of thousands of points is spread over as many small lists as it needs."""
+    e = F.col("e")
+    low = lambda f, c: f(e["a"][c], e["b"][c])
+    box = (low(F.least, "lng"), low(F.greatest, "lat"), low(F.greatest, "lng"), low(F.least, "lat"))
+    meets = edge_meets_box(e, *cell_box(F.col("level"), F.col("cx"), F.col("cy")))
+    key = ["region", "level", "cx", "cy"]
+    pairs = cut(in_cells(regions.select("region", F.explode(edges(F.col("ring"))).alias("e")), F.lit(LOW_LEVEL), *box).filter(meets))
+    around = lambda c, f: f(F.transform("ring", lambda p: p[c]))
+    whole = in_cells(regions.select("region", around("lng", F.array_min).alias("w"), around("lat", F.array_max).alias("n"), around("lng", F.array_max).alias("e"), around("lat", F.array_min).alias("s")), F.lit(LOW_LEVEL), *(F.col(c) for c in "wnes")).select(key)
+    bare = whole.join(pairs.select(key).distinct(), key, "left_anti")
+    done = None
+    for level in range(LOW_LEVEL, HIGH_LEVEL + 1):
+        cells = pairs.groupBy(key).agg(F.collect_list("e").alias("edges"))
+        full = cells.filter(F.size("edges") <= CELL_EDGES) if level < HIGH_LEVEL else cells
+        done = full if done is None else done.unionByName(full)
+        if level == HIGH_LEVEL:
+            break
+        crowded = cut(cells.filter(F.size("edges") > CELL_EDGES))
+        quarters = crowded.select("region", (F.col("level") + 1).alias("level"), (F.col("cx") * 2).alias("_x"), (F.col("cy") * 2).alias("_y"), "edges")
+        kids = quarters.withColumn("cx", F.explode(F.array("_x", F.col("_x") + 1))).withColumn("cy", F.explode(F.array("_y", F.col("_y") + 1)))
+        pairs = cut(kids.select(*key, F.explode("edges").alias("e")).filter(meets))
+        bare = bare.unionByName(kids.select(key).join(pairs.select(key).distinct(), key, "left_anti"))
+    west, north, _, _ = cell_box(F.col("level"), F.col("cx"), F.col("cy"))
+    inner = bare.join(regions.select("region", "ring"), "region").filter(in_ring(north, west, F.col("ring"))).select(key)
+    return done.unionByName(inner.withColumn("edges", F.array().cast(dict(done.dtypes)["edges"])))
+
+
+def meets_by_cells(boxes: DataFrame, regions: DataFrame) -> DataFrame:
+    """_id and region of boxes (_id, _part, west, north, east, south) that meet a region's polygon. Boxes and polygons meet in cells; a
+    box in an inner cell needs no test, one in a cell with edges is held against those, and only one that meets none of
+    them is looked for in the whole ring."""
+    cells = cut(polygon_cells(regions))
+    key = ["level", "cx", "cy"]
+    above = lambda rows, flag: rows.withColumn("_up", F.explode(F.sequence(F.lit(0), F.col("level") - LOW_LEVEL))).withColumn(flag, F.col("_up") == 0).withColumns({"level": F.col("level") - F.col("_up"), "cx": F.expr("shiftright(cx, _up)"), "cy": F.expr("shiftright(cy, _up)")}).drop("_up")
+    far = zip(("_w", "_n", "_e", "_s"), cell_box(F.col("level"), F.col("cx"), F.col("cy")), strict=True)
+    leaves = above(cells.withColumns(dict(far)), "_leaf")
+    extent = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"), F.lit(1e-9))
+    level = F.least(F.greatest(F.floor(F.log2(F.lit(360.0) / extent)), F.lit(LOW_LEVEL)), F.lit(HIGH_LEVEL))
+    dealt = in_cells(boxes, level, *(F.col(c) for c in ("west", "north", "east", "south")))
+    asked = above(dealt, "_own").distinct()
+    touch = (F.col("_w") <= F.col("east")) & (F.col("_e") >= F.col("west")) & (F.col("_s") <= F.col("north")) & (F.col("_n") >= F.col("south"))
+    pairs = asked.join(leaves, key).filter((F.col("_leaf") | F.col("_own")) & touch)
+    box = [F.col(c) for c in ("west", "north", "east", "south")]
+    hit = (F.size("edges") == 0) | F.exists("edges", lambda e: edge_meets_box(e, *box))
+    told = cut(pairs.groupBy("_id", "_part", "region", "west", "north").agg(F.bool_or(hit).alias("hit")))
+    unsure = told.filter("not hit").join(regions.select("region", "ring"), "region").filter(in_ring(F.col("north"), F.col("west"), F.col("ring")))
+    return told.filter("hit").select("_id", "region").unionByName(unsure.select("_id", "region")).distinct()
+
+
+def split_boxes(rows: DataFrame) -> DataFrame:
+    """rows with one box each (_part, west, north, east, south), or two where west lies beyond east: up to the dateline, and on from it."""
+    box = lambda part, west, east: F.struct(F.lit(part).alias("_part"), west.alias("west"), F.col("north").alias("north"), east.alias("east"), F.col("south").alias("south"))
+    both = F.array(box(0, F.col("west"), F.lit(180.0)), box(1, F.lit(-180.0), F.col("east")))
+    boxes = F.when(F.col("west") > F.col("east"), both).otherwise(F.array(box(0, F.col("west"), F.col("east"))))
+    return rows.select("_id", F.explode(boxes).alias("_b")).select("_id", "_b.*")
+
+
+def assign_regions(charts: DataFrame, regions: DataFrame, excludes: DataFrame, most: int = 64, most_points: int = 4096) -> DataFrame:
+    """charts (path, west, north, east, south) with each region whose polygon their box meets; one with west beyond east crosses the
+    dateline.
+
+    Charts whose name starts with 40 have none, nor those that the region excludes. Up to `most` polygons of most_points points
+    together are broadcast with their extents and compared with each chart's box before the exact test. Beyond, see
+    meets_by_cells. Rings are closed and stay within -180 to 180 degrees."""
+    named = cut(charts.withColumn("name_", text.chart_base_name(F.col("path"))).filter(~F.col("name_").startswith("40")).withColumn("_id", F.monotonically_increasing_id()))
+    boxes = split_boxes(named)
+    size = regions.agg(F.count("*"), F.sum(F.size("ring"))).first()
+    if size[0] <= most and (size[1] or 0) <= most_points:
+        lats, lngs = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lng"])
+        r = regions.select("region", "ring", F.array_min(lats).alias("_s"), F.array_max(lats).alias("_n"), F.array_min(lngs).alias("_w"), F.array_max(lngs).alias("_e"))
+        near = (F.col("_w") <= F.col("east")) & (F.col("_e") >= F.col("west")) & (F.col("_s") <= F.col("north")) & (F.col("_n") >= F.col("south"))
+        met = boxes.join(F.broadcast(r), near).filter(box_meets_ring(*(F.col(c) for c in ("west", "north", "east", "south")), F.col("ring"))).select("_id", "region").distinct()
     else:
-        grid = lambda d, w, e, s, n: d.withColumn("_x", F.explode(F.sequence(F.floor(F.col(w) / 10), F.floor(F.greatest(F.col(w), F.col(e)) / 10)))).withColumn("_y", F.explode(F.sequence(F.floor(F.col(s) / 10), F.floor(F.col(n) / 10))))
-        first = (F.col("_x") == F.greatest(F.floor(F.col("_w") / 10), F.floor(F.col("west") / 10))) & (F.col("_y") == F.greatest(F.floor(F.col("_s") / 10), F.floor(F.col("south") / 10)))
-        pairs = grid(named, "west", "east", "south", "north").join(grid(r, "_w", "_e", "_s", "_n"), ["_x", "_y"]).filter(near & first).drop("_x", "_y")
-    met = pairs.filter(box_meets_ring(F.col("west"), F.col("north"), F.col("east"), F.col("south"), F.col("ring"))).drop("ring", "_s", "_n", "_w", "_e")
+        met = meets_by_cells(boxes, regions)
     gone = excludes.withColumnRenamed("name", "name_")
-    return met.join(gone, ["region", "name_"], "left_anti")
+    return named.join(met, "_id").drop("_id").join(gone, ["region", "name_"], "left_anti")
 
 
 def region_match_counts(assigned: DataFrame, charts: DataFrame) -> DataFrame:
