@@ -1,3 +1,4 @@
+import os
 import struct
 
 import numpy as np
@@ -10,9 +11,9 @@ from tilewright.operators import catalog as cat
 from tilewright.operators import raster as ra
 from tilewright.operators import regions as reg
 from tilewright.operators import tiles as tl
-from tilewright.operators.steps import in_order
+from tilewright.operators.steps import cut, in_order, new_folder, scratch
 from tilewright.plans import jobs
-from tilewright.sources import tables, volumes
+from tilewright.sources import headers, tables, volumes
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -65,6 +66,18 @@ def test_region_edges(spark):
     assert sorted(r.path for r in gridded) == sorted(want)
 
 
+@pytest.mark.parametrize("most", [0, 64])
+def test_regions_at_the_dateline(spark, most):
+    """Boxes with west beyond east are two boxes; inner cells, edge cells and boxes of any size."""
+    rings = {"E": [(-60.0, -180.0), (60.0, -180.0), (50.0, -170.0), (-50.0, -172.0), (-60.0, -180.0)], "W": [(-60.0, 100.0), (60.0, 100.0), (60.0, 180.0), (-60.0, 180.0), (-60.0, 100.0)]}
+    boxes = [("both", 179.0, 5.0, -179.0, 4.0), ("w", 179.0, 5.0, 179.5, 4.0), ("e", -179.9, 5.0, -179.0, 4.0), ("far", 90.0, 5.0, 99.9, 4.0), ("touch", 90.0, 5.0, 100.0, 4.0), ("world", -180.0, 85.0, 180.0, -85.0), ("north", 179.0, 70.0, -179.0, 61.0), ("tiny", 140.0, 0.00001, 140.00001, 0.0), ("point", 100.0, 60.0, 100.0, 60.0)]
+    charts = spark.createDataFrame([(f"/a/{n}.tif", *b) for n, *b in boxes], "path string, west double, north double, east double, south double")
+    got = reg.assign_regions(charts, reg.region_polygons(spark, rings), reg.region_excludes(spark), most=most).collect()
+    found = {n: {r.region for r in got if r.name_ == n} for n, *_ in boxes}
+    assert found == {"both": {"E", "W"}, "w": {"W"}, "e": {"E"}, "far": set(), "touch": {"W"}, "world": {"E", "W"}, "north": set(), "tiny": {"W"}, "point": {"W"}}
+    assert len(got) == sum(map(len, found.values()))
+
+
 def test_manifests(spark):
     a, b = (spark.createDataFrame(rows, "region string, v int") for rows in ([("A", 1), ("B", 1)], [("B", 2), ("C", 2)]))
     assert {(r.region, r.side) for r in reg.manifest_diff(a, b).collect()} == {("A", "now"), ("C", "before")}
@@ -291,16 +304,77 @@ def test_places_in_order(spark):
     assert in_order(df.limit(0), "k").isEmpty()
 
 
-def test_a_job_goes_on_where_it_ended(spark, tmp_path):
+def test_a_job_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
+    """A job that fails behind the merge goes on from the merged table; with other inputs it begins anew."""
     charts, t = region_inputs(spark)
-    folder = str(tmp_path / "job")
-    assert jobs.run_region(folder, "MX_REGION", charts, t, limit=1000) == 5 and jobs.run_region(folder, "MX_REGION", charts, t) == 0
+    folder, merges = str(tmp_path / "job"), []
+    real = jobs.merged_tiles
+    monkeypatch.setattr(jobs, "merged_tiles", lambda *a: merges.append(1) or real(*a))
+    with monkeypatch.context() as m, pytest.raises(OSError, match="full"):
+        m.setattr(jobs.volumes, "write_volumes", lambda *a: (_ for _ in ()).throw(OSError("disk full")))
+        jobs.run_region(folder, "MX_REGION", charts, t, limit=1000)
     lines = [r.line for r in spark.read.json(f"{folder}/log").orderBy("line_no").collect()]
-    assert lines[0] == "REGION:::MX_REGION:::CHECKPOINT_CATALOG" and len(lines) == 5
-    assert spark.read.parquet(f"{folder}/merged").count() == 3 and tables.read_archive(spark, f"{folder}/archive").filter("part = 3").count() == 3
-    other = str(tmp_path / "other")
-    spark.createDataFrame([(1, lines[0]), (3, lines[1])], "line_no long, line string").write.json(f"{other}/log")
-    assert jobs.run_region(other, "MX_REGION", charts, t) == 3 and not (tmp_path / "other" / "merged").exists()
+    assert [x.rsplit("_", 1)[1] for x in lines] == ["CATALOG", "VERIFY", "MERGE"] and lines[0] == "REGION:::MX_REGION:::CHECKPOINT_CATALOG"
+    assert jobs.run_region(folder, "MX_REGION", charts, t, limit=1000) == 2 and merges == [1]
+    assert jobs.run_region(folder, "MX_REGION", charts, t, limit=1000) == 0
+    want = {(r.z, r.x, r.y): bytes(r.content) for r in jobs.compile_region("MX_REGION", charts, t).merged.collect()}
+    assert {(r.z, r.x, r.y): bytes(r.content) for r in volumes.read_volumes(spark, f"{folder}/archive/REGION.gemf").collect()} == want
+    assert spark.read.parquet(f"{folder}/script").count() == 4
+    assert jobs.run_region(folder, "MX_REGION", charts, t, limit=2000) == 5
+    assert jobs.run_region(str(tmp_path / "mb"), "MB_REGION", charts, t) == 4 and jobs.run_region(str(tmp_path / "ch"), "MB_CHARTS", charts, t) == 3
+    with pytest.raises(ValueError, match="no tiles"):
+        jobs.run_region(str(tmp_path / "bad"), "MB_REGION", charts, t.filter("chart_id = 1"))
+
+
+def test_checkpoints_are_deleted_when_a_block_ends_well(spark, tmp_path):
+    with scratch(spark):
+        path = cut(spark.range(5))._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+        folder = new_folder(spark, "x")
+        spark.range(3).write.parquet(folder)
+        assert spark.read.parquet(folder).count() == 3 and os.path.isdir(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:")) and not os.path.exists(folder.removeprefix("file:"))
+    with pytest.raises(KeyError), scratch(spark):
+        kept = cut(spark.range(5))
+        raise KeyError
+    assert kept.count() == 5
+
+
+def test_headers_of_large_files(spark, tmp_path, monkeypatch):
+    """A file of three GiB is read up to the end of its header, which spans blocks."""
+    big, plain, odd = tmp_path / "a" / "BIG.KAP", tmp_path / "b c.kap", tmp_path / "none.kap"
+    big.parent.mkdir()
+    lines = ["BSB/NA=X" + "y" * 300] * 100
+    with open(big, "wb") as file:
+        file.write("\n".join([*lines, "cut"]).encode() + b"\x1a\x00\n")
+        file.truncate(3 << 30)
+    plain.write_bytes(b"one\n\xe9two\n")
+    odd.write_bytes(b"")
+    (tmp_path / "_hidden").write_bytes(b"x")
+    got = {r.path.rsplit("/", 1)[1]: r.lines for r in tables.read_chart_headers(spark, str(tmp_path)).collect()}
+    assert got == {"BIG.KAP": lines, "b c.kap": ["one", "two"], "none.kap": []}
+    small = tables.read_chart_headers(spark, [str(plain), f"file:{odd}"]).collect()
+    by_spark = spark.read.format("binaryFile").load([str(plain)]).select("path", tables.header_lines_of(F.col("content")).alias("lines")).collect()
+    assert {(r.path, *r.lines) for r in small} == {(r.path, *r.lines) for r in by_spark} | {(f"file:{odd}",)}
+    reads = []
+    real = open
+
+    class Counted:
+        def __init__(self, *a, **k):
+            self.file = real(*a, **k)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.file.close()
+
+        def read(self, n):
+            part = self.file.read(n)
+            reads.append(len(part))
+            return part
+
+    monkeypatch.setattr(headers, "open", Counted, raising=False)
+    assert headers.lines_of(headers.read_header(str(big))) == lines and sum(reads) <= 3 * headers.BLOCK
 
 
 def test_charts_are_cut_from_their_rasters(spark):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,15 +22,45 @@ def shared(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Paths that the innermost `scratch` deletes at its end
+WRITTEN: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and goes on from there, so that a lost executor costs no recomputation."""
     shared(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    if WRITTEN:
+        WRITTEN[-1].append(out._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    return out
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has yet."""
-    return f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
+    if WRITTEN:
+        WRITTEN[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, if it is there, in whatever file system it lies."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is cut, and what goes to new folders, in this block is deleted when the block ends well: for jobs whose results are
+    written elsewhere by then. After an error all of it stays."""
+    WRITTEN.append([])
+    try:
+        yield
+    except BaseException:
+        WRITTEN.pop()
+        raise
+    for path in WRITTEN.pop():
+        delete(spark, path)
 
 
 def in_order(df: DataFrame, *order: str | Column, place: str = "place", sums: dict[str, str] | None = None) -> DataFrame:

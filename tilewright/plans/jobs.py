@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,8 +13,8 @@ from ..functions import geo
 from ..operators import catalog as cat
 from ..operators import raster
 from ..operators import tiles as tl
-from ..operators.steps import cut
-from ..sources import tables
+from ..operators.steps import cut, scratch
+from ..sources import tables, volumes
 
 
 @dataclass
@@ -54,23 +55,40 @@ def archive_of(merged: DataFrame, region: str, limit: int) -> DataFrame:
     return tables.archive_rows(tl.archive_head(ranges, placed, region), placed.join(merged.select("z", "x", "y", "content"), ["z", "x", "y"]))
 
 
+def checked(profile: str) -> str:
+    if profile not in ("MX_REGION", "MB_REGION", "MB_CHARTS"):
+        raise ValueError(f"unknown profile {profile}")
+    return profile
+
+
+def ordered_catalog(charts: DataFrame) -> DataFrame:
+    return cat.catalog_order(cat.valid_charts(charts))
+
+
+def gate(verdicts: DataFrame) -> None:
+    """Charts that don't pass verification are an error."""
+    failed = verdicts.filter("not ok").limit(5).collect()
+    if failed:
+        raise ValueError("charts that fail verification: " + ", ".join(f"{r['chart_id']} ({r['reason']})" for r in failed))
+
+
+def merged_tiles(catalog: DataFrame, tiles: DataFrame, fill: bool) -> DataFrame:
+    merged = raster.merge_region(catalog, tiles)
+    return raster.fill_holes(cut(merged)) if fill else merged
+
+
 def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000) -> Compiled:
     """profile MX_REGION: merged tiles, archive rows and script; MB_REGION: merged tiles as mbtiles rows; MB_CHARTS: each
     chart's tiles as mbtiles rows, without every second zoom. charts: catalog fields with chart_id; tiles: chart_id, z, x,
     y, transp, content. Holes are filled only if asked for. Charts that don't pass verification are an error."""
-    if profile not in ("MX_REGION", "MB_REGION", "MB_CHARTS"):
-        raise ValueError(f"unknown profile {profile}")
-    ordered = cut(cat.catalog_order(cat.valid_charts(charts)))
+    checked(profile)
+    ordered = cut(ordered_catalog(charts))
     out = Compiled(ordered, tiles, cut(tl.verify_catalog(ordered, tiles.drop("content"))))
-    failed = out.verdicts.filter("not ok").limit(5).collect()
-    if failed:
-        raise ValueError("charts that fail verification: " + ", ".join(f"{r['chart_id']} ({r['reason']})" for r in failed))
+    gate(out.verdicts)
     if profile == "MB_CHARTS":
         out.mbtiles = tables.mbtiles_rows(tl.skip_zooms(tiles))
         return out
-    out.merged = raster.merge_region(ordered, tiles)
-    if fill:
-        out.merged = raster.fill_holes(out.merged)
+    out.merged = merged_tiles(ordered, tiles, fill)
     if profile == "MB_REGION":
         out.mbtiles = tables.mbtiles_rows(out.merged)
     else:
@@ -80,32 +98,64 @@ def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: st
     return out
 
 
-def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, limit: int = 2_000_000_000) -> int:
-    """compile_region into tables under folder, stage by stage, with a log of what is done; a stage that the log has is left
-    alone, so a job that was stopped goes on where it ended. Returns how many stages ran."""
+def fingerprint(charts: DataFrame, tiles: DataFrame, *parameters) -> str:
+    """Tells a job's inputs from other ones by all that is in them but pixels, whatever the order of rows."""
+    told = []
+    for df in (charts, tiles):
+        plain = [F.col(c) for c, kind in df.dtypes if kind != "binary"]
+        told += df.select(F.xxhash64(*plain).alias("h")).agg(F.count("*"), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(20,0)"))).first()
+    return hashlib.sha256(repr([*map(str, told), *parameters]).encode()).hexdigest()
+
+
+LOG = "line_no long, line string, inputs string"
+
+
+def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000) -> int:
+    """What compile_region makes, as files under folder, stage by stage: catalog, verdicts, merged, archive (byte volumes
+    archive/<region>.gemf, ...), script and mbtiles. Returns how many stages ran.
+
+    Each stage reads the tables that earlier ones have written, and a log tells which are whole. So a job that was stopped goes
+    on behind its last finished stage and repeats none of the work before it; its checkpoints are deleted when it ends well.
+    The log holds a fingerprint of the inputs: with other charts, tiles or parameters the job begins anew."""
+    checked(profile)
     spark = charts.sparkSession
-    log, ran = f"{folder}/log", 0
-    done = spark.createDataFrame([], "line_no long, line string")
-    try:
-        done = cut(spark.read.json(log, schema="line_no long, line string"))
-    except AnalysisException:
-        pass  # no stage has run
-    jobs = spark.createDataFrame([(region, profile)], "region string, profile string")
-    reached = cat.pending_stage(jobs, done, len(cat.STAGES)).first()["stage"]
-    compiled = None
-    steps = {"CATALOG": ("catalog", lambda c: c.catalog.drop("ring")), "MERGE": ("merged", lambda c: c.merged), "ARCHIVE": ("archive", lambda c: c.archive), "METADATA": ("script", lambda c: c.script), "PUBLISHED": ("mbtiles", lambda c: c.mbtiles)}
-    for number, stage in enumerate(cat.STAGES, 1):
-        if number <= reached or stage not in steps:
-            continue
-        compiled = compiled or compile_region(profile, charts, tiles, region, epoch, limit=limit)
-        name, part = steps[stage]
-        table = part(compiled)
-        if table is not None:
-            if name == "archive":
-                tables.write_archive(table, f"{folder}/{name}")
-            else:
-                table.write.mode("overwrite").parquet(f"{folder}/{name}")
-        line = f"{region}:::{profile}:::CHECKPOINT_{stage}"
-        spark.createDataFrame([(number, line)], "line_no long, line string").write.mode("append").json(log)
-        ran += 1
+    log, ran, inputs = f"{folder}/log", 0, fingerprint(charts, tiles, profile, region, epoch, fill, limit)
+    table = lambda name: spark.read.parquet(f"{folder}/{name}")
+    write = lambda name, df: df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    def catalog() -> None:
+        write("catalog", ordered_catalog(charts))
+
+    def verify() -> None:
+        write("verdicts", tl.verify_catalog(table("catalog"), tiles.drop("content")))
+        gate(table("verdicts"))
+
+    def merge() -> None:
+        write("merged", merged_tiles(table("catalog"), tiles, fill))
+
+    def archive() -> None:
+        volumes.write_volumes(archive_of(table("merged"), region, limit), f"{folder}/archive/{region}.gemf")
+
+    def metadata() -> None:
+        write("script", tables.region_script(table("catalog"), region, epoch, "--DBVERSION:3"))
+
+    def publish() -> None:
+        write("mbtiles", tables.mbtiles_rows(tl.skip_zooms(tiles) if profile == "MB_CHARTS" else table("merged")))
+
+    steps = {"CATALOG": catalog, "TILE_VERIFY": verify}
+    steps |= {} if profile == "MB_CHARTS" else {"MERGE": merge}
+    steps |= {"ARCHIVE": archive, "METADATA": metadata} if profile == "MX_REGION" else {"PUBLISHED": publish}
+    with scratch(spark):
+        done = spark.createDataFrame([], LOG)
+        try:
+            done = cut(spark.read.json(log, schema=LOG).filter(F.col("inputs") == inputs))
+        except AnalysisException:
+            pass  # no stage has run
+        jobs = spark.createDataFrame([(region, profile)], "region string, profile string")
+        reached = cat.pending_stage(jobs, done, len(cat.STAGES)).first()["stage"]
+        for number, stage in enumerate(cat.STAGES, 1):
+            if number > reached and stage in steps:
+                steps[stage]()
+                spark.createDataFrame([(number, f"{region}:::{profile}:::CHECKPOINT_{stage}", inputs)], LOG).write.mode("append").json(log)
+                ran += 1
     return ran

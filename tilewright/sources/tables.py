@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions import tilemath as tm
+from .headers import ChartHeaders
 
 CATALOG_SCHEMA = "path string, name string, min_zoom int, max_zoom int, scale int, date string, depths string, outline string, rank int"
 
@@ -35,8 +38,13 @@ def header_lines_of(content: Column) -> Column:
 
 
 def read_chart_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """path and lines, one row a chart file. Contents end in the task that reads them."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", header_lines_of(F.col("content")).alias("lines"))
+    """path and lines, one row a chart file. On a mounted file system a file is read up to the end of its header only, however large
+    it is; stores that only Spark reaches give it whole files, whose contents end in the task that reads them."""
+    asked = [paths] if isinstance(paths, str) else paths
+    if all(urlparse(p).scheme in ("", "file") for p in asked):
+        spark.dataSource.register(ChartHeaders)
+        return spark.read.format("chart_headers").option("paths", "\n".join(asked)).load()
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(asked).select("path", header_lines_of(F.col("content")).alias("lines"))
 
 
 def read_catalog(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
