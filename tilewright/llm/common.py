@@ -107,6 +107,11 @@ def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, salt_by: str
     return rows.withColumn("_salt", salt_of(salt_by, salts)).join(spread, [key, "_salt"], how).drop("_salt")
 
 
+def packed(docs: DataFrame, **beside: Column) -> DataFrame:
+    """docs with each row in one column, row, and others beside it, so that no name of docs can clash with them."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(v.alias(k) for k, v in beside.items()))
+
+
 def one_of_each(docs: DataFrame, key: Column, found: DataFrame) -> DataFrame:
     """docs without rows whose key is to go, and with one row of each key that repeats; columns stay as they are.
 
@@ -114,8 +119,8 @@ def one_of_each(docs: DataFrame, key: Column, found: DataFrame) -> DataFrame:
     not be listed. Only rows that a bitmap of the listed keys lets through are shuffled, and these are collapsed by key where
     they are read, so no key is hot. Of rows with one key the one with the least hash of its columns stays."""
     listed = cut(found.filter("not kept or n > 1").select("key", "kept").distinct())
-    marked = KeyFilter(listed, F.col("key")).mark(docs.withColumn("_key", key), F.col("_key"), "_may")
-    hashed = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    some = marked.filter("_may").groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("_row"))
-    stay = some.join(listed.filter("not kept").select(F.col("key").alias("_key")), "_key", "left_anti").select("_row.*")
-    return marked.filter("not _may").select(*docs.columns).unionByName(stay)
+    marked = KeyFilter(listed, F.col("key")).mark(packed(docs, key=key), F.col("key"), "may")
+    hashed = [F.col("row").getField(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    some = marked.filter("may").groupBy("key").agg(F.min_by("row", F.xxhash64(*hashed)).alias("row"))
+    stay = some.join(listed.filter("not kept").select("key"), "key", "left_anti").select("row.*")
+    return marked.filter("not may").select("row.*").unionByName(stay)

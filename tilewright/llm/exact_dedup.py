@@ -29,8 +29,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = marked.select(
         "_id",
         (digest if digest_all else F.when(F.col("_survives"), digest)).alias("digest"),
-        # a row that stands alone gets a key that no group has, so that outer joins don't gather nulls in one task
-        F.when(F.col("_survives"), digest).otherwise(F.concat(F.lit("id:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary")).alias("_key"),
+        # a row that stands alone gets a key that no group has (longer than a digest), so that outer joins don't gather nulls in one task
+        F.when(F.col("_survives"), digest).otherwise(F.concat(F.lit("-" * 33), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary")).alias("_key"),
     )
     grouped = with_group(
         narrow, "_key", "_id", {"_keep": (F.max("_id"), F.max("_keep")), "_size": (F.count("*"), F.sum("_size"))}, salts,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.steps import cut, in_order
-from .common import count_words, join_dimension, text_of
+from .common import count_words, join_dimension, packed, text_of
 
 HASH_BITS = 60
 
@@ -106,11 +106,11 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
 
     A row's own id and source tell how often it is taken, so texts are only filtered and repeated where they are read;
     they meet no more than a row a source. Nulls and repeated ids fare as in mix; an empty table stays empty."""
-    limits = thresholds(sized(docs, seed, id_col, size, source_col), weights, most, bits).select(F.col("skey").alias("_skey"), F.col("passes").alias("_passes"), F.col("limit").alias("_limit"))
-    keyed = docs.withColumn("_skey", source_key(F.col(source_col))).withColumn("_h", unit_hash(id_col, seed))
-    copies = F.col("_passes") + F.when(F.col("_h") < F.col("_limit"), 1).otherwise(0)
-    taken = join_dimension(keyed, limits, "_skey", id_col).withColumn("_copies", copies.cast("int")).filter("_copies > 0")
-    return taken.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
+    limits = thresholds(sized(docs, seed, id_col, size, source_col), weights, most, bits).select("skey", "passes", "limit")
+    keyed = packed(docs, id=F.col(id_col), skey=source_key(F.col(source_col)), h=unit_hash(id_col, seed))
+    copies = F.col("passes") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
+    taken = join_dimension(keyed, limits, "skey", "id").withColumn("copies", copies.cast("int")).filter("copies > 0")
+    return taken.withColumn("nth", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -33,8 +33,9 @@ ANCHORS = {
 }
 
 
-#: A-Z alone: one code point for one, so that places are those of the text
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def lower(text: str) -> str:
+    """A-Z alone in lower case: one code point for one, so that places are those of the text."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -76,7 +77,7 @@ def find(text: str, machine: ahocorasick.Automaton) -> dict[str, list[tuple[int,
     of words are found in upper and lower case; the parsers read the text as it is."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys(("email", "ip", "card", "phone", "login", "key", "secret", "iban"), 0)
-    for end, (anchor, parser) in machine.iter(text.lower() if text.isascii() else text.translate(LOWER)):
+    for end, (anchor, parser) in machine.iter(text.lower() if text.isascii() else lower(text)):
         at = end - len(anchor) + 1
         if parser == "number":
             if at >= done["ip"]:

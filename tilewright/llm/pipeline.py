@@ -13,22 +13,28 @@ from .quality import keep_good
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject. Nulls, empty and long texts, repeated rows, empty tables and further
+    columns: see keep_good."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text. Nulls, empty and long texts, ties, repeated rows, empty tables and further columns: see drop_copies."""
     return drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates. Odd rows and ties: see drop_near_duplicates."""
     return drop_near_duplicates(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, none at all included. Odd rows and ties: see apply_mix."""
     return apply_mix(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences, a row a piece. Odd rows and ties: see pack."""
     return pack(docs)
 
 

@@ -190,10 +190,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: st
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-                yield part.filter(pa.array(scores_of(texts, model, k, power) >= least))
+                yield part.filter(pa.array(scores_of(part.column(text_at).to_pylist(), model, k, power) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    text_at = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names with dots stop mapInArrow
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.steps import cut
-from .common import KeyFilter, attach, host_of, path_of, salt_of
+from .common import attach, host_of, KeyFilter, packed, path_of, salt_of
 
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -108,10 +108,10 @@ def keep_allowed(pages: DataFrame, rules=RULES, tolerance: float = 0.02, damping
     the bad ones lets through are shuffled; other pages are kept or dropped where they are read. An empty table stays empty."""
     judged = ruled(pages.select("url", "html"), rules)
     bad = cut(host_verdicts(judged, tolerance, damping, least, threshold).filter("bad").select(F.col("host").alias("_host"), F.lit(True).alias("_bad")))
-    keyed = pages.withColumn("_host", host_of(F.col("url"))).withColumn("_verdict", rule_of(F.col("_host"), path_of(F.col("url")), rules)["verdict"])
-    marked = KeyFilter(bad, F.col("_host")).mark(keyed.filter("_verdict is null or _verdict = 'allow'"), F.col("_host"), "_may")
-    open_ = attach(marked.filter("_may and _verdict is null"), bad, "_host", "url").filter("_bad is null")
-    return marked.filter("not _may or _verdict is not null").select(*pages.columns).unionByName(open_.select(*pages.columns))
+    keyed = packed(pages, _host=host_of(F.col("url")), url=F.col("url")).withColumn("verdict", rule_of(F.col("_host"), path_of(F.col("url")), rules)["verdict"])
+    marked = KeyFilter(bad, F.col("_host")).mark(keyed.filter("verdict is null or verdict = 'allow'"), F.col("_host"), "may")
+    open_ = attach(marked.filter("may and verdict is null"), bad, "_host", "url").filter("_bad is null")
+    return marked.filter("not may or verdict is not null").select("row.*").unionByName(open_.select("row.*"))
 
 
 def op2_url_filter(spark, sf_dir: str) -> DataFrame:
