@@ -149,9 +149,13 @@ class ChunkEncoder:
         words = pc.utf8_lower(bare.take(pa.array(some))).dictionary_encode()
         cut_off = pc.binary_length(bare).to_numpy()[some]
         offsets = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1, parts.offset * 4).astype(np.int64)
-        data = memoryview(parts.buffers()[2] or b"")
-        marked = some[offsets[some + 1] - offsets[some] > cut_off]
-        marks = pa.array([data[a:b].tobytes().decode() for a, b in zip((offsets[marked] + pc.binary_length(bare).to_numpy()[marked]).tolist(), offsets[marked + 1].tolist(), strict=True)], pa.string()).dictionary_encode()
+        data = np.frombuffer(parts.buffers()[2] or b"", np.uint8)
+        has_marks = offsets[some + 1] - offsets[some] > cut_off
+        marked = some[has_marks]
+        begin = offsets[marked] + cut_off[has_marks]
+        size = offsets[marked + 1] - begin
+        edges = np.r_[0, np.cumsum(size)].astype(np.int32)
+        marks = pa.Array.from_buffers(pa.string(), len(marked), [None, pa.py_buffer(edges), pa.py_buffer(data[spans(begin, size)])]).dictionary_encode()
         word_ids, word_count = self.merger(words.dictionary)
         mark_ids, mark_count = self._by_tokenizer(marks.dictionary)
         odd = np.flatnonzero(~is_word)
@@ -197,6 +201,16 @@ def encoder_for(path: str) -> ChunkEncoder:
     return ENCODERS[path]
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in order and how often each occurs, as np.unique does; small numbers are sorted by their digits."""
+    ordered = np.sort(ids, kind="stable")
+    last = np.flatnonzero(ordered[1:] != ordered[:-1])
+    edges = np.empty(len(last) + 2, np.int64)
+    edges[0], edges[-1] = 0, len(ordered)
+    np.add(last, 1, out=edges[1:-1])
+    return ordered[edges[:-1]], edges[1:] - edges[:-1]
+
+
 class Corpus:
     """What BM25 needs to know of all documents: in how many each term is, how many there are and their mean length."""
 
@@ -206,7 +220,7 @@ class Corpus:
 
     @classmethod
     def of(cls, docs: list[np.ndarray], size: int) -> Corpus:
-        return cls(np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=size), len(docs), sum(map(len, docs)))
+        return cls(np.bincount(np.concatenate([distinct(d)[0] for d in docs]), minlength=size), len(docs), sum(map(len, docs)))
 
     def weight(self, tf: np.ndarray, size: np.ndarray, k1: float = 1.2, b: float = 0.75) -> np.ndarray:
         return tf * (k1 + 1) / (tf + k1 * (1 - b + b * (size / self.mean)))
@@ -218,7 +232,7 @@ class Bm25:
 
     def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         n = len(docs)
-        each = [np.unique(d, return_counts=True) for d in docs]
+        each = [distinct(d) for d in docs]
         self.terms = [t for t, _ in each]
         owner = np.repeat(np.arange(n), [len(t) for t in self.terms])
         term = np.concatenate(self.terms).astype(np.int64)
@@ -248,11 +262,10 @@ def sketches(docs: list[np.ndarray], corpus: Corpus) -> np.ndarray:
     """Random projections of the documents' BM25 vectors, of length one: documents that share rare terms lie close."""
     signs = projection(len(corpus.idf))
     out = np.zeros((len(docs), DIMENSIONS), np.float32)
+    squares = np.where(corpus.idf > 0, corpus.idf**2, 0).astype(np.float32)
     for i, d in enumerate(docs):
-        term, tf = np.unique(d, return_counts=True)
-        idf = corpus.idf[term]
-        told = idf > 0
-        out[i] = (corpus.weight(tf[told].astype(np.float32), np.float32(len(d))) * idf[told] ** 2) @ signs[term[told]]
+        term, tf = distinct(d)
+        out[i] = (corpus.weight(tf.astype(np.float32), np.float32(len(d))) * squares[term]) @ signs[term]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -399,7 +412,7 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 19, end:
         for batch in batches:
             for blob in batch.column(0).to_pylist():
                 ids = np.frombuffer(blob, number)
-                df[np.unique(ids)] += 1
+                df[distinct(ids)[0]] += 1
                 n, tokens = n + 1, tokens + len(ids)
         if n:
             term = np.flatnonzero(df)
