@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.steps import new_folder
+from ..operators.steps import delete, new_folder, scratch
 from .exact_dedup import drop_copies
 from .mixing import apply_mix
 from .near_dup import drop_near_duplicates
@@ -43,13 +43,17 @@ STAGES = [("quality classifier", quality), ("exact dedup", exact), ("n-gram Jacc
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents. Each stage's result is written to the shared checkpoint folder and read again, so a
-    stage starts from files, and a lost executor repeats at most its own stage's tasks.
+    stage starts from files, and a lost executor repeats at most its own stage's tasks. What a stage has read is deleted when
+    its result is written, and all checkpoints when the last one is.
 
     Null and empty texts, long ones, ties, repeated rows and further columns fare as each stage's operator says; an empty
     table of documents gives an empty result."""
     folder = new_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
+    with scratch(spark):  # checkpoints of the stages
+        for i, (_, stage) in enumerate(STAGES):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+            docs = spark.read.parquet(f"{folder}/{i}")
+            if i:
+                delete(spark, f"{folder}/{i - 1}")
     return docs
