@@ -26,7 +26,7 @@ SF = "/root/testdata/sf0.001"
 def test_sql(spark, name):
     got = queries.queries()[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name]).df()
     cols = sorted(got.columns)
