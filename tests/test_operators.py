@@ -78,6 +78,13 @@ def test_regions_at_the_dateline(spark, most):
     assert len(got) == sum(map(len, found.values()))
 
 
+def test_skipped_zooms(spark):
+    """Every second zoom from the top goes, if the two highest are neighbours."""
+    t = spark.createDataFrame([(c, z, 0, 0) for c, zs in ((1, (9, 10, 11, 12)), (2, (9, 10, 12)), (3, (5,)), (4, (3, 7, 8))) for z in zs], "chart_id long, z int, x long, y long")
+    got = {c: sorted(r.z for r in tl.skip_zooms(t).filter(F.col("chart_id") == c).collect()) for c in (1, 2, 3, 4)}
+    assert got == {1: [10, 12], 2: [9, 10, 12], 3: [5], 4: [3, 8]}
+
+
 def test_manifests(spark):
     a, b = (spark.createDataFrame(rows, "region string, v int") for rows in ([("A", 1), ("B", 1)], [("B", 2), ("C", 2)]))
     assert {(r.region, r.side) for r in reg.manifest_diff(a, b).collect()} == {("A", "now"), ("C", "before")}

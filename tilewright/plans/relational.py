@@ -259,8 +259,8 @@ RECT = f"{XR}, rect AS (SELECT xr.z, x_min, x_max, y_min, y_max, 0 AS source_ind
 add("h1_x_runs", "tile_layers", lambda t: tl.x_runs(block(t)).select("z", "x_min", "x_max", F.size("runs").cast("long").alias("n_runs")), f", {XR} SELECT xr.z, x_min, x_max, count(*) AS n_runs FROM xr JOIN yr ON yr.z = xr.z AND yr.x = xr.x_min GROUP BY xr.z, x_min, x_max")
 add("h2_y_runs", "tile_layers", lambda t: tl.y_runs(block(t)), f", {YR} SELECT * FROM yr")
 add("h3_tile_rectangles", "tile_layers", lambda t: tl.tile_rectangles(block(t)), f", {RECT} SELECT * FROM rect")
-add("h4_skip_zooms", "tile_layers", lambda t: tl.skip_zooms(t.filter("chart_id % 4 <> 0 or z <> 11")),
-    """, t AS (SELECT * FROM tile_layers WHERE chart_id % 4 <> 0 OR z <> 11), n AS (SELECT chart_id, z, row_number() OVER w AS i, max(z) OVER (PARTITION BY chart_id) AS a FROM (SELECT DISTINCT chart_id, z FROM t) WINDOW w AS (PARTITION BY chart_id ORDER BY z DESC)),
+add("h4_skip_zooms", "tile_layers", lambda t: tl.skip_zooms(block(t)),
+    """, t AS (SELECT * FROM tile_layers WHERE transp <> 0), n AS (SELECT chart_id, z, row_number() OVER w AS i, max(z) OVER (PARTITION BY chart_id) AS a FROM (SELECT DISTINCT chart_id, z FROM t) WINDOW w AS (PARTITION BY chart_id ORDER BY z DESC)),
     m AS (SELECT *, max(CASE WHEN i = 2 THEN z END) OVER (PARTITION BY chart_id) AS b FROM n) SELECT t.* FROM t JOIN m USING (chart_id, z) WHERE NOT coalesce(a - b = 1 AND i % 2 = 0, false)""")
 OFF = f"""{RECT}, o AS (SELECT *, (x_max - x_min + 1) * (y_max - y_min + 1) AS n, row_number() OVER (ORDER BY z, x_min, y_min) - 1 AS range_id FROM rect),
     g AS (SELECT *, coalesce(sum(n) OVER (ORDER BY range_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_tile, (36 + 32 * count(*) OVER ())::BIGINT AS pre, (36 + 32 * count(*) OVER () + 12 * sum(n) OVER ())::BIGINT AS header_size FROM o)"""
