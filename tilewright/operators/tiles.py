@@ -22,7 +22,7 @@ def drop_transparent(tiles: DataFrame) -> DataFrame:
 
 
 BLOCK_SIDE = 64  # rows and columns of tiles that one row of blocks stands for
-TASK_TILES = 1 << 20
+TASK_TILES = 1 << 17
 
 
 def cover_blocks(boxes: DataFrame, overshoot: bool = False, carry: tuple[str, ...] = (), side: int = BLOCK_SIDE) -> DataFrame:
