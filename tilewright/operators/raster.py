@@ -82,8 +82,8 @@ def tile_batch(keys: list[tuple], images: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(z, pa.int32()), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array([i.tobytes() for i in images], pa.binary()), pa.array([class_of(i) for i in images], pa.int32())], schema=TILE_SCHEMA)
 
 
-def folded(rows: DataFrame, order: str, step: Callable, end: Callable | None = None, more: tuple[str, ...] = ()) -> DataFrame:
-    """rows (z, x, y, order, content and the columns `more`), sorted within partitions of (z, x, y), as one tile each.
+def fold_batches(order: str, step: Callable, end: Callable | None = None, more: tuple[str, ...] = ()) -> Callable:
+    """For mapInArrow: batches (z, x, y, order, content and the columns `more`) in order of these as one tile each.
 
     Batches are read as they come and a tile may go on in the next one: only what has been made of it is carried. step(made
     so far or None, order, image, *more) -> what is made; end(that, (z, x, y)) -> the tile."""
@@ -104,8 +104,14 @@ def folded(rows: DataFrame, order: str, step: Callable, end: Callable | None = N
         if key is not None:
             yield tile_batch([key], [end(made, key) if end else made])
 
+    return run
+
+
+def folded(rows: DataFrame, order: str, step: Callable, end: Callable | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """rows (z, x, y, order, content and the columns `more`), sorted within partitions of (z, x, y), as one tile each; see
+    fold_batches."""
     sorted_rows = rows.select("z", "x", "y", order, *more, "content").repartition("z", "x", "y").sortWithinPartitions("z", "x", "y", order)
-    return sorted_rows.mapInArrow(run, TILE_OUT)
+    return sorted_rows.mapInArrow(fold_batches(order, step, end, more), TILE_OUT)
 
 
 def layer_step(below: np.ndarray | None, rank: int, img: np.ndarray) -> np.ndarray:
@@ -154,15 +160,17 @@ def overview_level(tiles: DataFrame, by: tuple[str, ...] = (), method: str = "bo
     return overview_blocks(tiles.withColumn("_top", F.col("z") - 1), by)
 
 
-def overview_blocks(tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Overviews of several levels by one shuffle. tiles have _top, the lowest zoom to make: all tiles below one tile of that zoom
-    are a block, read children before parents along a Z curve. One canvas a level is open, so a block needs no more memory
-    than a few tiles, whatever its size. Tiles that are there already are kept and not made; only new ones are returned."""
-    kinds = dict(tiles.dtypes)
+def block_rows(tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """tiles (z, x, y, content, and _top, the lowest zoom to make) with their block, the tile _gx, _gy of that zoom, and _place,
+    along a Z curve the last place below a tile: the tile itself comes behind its descendants."""
     depth = F.col("z") - F.col("_top")
-    # the last place below a tile: the tile itself comes behind its descendants
     place = (tm.z_order(F.col("x"), F.col("y")) + 1) * F.pow(F.lit(4.0), F.lit(tm.Z_ORDER_ZOOM) - F.col("z")).cast("long") - 1
     up = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), depth)).cast("long")
+    return tiles.select(*by, F.col("_top").cast("int").alias("_top"), up("x").alias("_gx"), up("y").alias("_gy"), F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), place.alias("_place"), "content")
+
+
+def block_batches(by: tuple[str, ...]) -> Callable:
+    """For mapInArrow: rows of block_rows, block by block and in order of _place, as new overviews."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canvases: dict[int, tuple[int, int, np.ndarray]] = {}  # by zoom: x, y and pixels of a tile that is being made
@@ -207,10 +215,17 @@ def overview_blocks(tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         if made:
             yield out()
 
-    keyed = tiles.select(*by, F.col("_top").cast("int").alias("_top"), up("x").alias("_gx"), up("y").alias("_gy"), F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), place.alias("_place"), "content")
+    return run
+
+
+def overview_blocks(tiles: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Overviews of several levels by one shuffle. tiles have _top, the lowest zoom to make: all tiles below one tile of that zoom
+    are a block, read children before parents along a Z curve. One canvas a level is open, so a block needs no more memory
+    than a few tiles, whatever its size. Tiles that are there already are kept and not made; only new ones are returned."""
+    kinds = dict(tiles.dtypes)
     block = [*by, "_top", "_gx", "_gy"]
-    dealt = keyed.repartition(*block).sortWithinPartitions(*block, "_place", F.col("z").desc())
-    return dealt.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in by), TILE_OUT]))
+    dealt = block_rows(tiles, by).repartition(*block).sortWithinPartitions(*block, "_place", F.col("z").desc())
+    return dealt.mapInArrow(block_batches(by), ", ".join([*(f"{c} {kinds[c]}" for c in by), TILE_OUT]))
 
 
 def build_pyramid(tiles: DataFrame, zmin: int, zmax: int, by: tuple[str, ...] = (), levels: int = 4) -> DataFrame:

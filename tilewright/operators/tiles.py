@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -100,6 +100,26 @@ def resume_missing(wanted: DataFrame, existing: DataFrame, key: tuple[str, ...]
     return wanted.join(existing.select(*key), list(key), "left_anti")
 
 
+def ancestor_codes(keys: DataFrame, *by: str) -> DataFrame:
+    """Different keys z, x, y with asks (true: an ancestor is looked for, false: the tile may be one) and the columns `by`, and code,
+    their place along a Z curve."""
+    typed = keys.select(*by, F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "asks").distinct()
+    shift = F.pow(F.lit(4.0), F.lit(tm.Z_ORDER_ZOOM) - F.col("z")).cast("long")
+    return typed.withColumn("code", tm.z_order(F.col("x"), F.col("y")) * shift)
+
+
+def nearest_ancestor(most: int, least_zoom: int) -> Column:
+    """How many levels up the nearest ancestor of a row (z, code) is, from _last: by zoom, the code of the last tile of the pool
+    that came before. Null if there is none, or it lies behind a missing level below least_zoom."""
+
+    def at(k: int) -> Column:
+        bits = f"(2 * ({tm.Z_ORDER_ZOOM} - z + {k}))"
+        may = (F.col("z") >= k) & (F.lit(k == 1) | (F.col("z") - k + 1 >= least_zoom))
+        return may & (F.expr(f"shiftleft(shiftright(code, {bits}), {bits})") == F.element_at("_last", F.col("z") - k))
+
+    return F.coalesce(*(F.when(at(k), k) for k in range(1, most + 1)))
+
+
 def ancestor_lookup(tiles: DataFrame, pool: DataFrame, most: int = 7, least_zoom: int = 6) -> DataFrame:
     """tiles with the nearest ancestor in pool: k levels up, and its key. Levels are asked for one after the other up to
     `most`; going past a missing one needs its zoom to be least_zoom or more. Tiles without any have nulls.
@@ -108,10 +128,7 @@ def ancestor_lookup(tiles: DataFrame, pool: DataFrame, most: int = 7, least_zoom
     ancestor. So tiles and pool are sorted together once, by ranges of the curve, and one pass keeps the last place of each
     zoom; what is open where a partition begins comes from a table of a row a partition. A tile is one row throughout, and
     an ancestor above millions of tiles is one, too."""
-    zooms = tm.Z_ORDER_ZOOM
-    keyed = lambda d, asks: d.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).distinct().withColumn("asks", F.lit(asks))
-    shift = F.pow(F.lit(4.0), F.lit(zooms) - F.col("z")).cast("long")
-    both = keyed(tiles, True).unionByName(keyed(pool, False)).withColumn("code", tm.z_order(F.col("x"), F.col("y")) * shift)
+    both = ancestor_codes(tiles.select(*KEY, F.lit(True).alias("asks")).unionByName(pool.select(*KEY, F.lit(False).alias("asks"))))
     dealt = cut(both.repartitionByRange("code", "z", "asks").withColumn("_part", F.spark_partition_id()))
     levels = [r[0] for r in dealt.filter("not asks").select("z").distinct().orderBy("z").collect()]  # at most 31
     if not levels:
@@ -123,15 +140,7 @@ def ancestor_lookup(tiles: DataFrame, pool: DataFrame, most: int = 7, least_zoom
     here = Window.partitionBy("_part").orderBy("code", "z", "asks")
     seen = dealt.select("*", *(F.max(of(z)).over(here).alias(f"_s{z}") for z in levels)).filter("asks").join(F.broadcast(opened), "_part", "left")
     last = F.create_map(*(x for z in levels for x in (F.lit(z), F.greatest(f"_s{z}", f"_o{z}"))))
-
-    def at(k: int):
-        """Is the ancestor k levels up in the pool?"""
-        bits = f"(2 * ({zooms} - z + {k}))"
-        may = (F.col("z") >= k) & (F.lit(k == 1) | (F.col("z") - k + 1 >= least_zoom))
-        return may & (F.expr(f"shiftleft(shiftright(code, {bits}), {bits})") == F.element_at("_last", F.col("z") - k))
-
-    nearest = F.coalesce(*(F.when(at(k), k) for k in range(1, most + 1)))
-    found = seen.withColumn("_last", last).select(*KEY, nearest.alias("k")).filter("k is not null")
+    found = seen.withColumn("_last", last).select(*KEY, nearest_ancestor(most, least_zoom).alias("k")).filter("k is not null")
     half = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("k"))).cast("long")
     best = found.select(*KEY, "k", (F.col("z") - F.col("k")).cast("int").alias("az"), half("x").alias("ax"), half("y").alias("ay"))
     return tiles.join(best, list(KEY), "left")

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import fixture, with_fixtures
+from ..operators import cells as ce
 from ..operators import raster as ra
 from ..operators.steps import cut
+from ..sources.tile_tables import laid_out
 from .jobs import compile_region
 
 QUERIES: dict = {}
@@ -64,6 +66,10 @@ KEYED = f"CAST(z AS INT) AS z, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, {
 ORACLE["k4_overview_level"] = f"{TP}{MERGED}, u AS {up('m')} SELECT {KEYED} FROM u"
 add("k5_build_pyramid", lambda d: hexed(ra.build_pyramid(ra.merge_region(rank(d), layers(d)), 9, 12)),
     f"{MERGED}, u AS MATERIALIZED {up('m')}, u2 AS MATERIALIZED {up('u')}, u3 AS {up('u2')} SELECT {KEYED} FROM (SELECT z, x, y, px FROM m UNION ALL SELECT z, x, y, px FROM u UNION ALL SELECT z, x, y, px FROM u2 UNION ALL SELECT z, x, y, px FROM u3)")
+# the same from tables that are bucketed by cell
+add("k3_merge_in_cells", lambda d: hexed(ce.merge_in_cells(laid_out(layers(d).withColumn("rank", c("chart_id")), 10))), OUT)
+add("k5_pyramid_in_cells", lambda d: hexed(ce.pyramid_in_cells(laid_out(ra.merge_region(rank(d), layers(d)), 10), 9, 12, 10)), "")
+ORACLE["k5_pyramid_in_cells"] = ORACLE["k5_build_pyramid"]
 PAL = lambda: F.transform(F.sequence(F.lit(0), F.lit(199)), lambda i: F.array(i, (i * 7) % 256, (i * 13) % 256, F.when(i == 3, 0).otherwise(255)))
 EXP = "list_transform(px, lambda v: CASE WHEN v < 200 THEN printf('%02X%02X%02X%02X', CAST(v AS INT), CAST(v * 7 % 256 AS INT), CAST(v * 13 % 256 AS INT), CASE WHEN v = 3 THEN 0 ELSE 255 END) ELSE '00000000' END)"
 add("k7_expand_palette", lambda d: d.select("chart_id", F.hex(ra.to_bytes(ra.expand_palette(c("px"), PAL()))).alias("rgba")), f" SELECT chart_id, array_to_string({EXP}, '') AS rgba FROM tile_pixels")

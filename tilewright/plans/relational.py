@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from ..fixtures import fixture, with_fixtures
 from ..functions import geo, text
 from ..operators import catalog as cat
+from ..operators import cells as ce
 from ..operators import regions as reg
 from ..operators import tiles as tl
 from ..operators.steps import new_folder
 from ..sources import tables, volumes
+from ..sources.tile_tables import laid_out
 from .scalars import BASE, DEG, LATS, LNGS, ZOOM, px, py
 
 QUERIES: dict[str, Callable] = {}
@@ -188,10 +190,27 @@ add("f10_resume_missing", "tile_layers", lambda t: tl.resume_missing(t, t.filter
 KEYS = "t AS (SELECT DISTINCT z, x, y FROM tile_layers), p AS (SELECT DISTINCT z, x, y FROM tile_layers UNION SELECT DISTINCT z - 3, x >> 3, y >> 3 FROM tile_layers WHERE z = 12 UNION SELECT DISTINCT z - 5, x >> 5, y >> 5 FROM tile_layers WHERE z = 11)"
 
 
-def f11(layers: DataFrame) -> DataFrame:
+def keys_and_ancestors(layers: DataFrame) -> tuple[DataFrame, DataFrame]:
     t = layers.select("z", "x", "y").distinct()
     up = lambda z, k: t.filter(c("z") == z).select((c("z") - k).alias("z"), F.shiftright("x", k).alias("x"), F.shiftright("y", k).alias("y"))
-    return tl.ancestor_lookup(t, t.unionByName(up(12, 3)).unionByName(up(11, 5)))
+    return t, up(12, 3).unionByName(up(11, 5))
+
+
+def f11(layers: DataFrame) -> DataFrame:
+    t, higher = keys_and_ancestors(layers)
+    return tl.ancestor_lookup(t, t.unionByName(higher))
+
+
+def f11_cells(layers: DataFrame) -> DataFrame:
+    """The same from a table that is bucketed by cell, with tiles to look for and tiles to find side by side."""
+    t, higher = keys_and_ancestors(layers)
+    table = laid_out(t.withColumn("asked", F.lit(True)).unionByName(higher.withColumn("asked", F.lit(False))))
+    return ce.ancestors_in_cells(table, c("asked"))
+
+
+def f12_cells(layers: DataFrame) -> DataFrame:
+    up = layers.select((c("z") - 1).alias("z"), F.shiftright("x", 1).alias("x"), F.shiftright("y", 1).alias("y"), F.lit(True).alias("asked")).distinct()
+    return ce.children_in_cells(laid_out(up.unionByName(layers.select("z", "x", "y", F.lit(False).alias("asked")))), c("asked"), ~c("asked"))
 
 
 add("f11_ancestor_lookup", "tile_layers", f11,
@@ -200,6 +219,9 @@ add("f11_ancestor_lookup", "tile_layers", f11,
 add("f12_children_lookup", "tile_layers", lambda t: tl.children_lookup(t.select("z", "x", "y").distinct().withColumns({"x": F.shiftright("x", 1), "y": F.shiftright("y", 1), "z": c("z") - 1}).distinct(), t),
     """, k AS (SELECT DISTINCT z, x, y FROM tile_layers), t AS (SELECT DISTINCT z - 1 AS z, x >> 1 AS x, y >> 1 AS y FROM k) SELECT t.z, t.x, t.y, k.x AS cx, k.y AS cy, CAST(k.x % 2 * 2 + k.y % 2 AS INT) AS quadrant
     FROM t JOIN k ON k.z = t.z + 1 AND k.x >> 1 = t.x AND k.y >> 1 = t.y""")
+add("f11_ancestors_in_cells", "tile_layers", f11_cells, "")
+add("f12_children_in_cells", "tile_layers", f12_cells, "")
+ORACLE["f11_ancestors_in_cells"], ORACLE["f12_children_in_cells"] = ORACLE["f11_ancestor_lookup"], ORACLE["f12_children_lookup"]
 add("f13_burn_rects", "burn_names", lambda d: tl.burn_rects_to_tiles(d.select("id", text.parse_burn_name(c("file")).alias("b")).select("id", "b.x_off", "b.y_off").withColumns({"width": (c("id") % 700).cast("int"), "height": (c("id") % 300).cast("int")})).select("id", "cell_x", "cell_y"),
     """, r AS (SELECT id, CAST(split_part(file, ':', 4) AS INT) AS x, CAST(replace(split_part(file, ':', 5), '.png', '') AS INT) AS y, id % 700 AS w, id % 300 AS h FROM burn_names)
     SELECT id, cell_x, unnest(range(y // 256, (y + h - 1) // 256 + 1)) AS cell_y FROM (SELECT *, unnest(range(x // 256, (x + w - 1) // 256 + 1)) AS cell_x FROM r WHERE w > 0 AND h > 0)""")
@@ -317,6 +339,8 @@ add("h9_dedup_charts", "chart_files", lambda d: reg.dedup_charts(d).select("file
 LAYERS = f"r AS (SELECT t.*, rank FROM tile_layers t JOIN {CATALOG} USING (chart_id) WHERE transp <> 0)"
 add("h10_merge_layers", "chart_boxes tile_layers", lambda b, t: tl.merge_layers(t, ranked(b)).select("chart_id", "z", "x", "y", c("rank").cast("long").alias("rank")),
     f", {LAYERS} SELECT chart_id, z, x, y, rank FROM r QUALIFY rank >= coalesce(max(CASE WHEN transp = 1 THEN rank END) OVER (PARTITION BY z, x, y), 0)")
+add("h10_layers_in_cells", "chart_boxes tile_layers", lambda b, t: ce.layers_in_cells(laid_out(tl.with_rank(t, ranked(b)))).select("chart_id", "z", "x", "y", c("rank").cast("long").alias("rank")), "")
+ORACLE["h10_layers_in_cells"] = ORACLE["h10_merge_layers"]
 add("i2_archive_order", "tile_layers", lambda t: tl.archive_order(tl.tiles_in_ranges(ranges(t), sizes(t))).select("z", "x", "y", c("tile_no").alias("position")), f", {TOFF} SELECT z, x, y, row_number() OVER (ORDER BY range_id, seq) - 1 AS position FROM tf")
 add("i3_top_layer", "chart_boxes tile_layers", lambda b, t: tl.top_layer(t, ranked(b)).select("z", "x", "y", "chart_id"), f", {LAYERS} SELECT z, x, y, arg_max(chart_id, rank) AS chart_id FROM r GROUP BY 1, 2, 3")
 
