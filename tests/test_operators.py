@@ -1,3 +1,4 @@
+import json
 import os
 import struct
 
@@ -90,7 +91,39 @@ def test_manifests(spark):
     assert {(r.region, r.side) for r in reg.manifest_diff(a, b).collect()} == {("A", "now"), ("C", "before")}
     assert reg.manifest_diff(a, a).isEmpty()
     assert {tuple(r) for r in reg.merge_manifests(a, b).collect()} == {("A", 1), ("B", 2), ("C", 2)}
-    assert '"manifest_version":1' in tables.manifest_json(b).first().value
+
+
+def text_of(folder):
+    return "".join(p.read_text() for p in sorted(folder.glob("part-*.txt")))
+
+
+@pytest.mark.parametrize("n", [0, 1, 40])
+def test_manifest_files(spark, tmp_path, n):
+    """The files in order are one JSON text, whatever is in the names, and are read back by lines."""
+    rows = [(f'R "{i}" \\\u00e9]}}', i, None if i % 3 else "x\ny") for i in range(n)]
+    df = spark.createDataFrame(rows, "region string, v long, w string").repartition(3)
+    tables.write_manifest(df, str(tmp_path / "m"))
+    assert json.loads(text_of(tmp_path / "m")) == {"manifest_version": 1, "regions": {r: {"v": v} | ({"w": w} if w else {}) for r, v, w in rows}}
+    assert sorted(map(tuple, tables.read_manifest(spark, str(tmp_path / "m"), "v long, w string").collect())) == sorted(rows)
+    tables.write_manifest(df, str(tmp_path / "c"), "charts")
+    assert [x["region"] for x in json.loads(text_of(tmp_path / "c"))["charts"]] == sorted(r for r, _, _ in rows)
+    assert sorted(map(tuple, tables.read_manifest(spark, str(tmp_path / "c"), "region string, v long, w string", "charts").collect())) == sorted(rows)
+
+
+@pytest.mark.parametrize("n", [0, 1, 300])
+def test_region_files(spark, tmp_path, n):
+    """A region with most paths is written and read in pieces; odd names and paths that repeat are kept."""
+    rows = [("A" if i % 3 else f'b "{i % 7}"\\', f'/p "{i // 2}":["\\') for i in range(n)]
+    tables.write_region_files(spark.createDataFrame(rows, "region string, path string").repartition(3), str(tmp_path / "r"))
+    want = {}
+    for r, p in sorted(rows):
+        want.setdefault(r, []).append(p)
+    assert json.loads(text_of(tmp_path / "r")) == want
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert sorted(map(tuple, tables.read_region_files(spark, str(tmp_path / "r")).collect())) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_dedup_order(spark):
@@ -185,6 +218,12 @@ def test_jobs(spark, tmp_path):
     assert {r.zoom_level for r in jobs.compile_region("MB_CHARTS", charts, t).mbtiles.collect()} == {4}
     with pytest.raises(ValueError, match="no tiles"):
         jobs.compile_region("MB_REGION", charts, t.filter("chart_id = 1"))
+    some = jobs.compile_region("MX_REGION", charts, t.filter("chart_id = 1"), on_failure="drop")
+    assert {(r.chart_id, r.ok) for r in some.verdicts.collect()} == {(1, True), (2, False)} and [(r.chart_id, r.rank) for r in some.catalog.collect()] == [(1, 1)]
+    assert jobs.run_region(str(tmp_path / "drop"), "MX_REGION", charts, t.filter("chart_id = 1"), on_failure="drop") == 5
+    assert spark.read.parquet(str(tmp_path / "drop" / "merged")).count() == 2 and spark.read.parquet(str(tmp_path / "drop" / "script")).count() == 3
+    with pytest.raises(ValueError, match="unknown choice"):
+        jobs.compile_region("MB_REGION", charts, t, on_failure="x")
     with pytest.raises(ValueError, match="without tiles"):
         ra.merge_region(cat.catalog_order(charts), t)
     with pytest.raises(ValueError, match="unknown profile"):

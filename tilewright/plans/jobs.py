@@ -65,11 +65,20 @@ def ordered_catalog(charts: DataFrame) -> DataFrame:
     return cat.catalog_order(cat.valid_charts(charts))
 
 
-def gate(verdicts: DataFrame) -> None:
-    """Charts that don't pass verification are an error."""
-    failed = verdicts.filter("not ok").limit(5).collect()
+def gate(verdicts: DataFrame, on_failure: str) -> DataFrame:
+    """Charts that don't pass verification (chart_id): an error, or for on_failure "drop" what later stages leave out."""
+    if on_failure not in ("error", "drop"):
+        raise ValueError(f"unknown choice {on_failure}")
+    failed = verdicts.filter("not ok").limit(5).collect() if on_failure == "error" else []
     if failed:
         raise ValueError("charts that fail verification: " + ", ".join(f"{r['chart_id']} ({r['reason']})" for r in failed))
+    return verdicts.filter("not ok").select("chart_id")
+
+
+def without(rows: DataFrame, failed: DataFrame) -> DataFrame:
+    """Catalog rows or tiles without those of failed charts; a catalog is ranked anew."""
+    left = rows.join(failed, "chart_id", "left_anti")
+    return cat.catalog_order(left.drop("rank")) if "rank" in rows.columns else left
 
 
 def merged_tiles(catalog: DataFrame, tiles: DataFrame, fill: bool) -> DataFrame:
@@ -77,17 +86,20 @@ def merged_tiles(catalog: DataFrame, tiles: DataFrame, fill: bool) -> DataFrame:
     return raster.fill_holes(cut(merged)) if fill else merged
 
 
-def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000) -> Compiled:
+def compile_region(profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000, on_failure: str = "error") -> Compiled:
     """profile MX_REGION: merged tiles, archive rows and script; MB_REGION: merged tiles as mbtiles rows; MB_CHARTS: each
     chart's tiles as mbtiles rows, without every second zoom. charts: catalog fields with chart_id; tiles: chart_id, z, x,
-    y, transp, content. Holes are filled only if asked for. Charts that don't pass verification are an error."""
+    y, transp, content. Holes are filled only if asked for. Charts that don't pass verification are an error, or with
+    on_failure "drop" left out; verdicts tell of all charts in either case."""
     checked(profile)
     ordered = cut(ordered_catalog(charts))
     out = Compiled(ordered, tiles, cut(tl.verify_catalog(ordered, tiles.drop("content"))))
-    gate(out.verdicts)
+    failed = gate(out.verdicts, on_failure)
     if profile == "MB_CHARTS":
-        out.mbtiles = tables.mbtiles_rows(tl.skip_zooms(tiles))
+        out.mbtiles = tables.mbtiles_rows(tl.skip_zooms(without(tiles, failed) if on_failure == "drop" else tiles))
         return out
+    if on_failure == "drop":  # tiles of charts that the catalog has not are not merged
+        out.catalog = ordered = cut(without(ordered, failed))
     out.merged = merged_tiles(ordered, tiles, fill)
     if profile == "MB_REGION":
         out.mbtiles = tables.mbtiles_rows(out.merged)
@@ -110,16 +122,17 @@ def fingerprint(charts: DataFrame, tiles: DataFrame, *parameters) -> str:
 LOG = "line_no long, line string, inputs string"
 
 
-def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000) -> int:
+def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, region: str = "REGION", epoch: int = 0, fill: bool = False, limit: int = 2_000_000_000, on_failure: str = "error") -> int:
     """What compile_region makes, as files under folder, stage by stage: catalog, verdicts, merged, archive (byte volumes
     archive/<region>.gemf, ...), script and mbtiles. Returns how many stages ran.
 
     Each stage reads the tables that earlier ones have written, and a log tells which are whole. So a job that was stopped goes
     on behind its last finished stage and repeats none of the work before it; its checkpoints are deleted when it ends well.
-    The log holds a fingerprint of the inputs: with other charts, tiles or parameters the job begins anew."""
+    The log holds a fingerprint of the inputs: with other charts, tiles or parameters the job begins anew. on_failure: see
+    compile_region; the table catalog has all charts, what follows from it only those that pass."""
     checked(profile)
     spark = charts.sparkSession
-    log, ran, inputs = f"{folder}/log", 0, fingerprint(charts, tiles, profile, region, epoch, fill, limit)
+    log, ran, inputs = f"{folder}/log", 0, fingerprint(charts, tiles, profile, region, epoch, fill, limit, on_failure)
     table = lambda name: spark.read.parquet(f"{folder}/{name}")
     write = lambda name, df: df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
@@ -128,19 +141,22 @@ def run_region(folder: str, profile: str, charts: DataFrame, tiles: DataFrame, r
 
     def verify() -> None:
         write("verdicts", tl.verify_catalog(table("catalog"), tiles.drop("content")))
-        gate(table("verdicts"))
+        gate(table("verdicts"), on_failure)
+
+    def passed(rows: DataFrame) -> DataFrame:
+        return without(rows, gate(table("verdicts"), on_failure)) if on_failure == "drop" else rows
 
     def merge() -> None:
-        write("merged", merged_tiles(table("catalog"), tiles, fill))
+        write("merged", merged_tiles(passed(table("catalog")), tiles, fill))
 
     def archive() -> None:
         volumes.write_volumes(archive_of(table("merged"), region, limit), f"{folder}/archive/{region}.gemf")
 
     def metadata() -> None:
-        write("script", tables.region_script(table("catalog"), region, epoch, "--DBVERSION:3"))
+        write("script", tables.region_script(passed(table("catalog")), region, epoch, "--DBVERSION:3"))
 
     def publish() -> None:
-        write("mbtiles", tables.mbtiles_rows(tl.skip_zooms(tiles) if profile == "MB_CHARTS" else table("merged")))
+        write("mbtiles", tables.mbtiles_rows(tl.skip_zooms(passed(tiles)) if profile == "MB_CHARTS" else table("merged")))
 
     steps = {"CATALOG": catalog, "TILE_VERIFY": verify}
     steps |= {} if profile == "MB_CHARTS" else {"MERGE": merge}

@@ -109,18 +109,20 @@ add("k10_burn_rectangles", lambda d: ra.burn_rectangles(layers(d).select(c("char
 
 
 def charted(d: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Charts with a tile that is not empty (others fail verification), and their tiles."""
-    t = layers(d).filter("transp <> 0")
+    """All charts, a third of which fail verification as their tile is empty, and their tiles."""
+    t = layers(d)
     fields = {"scale": (c("chart_id") * 100).cast("int"), "name": F.lit("chart"), "path": F.concat(F.lit("/c/"), c("chart_id"), F.lit(".KAP")), "date": F.lit("1/1/2020"), "outline": F.lit(""), "depths": F.lit("FEET"), "max_zoom": F.lit(12)}
     return t.select("chart_id").distinct().withColumns(fields), t
 
 
-add("k11_compile_region", lambda d: compile_region("MB_REGION", *charted(d)).mbtiles.select("zoom_level", "tile_column", "tile_row", F.hex("tile_data").alias("pixels")),
+add("k11_compile_region", lambda d: compile_region("MB_REGION", *charted(d), on_failure="drop").mbtiles.select("zoom_level", "tile_column", "tile_row", F.hex("tile_data").alias("pixels")),
     MERGED.replace("ORDER BY chart_id", "ORDER BY chart_id DESC") + f" SELECT CAST(z AS INT) AS zoom_level, CAST(x AS BIGINT) AS tile_column, CAST(4095 - y AS BIGINT) AS tile_row, {HEXED.format(px='px')} AS pixels FROM m")
-add("k11_compile_charts", lambda d: compile_region("MB_CHARTS", *charted(d)).mbtiles.select("zoom_level", "tile_column", "tile_row", F.hex("tile_data").alias("pixels")),
+add("k11_compile_charts", lambda d: compile_region("MB_CHARTS", *charted(d), on_failure="drop").mbtiles.select("zoom_level", "tile_column", "tile_row", F.hex("tile_data").alias("pixels")),
     f", l AS (SELECT *, {CLASS} AS transp FROM tile_pixels) SELECT CAST(z AS INT) AS zoom_level, CAST(x AS BIGINT) AS tile_column, CAST(4095 - y AS BIGINT) AS tile_row, {HEXED.format(px='px')} AS pixels FROM l WHERE transp <> 0")
+add("k11_verdicts", lambda d: compile_region("MB_REGION", *charted(d), on_failure="drop").verdicts.select("chart_id", "ok", "reason", c("zooms").cast("long").alias("zooms"), c("blank").cast("long").alias("blank")),
+    f", l AS (SELECT chart_id, {CLASS} AS transp FROM tile_pixels) SELECT chart_id, transp <> 0 AS ok, CASE WHEN transp = 0 THEN 'empty column' ELSE '' END AS reason, CAST(1 AS BIGINT) AS zooms, CAST(CASE WHEN transp = 0 THEN 1 ELSE 0 END AS BIGINT) AS blank FROM l")
 # all merged tiles lie in one rectangle, or the columns that are whole do; each is 64 bytes
-add("k11_compile_archive", lambda d: compile_region("MX_REGION", *charted(d), region="R", limit=1000).archive.filter("part = 3").select("volume", "seq_no", F.hex("bytes").alias("pixels")),
+add("k11_compile_archive", lambda d: compile_region("MX_REGION", *charted(d), region="R", limit=1000, on_failure="drop").archive.filter("part = 3").select("volume", "seq_no", F.hex("bytes").alias("pixels")),
     MERGED.replace("ORDER BY chart_id", "ORDER BY chart_id DESC") + f""", s AS (SELECT x, list(y ORDER BY y) AS ys FROM m GROUP BY x), yr AS (SELECT x, min(y) AS y_min, max(y) AS y_max FROM (SELECT x, y, y - row_number() OVER (PARTITION BY x ORDER BY y) AS g FROM m) GROUP BY x, g),
     xr AS (SELECT ys, min(x) AS x_min, max(x) AS x_max FROM (SELECT *, x - row_number() OVER (PARTITION BY ys ORDER BY x) AS g FROM s) GROUP BY ys, g), rect AS (SELECT x_min, x_max, y_min, y_max FROM xr JOIN yr ON yr.x = xr.x_min),
     o AS (SELECT px, row_number() OVER (ORDER BY x_min, y_min, m.x, m.y) - 1 AS seq_no, (SELECT count(*) FROM rect) AS r, count(*) OVER () AS n FROM m JOIN rect ON m.x BETWEEN x_min AND x_max AND m.y BETWEEN y_min AND y_max),

@@ -408,8 +408,14 @@ A9_ROW = (
 add("a9_region_script", "chart_boxes", a9,
     f""", v AS (SELECT *, row_number() OVER (ORDER BY scale DESC, path) AS rank FROM chart_boxes WHERE scale IS NOT NULL AND name NOT LIKE '%Cover for Chart%')
     SELECT CAST(-2 AS BIGINT) AS line_no, '--DBVERSION:3' || chr(10) AS line UNION ALL SELECT -1, {A9_HEAD} UNION ALL SELECT rank, {A9_ROW} FROM v""")
-add("a12_region_files", "chart_boxes", lambda d: tables.region_files_map(f3(d).select("region", "path")).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("region", "paths")).select("region", F.size("paths").cast("long").alias("n"), F.get("paths", F.lit(0)).alias("first_path")),
-    f"{F3} SELECT region, count(*) AS n, min(path) AS first_path FROM got GROUP BY region")
+def a12(d: DataFrame) -> DataFrame:
+    """The map of regions' files, written as JSON and read again."""
+    folder = new_folder(d.sparkSession, "regions")
+    tables.write_region_files(f3(d).select("region", "path"), folder)
+    return tables.read_region_files(d.sparkSession, folder).groupBy("region").agg(F.count("*").alias("n"), F.min("path").alias("first_path"))
+
+
+add("a12_region_files", "chart_boxes", a12, f"{F3} SELECT region, count(*) AS n, min(path) AS first_path FROM got GROUP BY region")
 
 
 # ---- A, through files that the query writes to the shared folder
@@ -445,15 +451,36 @@ def a4(d: DataFrame) -> DataFrame:
 add("a4_product_catalog", "product_texts", a4, " SELECT regexp_extract(xml, 'file name: ([^<]*?\\.KAP)', 1) AS name, count(*) AS n FROM product_texts GROUP BY 1")
 
 
-def a6(d: DataFrame) -> DataFrame:
-    """Outlines of all charts as override files, in the layout of headers."""
-    folder = new_folder(d.sparkSession, "overrides")
-    d.select("chart_id", c("header").alias("value")).write.partitionBy("chart_id").text(folder)
-    rings = tables.read_overrides(d.sparkSession, folder, "ply")
-    return rings.select(F.size("ring").cast("long").alias("n"), F.get("ring", F.lit(0))["lat"].alias("lat0"), F.get("ring", F.lit(1))["lng"].alias("lng1"), (F.get("ring", F.lit(0)) == F.element_at("ring", -1)).alias("closed"), c("key").endswith(".txt").alias("named"))
+def dmm(degrees: Column) -> Column:
+    """Degrees as whole degrees and minutes, with the sign before them."""
+    size = F.abs(degrees)
+    return F.concat(F.when(degrees < 0, "-").otherwise(""), F.lpad(F.floor(size).cast("string"), 3, "0"), F.lit(" "), F.format_string("%.3f", (size - F.floor(size)) * 60))
+
+
+def a6(layout: str) -> Callable[[DataFrame], DataFrame]:
+    """Outlines of all charts as override files in one of the layouts: lines of headers, degrees and minutes, or plain ones,
+    which alone list the first point again."""
+    ring = text.header_ring(F.split("header", "\n"))
+    if layout == "ply":
+        value = c("header")
+    elif layout == "dmm":
+        value = F.array_join(F.transform(F.slice(ring, 1, F.size(ring) - 1), lambda p: F.concat(dmm(p["lat"]), F.lit(","), dmm(p["lng"]))), "\n")
+    else:
+        value = F.array_join(F.transform(ring, lambda p: F.concat(p["lat"], F.lit(","), p["lng"])), "\n")
+
+    def build(d: DataFrame) -> DataFrame:
+        folder = new_folder(d.sparkSession, "overrides")
+        d.select("chart_id", value.alias("value")).write.partitionBy("chart_id").text(folder)
+        rings = tables.read_overrides(d.sparkSession, folder, layout)
+        return rings.select(F.size("ring").cast("long").alias("n"), F.get("ring", F.lit(0))["lat"].alias("lat0"), F.get("ring", F.lit(1))["lng"].alias("lng1"), (F.get("ring", F.lit(0)) == F.element_at("ring", -1)).alias("closed"), c("key").endswith(".txt").alias("named"))
+
+    return build
 
 
-add("a6_overrides", "chart_headers", a6, f" SELECT CAST(4 AS BIGINT) AS n, {LATS[0]} AS lat0, {LNGS[1]} AS lng1, true AS closed, true AS named FROM chart_headers")
+A6 = f" SELECT CAST(4 AS BIGINT) AS n, {LATS[0]} AS lat0, {LNGS[1]} AS lng1, true AS closed, {{named}} AS named FROM chart_headers"
+add("a6_overrides", "chart_headers", a6("ply"), A6.format(named="true"))
+add("a6_overrides_in_minutes", "chart_headers", a6("dmm"), A6.format(named="true"))
+add("a6_overrides_plain", "chart_headers", a6("plain"), A6.format(named="false"))
 
 
 def a7(t: DataFrame) -> DataFrame:
@@ -510,8 +537,7 @@ add("a8_archive_volumes", "tile_layers", a8_volumes,
 def a10(new: DataFrame) -> DataFrame:
     folder = new_folder(new.sparkSession, "manifest")
     tables.write_manifest(new, folder)
-    back = new.sparkSession.read.text(folder).select(F.from_json("value", "manifest_version int, regions map<string, struct<size_bytes: long, epoch: long>>").alias("m"))
-    return back.select(c("m.manifest_version").alias("version"), F.explode("m.regions").alias("region", "r")).select("version", "region", "r.*")
+    return tables.read_manifest(new.sparkSession, folder, "size_bytes long, epoch long").select(F.lit(1).alias("version"), "region", "size_bytes", "epoch")
 
 
 add("a10_manifest", "manifest_new", a10, " SELECT 1 AS version, region, size_bytes, epoch FROM manifest_new")

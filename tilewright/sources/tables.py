@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions import tilemath as tm
+from ..operators.steps import cut, in_order
 from .headers import ChartHeaders
 
 CATALOG_SCHEMA = "path string, name string, min_zoom int, max_zoom int, scale int, date string, depths string, outline string, rank int"
@@ -145,16 +146,47 @@ def write_region_sql(catalog: DataFrame, region: str, path: str, epoch: int, ver
     region_script(catalog, region.strip().upper(), epoch, version_line, custom).orderBy("line_no").select(F.regexp_replace("line", r"\n$", "")).write.mode("overwrite").text(path)
 
 
-def manifest_json(df: DataFrame, kind: str = "regions") -> DataFrame:
-    """One row: a map of region to its fields, or the list of charts, with manifest_version 1. A manifest has a row a region
-    or chart, so it fits in one row."""
-    fields = [c for c in df.columns if c != "region"] if kind == "regions" else df.columns
-    body = F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("region"), F.struct(*fields))))) if kind == "regions" else F.sort_array(F.collect_list(F.struct(*fields)))
-    return df.agg(body.alias(kind)).select(F.to_json(F.struct(F.lit(1).alias("manifest_version"), F.col(kind))).alias("value"))
+def json_text(value: Column) -> Column:
+    """A string as JSON text, with its quotes."""
+    return F.regexp_extract(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", 1)
+
+
+def ended(lines: DataFrame, head: str, tail: str) -> DataFrame:
+    """Lines of a JSON text (place, from 0, and line) with one before and one behind them."""
+    ends = lines.agg(F.count("*").alias("n")).select(F.explode(F.array(*(F.struct(p.cast("long").alias("place"), F.lit(v).alias("line")) for p, v in ((F.lit(-1), head), (F.col("n"), tail))))).alias("e"))
+    return lines.select(F.col("place").cast("long").alias("place"), "line").unionByName(ends.select("e.*"))
+
+
+def manifest_lines(df: DataFrame, kind: str = "regions") -> DataFrame:
+    """place and line of a manifest's JSON: a map of region to its fields, or the list of charts, each on a line of its own, with
+    manifest_version 1. A region occurs once."""
+    if kind == "regions":
+        entry = F.concat(json_text(F.col("region")), F.lit(":"), F.to_json(F.struct(*(c for c in df.columns if c != "region"))))
+        rows, ends = in_order(df, "region"), "{}"
+    else:
+        entry, ends = F.to_json(F.struct(*df.columns)), "[]"
+        rows = in_order(df, *df.columns)
+    line = F.concat(F.when(F.col("place") == 0, "").otherwise(","), entry)
+    return ended(rows.select("place", line.alias("line")), f'{{"manifest_version":1,"{kind}":{ends[0]}', ends[1] + "}")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines in order of place as text: files by ranges, which make one text in order of their names."""
+    lines.orderBy("place").select("line").write.mode("overwrite").text(path)
 
 
 def write_manifest(df: DataFrame, path: str, kind: str = "regions") -> None:
-    manifest_json(df, kind).write.mode("overwrite").text(path)
+    write_lines(manifest_lines(df, kind), path)
+
+
+def read_manifest(spark: SparkSession, path: str, fields: str, kind: str = "regions") -> DataFrame:
+    """The rows of a manifest that write_manifest wrote, as a table of those fields (and region), read by lines."""
+    body = F.regexp_replace(F.col("value"), "^,", "")
+    rows = spark.read.text(path).filter(~F.col("value").startswith('{"manifest_version"') & ~F.col("value").isin("}}", "]}"))
+    if kind == "regions":
+        entries = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), f"map<string, struct<{fields}>>")
+        return rows.select(F.explode(entries).alias("region", "_f")).select("region", "_f.*")
+    return rows.select(F.from_json(body, f"struct<{fields}>").alias("_f")).select("_f.*")
 
 
 def write_region_manifest(assigned: DataFrame, path: str) -> None:
@@ -170,6 +202,31 @@ def read_region_manifest(spark: SparkSession, path: str, png: DataFrame, tif: Da
 
 
 def region_files_map(assigned: DataFrame) -> DataFrame:
-    """One row of JSON {region: [paths]}."""
-    lists = assigned.groupBy("region").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return lists.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("region", "paths")))).alias("m")).select(F.to_json("m").alias("value"))
+    """place and line of the JSON {region: [paths]}, a path a line, so that a region may have any number of them. A path that
+    repeats is listed as often."""
+    placed = in_order(assigned.select("region", "path"), "region", "path")
+    opening = placed.groupBy("region").agg(F.min("place").alias("place")).select("place", F.lit(True).alias("_opens"))
+    opener = F.concat(F.when(F.col("place") == 0, "").otherwise("],"), json_text(F.col("region")), F.lit(":["))
+    line = F.concat(F.when(F.col("_opens"), opener).otherwise(","), json_text(F.col("path")))
+    lines = ended(placed.join(opening, "place", "left").select("place", line.alias("line")), "{", "]}")
+    return lines.withColumn("line", F.when((F.col("line") == "]}") & (F.col("place") == 0), "}").otherwise(F.col("line")))
+
+
+def write_region_files(assigned: DataFrame, path: str) -> None:
+    write_lines(region_files_map(assigned), path)
+
+
+def read_region_files(spark: SparkSession, path: str) -> DataFrame:
+    """region and path of what write_region_files wrote. A line's region is on the last line before it that opens one: within a
+    split that is a running window, and what lies before a split comes from a table of a row a split."""
+    quoted = r'"(?:[^"\\]|\\.)*"'
+    plain = lambda text: F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), F.lit(0))
+    split = ["_file", "_start"]
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_no"), "value")
+    opener = F.nullif(F.regexp_extract("value", rf"^(?:\],)?({quoted}):\[", 1), F.lit(""))
+    read = cut(lines.withColumns({"_opens": plain(opener), "path": plain(F.regexp_extract("value", rf"({quoted})$", 1))}).drop("value"))
+    last = read.groupBy(*split).agg(F.max_by("_opens", F.when(F.col("_opens").isNotNull(), F.col("_no"))).alias("_last"))
+    before = last.select(*split, F.last("_last", ignorenulls=True).over(Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    here = F.last("_opens", ignorenulls=True).over(Window.partitionBy(*split).orderBy("_no"))
+    found = read.withColumn("_here", here).join(F.broadcast(before), split)
+    return found.filter("path is not null").select(F.coalesce("_here", "_before").alias("region"), "path")
