@@ -460,17 +460,16 @@ def dmm(degrees: Column) -> Column:
 def a6(layout: str) -> Callable[[DataFrame], DataFrame]:
     """Outlines of all charts as override files in one of the layouts: lines of headers, degrees and minutes, or plain ones,
     which alone list the first point again."""
-    ring = text.header_ring(F.split("header", "\n"))
-    if layout == "ply":
-        value = c("header")
-    elif layout == "dmm":
-        value = F.array_join(F.transform(F.slice(ring, 1, F.size(ring) - 1), lambda p: F.concat(dmm(p["lat"]), F.lit(","), dmm(p["lng"]))), "\n")
-    else:
-        value = F.array_join(F.transform(ring, lambda p: F.concat(p["lat"], F.lit(","), p["lng"])), "\n")
+
+    def lines() -> Column:
+        ring = text.header_ring(F.split("header", "\n"))
+        if layout == "dmm":
+            return F.array_join(F.transform(F.slice(ring, 1, F.size(ring) - 1), lambda p: F.concat(dmm(p["lat"]), F.lit(","), dmm(p["lng"]))), "\n")
+        return c("header") if layout == "ply" else F.array_join(F.transform(ring, lambda p: F.concat(p["lat"], F.lit(","), p["lng"])), "\n")
 
     def build(d: DataFrame) -> DataFrame:
         folder = new_folder(d.sparkSession, "overrides")
-        d.select("chart_id", value.alias("value")).write.partitionBy("chart_id").text(folder)
+        d.select("chart_id", lines().alias("value")).write.partitionBy("chart_id").text(folder)
         rings = tables.read_overrides(d.sparkSession, folder, layout)
         return rings.select(F.size("ring").cast("long").alias("n"), F.get("ring", F.lit(0))["lat"].alias("lat0"), F.get("ring", F.lit(1))["lng"].alias("lng1"), (F.get("ring", F.lit(0)) == F.element_at("ring", -1)).alias("closed"), c("key").endswith(".txt").alias("named"))
 
