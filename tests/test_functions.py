@@ -99,3 +99,12 @@ def test_chart_sql_has_one_line_end(spark):
 def test_names(spark):
     r = one(spark, text.sanitize_file_name(F.lit("a b & c.d,e.tif")).alias("a"), text.tileset_name(F.lit("My Chart-1")).alias("b"), text.edition_date(F.lit(43845)).alias("c"), F.hex(text.uint_be(258, 4)).alias("d"), text.unpublish_name(F.lit("TS_2020-01-01_T_00_00_REGION_02.gemf")).alias("e"))
     assert tuple(r) == ("a_b_And_cde.tif", "my_chart_1", "1/15/2020", "00000102", "REGION_02.gemf")
+
+
+def test_a_zoom_computes_scale_and_latitude_once(spark):
+    """They may be whole parsers of headers, and were in the loop over the powers of two."""
+    rows = spark.createDataFrame([(40000.0, 10.0), (-1.0, 60.0), (None, 1.0)], "s double, a double")
+    zooms = rows.select(geo.zoom_for_scale(F.abs("s"), F.abs("a")).alias("z"))
+    plan = zooms._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("abs(a") == 1 and plan.count("abs(s") <= 2
+    assert [r.z for r in zooms.collect()] == [15, 29, 0]

@@ -37,13 +37,14 @@ def mercator_distance(lng1: Value, lat1: Value, lng2: Value, lat2: Value) -> Col
 
 def latitude_distortion(lat: Value) -> Column:
     """How much longer a degree of longitude is on the map than on the sphere."""
-    return F.lit(tm.RADIUS * math.pi / 180) / haversine(F.lit(0.0), lat, F.lit(1.0), lat)
+    return F.lit(tm.RADIUS * math.pi / 180) / let(col(lat), lambda a: haversine(F.lit(0.0), a, F.lit(1.0), a))
 
 
 def zoom_from_true_scale(scale: Value) -> Column:
-    """30 less the halvings that bring 70 % of the scale to one or below."""
-    powers = F.sequence(F.lit(0), F.lit(62))
-    return F.when(col(scale).isNotNull(), F.lit(30) - F.size(F.filter(powers, lambda n: col(scale) * 0.70 > F.pow(F.lit(2.0), n))))
+    """30 less the halvings that bring 70 % of the scale to one or below. The scale is a variable, as it would else be computed
+    for each power again."""
+    powers = F.array(*(F.lit(2.0**n) for n in range(63)))
+    return let(col(scale) * 0.70, lambda s: F.when(s.isNotNull(), F.lit(30) - F.size(F.filter(powers, lambda p: s > p))))
 
 
 def zoom_for_scale(scale: Value, lat: Value) -> Column:
