@@ -8,12 +8,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tilewright.fixtures import fixture
 from tilewright.operators import catalog as cat
 from tilewright.operators import raster as ra
 from tilewright.operators import regions as reg
 from tilewright.operators import tiles as tl
 from tilewright.operators.steps import cut, in_order, new_folder, scratch
-from tilewright.plans import jobs
+from tilewright.plans import jobs, relational
 from tilewright.sources import headers, tables, volumes
 
 
@@ -445,3 +446,12 @@ def test_catalog_and_product_files(spark, tmp_path):
     assert tables.read_catalog(spark, str(tmp_path / "p.json"), pretty=True).count() == 2
     (tmp_path / "x.xml").write_text("<a>file name: 9_9.KAP</a><gmd:EX_Extent id='1'>\n<s>title, file name: 1_1.KAP</s></gmd:EX_Extent><b/><EX_Extent><s>file name: 2_1.KAP</s></EX_Extent> file name: 8_8.KAP")
     assert sorted(r.name for r in tables.read_product_catalog(spark, str(tmp_path / "x.xml")).collect()) == ["1_1.KAP", "2_1.KAP"]
+
+
+def test_headers_are_parsed_by_many_tasks(spark, tmp_path):
+    """A table of one split, whose rows each have a header; the catalog's order samples what is written, not the parsers."""
+    spark.range(12_000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "1 AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    charts = relational.headers(fixture(spark, str(tmp_path), "chart_headers"))
+    assert charts.rdd.getNumPartitions() == 3 and charts.select("scale").distinct().count() == 12_000
+    ordered = cat.build_catalog(charts.withColumn("path", F.col("chart_id").cast("string")))
+    assert "regexp" not in ordered._jdf.queryExecution().optimizedPlan().toString() and ordered.agg(F.max("rank")).first()[0] == 12_000

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
-from .steps import in_order
+from .steps import cut, in_order
 
 # fixed values: providers and regions
 PROVIDERS = {"noaa": "noaa/bsb", "brazil": "brazil/bsb", "linz": "linz/bsb", "ukho": "ukho/geotiff", "wavey-lines": "wavey-lines/geotiff", "faa": "faa/geotiff"}
@@ -81,7 +81,8 @@ def build_catalog(headers: DataFrame) -> DataFrame:
     center = geo.ring_center(F.col("ring"))
     zoom = geo.zoom_for_scale(F.col("scale"), center["lat"])
     rows = valid_charts(headers).withColumn("zoom", zoom.cast("int"))
-    return catalog_order(rows.select("path", "name", F.col("zoom").alias("min_zoom"), F.col("zoom").alias("max_zoom"), "scale", F.col("updated").alias("date"), F.col("units").alias("depths"), text.format_outline(F.col("ring")).alias("outline"), "ring"))
+    rows = rows.select("path", "name", F.col("zoom").alias("min_zoom"), F.col("zoom").alias("max_zoom"), "scale", F.col("updated").alias("date"), F.col("units").alias("depths"), text.format_outline(F.col("ring")).alias("outline"), "ring")
+    return catalog_order(cut(rows))  # ranges are sampled first, which would parse all headers twice
 
 
 def catalog_fields_by_provider(df: DataFrame) -> DataFrame:

@@ -22,6 +22,16 @@ def shared(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+TASK_ROWS = 5000
+
+
+def dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """df dealt out evenly, for work that costs far more than to move its rows: a table of a few MB may hold millions of rows and
+    yet be one split. As many partitions as have task_rows each, which are counted before."""
+    n = -(-df.count() // task_rows)
+    return df.repartition(n) if n > 1 else df
+
+
 #: Paths that the innermost `scratch` deletes at its end
 WRITTEN: list[list[str]] = []
 

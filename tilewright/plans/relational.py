@@ -14,7 +14,7 @@ from ..operators import catalog as cat
 from ..operators import cells as ce
 from ..operators import regions as reg
 from ..operators import tiles as tl
-from ..operators.steps import new_folder
+from ..operators.steps import dealt, new_folder
 from ..sources import tables, volumes
 from ..sources.tile_tables import laid_out
 from .scalars import BASE, DEG, LATS, LNGS, ZOOM, px, py
@@ -44,7 +44,7 @@ def ranked(boxes: DataFrame) -> DataFrame:
 
 # ---- E, I1
 line = lambda x: f"regexp_extract(header, '{x}', 1)"
-headers = lambda d: cat.parse_headers(d.withColumn("lines", text.header_lines(c("header"))))
+headers = lambda d: cat.parse_headers(dealt(d).withColumn("lines", text.header_lines(c("header"))))
 add("e1_valid_charts", "chart_boxes", lambda d: cat.valid_charts(d).select("chart_id", "name", "scale"), " SELECT chart_id, name, scale FROM chart_boxes WHERE scale IS NOT NULL AND name NOT LIKE '%Cover for Chart%'")
 LATC = f"((least({', '.join(LATS)}) + greatest({', '.join(LATS)})) / 2)"
 add("e2_build_catalog", "chart_headers", lambda d: cat.build_catalog(headers(d).withColumn("path", F.concat(F.lit("/c/"), c("chart_id"), F.lit(".KAP")))).select("path", "name", "min_zoom", "max_zoom", "scale", "date", "depths", c("rank").cast("long").alias("rank")),
