@@ -455,3 +455,9 @@ def test_headers_are_parsed_by_many_tasks(spark, tmp_path):
     assert charts.rdd.getNumPartitions() == 3 and charts.select("scale").distinct().count() == 12_000
     ordered = cat.build_catalog(charts.withColumn("path", F.col("chart_id").cast("string")))
     assert "regexp" not in ordered._jdf.queryExecution().optimizedPlan().toString() and ordered.agg(F.max("rank")).first()[0] == 12_000
+
+
+def test_ring_overrides_of_long_chart_numbers(spark):
+    """A key of seven digits is not cut to six, which would be another chart's."""
+    d = spark.createDataFrame([(i, f"KNP/SC=1\nPLY/1,{i % 80}.5,1\nPLY/2,8,1\nPLY/3,8,9\n") for i in (120_006, 1_200_061)], "chart_id long, header string")
+    assert {r.chart_id: r.lat0 for r in relational.f2(d).collect()} == {120_006: 1.0, 1_200_061: 61.5}

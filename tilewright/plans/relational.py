@@ -99,7 +99,7 @@ add("f1_region_chart_files", "chart_files product_texts", f1,
 
 
 def f2(d: DataFrame) -> DataFrame:
-    charts = headers(d).withColumn("base", F.lpad(c("chart_id").cast("string"), 6, "0"))
+    charts = headers(d).withColumn("base", F.format_string("%06d", "chart_id"))
     vertex = lambda a, b: text.point(F.lit(float(a)), F.lit(float(b)))
     overrides = d.filter("chart_id % 9 = 0").select(c("chart_id").cast("string").alias("base"), F.array(vertex(1, 2), vertex(1, 3), vertex(2, 3)).alias("ring"))
     r = cat.apply_ring_overrides(charts, overrides)
