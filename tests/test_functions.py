@@ -108,3 +108,8 @@ def test_a_zoom_computes_scale_and_latitude_once(spark):
     plan = zooms._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("abs(a") == 1 and plan.count("abs(s") <= 2
     assert [r.z for r in zooms.collect()] == [15, 29, 0]
+
+
+def test_numbers_of_more_bytes_keep_the_last(spark):
+    r = one(spark, *(F.hex(text.uint_be(F.lit(v), n)) for v, n in ((0x1_2345_6789, 4), (-2, 4), (258, 4), (258, 9))))
+    assert tuple(r) == ("23456789", "FFFFFFFE", "00000102", "000000000000000102")

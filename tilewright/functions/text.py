@@ -240,8 +240,8 @@ def checksum(content: Column) -> Column:
 
 
 def uint_be(value: Value, n: int) -> Column:
-    """The n-byte big-endian form of a number."""
-    return F.unhex(F.lpad(F.hex(col(value).cast("long")), 2 * n, "0"))
+    """The n-byte big-endian form of a number; of a larger one its last n bytes, as the reference's."""
+    return F.unhex(F.right(F.lpad(F.hex(col(value).cast("long")), max(2 * n, 16), "0"), F.lit(2 * n)))
 
 
 def tilejson(name: Column, min_zoom: Column, max_zoom: Column, west: Column, south: Column, east: Column, north: Column, image: str = "png") -> Column:

@@ -238,7 +238,7 @@ add("d16_chart_sql", "chart_boxes", "chart_id", lambda: {"line": chart_sql(), "u
 script = lambda: F.when(c("id") % 2 == 0, F.array(F.lit("--version"), text.region_update_sql(text.region_from_file(c("file")), c("epoch")))).otherwise(F.array(F.lit("--version"), F.lit("DELETE from regions WHERE name='X';")))
 add("d17_installed_epoch", AF, AID, lambda: {"installed": text.installed_epoch(script())}, {"installed": "CASE WHEN id % 2 = 0 THEN CAST(epoch AS VARCHAR) END"})
 add("d18_checksum", AF, AID, lambda: {"sha1": text.checksum(c("content")), "size": F.octet_length(c("content")).cast("long")}, {"sha1": "sha1(content)", "size": "CAST(strlen(content) AS BIGINT)"})
-add("d19_uint_be", AF, AID, lambda: {"u4": F.hex(text.uint_be(c("epoch"), 4)), "u8": F.hex(text.uint_be(c("epoch") * 1000, 8))}, {"u4": "printf('%08X', epoch)", "u8": "printf('%016X', epoch * 1000)"})
+add("d19_uint_be", AF, AID, lambda: {"u4": F.hex(text.uint_be(c("epoch"), 4)), "u8": F.hex(text.uint_be(c("epoch") * 1000, 8))}, {"u4": "printf('%08X', epoch & 4294967295)", "u8": "printf('%016X', epoch * 1000)"})
 add("d20_tilejson", "chart_boxes", "chart_id", lambda: {"bounds_west": F.get(F.split(F.get_json_object(text.tilejson(c("name"), F.lit(3), F.lit(9), c("west"), c("south"), c("east"), c("north")), "$.bounds"), ","), F.lit(0)).cast("double"),
                                                         "max_zoom": F.get_json_object(text.tilejson(c("name"), F.lit(3), F.lit(9), c("west"), c("south"), c("east"), c("north")), "$.maxzoom")}, {"bounds_west": "west", "max_zoom": "'9'"})
 add("d21_clean_title", "sheet_charts", "row_no", lambda: {"clean": text.clean_title(c("title")), "label": text.depth_label(F.concat(c("suffix"), F.lit("/feet ")))},
