@@ -2,6 +2,7 @@ import json
 import os
 import struct
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -461,3 +462,13 @@ def test_ring_overrides_of_long_chart_numbers(spark):
     """A key of seven digits is not cut to six, which would be another chart's."""
     d = spark.createDataFrame([(i, f"KNP/SC=1\nPLY/1,{i % 80}.5,1\nPLY/2,8,1\nPLY/3,8,9\n") for i in (120_006, 1_200_061)], "chart_id long, header string")
     assert {r.chart_id: r.lat0 for r in relational.f2(d).collect()} == {120_006: 1.0, 1_200_061: 61.5}
+
+
+def test_charts_named_40_have_no_region_in_the_sql_either(spark, tmp_path):
+    """f3_own_boxes and its SQL on charts 40000_1 and their neighbours, which sf0.1 has not."""
+    part = spark.range(29_990, 30_020).selectExpr("id AS p_partkey", "'A' AS p_type", "'n' AS p_name", "1 AS p_size")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    got = {tuple(r) for r in relational.QUERIES["f3_own_boxes"](spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert got == set(db.execute(relational.ORACLE["f3_own_boxes"]).fetchall()) and got and max(i for i, _ in got) < 30_000
