@@ -472,3 +472,16 @@ def test_charts_named_40_have_no_region_in_the_sql_either(spark, tmp_path):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
     assert got == set(db.execute(relational.ORACLE["f3_own_boxes"]).fetchall()) and got and max(i for i, _ in got) < 30_000
+
+
+@pytest.mark.parametrize("query", ["a2"])
+def test_charts_have_files_but_no_folders_of_their_own(spark, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(relational, "new_folder", lambda *_: str(tmp_path / "f"))
+    d = spark.range(6000).selectExpr("id AS chart_id", "concat('KNP/SC=', id, ',PR=MERCATOR\nPLY/1,', id % 80, '.25,-1.5\nPLY/2,8,1\nPLY/3,8,9\n') AS header")
+    rows = (relational.a2 if query == "a2" else relational.a6(query))(d).collect()
+    assert len(rows) == 6000 and len(os.listdir(tmp_path / "f")) == headers.FOLDERS
+    assert sum(not n.startswith(".") for _, _, names in os.walk(tmp_path / "f") for n in names) == sum(len(names) for _, _, names in os.walk(tmp_path / "f")) == 6000
+    if query == "a2":
+        assert {(r.chart_id, r.scale, r.n_lines) for r in rows} == {(i, i, 4) for i in range(6000)}
+    else:
+        assert all(r.n == 4 and r.closed and r.lng1 == 1 for r in rows) and {r.lat0 for r in rows} == {i + 0.25 for i in range(80)}
