@@ -474,7 +474,7 @@ def test_charts_named_40_have_no_region_in_the_sql_either(spark, tmp_path):
     assert got == set(db.execute(relational.ORACLE["f3_own_boxes"]).fetchall()) and got and max(i for i, _ in got) < 30_000
 
 
-@pytest.mark.parametrize("query", ["a2"])
+@pytest.mark.parametrize("query", ["a2", "ply", "dmm", "plain"])
 def test_charts_have_files_but_no_folders_of_their_own(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(relational, "new_folder", lambda *_: str(tmp_path / "f"))
     d = spark.range(6000).selectExpr("id AS chart_id", "concat('KNP/SC=', id, ',PR=MERCATOR\nPLY/1,', id % 80, '.25,-1.5\nPLY/2,8,1\nPLY/3,8,9\n') AS header")

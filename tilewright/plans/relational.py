@@ -475,7 +475,7 @@ def a6(layout: str) -> Callable[[DataFrame], DataFrame]:
 
     def build(d: DataFrame) -> DataFrame:
         folder = new_folder(d.sparkSession, "overrides")
-        d.select("chart_id", lines().alias("value")).write.partitionBy("chart_id").text(folder)
+        write_files(dealt(d).select(chart_file(".txt"), lines().alias("value")), folder)
         rings = tables.read_overrides(d.sparkSession, folder, layout)
         return rings.select(F.size("ring").cast("long").alias("n"), F.get("ring", F.lit(0))["lat"].alias("lat0"), F.get("ring", F.lit(1))["lng"].alias("lng1"), (F.get("ring", F.lit(0)) == F.element_at("ring", -1)).alias("closed"), c("key").endswith(".txt").alias("named"))
 

@@ -38,11 +38,15 @@ def header_lines_of(content: Column) -> Column:
     return F.when(closed, F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
 
 
+def mounted(paths: list[str]) -> bool:
+    return all(urlparse(p).scheme in ("", "file") for p in paths)
+
+
 def read_chart_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """path and lines, one row a chart file. On a mounted file system a file is read up to the end of its header only, however large
     it is; stores that only Spark reaches give it whole files, whose contents end in the task that reads them."""
     asked = [paths] if isinstance(paths, str) else paths
-    if all(urlparse(p).scheme in ("", "file") for p in asked):
+    if mounted(asked):
         spark.dataSource.register(ChartHeaders)
         return spark.read.format("chart_headers").option("paths", "\n".join(asked)).load()
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(asked).select("path", header_lines_of(F.col("content")).alias("lines"))
@@ -81,8 +85,12 @@ def read_tile_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_overrides(spark: SparkSession, folder: str, layout: str) -> DataFrame:
     """key and closed ring of each override file. Layouts: ply (PLY/n,lat,lng), dmm (DD MM.mmm,DDD MM.mmm), plain (lat,lng,
-    closed already; the key is the name without .txt)."""
-    files = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("key"), F.split("value", r"\r?\n").alias("lines"))
+    closed already; the key is the name without .txt). On a mounted file system a task reads many of these small files."""
+    if mounted([folder]):
+        spark.dataSource.register(ChartHeaders)
+        files = spark.read.format("chart_headers").option("paths", folder).option("whole", "true").load().select(text.base_name(F.col("path")).alias("key"), "lines")
+    else:
+        files = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("key"), F.split("value", r"\r?\n").alias("lines"))
     field = lambda x, i: F.trim(F.get(F.split(x, ","), F.lit(i)))
     if layout == "ply":
         ring = text.header_ring(F.col("lines"))
