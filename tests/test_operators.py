@@ -485,3 +485,14 @@ def test_charts_have_files_but_no_folders_of_their_own(spark, tmp_path, monkeypa
         assert {(r.chart_id, r.scale, r.n_lines) for r in rows} == {(i, i, 4) for i in range(6000)}
     else:
         assert all(r.n == 4 and r.closed and r.lng1 == 1 for r in rows) and {r.lat0 for r in rows} == {i + 0.25 for i in range(80)}
+
+
+def test_tile_sets_share_files(spark, tmp_path):
+    """No file for each set, zoom and task; the tables are those of before."""
+    t = spark.range(240).selectExpr("concat('set ', id % 40) AS tileset", "CAST(id % 3 AS INT) AS z", "id % 2 AS x", "id % 2 AS y", "encode('x', 'UTF-8') AS content").repartition(4)
+    about = spark.range(40).selectExpr("concat('set ', id) AS tileset", "'n' AS name", "0 AS min_zoom", "2 AS max_zoom", "'b' AS bounds")
+    tables.to_mbtiles_tables(t, about, str(tmp_path))
+    assert sum(n.endswith(".parquet") for _, _, names in os.walk(tmp_path / "tiles") for n in names) <= 4
+    got = spark.read.parquet(str(tmp_path / "tiles"))
+    assert {f"{r.tileset} {r.zoom_level} {r.n}" for r in got.groupBy("tileset", "zoom_level").agg(F.count("*").alias("n")).collect()} == {f"set_{i % 40} {i % 3} 2" for i in range(240)}
+    assert spark.read.parquet(str(tmp_path / "metadata")).count() == 40 * 7

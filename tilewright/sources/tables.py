@@ -115,10 +115,13 @@ def metadata_rows(sets: DataFrame) -> DataFrame:
 
 
 def to_mbtiles_tables(tiles: DataFrame, sets: DataFrame, path: str) -> None:
-    """tiles (tileset, z, x, y, content) and their sets' metadata as two Parquet tables, partitioned by set and zoom."""
+    """tiles (tileset, z, x, y, content) and their sets' metadata as two Parquet tables. Tiles lie in order of set, zoom, column and
+    row, so that who asks for a set reads the few row groups that may have it. A folder for each set and zoom would be
+    hundreds of thousands, with a file in each from every task."""
     named = tiles.withColumn("tileset", text.tileset_name(F.col("tileset")))
     rows = named.select("tileset", F.col("z").alias("zoom_level"), F.col("x").alias("tile_column"), tm.flip_tile_y(F.col("y"), F.col("z")).alias("tile_row"), F.col("content").alias("tile_data"))
-    rows.write.mode("overwrite").partitionBy("tileset", "zoom_level").parquet(f"{path}/tiles")
+    order = ("tileset", "zoom_level", "tile_column", "tile_row")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/tiles")
     metadata_rows(sets.withColumn("tileset", text.tileset_name(F.col("tileset")))).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
