@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tilewright.fixtures import fixture
+from tilewright.functions import text
 from tilewright.operators import catalog as cat
 from tilewright.operators import raster as ra
 from tilewright.operators import regions as reg
@@ -458,6 +459,21 @@ def test_headers_are_parsed_by_many_tasks(spark, tmp_path):
     assert "regexp" not in ordered._jdf.queryExecution().optimizedPlan().toString() and ordered.agg(F.max("rank")).first()[0] == 12_000
 
 
+def test_charts_are_told_from_others_in_many_tasks(spark, tmp_path):
+    """A filter on parsed fields is not moved before the rows are dealt out, where one task would parse all headers."""
+    spark.range(12_000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "1 AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    charts = cat.valid_charts(relational.headers(fixture(spark, str(tmp_path), "chart_headers"))).select("scale", "name")
+    above, below = charts._jdf.queryExecution().optimizedPlan().toString().split("Repartition")
+    assert "Cover for Chart" in above and "Filter" not in below and charts.count() == 12_000
+
+
+def test_fields_of_classed_lines_are_those_of_each_function(spark):
+    heads = ["", "x\ny", "KNP/SC=5,GD=A\nKNP/GD=B\r\nBSB/NA=a,b\nBSB/NA=c", "UN=\nUN=FEET,z\nCED/SE=1,ED=01/02/2003x\nCED/SE", "PLY/1,1,2\nREF/1,a\r\nPLY/2,x,2\nPLY/3,3,4\nREF/PLY/4,5,6", "BSB/NAKNP/SC=7"]
+    lines = spark.createDataFrame([(h,) for h in heads], "header string").union(spark.sql("SELECT CAST(NULL AS STRING)")).withColumn("lines", text.header_lines(F.col("header")))
+    each = {n: getattr(text, f"header_{n}")(F.col("lines")) for n in ("scale", "projection", "datum", "units", "updated", "name", "ring", "refs")}
+    assert [r.asDict() for r in cat.parse_headers(lines).select("header", *each).collect()] == [r.asDict() for r in lines.select("header", *(v.alias(k) for k, v in each.items())).collect()]
+
+
 def test_ring_overrides_of_long_chart_numbers(spark):
     """A key of seven digits is not cut to six, which would be another chart's."""
     d = spark.createDataFrame([(i, f"KNP/SC=1\nPLY/1,{i % 80}.5,1\nPLY/2,8,1\nPLY/3,8,9\n") for i in (120_006, 1_200_061)], "chart_id long, header string")

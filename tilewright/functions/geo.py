@@ -41,10 +41,10 @@ def latitude_distortion(lat: Value) -> Column:
 
 
 def zoom_from_true_scale(scale: Value) -> Column:
-    """30 less the halvings that bring 70 % of the scale to one or below. The scale is a variable, as it would else be computed
-    for each power again."""
-    powers = F.array(*(F.lit(2.0**n) for n in range(63)))
-    return let(col(scale) * 0.70, lambda s: F.when(s.isNotNull(), F.lit(30) - F.size(F.filter(powers, lambda p: s > p))))
+    """30 less the halvings that bring 70 % of the scale to one or below, 63 at most: the binary digits of the greatest whole
+    number below it. The scale is a variable, as it would else be computed several times."""
+    halvings = lambda s: F.when(s > 1, F.least(F.length(F.bin(F.ceil(s) - 1)), F.lit(63))).otherwise(0)
+    return let((col(scale) * 0.70).cast("double"), lambda s: F.when(s.isNotNull(), F.lit(30) - halvings(s)))
 
 
 def zoom_for_scale(scale: Value, lat: Value) -> Column:

@@ -20,12 +20,20 @@ def line_class(line: Column) -> Column:
     return out
 
 
-def of_class(lines: Column, mark: str) -> Column:
-    return F.filter(lines, lambda x: line_class(x) == mark)
+def classed_lines(lines: Column) -> Column:
+    """The lines that have a class, each with it (mark, line)."""
+    return F.filter(F.transform(lines, lambda x: F.struct(line_class(x).alias("mark"), x.alias("line"))), lambda x: x["mark"].isNotNull())
 
 
-def last_of(lines: Column, mark: str) -> Column:
-    return F.try_element_at(of_class(lines, mark), F.lit(-1))
+def of_class(lines: Column, mark: str, classed: bool = False) -> Column:
+    """classed: lines are those of classed_lines, so that who reads many fields classes lines once."""
+    if not classed:
+        return F.filter(lines, lambda x: line_class(x) == mark)
+    return F.transform(F.filter(lines, lambda x: x["mark"] == mark), lambda x: x["line"])
+
+
+def last_of(lines: Column, mark: str, classed: bool = False) -> Column:
+    return F.try_element_at(of_class(lines, mark, classed), F.lit(-1))
 
 
 def after(text: Column, mark: str) -> Column:
@@ -37,47 +45,62 @@ def header_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _knp_field(lines: Column, key: str) -> Column:
+def knp_fields(lines: Column, classed: bool = False) -> Column:
+    """The fields of all scale lines, in order."""
+    return F.flatten(F.transform(of_class(lines, "KNP/SC", classed), lambda x: F.split(F.ltrim(x, F.lit("KNP/")), ",")))
+
+
+def knp_field(fields: Column, key: str) -> Column:
     """The last field key=... of the last scale line that has one."""
-    fields = F.flatten(F.transform(of_class(lines, "KNP/SC"), lambda x: F.split(F.regexp_replace(x, r"^[KNP/]+", ""), ",")))
     found = F.filter(fields, lambda f: f.startswith(f"{key}="))
-    return F.trim(F.regexp_replace(F.substr(F.try_element_at(found, F.lit(-1)), F.lit(len(key) + 2)), r"[\r\n]+$", ""))
+    return F.trim(F.rtrim(F.substr(F.try_element_at(found, F.lit(-1)), F.lit(len(key) + 2)), F.lit("\r\n")))
 
 
 def header_scale(lines: Column) -> Column:
-    return _knp_field(lines, "SC").try_cast("int")
+    return knp_field(knp_fields(lines), "SC").try_cast("int")
 
 
 def header_projection(lines: Column) -> Column:
-    return _knp_field(lines, "PR")
+    return knp_field(knp_fields(lines), "PR")
 
 
 def header_datum(lines: Column) -> Column:
-    return _knp_field(lines, "GD")
+    return knp_field(knp_fields(lines), "GD")
 
 
 def header_units(lines: Column) -> Column:
+    return units_in(last_of(lines, "UN="))
+
+
+def units_in(line: Column) -> Column:
     """What stands after UN= up to the next comma; without one, all but the line's last character. Unknown if no line says."""
-    rest = after(last_of(lines, "UN="), "UN=")
+    rest = after(line, "UN=")
     cut = F.when(F.locate(",", rest) > 0, F.substr(rest, F.lit(1), F.locate(",", rest) - 1)).otherwise(F.substr(rest, F.lit(1), F.greatest(F.length(rest) - 1, F.lit(0))))
     return F.coalesce(cut, F.lit("Unknown"))
 
 
 def header_updated(lines: Column) -> Column:
+    return updated_in(last_of(lines, "CED/SE"))
+
+
+def updated_in(line: Column) -> Column:
     """The eleven characters after ED=, trimmed."""
-    return F.trim(F.substr(after(last_of(lines, "CED/SE"), "ED="), F.lit(1), F.lit(11)))
+    return F.trim(F.substr(after(line, "ED="), F.lit(1), F.lit(11)))
 
 
 def header_name(lines: Column) -> Column:
+    return name_in(last_of(lines, "BSB/NA"))
+
+
+def name_in(line: Column) -> Column:
     """What stands between BSB/NA= and the line's first comma, without apostrophes."""
-    line = last_of(lines, "BSB/NA")
     start, comma = F.locate("BSB/NA=", line) + 7, F.locate(",", line)
     stop = F.when(comma > 0, comma).otherwise(F.length(line))
     return F.trim(F.replace(F.substr(line, start, F.greatest(stop - start, F.lit(0))), F.lit("'"), F.lit("")))
 
 
-def header_refs(lines: Column) -> Column:
-    return F.transform(of_class(lines, "REF/"), lambda x: F.regexp_replace(F.regexp_replace(x, "REF/[0-9]*,", ""), r"[\r\n]+$", ""))
+def header_refs(lines: Column, classed: bool = False) -> Column:
+    return F.transform(of_class(lines, "REF/", classed), lambda x: F.regexp_replace(F.regexp_replace(x, "REF/[0-9]*,", ""), r"[\r\n]+$", ""))
 
 
 def has_duplicate_refs(lines: Column) -> Column:
@@ -96,19 +119,23 @@ def close_ring(ring: Column) -> Column:
 
 def header_ring(lines: Column) -> Column:
     """The closed ring of the PLY lines, in order. Lines whose numbers can't be read are left out."""
+    return close_ring(ply_points(lines))
+
+
+def ply_points(lines: Column, classed: bool = False) -> Column:
+    """The points of the PLY lines, not closed."""
+    return points_of(F.transform(of_class(lines, "PLY/", classed), lambda x: F.split(x, ",")), 1)
 
-    def vertex(x: Column) -> Column:
-        part = lambda i: F.trim(F.get(F.split(x, ","), F.lit(i))).try_cast("double")
-        return point(part(1), part(2))
 
-    ring = F.filter(F.transform(of_class(lines, "PLY/"), vertex), lambda p: p["lat"].isNotNull() & p["lng"].isNotNull())
-    return close_ring(ring)
+def points_of(rows: Column, first: int) -> Column:
+    """Points from arrays of strings, latitudes at place first and longitudes behind them; unreadable ones are left out."""
+    number = lambda x, i: F.trim(F.get(x, F.lit(i))).try_cast("double")
+    return F.filter(F.transform(rows, lambda x: point(number(x, first), number(x, first + 1))), lambda p: p["lat"].isNotNull() & p["lng"].isNotNull())
 
 
 def parse_outline(outline: Column) -> Column:
     """'lat,lng:lat,lng:...' as a ring; null or empty gives an empty one."""
-    one = lambda s: point(F.get(F.split(s, ","), F.lit(0)).try_cast("double"), F.get(F.split(s, ","), F.lit(1)).try_cast("double"))
-    return F.filter(F.transform(F.split(F.coalesce(outline, F.lit("")), ":"), one), lambda p: p["lat"].isNotNull() & p["lng"].isNotNull())
+    return points_of(F.transform(F.split(F.coalesce(outline, F.lit("")), ":"), lambda s: F.split(s, ",")), 0)
 
 
 def format_outline(ring: Column) -> Column:

@@ -54,12 +54,16 @@ def valid_charts(headers: DataFrame) -> DataFrame:
 
 
 def parse_headers(files: DataFrame, lines: str = "lines") -> DataFrame:
-    """files with the fields of their header lines."""
-    x = F.col(lines)
-    return files.withColumns({
-        "scale": text.header_scale(x), "projection": text.header_projection(x), "datum": text.header_datum(x), "units": text.header_units(x),
-        "updated": text.header_updated(x), "name": text.header_name(x), "ring": text.header_ring(x), "refs": text.header_refs(x),
+    """files with the fields of their header lines. Lines are classed once, and what several fields are read from is a column."""
+    x, col = F.col("_classed"), F.col
+    found = files.withColumn("_classed", text.classed_lines(F.col(lines))).withColumns({
+        "_un": text.last_of(x, "UN=", True), "_ced": text.last_of(x, "CED/SE", True), "_bsb": text.last_of(x, "BSB/NA", True),
+        "_knp": text.knp_fields(x, True), "_ply": text.ply_points(x, True),
     })
+    return found.withColumns({
+        "scale": text.knp_field(col("_knp"), "SC").try_cast("int"), "projection": text.knp_field(col("_knp"), "PR"), "datum": text.knp_field(col("_knp"), "GD"), "units": text.units_in(col("_un")),
+        "updated": text.updated_in(col("_ced")), "name": text.name_in(col("_bsb")), "ring": text.close_ring(col("_ply")), "refs": text.header_refs(x, True),
+    }).drop("_classed", "_un", "_ced", "_bsb", "_knp", "_ply")
 
 
 def apply_ring_overrides(charts: DataFrame, overrides: DataFrame, key: str = "base") -> DataFrame:
@@ -77,12 +81,13 @@ def catalog_order(df: DataFrame) -> DataFrame:
 
 
 def build_catalog(headers: DataFrame) -> DataFrame:
-    """Headers (path, name, scale, updated, units, ring) as catalog rows with rank."""
+    """Headers (path, name, scale, updated, units, ring) as catalog rows with rank. Charts are told from others once rows are written:
+    a filter on parsed fields would parse them a second time, and before rows are dealt out (see dealt)."""
     center = geo.ring_center(F.col("ring"))
     zoom = geo.zoom_for_scale(F.col("scale"), center["lat"])
-    rows = valid_charts(headers).withColumn("zoom", zoom.cast("int"))
+    rows = headers.withColumn("zoom", zoom.cast("int"))
     rows = rows.select("path", "name", F.col("zoom").alias("min_zoom"), F.col("zoom").alias("max_zoom"), "scale", F.col("updated").alias("date"), F.col("units").alias("depths"), text.format_outline(F.col("ring")).alias("outline"), "ring")
-    return catalog_order(cut(rows))  # ranges are sampled first, which would parse all headers twice
+    return catalog_order(valid_charts(cut(rows)))  # ranges are sampled first, which would parse all headers twice
 
 
 def catalog_fields_by_provider(df: DataFrame) -> DataFrame:

@@ -27,9 +27,12 @@ TASK_ROWS = 5000
 
 def dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """df dealt out evenly, for work that costs far more than to move its rows: a table of a few MB may hold millions of rows and
-    yet be one split. As many partitions as have task_rows each, which are counted before."""
+    yet be one split. As many partitions as have task_rows each, which are counted before.
+
+    Spark moves later filters, and the parsing that they ask for, before a repartition; not past the filter here, which
+    all rows pass."""
     n = -(-df.count() // task_rows)
-    return df.repartition(n) if n > 1 else df
+    return df.repartition(n).filter(F.monotonically_increasing_id() >= 0) if n > 1 else df
 
 
 #: Paths that the innermost `scratch` deletes at its end
