@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.llm import lm_score
+from tilewright.llm import lm_score, packing
 from tilewright.llm.common import KeyFilter, attach
 from tilewright.llm.lm_score import LogBloom, count_of, level_of, score
 from tilewright.llm.near_dup import choose_bands, components, drop_near_duplicates, near_duplicates
@@ -17,6 +17,7 @@ from tilewright.llm.packing import Bm25, ChunkEncoder, Corpus, ShardTree, cuts,
 from tilewright.llm.pii import BASE_KINDS, automaton, find, find_pii, luhn, redact
 from tilewright.llm.quality import keep_good, score_quality
 from tilewright.llm.toxicity import ALPHABET, KneserNey, grams_of, score_toxicity
+from tilewright.operators.steps import cut
 
 from .conftest import documents, prose
 
@@ -409,3 +410,31 @@ def test_shard_tree_lays_out_more_shards_than_samples():
     tree = ShardTree(x[rng.integers(0, len(x), 200)], np.ones(200), 1000)
     sizes = np.bincount(tree.shard(x, rng.integers(0, 1 << 40, len(x))), minlength=1000)
     assert sizes.max() < 250 and (sizes > 0).sum() > 800
+
+
+def test_words_are_merged_once_and_remembered(monkeypatch):
+    """Whatever is remembered, ids are the library's; a word that was merged a call before is not merged again."""
+    texts = ["the harbour, light Señor", "LIGHT the buoy the the", "a" * 100 + " buoy harbour", "", "Señor buoy."]
+    merged = []
+    real = packing.WordMerger.__call__
+    monkeypatch.setattr(packing.WordMerger, "__call__", lambda self, words: merged.extend(words.to_pylist()) or real(self, words))
+    for most in (100_000, 3, 0):
+        monkeypatch.setattr(packing, "REMEMBERED", most)
+        encoder = packing.ChunkEncoder(packing.tokenizer_path())
+        merged.clear()
+        for text in texts * 2:
+            (got,) = encoder.encode(pa.array([text]), 1).to_pylist()
+            assert np.frombuffer(got, encoder.number).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert len(encoder.known) <= most
+        if most == 100_000:
+            assert sorted(merged) == sorted(["the", "harbour", "light", "señor", "buoy", "a" * 100, "a" * 100])
+
+
+def test_tasks_get_few_texts_at_a_time(spark):
+    """However many rows the session puts into a batch; its setting is left as it was."""
+    seen = lambda d: max(r.n for r in cut(d, 7).collect())
+    rows = spark.range(100, numPartitions=1)
+    sizes = rows.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"]) for b in bs), "n long")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    assert seen(sizes) == 7 and spark.conf.get(name) == before

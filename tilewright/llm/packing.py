@@ -18,6 +18,9 @@ from .arrays import slices, spans
 from .common import text_of
 
 ENCODE_CHARS = 3_000_000  # bytes of text encoded at a time
+REMEMBERED = 100_000  # words that an encoder keeps with their ids
+BATCH = 1024  # documents that a task encodes at a time at most
+SHORT = 64  # bytes that such a word has at most
 
 
 def tokenizer_path() -> str:
@@ -52,6 +55,7 @@ class WordMerger:
         order = np.argsort(keys)
         self.keys, self.ranks = np.r_[keys[order], np.int64(1 << 62)], np.r_[order, NEVER].astype(np.int32)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        self.first = np.hstack([self.rank(self.inner[:, None], second) for second in (self.inner, self.last)])  # of two bytes, the second within a word or its last
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         asked = (a.astype(np.int64) << 32) | b
@@ -72,7 +76,10 @@ class WordMerger:
             symbols = np.where(np.arange(width) <= end[:, None], self.inner[x], -1)  # -1 is no symbol
             at = np.arange(len(rows))
             symbols[at, end] = self.last[x[at, end]]
-            found += [(rows[done], final) for done, final in self._merge(symbols)]
+            ranks = np.full(symbols.shape, NEVER, np.int32)
+            some = np.arange(1, width)
+            ranks[:, :-1] = np.where(some <= end[:, None], self.first[x[:, :-1], x[:, 1:] + 256 * (some == end[:, None])], NEVER)
+            found += [(rows[done], final) for done, final in self._merge(symbols, ranks)]
         count = np.zeros(len(words), np.int64)
         for rows, final in found:
             count[rows] = (final >= 0).sum(1)
@@ -82,11 +89,9 @@ class WordMerger:
             flat[spans(starts[rows], count[rows])] = final[final >= 0]
         return flat, count
 
-    def _merge(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _merge(self, symbols: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows, their symbols) of those that have no pair left to merge, from the least merges to the most."""
         rows, width = np.arange(len(symbols)), symbols.shape[1]
-        ranks = np.full(symbols.shape, NEVER, np.int32)
-        ranks[:, :-1] = self.rank(symbols[:, :-1], symbols[:, 1:])
         while True:
             best = ranks.argmin(1)
             low = ranks[np.arange(len(rows)), best]
@@ -119,7 +124,8 @@ class ChunkEncoder:
     """Token ids of whole texts. A tokenizer of word ends never joins characters over a blank, nor letters and marks, and
     lower-cases first. So a text's ids are those of its parts between blanks, and those of a part are its word's and its
     marks'. Different parts are encoded once a call, words all at once (see WordMerger); parts of another make go to the
-    tokenizer, and so do whole texts if the file parts them in any other way. Nothing is remembered between calls."""
+    tokenizer, and so do whole texts if the file parts them in any other way. Up to REMEMBERED short words are kept with their
+    ids between calls; beyond that, those of the last call."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -134,6 +140,24 @@ class ChunkEncoder:
         folded = [x.get("type") for x in (layout.get("normalizer") or {}).get("normalizers") or []] == ["NFC", "Replace", "Lowercase"]
         self.merger = WordMerger(layout["model"], self.number) if parted and folded and layout["model"].get("end_of_word_suffix") else None
 
+        self.known, self.known_ids, self.known_count = pa.array([], pa.string()), np.empty(0, self.number), np.empty(0, np.int64)
+
+    def _by_memory(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As _ids_of, for different words: only those that aren't remembered are merged."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.known) + np.arange(len(new))
+        fresh = words.take(pa.array(new))
+        new_ids, new_count = self.merger(fresh) if len(new) else (self.known_ids[:0], self.known_count[:0])
+        ids, count = np.concatenate([self.known_ids, new_ids]), np.concatenate([self.known_count, new_count])
+        start = np.cumsum(count) - count
+        every = pa.concat_arrays([self.known, fresh])
+        stay = np.arange(len(every)) if len(every) <= REMEMBERED else np.sort(at)[:REMEMBERED]
+        stay = stay[pc.binary_length(every).to_numpy()[stay] <= SHORT]
+        if len(new):
+            self.known, self.known_count, self.known_ids = every.take(pa.array(stay)), count[stay], ids[spans(start[stay], count[stay])]
+        return ids, start[at], count[at]
+
     def _by_tokenizer(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         each = [e.ids for e in self.tokenizer.encode_batch_fast(parts.to_pylist(), add_special_tokens=False)]
         count = np.fromiter(map(len, each), np.int64, len(each))
@@ -156,14 +180,14 @@ class ChunkEncoder:
         size = offsets[marked + 1] - begin
         edges = np.r_[0, np.cumsum(size)].astype(np.int32)
         marks = pa.Array.from_buffers(pa.string(), len(marked), [None, pa.py_buffer(edges), pa.py_buffer(data[spans(begin, size)])]).dictionary_encode()
-        word_ids, word_count = self.merger(words.dictionary)
+        word_ids, word_start, word_count = self._by_memory(words.dictionary)
         mark_ids, mark_count = self._by_tokenizer(marks.dictionary)
         odd = np.flatnonzero(~is_word)
         odd_ids, odd_count = self._by_tokenizer(parts.take(pa.array(odd)))
         # each part has two spans: its word's (or, of another make, the tokenizer's) and its marks'
         start, count = np.zeros((2, 2 * len(parts)), np.int64)
         at = words.indices.to_numpy()
-        start[2 * some], count[2 * some] = (np.cumsum(word_count) - word_count)[at], word_count[at]
+        start[2 * some], count[2 * some] = word_start[at], word_count[at]
         at = marks.indices.to_numpy()
         start[2 * marked + 1], count[2 * marked + 1] = (np.cumsum(mark_count) - mark_count)[at] + len(word_ids), mark_count[at]
         start[2 * odd], count[2 * odd] = np.cumsum(odd_count) - odd_count + len(word_ids) + len(mark_ids), odd_count
@@ -455,7 +479,7 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 19, end:
         return pa.table([ids.cast(ids_type), *(pa.array(rows[n], pa.binary() if n == "ids" else pa.int64()) for n in names[1:])], names)
 
     schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    encoded = cut(docs.select(salt.alias("salt"), F.col(id_col).alias("id"), text_of(text_col)).mapInArrow(encode, f"salt long, id {kind}, ids binary"))
+    encoded = cut(docs.select(salt.alias("salt"), F.col(id_col).alias("id"), text_of(text_col)).mapInArrow(encode, f"salt long, id {kind}, ids binary"), BATCH)
     found = dict(encoded.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n")).collect())
     n, total = found.pop(-2, 0), found.pop(-1, 0)
     df = np.zeros(size, np.int64)

@@ -39,15 +39,34 @@ def dealt(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
 WRITTEN: list[list[str]] = []
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder and goes on from there, so that a lost executor costs no recomputation."""
+def cut(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Writes df to the shared checkpoint folder and goes on from there, so that a lost executor costs no recomputation.
+
+    batch_rows: Python tasks of df get so many rows at a time at most; whole texts are large, and a batch is held several
+    times, by Spark outside its heap and by Python."""
     shared(df.sparkSession)
-    out = df.checkpoint()
+    with batches_of(df.sparkSession, batch_rows) if batch_rows else contextlib.nullcontext():
+        out = df.checkpoint()
     if WRITTEN:
         WRITTEN[-1].append(out._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
     return out
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run in this block hands Python so many rows at a time, or fewer if the session says so."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has yet."""
     path = f"{shared(spark)}/{name}-{uuid.uuid4().hex}"
