@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.llm import lm_score, packing
+from tilewright.llm import lm_score, near_dup, packing
 from tilewright.llm.common import KeyFilter, attach
 from tilewright.llm.lm_score import LogBloom, count_of, level_of, score
 from tilewright.llm.near_dup import choose_bands, components, drop_near_duplicates, near_duplicates
@@ -438,3 +439,15 @@ def test_tasks_get_few_texts_at_a_time(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     assert seen(sizes) == 7 and spark.conf.get(name) == before
+
+
+def test_overlaps_need_little_memory():
+    """Of two blocks of 1024 sets each: blocks of the incidence matrix take 16 MB, its product 4."""
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(20_000, 40, replace=False).astype(np.uint64)) for _ in range(2048)]
+    left, right = np.arange(1024), np.arange(1024, 2048)
+    tracemalloc.start()
+    got = near_dup.overlaps(sets, left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and all(got[i, j] == len(np.intersect1d(sets[left[i]], sets[right[j]])) for i, j in rng.integers(0, 1024, (50, 2)))

@@ -15,6 +15,8 @@ from ..operators.steps import cut
 from .common import KeyFilter, attach, one_of_each, text_of
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
+BATCH = 1024  # documents whose texts a task has at a time at most
+WIDTH = 1024  # n-grams in a block of the incidence matrix
 GRAMS = 2048  # n-grams that a node has on average at most, where blocks are sized
 
 
@@ -100,10 +102,9 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     out = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(code, kind="stable")
     code, owner = code[order], owner[order]
-    width = 4096
-    for at in range(0, int(often.sum()), width):
-        lo, hi = np.searchsorted(code, (at, at + width))
-        grid = np.zeros((len(sets), width), np.float32)
+    for at in range(0, int(often.sum()), WIDTH):
+        lo, hi = np.searchsorted(code, (at, at + WIDTH))
+        grid = np.zeros((len(sets), WIDTH), np.float32)
         grid[owner[lo:hi], code[lo:hi] - at] = 1
         out += grid[left] @ grid[right].T
     return out
@@ -180,7 +181,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: floa
     """What near_duplicates tells of each row, with its text_hash and `kept`: is it the first of its class by id and hash?
     n_links is null for a row that is alone."""
     bands, rows = choose_bands(threshold, recall)
-    base = cut(sketch(docs, id_col, text_col, n, bands, rows))
+    base = cut(sketch(docs, id_col, text_col, n, bands, rows), BATCH)
     first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
     nodes = cut(base.filter("digest is not null").groupBy("digest").agg(F.min(first).alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("grams").alias("grams")))
     met = nodes.select("digest", "grams", F.posexplode("bands").alias("band", "h")).select("digest", "grams", "band", F.xxhash64("band", "h").alias("key"))
@@ -208,7 +209,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: floa
         found = [x for _, g in pdf.groupby(["key", "pi", "pj"], sort=False) for x in links_in_block(g, threshold)]
         return pd.DataFrame(found, columns=["node", "root", "links"])
 
-    verified = cut(dealt.join(sets, "digest").groupBy("bin").applyInPandas(verify, "node binary, root binary, links long"))
+    verified = cut(dealt.join(sets, "digest").groupBy("bin").applyInPandas(verify, "node binary, root binary, links long"), BATCH)
     links = verified.groupBy(F.col("node").alias("digest")).agg(F.sum("links").alias("links"))
     roots = components(verified, "node", "root").withColumnRenamed("node", "digest")
     known = nodes.select("digest", "rep", "copies")
