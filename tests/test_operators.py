@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import struct
 
 import duckdb
@@ -9,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tilewright import fixtures
 from tilewright.fixtures import fixture
 from tilewright.functions import text
 from tilewright.operators import catalog as cat
@@ -490,6 +492,34 @@ def test_charts_named_40_have_no_region_in_the_sql_either(spark, tmp_path):
     assert got == set(db.execute(relational.ORACLE["f3_own_boxes"]).fetchall()) and got and max(i for i, _ in got) < 30_000
 
 
+def test_boxes_meet_few_edges(spark):
+    """Rings of 3904 edges: a box is held against those of its slabs only, in many tasks; f3_own_boxes did all, in one."""
+    spark.range(40_000).selectExpr("id AS p_partkey", "'A' AS p_type", "'n' AS p_name", "id % 50 + 1 AS p_size").coalesce(1).createOrReplaceTempView("part")
+    boxes = reg.split_boxes(spark.sql(fixtures.SQL["chart_boxes"]).withColumn("_id", F.col("chart_id")))
+    pairs = reg.near_edges(boxes, reg.region_polygons(spark, relational.MANY_POINTS))
+    assert pairs.rdd.getNumPartitions() == 3 and 40_000 < pairs.count() < 40 * boxes.count()
+
+
+def test_odd_boxes_have_the_regions_of_the_sql(spark, tmp_path):
+    """Boxes whose sides are slabs' sides, points of rings, wide, beyond the map, inverted, empty or null."""
+    rnd = random.Random(5)
+    points = [p for ring in relational.MANY_POINTS.values() for p in ring]
+    lngs = [lambda: rnd.choice(points)[1], lambda: rnd.randrange(2**12) * 360 / 2**12 - 180, lambda: rnd.uniform(-200, 200), lambda: rnd.choice([-180.0, 180.0, 170.0, None])]
+    lats = [lambda: rnd.choice(points)[0], lambda: rnd.uniform(-95, 95), lambda: rnd.choice([-90.0, 0.0, 90.0, None])]
+    width = lambda v: None if v is None else v + rnd.choice([0, 1e-7, 0.1, 1, 5, 45, 360, -1]) * rnd.choice([1, rnd.random()])
+    rows = []
+    for i in range(3000):
+        w, s = (rnd.choices(f, k)[0]() for f, k in ((lngs, (6, 6, 6, 1)), (lats, (6, 6, 1))))
+        e, n = (v if rnd.random() > 0.02 else None for v in (width(w), width(s)))
+        rows.append((i, f"/a/{30_000 + i % 12_000}.tif", w, n, rnd.choice([e, e, e, w, 180.0]), s))
+    spark.createDataFrame(rows, "chart_id long, path string, west double, north double, east double, south double").write.parquet(str(tmp_path / "b"))
+    charts = spark.read.parquet(str(tmp_path / "b"))
+    got = [tuple(r) for r in reg.assign_regions(charts, reg.region_polygons(spark, relational.MANY_POINTS), reg.region_excludes(spark)).select("chart_id", "region").collect()]
+    sql = relational.ORACLE["f3_own_boxes"].removeprefix(fixtures.with_fixtures("chart_boxes"))
+    want = duckdb.sql(f"WITH chart_boxes AS (FROM '{tmp_path}/b/*.parquet'){sql}").fetchall()
+    assert sorted(got) == sorted(want) and len({i for i, _ in got}) > 900
+
+
 @pytest.mark.parametrize("query", ["a2", "ply", "dmm", "plain"])
 def test_charts_have_files_but_no_folders_of_their_own(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(relational, "new_folder", lambda *_: str(tmp_path / "f"))

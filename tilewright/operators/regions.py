@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .steps import cut, in_order
+from .steps import cut, dealt, in_order
 
 # fixed values: region polygons, vertices (lat, lng)
 POLYGONS = {
@@ -71,11 +71,6 @@ def edge_meets_box(e: Column, west: Column, north: Column, east: Column, south:
     return overlap & (F.least(*s) <= 0) & (F.greatest(*s) >= 0)
 
 
-def box_meets_ring(west: Column, north: Column, east: Column, south: Column, ring: Column) -> Column:
-    """An edge meets the box, or the box lies inside the ring. (A ring inside the box has edges that meet it.)"""
-    return F.exists(edges(ring), lambda e: edge_meets_box(e, west, north, east, south)) | in_ring(north, west, ring)
-
-
 LOW_LEVEL, HIGH_LEVEL = 3, 9  # cells of 45 down to 0.7 degrees
 CELL_EDGES = 8  # a cell with more edges is cut in four, down to HIGH_LEVEL
 
@@ -149,6 +144,62 @@ def meets_by_cells(boxes: DataFrame, regions: DataFrame) -> DataFrame:
     return told.filter("hit").select("_id", "region").unionByName(unsure.select("_id", "region")).distinct()
 
 
+MOST_LEVEL = 16  # slabs down to 0.005 degrees of longitude
+SLAB_COPIES = 4  # there are narrower slabs as long as the edges, each listed in every slab that it touches, are at most so many times their number
+SLAB_BOXES = 20_000  # boxes a task
+
+
+def on_map(lng: Column) -> Column:
+    return F.least(F.greatest(lng, F.lit(-180.0)), F.lit(180.0))
+
+
+def slab(n: Column, lng: Column) -> Column:
+    """Which of n slabs of longitude a place lies in; the outermost ones hold what lies beyond -180 and 180. It never falls where lng
+    grows, so what overlaps shares a slab."""
+    return F.least(F.floor((on_map(lng) + 180) / 360 * n), n - 1).cast("long")
+
+
+def in_slabs(rows: DataFrame, level: Column, west: Column, east: Column) -> DataFrame:
+    """rows with each slab from west to east: _slab, 2^level and its number among the 2^level of the level, and _first, is it the western one?"""
+    ranged = rows.withColumn("_of", F.pow(F.lit(2.0), level)).withColumns({"_from": slab(F.col("_of"), west), "_to": slab(F.col("_of"), east)})
+    at = ranged.withColumn("_at", F.explode(F.sequence("_from", F.greatest("_from", "_to"))))
+    return at.withColumns({"_slab": F.col("_of").cast("long") + F.col("_at"), "_first": F.col("_at") == F.col("_from")}).drop("_of", "_from", "_to", "_at")
+
+
+def near_edges(boxes: DataFrame, regions: DataFrame) -> DataFrame:
+    """boxes with each edge of a ring, in plain columns, that shares a slab with them: the edges are broadcast by slabs of all levels, and
+    a box meets those of the one or two slabs that it touches, of a level whose slabs are as wide as the box at least. _first: is
+    the slab that of the box's western side? An edge is there once for each slab shared."""
+    a, b = F.col("e")["a"], F.col("e")["b"]
+    plain = {"_lat": a["lat"], "_lng": a["lng"], "_lng2": b["lng"], "_dlat": b["lat"] - a["lat"], "_dlng": b["lng"] - a["lng"]}
+    extent = {"_w": F.least(a["lng"], b["lng"]), "_e": F.greatest(a["lng"], b["lng"]), "_s": F.least(a["lat"], b["lat"]), "_n": F.greatest(a["lat"], b["lat"])}
+    lined = regions.select("region", F.array_min(F.transform("ring", lambda p: p["lat"])).alias("_low"), F.explode(edges(F.col("ring"))).alias("e")).withColumns(plain | extent).drop("e")
+    w, e = F.col("_w"), F.col("_e")
+    levels = range(1, MOST_LEVEL + 1)
+    copies = lined.agg(F.count("*"), *(F.sum(slab(F.lit(2.0**n), e) - slab(F.lit(2.0**n), w) + 1) for n in levels)).first()
+    finest = F.lit(max([0, *(n for n in levels if (copies[n] or 0) <= SLAB_COPIES * copies[0])]))
+    listed = in_slabs(lined.withColumn("_level", F.explode(F.sequence(F.lit(0), finest))), F.col("_level"), w, e).drop("_level", "_first")
+    west, east = F.col("west"), F.col("east")
+    level = F.least(F.floor(F.log2(360 / F.greatest(on_map(east) - on_map(west), F.lit(1e-9)))), finest)
+    return in_slabs(dealt(boxes, SLAB_BOXES), level, west, east).join(F.broadcast(listed), "_slab")
+
+
+def meets_by_slabs(boxes: DataFrame, regions: DataFrame) -> DataFrame:
+    """_id and region of boxes (_id, _part, west, north, east, south) that meet a region's polygon: an edge meets the box, or the box's
+    corner lies inside the ring. (A ring inside the box has edges that meet it.) The tests are those of edge_meets_box and in_ring
+    with what depends on the edge alone worked out before; only what passes a cheap part of them is tested in full."""
+    west, north, east, south = (F.col(c) for c in ("west", "north", "east", "south"))
+    lat, lng, dlat, dlng = (F.col(c) for c in ("_lat", "_lng", "_dlat", "_dlng"))
+    overlap = (F.col("_w") <= east) & (F.col("_e") >= west) & (F.col("_s") <= north) & (F.col("_n") >= south)
+    side = [dlng * (y - lat) - dlat * (x - lng) for y, x in ((north, west), (north, east), (south, east), (south, west))]
+    meets = overlap & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
+    spans = F.col("_first") & (F.col("_low") <= north) & ((lng > west) != (F.col("_lng2") > west))
+    above = spans & (north < dlat * (west - lng) / dlng + lat)
+    odd = lambda part: F.count_if(above & (F.col("_part") == part)) % 2 == 1
+    told = near_edges(boxes, regions).filter(overlap | spans).groupBy("_id", "region").agg((F.bool_or(meets) | odd(0) | odd(1)).alias("hit"))
+    return told.filter("hit").drop("hit")
+
+
 def split_boxes(rows: DataFrame) -> DataFrame:
     """rows with one box each (_part, west, north, east, south), or two where west lies beyond east: up to the dateline, and on from it."""
     box = lambda part, west, east: F.struct(F.lit(part).alias("_part"), west.alias("west"), F.col("north").alias("north"), east.alias("east"), F.col("south").alias("south"))
@@ -162,18 +213,12 @@ def assign_regions(charts: DataFrame, regions: DataFrame, excludes: DataFrame, m
     dateline.
 
     Charts whose name starts with 40 have none, nor those that the region excludes. Up to `most` polygons of most_points points
-    together are broadcast with their extents and compared with each chart's box before the exact test. Beyond, see
-    meets_by_cells. Rings are closed and stay within -180 to 180 degrees."""
+    together are broadcast, see meets_by_slabs. Beyond, see meets_by_cells. Rings are closed and stay within -180 to 180 degrees."""
     named = cut(charts.withColumn("name_", text.chart_base_name(F.col("path"))).filter(~F.col("name_").startswith("40")).withColumn("_id", F.monotonically_increasing_id()))
     boxes = split_boxes(named)
     size = regions.agg(F.count("*"), F.sum(F.size("ring"))).first()
-    if size[0] <= most and (size[1] or 0) <= most_points:
-        lats, lngs = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lng"])
-        r = regions.select("region", "ring", F.array_min(lats).alias("_s"), F.array_max(lats).alias("_n"), F.array_min(lngs).alias("_w"), F.array_max(lngs).alias("_e"))
-        near = (F.col("_w") <= F.col("east")) & (F.col("_e") >= F.col("west")) & (F.col("_s") <= F.col("north")) & (F.col("_n") >= F.col("south"))
-        met = boxes.join(F.broadcast(r), near).filter(box_meets_ring(*(F.col(c) for c in ("west", "north", "east", "south")), F.col("ring"))).select("_id", "region").distinct()
-    else:
-        met = meets_by_cells(boxes, regions)
+    small = size[0] <= most and (size[1] or 0) <= most_points
+    met = meets_by_slabs(boxes, regions) if small else meets_by_cells(boxes, regions)
     gone = excludes.withColumnRenamed("name", "name_")
     return named.join(met, "_id").drop("_id").join(gone, ["region", "name_"], "left_anti")
 

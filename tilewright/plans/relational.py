@@ -145,7 +145,7 @@ def ring_of(n: int, lat: float, lng: float, a: float, b: float) -> list[tuple[fl
 #: Polygons of many points, and two that share the dateline
 MANY_POINTS = {"STAR": ring_of(1500, 10, 20, 30, 60), "SMALL_STAR": ring_of(400, -30, -100, 6, 9), "DATELINE_WEST": ring_of(2000, 0, 140, 40, 30), "DATELINE_EAST": [(-60.0, -180.0), (60.0, -180.0), (50.0, -170.0), (-50.0, -172.0), (-60.0, -180.0)]}
 RINGS = ", ".join(f"('{r}', [{', '.join(str(a) for a, _ in ring)}]::DOUBLE[], [{', '.join(str(b) for _, b in ring)}]::DOUBLE[])" for r, ring in MANY_POINTS.items())
-add("f3_own_boxes", "chart_boxes", lambda d: reg.assign_regions(d, reg.region_polygons(d.sparkSession, MANY_POINTS), reg.region_excludes(d.sparkSession)).select("chart_id", "region"),
+add("f3_own_boxes", "chart_boxes", lambda d: reg.assign_regions(d.select("chart_id", "path", "west", "north", "east", "south"), reg.region_polygons(d.sparkSession, MANY_POINTS), reg.region_excludes(d.sparkSession)).select("chart_id", "region"),
     f""", g(region, lats, lngs) AS (VALUES {RINGS}), n AS (SELECT region, lats, lngs, unnest(range(1, len(lats))) AS i FROM g), e AS (SELECT region, lats[i] AS lat1, lngs[i] AS lng1, lats[i + 1] AS lat2, lngs[i + 1] AS lng2 FROM n),
     x(region, nm) AS (VALUES {EXC}), nb AS (SELECT *, {BASE} AS nm FROM chart_boxes WHERE {BASE} NOT LIKE '40%'),
     ch AS (SELECT chart_id, nm, 0 AS part, west, CASE WHEN west > east THEN 180 ELSE east END AS east, south, north FROM nb UNION ALL SELECT chart_id, nm, 1, -180, east, south, north FROM nb WHERE west > east),
